@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orbitfit.functions.vector import nearest_centre, sq_distance
+from orbitfit.operators.blocks import lloyd_step_blocks
 from orbitfit.operators.points import Features, project_points
 from orbitfit.operators.sampling import sample_by_hash
 from orbitfit.operators.seeding import kmeanspp_init, random_init
@@ -46,6 +47,10 @@ TIMING_METRICS = (
 )
 
 
+# Above this many centre coordinates (K * d) the fit uses NumPy blocks.
+BLOCKS_ABOVE = 64
+
+
 def _ms(t0: float) -> int:
     return int(round((time.perf_counter() - t0) * 1000))
 
@@ -222,13 +227,16 @@ class KMeansModel:
 def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] = (),
                init: str | Sequence[Sequence[float]] = "random", tol: float = 0.1,
                max_iter: int = 100, seed: int = 42, invalid: str = "error",
-               cache: str = "persist") -> KMeansModel:
+               cache: str = "persist", method: str = "auto") -> KMeansModel:
     """Fit K centres by Lloyd iterations.
 
     ``init``: ``"random"`` (seeded K-point sample; needs ``keys``),
     ``"k-means++"`` (distance-squared seeding; needs ``keys``) or an explicit
     list of K centres. ``keys`` must identify rows (the seeded uniforms are
-    hashed from them).
+    hashed from them). ``method``: ``"expr"`` (literal-centre column
+    expressions, whole-stage codegen), ``"blocks"`` (NumPy distance blocks in
+    ``mapInArrow``) or ``"auto"`` (blocks once ``K * d`` exceeds
+    ``BLOCKS_ABOVE``).
     """
     pts, names = project_points(df, features, keys, invalid)
     t0 = time.perf_counter()
@@ -249,6 +257,9 @@ def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] =
             raise ValueError("start centre dimension does not match the features")
     init_ms = _ms(t0)
 
+    if method == "auto":
+        method = "blocks" if k * len(names) > BLOCKS_ABOVE else "expr"
+    step = lloyd_step_blocks if method == "blocks" else lloyd_step
     feats = materialize(pts.select(*names), cache)
     centres = list(start)
     log: list[tuple[int, float, int, list[int]]] = []
@@ -257,7 +268,7 @@ def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] =
     try:
         for it in range(1, max_iter + 1):
             t0 = time.perf_counter()
-            new, sizes = lloyd_step(feats, names, centres)
+            new, sizes = step(feats, names, centres)
             if it == 1 and sum(sizes) < k:
                 raise ValueError(f"K={k} is larger than the number of points ({sum(sizes)})")
             mv = movement(centres, new)

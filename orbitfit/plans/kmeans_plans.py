@@ -20,7 +20,7 @@ from orbitfit.operators.sampling import sample_by_hash
 from orbitfit.operators.seeding import kmeanspp_init, min_sq_distance
 from orbitfit.plans.sqlgen import (
     centres_long, ccol, converged_ctes, d2_sql, dbl, kmeanspp_ctes, literal_centres_cte,
-    lloyd_ctes, nearest_sql, random_init_ctes, with_,
+    lloyd_ctes, nearest_sql, random_init_ctes, wide_to_long, with_,
 )
 from orbitfit.sources.tables import LINEITEM_KEYS, lineitem_points, table
 
@@ -306,8 +306,7 @@ _EPTS = ("epts AS MATERIALIZED (SELECT vec_id, "
 SQL["kmeans_embeddings_step"] = with_(
     [_EPTS] + random_init_ctes("c0", "epts", ["vec_id"], _EN, EMB_K, SEED)
     + lloyd_ctes("epts", _EN, EMB_K, EMB_ITERS),
-    " UNION ALL ".join(f"SELECT {i} AS cluster, {j} AS dim, round(c{EMB_ITERS}.{ccol(n, i)}, 6) AS value "
-                       f"FROM c{EMB_ITERS}" for i in range(EMB_K) for j, n in enumerate(_EN)))
+    wide_to_long(f"c{EMB_ITERS}", _EN, EMB_K))
 
 
 QUERIES = {

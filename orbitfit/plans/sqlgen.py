@@ -138,3 +138,13 @@ def centres_long(wide: str, names: Sequence[str], k: int, out_names: Sequence[st
 
 def with_(ctes: Sequence[str], body: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body
+
+
+def wide_to_long(wide: str, names: Sequence[str], k: int, digits: int = 6) -> str:
+    """``(cluster, dim, value)`` rows of a wide centre row, via parallel unnest."""
+    cl = ", ".join(str(i) for i in range(k) for _ in names)
+    dm = ", ".join(str(j) for _ in range(k) for j in range(len(names)))
+    vs = ", ".join(f"{wide}.{ccol(n, i)}" for i in range(k) for n in names)
+    return (f"SELECT CAST(cluster AS INTEGER) AS cluster, CAST(dim AS INTEGER) AS dim, "
+            f"round(value, {digits}) AS value FROM (SELECT unnest([{cl}]) AS cluster, "
+            f"unnest([{dm}]) AS dim, unnest([{vs}]) AS value FROM {wide})")
