@@ -1,24 +1,19 @@
 """Registered queries: Spark plans plus independent DuckDB oracle SQL."""
 
-from orbitfit.plans import kmeans_plans
+from orbitfit.plans import kmeans_plans, linear_plans, source_plans
+
+_MODULES = (kmeans_plans, linear_plans, source_plans)
 
 
 def all_queries() -> dict:
     out = {}
-    out.update(kmeans_plans.QUERIES)
-    try:
-        from orbitfit.plans import linear_plans
-        out.update(linear_plans.QUERIES)
-    except ImportError:
-        pass
+    for m in _MODULES:
+        out.update(m.QUERIES)
     return out
 
 
 def all_oracle_sql() -> dict:
-    out = dict(kmeans_plans.SQL)
-    try:
-        from orbitfit.plans import linear_plans
-        out.update(linear_plans.SQL)
-    except ImportError:
-        pass
+    out = {}
+    for m in _MODULES:
+        out.update(m.SQL)
     return out

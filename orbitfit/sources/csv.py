@@ -44,7 +44,10 @@ def set_time_parser_policy(spark: SparkSession, policy: str) -> None:
 def read_csv_stable(spark: SparkSession, path: str, schema: T.StructType = LOCATION_SCHEMA,
                     header: bool = True, sep: str = ",",
                     timestamp_format: str | None = LOCATION_TIME_FORMAT) -> DataFrame:
-    """Typed rows of the CSV files under ``path``; malformed lines dropped."""
+    """Typed rows of the CSV files under ``path``; malformed lines dropped.
+
+    ``timestamp_format`` applies to ``timestamp`` and ``timestamp_ntz`` columns.
+    """
     lines = spark.read.text(path)
     if header:
         first = lines.limit(1).collect()
@@ -55,6 +58,7 @@ def read_csv_stable(spark: SparkSession, path: str, schema: T.StructType = LOCAT
     opts = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
     if timestamp_format:
         opts["timestampFormat"] = timestamp_format
+        opts["timestampNTZFormat"] = timestamp_format
     parsed = lines.select(F.from_csv(F.col("value"), full.simpleString(), opts).alias("r"))
     return parsed.where(F.col(f"r.{_BAD}").isNull()).select(
         *[F.col(f"r.{f.name}").alias(f.name) for f in schema.fields])
@@ -64,4 +68,5 @@ def write_location_csv(df: DataFrame, path: str) -> None:
     """Write ``time, lat, lon, base`` rows as CSV with header and the location pattern."""
     (df.select("time", "lat", "lon", "base").write.mode("overwrite")
        .option("header", "true").option("timestampFormat", LOCATION_TIME_FORMAT)
+       .option("timestampNTZFormat", LOCATION_TIME_FORMAT)
        .csv(path))
