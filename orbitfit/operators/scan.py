@@ -16,11 +16,14 @@ an inherently sequential fold into a parallel one:
    needs (no task ever holds a whole shard);
 2. ``mapInArrow`` streams each partition's Arrow batches, builds the row
    matrices with NumPy and reduces every run of equal shard with a
-   segmented doubling scan, emitting one matrix per (partition, shard run);
-3. a ``groupBy(shard)`` composes the runs in partition order (a group holds
-   at most one row per partition the shard spans) and applies the product
-   to the epoch's start state;
-4. an ``avg`` over shards gives the model average; the driver gets one row.
+   segmented doubling scan
+   and emits one summary row per partition: the matrix of its first run
+   (which may continue a shard from the previous partition), the end state
+   of its last run (which may continue into the next one) and the summed
+   results of the whole shards in between;
+3. the driver stitches the partition summaries in partition order (at most
+   one row per partition, like the final merge of a tree aggregate) and
+   averages the shard results. One Python stage per epoch, no shuffle.
 
 The results equal the sequential recurrence up to floating-point rounding.
 """
@@ -98,29 +101,57 @@ def segmented_products(M: np.ndarray, seg_start: np.ndarray) -> np.ndarray:
     return out
 
 
-def _emit(shards: list, mats: list, part: int, m: int) -> pa.RecordBatch:
-    flat = np.concatenate([x.reshape(-1) for x in mats]) if mats else np.zeros(0)
-    offsets = np.arange(len(mats) + 1, dtype=np.int32) * (m * m)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.asarray(shards, dtype=np.int64)),
-         pa.array(np.full(len(mats), part, dtype=np.int32)),
-         pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, type=pa.float64()))],
-        names=["shard", "part", "mat"])
+def _out_vector(method: str, d: int, z: np.ndarray, w0: np.ndarray) -> np.ndarray:
+    """Per-shard result ``(w_s, v_s)`` from its end state (``w_s`` only for SGD)."""
+    if method == "sgd":
+        return z[..., :d]
+    if method == "heavy_ball":
+        return z[..., :2 * d]
+    v = z[..., :d]
+    return np.concatenate([w0 - v, v], axis=-1)
+
+
+SUMMARY_SCHEMA = ("part int, n_runs long, first_shard long, first_mat array<double>, "
+                  "last_shard long, last_vec array<double>, mid_sum array<double>, mid_count long")
 
 
-def make_run_kernel(method: str, d: int, step: float, gamma: float,
-                    look: Sequence[float] | None, flush_every: int = 4096):
-    """``mapInArrow`` function: one matrix per run of equal shard in a partition."""
-    look_arr = np.asarray(look, dtype=np.float64) if look is not None else None
-    m = state_dim(method, d) + 1
+def make_epoch_kernel(method: str, d: int, step: float, gamma: float, z0: Sequence[float],
+                      w0: Sequence[float]):
+    """``mapInArrow`` function: one summary row per non-empty partition.
+
+    The partition's rows are sorted by ``(shard, order)``. Its *first* run of
+    equal shard may continue a shard from the previous partition, so it is
+    returned as a matrix; its *last* run may continue into the next
+    partition, so it is returned as the end state from ``z0``; every run in
+    between is a whole shard, so its result is added to ``mid_sum``.
+    """
+    z0a = np.asarray(z0, dtype=np.float64)
+    w0a = np.asarray(w0, dtype=np.float64)
+    look = None
+    if method == "nesterov":
+        v0 = z0a[:d]
+        look = w0a - gamma * v0
     pcols = [f"p{j}" for j in range(d)]
+    n_out = d if method == "sgd" else 2 * d
 
     def kernel(batches):
         from pyspark import TaskContext
         ctx = TaskContext.get()
         part = ctx.partitionId() if ctx is not None else 0
         carry_shard, carry = None, None
-        out_s, out_m = [], []
+        first_shard, first_mat = None, None
+        n_runs = 0
+        mid_sum = np.zeros(n_out)
+        mid_count = 0
+
+        def close(shard_id, mat):
+            nonlocal first_shard, first_mat, mid_sum, mid_count
+            if first_mat is None:
+                first_shard, first_mat = shard_id, mat
+            else:
+                mid_sum = mid_sum + _out_vector(method, d, mat @ z0a, w0a)
+                mid_count += 1
+
         for b in batches:
             if b.num_rows == 0:
                 continue
@@ -128,38 +159,52 @@ def make_run_kernel(method: str, d: int, step: float, gamma: float,
             y = b.column("y").to_numpy(zero_copy_only=False).astype(np.float64)
             P = np.column_stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.float64)
                                  for c in pcols])
-            M = row_maps(method, y, P, step, gamma, look_arr)
+            M = row_maps(method, y, P, step, gamma, look)
             change = np.empty(len(shard), dtype=bool)
             change[0] = True
             change[1:] = shard[1:] != shard[:-1]
             starts = np.flatnonzero(change)
             ends = np.r_[starts[1:], len(shard)] - 1
-            seg_start = np.repeat(starts, ends - starts + 1)
-            totals = segmented_products(M, seg_start)[ends]
-            for k in range(len(starts)):
-                sh = int(shard[starts[k]])
-                if carry_shard is not None and sh == carry_shard:
-                    carry = totals[k] @ carry
-                else:
-                    if carry_shard is not None:
-                        out_s.append(carry_shard)
-                        out_m.append(carry)
-                    carry_shard, carry = sh, totals[k]
-            if len(out_s) >= flush_every:
-                yield _emit(out_s, out_m, part, m)
-                out_s, out_m = [], []
-        if carry_shard is not None:
-            out_s.append(carry_shard)
-            out_m.append(carry)
-        if out_s:
-            yield _emit(out_s, out_m, part, m)
+            totals = segmented_products(M, np.repeat(starts, ends - starts + 1))[ends]
+            ids = shard[starts]
+            i0 = 0
+            if carry is not None and ids[0] == carry_shard:
+                carry = totals[0] @ carry
+                i0 = 1
+            if len(ids) > i0:
+                if carry is not None:
+                    close(carry_shard, carry)
+                new = list(range(i0, len(ids) - 1))
+                n_runs += len(ids) - i0
+                if new and first_mat is None:
+                    close(int(ids[new[0]]), totals[new[0]])
+                    new = new[1:]
+                if new:
+                    z = totals[new[0]:new[-1] + 1] @ z0a
+                    mid_sum = mid_sum + _out_vector(method, d, z, w0a).sum(axis=0)
+                    mid_count += len(new)
+                carry_shard, carry = int(ids[-1]), totals[-1]
+        if carry is None:
+            return
+        n_runs = max(n_runs, 1)
+        last_shard, last_vec = None, None
+        if first_mat is None:
+            first_shard, first_mat = carry_shard, carry
+        else:
+            last_shard, last_vec = carry_shard, (carry @ z0a).tolist()
+        yield pa.RecordBatch.from_pylist([{
+            "part": part, "n_runs": n_runs, "first_shard": first_shard,
+            "first_mat": first_mat.reshape(-1).tolist(), "last_shard": last_shard,
+            "last_vec": last_vec, "mid_sum": mid_sum.tolist(), "mid_count": mid_count,
+        }], schema=pa.schema([
+            ("part", pa.int32()), ("n_runs", pa.int64()), ("first_shard", pa.int64()),
+            ("first_mat", pa.list_(pa.float64())), ("last_shard", pa.int64()),
+            ("last_vec", pa.list_(pa.float64())), ("mid_sum", pa.list_(pa.float64())),
+            ("mid_count", pa.int64())]))
 
     return kernel
 
 
-RUN_SCHEMA = "shard long, part int, mat array<double>"
-
-
 def sorted_layout(df: DataFrame, shard: str, order: Sequence[str], y: str,
                   phi: Sequence[str]) -> DataFrame:
     """Range-partition on ``(shard, order...)`` and sort inside partitions.
@@ -176,50 +221,70 @@ def sorted_layout(df: DataFrame, shard: str, order: Sequence[str], y: str,
     )
 
 
-def shard_results(layout: DataFrame, method: str, d: int, step: float, gamma: float,
-                  w: Sequence[float], v: Sequence[float]) -> DataFrame:
-    """Per-shard end state ``(shard, w array, v array)`` after one ordered pass."""
-    look = None
-    if method == "nesterov":
-        look = [w[i] - gamma * v[i] for i in range(d)]
-    runs = layout.mapInArrow(make_run_kernel(method, d, step, gamma, look), RUN_SCHEMA)
-    m = state_dim(method, d) + 1
+def start_state(method: str, d: int, w: Sequence[float], v: Sequence[float]) -> np.ndarray:
     w0 = np.asarray(w, dtype=np.float64)
-    v0 = np.asarray(v, dtype=np.float64)
     if method == "sgd":
-        z0 = np.r_[w0, 1.0]
-    elif method == "heavy_ball":
-        z0 = np.r_[w0, v0, 1.0]
-    else:
-        z0 = np.r_[v0, 1.0]
-
-    import pandas as pd
-
-    def compose(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("part")
-        z = z0.copy()
-        for mat in pdf["mat"]:
-            z = np.asarray(mat, dtype=np.float64).reshape(m, m) @ z
-        if method == "sgd":
-            ws, vs = z[:d], np.zeros(0)
-        elif method == "heavy_ball":
-            ws, vs = z[:d], z[d:2 * d]
-        else:
-            vs = z[:d]
-            ws = w0 - vs
-        return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])],
-                             "w": [ws.tolist()], "v": [vs.tolist()]})
+        return np.r_[w0, 1.0]
+    v0 = np.asarray(v, dtype=np.float64)
+    if method == "heavy_ball":
+        return np.r_[w0, v0, 1.0]
+    return np.r_[v0, 1.0]
 
-    return runs.groupBy("shard").applyInPandas(compose, "shard long, w array<double>, v array<double>")
+
+def stitch(rows, method: str, d: int, z0: np.ndarray, w0: np.ndarray) -> tuple[np.ndarray, int]:
+    """Combine the partition summaries in partition order: ``(sum of results, shards)``.
+
+    At most one summary per partition reaches the driver, like the final
+    merge of a tree aggregate; each boundary shard costs one small product.
+    """
+    m = len(z0)
+    total = None
+    count = 0
+    pending = None  # (shard, end state so far) of a shard that may continue
+
+    def finish(state):
+        nonlocal total, count
+        out = _out_vector(method, d, state, w0)
+        total = out if total is None else total + out
+        count += 1
+
+    for r in sorted(rows, key=lambda r: r["part"]):
+        mat = np.asarray(r["first_mat"], dtype=np.float64).reshape(m, m)
+        if pending is not None and pending[0] == r["first_shard"]:
+            z = mat @ pending[1]
+        else:
+            if pending is not None:
+                finish(pending[1])
+            z = mat @ z0
+        if r["mid_count"]:
+            ms = np.asarray(r["mid_sum"], dtype=np.float64)
+            total = ms if total is None else total + ms
+            count += int(r["mid_count"])
+        if r["last_vec"] is None:
+            pending = (r["first_shard"], z)
+        else:
+            finish(z)
+            pending = (r["last_shard"], np.asarray(r["last_vec"], dtype=np.float64))
+    if pending is not None:
+        finish(pending[1])
+    return total, count
 
 
 def averaged_state(layout: DataFrame, method: str, d: int, step: float, gamma: float,
                    w: Sequence[float], v: Sequence[float]) -> tuple[list[float], list[float]]:
-    """Unweighted mean over non-empty shards of the per-shard end states."""
-    res = shard_results(layout, method, d, step, gamma, w, v)
-    nv = d if method != "sgd" else 0
-    row = res.agg(*[F.avg(F.col("w")[j]).alias(f"w{j}") for j in range(d)],
-                  *[F.avg(F.col("v")[j]).alias(f"v{j}") for j in range(nv)]).collect()[0]
-    w_new = [float(row[f"w{j}"]) for j in range(d)]
-    v_new = [float(row[f"v{j}"]) for j in range(nv)] if nv else list(v)
+    """One ordered pass over every shard; unweighted mean of the shard results.
+
+    One Python stage over the sorted layout, no shuffle; the driver receives
+    one summary row per non-empty partition.
+    """
+    z0 = start_state(method, d, w, v)
+    w0 = np.asarray(w, dtype=np.float64)
+    rows = layout.mapInArrow(make_epoch_kernel(method, d, step, gamma, z0.tolist(), w0.tolist()),
+                             SUMMARY_SCHEMA).collect()
+    total, count = stitch(rows, method, d, z0, w0)
+    if not count:
+        raise ValueError("no rows to fit")
+    mean = total / count
+    w_new = mean[:d].tolist()
+    v_new = mean[d:2 * d].tolist() if method != "sgd" else list(v)
     return w_new, v_new

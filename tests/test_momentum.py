@@ -106,3 +106,46 @@ def test_shards_with_gaps_are_ignored(spark):
     ra = nesterov(a, "y", ["x", "bias"], "shard", ["seq"], 2, 1e-7, 0.01, 0.6)
     rb = nesterov(b, "y", ["x", "bias"], "shard", ["seq"], 2, 1e-7, 0.01, 0.6)
     assert ra.w == pytest.approx(rb.w, rel=1e-12)
+
+
+@pytest.mark.parametrize("method", ["sgd", "heavy_ball", "nesterov"])
+def test_mixed_shards_stitched_across_partitions(spark, method):
+    """Shards of 1..40 rows plus one hot shard with a third of all rows, over
+    many range partitions: equals the per-shard sequential recurrence."""
+    rng = np.random.default_rng(1)
+    sizes = [int(s) for s in rng.integers(1, 40, size=30)]
+    sizes.insert(11, sum(sizes) // 2)  # hot shard: a third of the rows
+    rows, seq = [], 0
+    for sh, n in enumerate(sizes):
+        for _ in range(n):
+            rows.append((seq, sh * 7, float(rng.normal()), float(rng.normal())))
+            seq += 1
+    df = spark.createDataFrame(rows, "seq long, shard long, y double, x double").withColumn("bias", F.lit(1.0))
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        if method == "sgd":
+            r = local_sgd(df, "y", ["x", "bias"], "shard", ["seq"], 2, 0.01, 0.0, permute="none")
+        elif method == "heavy_ball":
+            r = heavy_ball(df, "y", ["x", "bias"], "shard", ["seq"], 2, 0.01, 0.0, 0.5)
+        else:
+            r = nesterov(df, "y", ["x", "bias"], "shard", ["seq"], 2, 0.01, 0.0, 0.5)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    by_shard = {}
+    for _, sh, y, x in rows:
+        by_shard.setdefault(sh, []).append((y, [x, 1.0]))
+    w, v = np.zeros(2), np.zeros(2)
+    for _ in range(2):
+        outs_w, outs_v = [], []
+        for sh in sorted(by_shard):
+            ws, vs = _sequential(method, by_shard[sh], w, v, 0.01, 0.5)
+            if method == "nesterov":
+                ws = w - vs
+            outs_w.append(ws)
+            outs_v.append(vs)
+        w, v = np.mean(outs_w, axis=0), (np.mean(outs_v, axis=0) if method != "sgd" else v)
+    assert r.w == pytest.approx(list(w), rel=1e-9, abs=1e-12)
+    if method != "sgd":
+        assert r.v == pytest.approx(list(v), rel=1e-9, abs=1e-12)
