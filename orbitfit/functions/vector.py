@@ -122,19 +122,28 @@ def array_dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, v: acc + v)
 
 
-def nearest_centre(xs: Sequence[Column], centres: Sequence[Sequence[Number]]) -> Column:
-    """``struct(d2, cluster)`` of the nearest centre; ties go to the lowest index.
-
-    ``least`` over ``(d2, index)`` structs compares lexicographically, which
-    gives the lowest index on equal distance by construction. NULL / NaN
-    inputs must be handled before (see :func:`check_valid`).
+def nearest(xs: Sequence[Column], centres: Sequence[Sequence[Number]]) -> tuple[Column, Column]:
+    """``(cluster, d2)`` of the nearest centre; ties go to the lowest index.
+
+    ``d2 = least(d2_0 .. d2_{K-1})`` and the index is the first ``i`` with
+    ``d2_i = d2``. All-numeric, so it stays in whole-stage codegen (no
+    per-row struct), and common distance terms are evaluated once by
+    subexpression elimination. NULL / NaN inputs must be handled before
+    (see :func:`check_valid`).
     """
     if not centres:
         raise ValueError("no centres")
-    cands = [
-        F.struct(sq_distance(xs, c).alias("d2"), F.lit(i).alias("cluster"))
-        for i, c in enumerate(centres)
-    ]
-    if len(cands) == 1:
-        return cands[0]
-    return F.least(*cands)
+    ds = [sq_distance(xs, c) for c in centres]
+    if len(ds) == 1:
+        return F.lit(0), ds[0]
+    m = F.least(*ds)
+    idx = F.lit(len(ds) - 1)
+    for i in range(len(ds) - 2, -1, -1):
+        idx = F.when(ds[i] == m, F.lit(i)).otherwise(idx)
+    return idx, m
+
+
+def nearest_centre(xs: Sequence[Column], centres: Sequence[Sequence[Number]]) -> Column:
+    """``struct(d2, cluster)`` of the nearest centre (see :func:`nearest`)."""
+    idx, m = nearest(xs, centres)
+    return F.struct(m.alias("d2"), idx.alias("cluster"))

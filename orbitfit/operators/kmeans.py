@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orbitfit.functions.vector import nearest_centre, sq_distance
+from orbitfit.functions.vector import nearest, sq_distance
 from orbitfit.operators.blocks import lloyd_step_blocks
 from orbitfit.operators.points import Features, project_points
 from orbitfit.operators.sampling import sample_by_hash
@@ -70,9 +70,9 @@ def lloyd_step(feats: DataFrame, names: Sequence[str], centres: Sequence[Sequenc
                ) -> tuple[list[tuple[float, ...]], list[int]]:
     """One assignment + update pass; returns new centres and cluster sizes."""
     xs = [F.col(n) for n in names]
-    a = nearest_centre(xs, centres)
+    cluster, _ = nearest(xs, centres)
     rows = (
-        feats.select(a.getField("cluster").alias("cluster"), *xs)
+        feats.select(cluster.alias("cluster"), *xs)
         .groupBy("cluster")
         .agg(F.count(F.lit(1)).alias("n"), *[F.sum(n).alias(n) for n in names])
         .collect()
@@ -135,9 +135,8 @@ class KMeansModel:
         """Every row with its cluster and squared distance (K10, P6). Lazy."""
         pts, names = project_points(df, features if features is not None else self.names,
                                     keys, invalid)
-        a = nearest_centre([F.col(n) for n in names], self.centres)
-        return pts.select(*keys, *names, a.getField("cluster").alias("cluster"),
-                          a.getField("d2").alias("d2"))
+        cluster, d2 = nearest([F.col(n) for n in names], self.centres)
+        return pts.select(*keys, *names, cluster.alias("cluster"), d2.alias("d2"))
 
     def cluster_stats(self, df: DataFrame, features: Features | None = None,
                       around: str = "centre", invalid: str = "error") -> DataFrame:
@@ -177,8 +176,8 @@ class KMeansModel:
         """A seeded n-point sample with its clusters (K5, L2)."""
         pts, names = project_points(df, features if features is not None else self.names, keys)
         smp = sample_by_hash(pts, keys, n, seed, tie_cols=names)
-        a = nearest_centre([F.col(m) for m in names], self.centres)
-        return smp.select(*keys, *names, a.getField("cluster").alias("cluster"))
+        cluster, _ = nearest([F.col(m) for m in names], self.centres)
+        return smp.select(*keys, *names, cluster.alias("cluster"))
 
     def report(self, df: DataFrame, keys: Sequence[str], features: Features | None = None,
                n_sample: int = 10, seed: int = 42, around: str = "centre") -> dict[str, DataFrame]:
@@ -260,7 +259,13 @@ def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] =
     if method == "auto":
         method = "blocks" if k * len(names) > BLOCKS_ABOVE else "expr"
     step = lloyd_step_blocks if method == "blocks" else lloyd_step
-    feats = materialize(pts.select(*names), cache)
+    feats = pts.select(*names)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if feats.rdd.getNumPartitions() < cores:
+        # Few input splits (a small file): spread the cached points over all
+        # cores once. Large inputs already have many splits and skip this.
+        feats = feats.repartition(cores)
+    feats = materialize(feats, cache)
     centres = list(start)
     log: list[tuple[int, float, int, list[int]]] = []
     converged = False
