@@ -238,14 +238,23 @@ def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] =
     ``BLOCKS_ABOVE``).
     """
     pts, names = project_points(df, features, keys, invalid)
+    seeded = isinstance(init, str)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    # Seeding passes read the keyed points; the loop reads the features only.
+    base = pts if seeded else pts.select(*names)
+    if base.rdd.getNumPartitions() < cores:
+        # Few input splits (a small file): spread the points over all cores
+        # once. Large inputs already have many splits and skip this.
+        base = base.repartition(cores)
+    base = materialize(base, cache)
     t0 = time.perf_counter()
-    if isinstance(init, str):
+    if seeded:
         if not keys:
             raise ValueError("seeded initialisation needs key columns identifying the rows")
         if init == "random":
-            start = random_init(pts, keys, names, k, seed)
+            start = random_init(base, keys, names, k, seed)
         elif init in ("k-means++", "kmeans++", "kmeanspp"):
-            start = kmeanspp_init(pts, keys, names, k, seed)
+            start = kmeanspp_init(base, keys, names, k, seed)
         else:
             raise ValueError(f"unknown init {init!r}")
     else:
@@ -259,13 +268,7 @@ def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] =
     if method == "auto":
         method = "blocks" if k * len(names) > BLOCKS_ABOVE else "expr"
     step = lloyd_step_blocks if method == "blocks" else lloyd_step
-    feats = pts.select(*names)
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if feats.rdd.getNumPartitions() < cores:
-        # Few input splits (a small file): spread the cached points over all
-        # cores once. Large inputs already have many splits and skip this.
-        feats = feats.repartition(cores)
-    feats = materialize(feats, cache)
+    feats = materialize(base.select(*names), cache) if seeded else base
     centres = list(start)
     log: list[tuple[int, float, int, list[int]]] = []
     converged = False
@@ -274,8 +277,11 @@ def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] =
         for it in range(1, max_iter + 1):
             t0 = time.perf_counter()
             new, sizes = step(feats, names, centres)
-            if it == 1 and sum(sizes) < k:
-                raise ValueError(f"K={k} is larger than the number of points ({sum(sizes)})")
+            if it == 1:
+                if sum(sizes) < k:
+                    raise ValueError(f"K={k} is larger than the number of points ({sum(sizes)})")
+                if seeded and cache == "persist":
+                    base.unpersist()
             mv = movement(centres, new)
             centres = new
             ms = _ms(t0)
@@ -287,6 +293,7 @@ def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] =
     finally:
         if cache == "persist":
             feats.unpersist()
+            base.unpersist()
     model = KMeansModel(names=list(names), centres=centres, init_centres=list(start),
                         iterations=len(log), converged=converged, log=log)
     model.timings[TIMING_METRICS[0]] = total_ms
