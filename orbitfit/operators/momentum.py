@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from orbitfit.functions.random import hash_uniform
 from orbitfit.operators.linear import NormalStats, normal_stats, step_size
-from orbitfit.operators.scan import averaged_state, sorted_layout
+from orbitfit.operators.scan import averaged_state, chained_state, sorted_layout
 from orbitfit.session import materialize
 
 
@@ -73,7 +73,7 @@ class FitResult:
 
 def _run(method: str, df: DataFrame, y: str, phi: Sequence[str], shard: str, order: Sequence[str],
          epochs: int, s0: float, decay: float, momentum: float, w0, cache: str,
-         reorder=None) -> FitResult:
+         reorder=None, combine: str = "average") -> FitResult:
     d = len(phi)
     w = list(w0) if w0 is not None else [0.0] * d
     v = [0.0] * d if method != "sgd" else []
@@ -86,7 +86,12 @@ def _run(method: str, df: DataFrame, y: str, phi: Sequence[str], shard: str, ord
         for e in range(1, epochs + 1):
             s = step_size(s0, decay, e)
             lay = layout if reorder is None else reorder(e)
-            w, v = averaged_state(lay, method, d, s, momentum, w, v)
+            if combine == "average":
+                w, v = averaged_state(lay, method, d, s, momentum, w, v)
+            elif combine == "sequential":
+                w, v = chained_state(lay, method, d, s, momentum, w, v)
+            else:
+                raise ValueError("combine must be 'average' or 'sequential'")
             hist.append((e, s, *w, *v, stats.loss(w)))
     finally:
         if layout is not None and cache == "persist":
@@ -116,14 +121,22 @@ def permutation_key(keys: Sequence[str], seed: int, epoch: int | None):
 def local_sgd(df: DataFrame, y: str, phi: Sequence[str], shard: str, order: Sequence[str],
               epochs: int = 10, s0: float = 1e-8, decay: float = 0.01, seed: int = 42,
               permute: str = "epoch", w0: Sequence[float] | None = None,
-              cache: str = "persist") -> FitResult:
-    """Local SGD with model averaging (G3 re-aimed); ``order`` identifies rows."""
+              cache: str = "persist", combine: str = "average") -> FitResult:
+    """SGD over shards (G3); ``order`` identifies rows.
+
+    ``combine="average"``: local SGD with model averaging, every shard from
+    the same weights. ``combine="sequential"``: one chain visiting the shards
+    in shard order and the rows of each in their permuted order, carrying the
+    weights from shard to shard, as a driver loop over all rows would; it is
+    still computed in parallel through the affine scan.
+    """
     if permute == "none":
-        return _run("sgd", df, y, phi, shard, order, epochs, s0, decay, 0.0, w0, cache)
+        return _run("sgd", df, y, phi, shard, order, epochs, s0, decay, 0.0, w0, cache,
+                    combine=combine)
     if permute == "once":
         keyed = df.withColumn("_perm", permutation_key(order, seed, None))
         return _run("sgd", keyed, y, phi, shard, ["_perm", *order], epochs, s0, decay, 0.0,
-                    w0, cache)
+                    w0, cache, combine=combine)
     if permute != "epoch":
         raise ValueError("permute must be 'epoch', 'once' or 'none'")
 
@@ -131,4 +144,5 @@ def local_sgd(df: DataFrame, y: str, phi: Sequence[str], shard: str, order: Sequ
         keyed = df.withColumn("_perm", permutation_key(order, seed, e))
         return sorted_layout(keyed, shard, ["_perm", *order], y, phi)
 
-    return _run("sgd", df, y, phi, shard, order, epochs, s0, decay, 0.0, w0, cache, reorder)
+    return _run("sgd", df, y, phi, shard, order, epochs, s0, decay, 0.0, w0, cache, reorder,
+                combine=combine)

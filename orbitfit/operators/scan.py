@@ -221,6 +221,54 @@ def sorted_layout(df: DataFrame, shard: str, order: Sequence[str], y: str,
     )
 
 
+CHAIN_SCHEMA = "part int, mat array<double>"
+
+
+def make_chain_kernel(method: str, d: int, step: float, gamma: float, look: Sequence[float] | None):
+    """``mapInArrow`` function: the product of *all* row maps of a partition, in order."""
+    look_arr = np.asarray(look, dtype=np.float64) if look is not None else None
+    pcols = [f"p{j}" for j in range(d)]
+
+    def kernel(batches):
+        from pyspark import TaskContext
+        ctx = TaskContext.get()
+        part = ctx.partitionId() if ctx is not None else 0
+        acc = None
+        for b in batches:
+            if b.num_rows == 0:
+                continue
+            y = b.column("y").to_numpy(zero_copy_only=False).astype(np.float64)
+            P = np.column_stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.float64)
+                                 for c in pcols])
+            M = row_maps(method, y, P, step, gamma, look_arr)
+            tot = segmented_products(M, np.zeros(len(M), dtype=np.int64))[-1]
+            acc = tot if acc is None else tot @ acc
+        if acc is not None:
+            yield pa.RecordBatch.from_pylist(
+                [{"part": part, "mat": acc.reshape(-1).tolist()}],
+                schema=pa.schema([("part", pa.int32()), ("mat", pa.list_(pa.float64()))]))
+
+    return kernel
+
+
+def chained_state(layout: DataFrame, method: str, d: int, step: float, gamma: float,
+                  w: Sequence[float], v: Sequence[float]) -> tuple[list[float], list[float]]:
+    """One ordered pass through all shards as a single chain (shard order,
+    then row order): the state is carried from shard to shard, not averaged.
+    The driver multiplies one matrix per partition, in partition order."""
+    z0 = start_state(method, d, w, v)
+    look = None
+    if method == "nesterov":
+        look = (np.asarray(w) - gamma * np.asarray(v)).tolist()
+    rows = layout.mapInArrow(make_chain_kernel(method, d, step, gamma, look), CHAIN_SCHEMA).collect()
+    m = len(z0)
+    z = z0
+    for r in sorted(rows, key=lambda r: r["part"]):
+        z = np.asarray(r["mat"], dtype=np.float64).reshape(m, m) @ z
+    out = _out_vector(method, d, z, np.asarray(w, dtype=np.float64))
+    return out[:d].tolist(), (out[d:2 * d].tolist() if method != "sgd" else list(v))
+
+
 def start_state(method: str, d: int, w: Sequence[float], v: Sequence[float]) -> np.ndarray:
     w0 = np.asarray(w, dtype=np.float64)
     if method == "sgd":

@@ -117,10 +117,13 @@ def _sharded(method: str, epochs: int):
             res = heavy_ball(r, "y", PHI, "shard", ["seq"], epochs, SH_S0, SH_DECAY, SH_MOMENTUM)
         elif method == "nesterov":
             res = nesterov(r, "y", PHI, "shard", ["seq"], epochs, SH_S0, SH_DECAY, SH_MOMENTUM)
+        elif method == "sgd_sequential":
+            res = local_sgd(r, "y", PHI, "shard", ["seq"], epochs, SH_S0, SH_DECAY, seed=SH_SEED,
+                            permute="epoch", combine="sequential")
         else:
             res = local_sgd(r, "y", PHI, "shard", ["seq"], epochs, SH_S0, SH_DECAY, seed=SH_SEED,
                             permute="epoch")
-        return _history_df(spark, _sharded_rows(res), method != "sgd")
+        return _history_df(spark, _sharded_rows(res), method in ("heavy_ball", "nesterov"))
     return run
 
 
@@ -202,7 +205,7 @@ def _sharded_sql(method: str, epochs: int) -> str:
     gam = dbl(SH_MOMENTUM)
     ctes = [_R, "st0 AS MATERIALIZED (SELECT CAST(0.0 AS DOUBLE) AS w0, CAST(0.0 AS DOUBLE) AS w1, "
                 "CAST(0.0 AS DOUBLE) AS v0, CAST(0.0 AS DOUBLE) AS v1)"]
-    if method != "sgd":
+    if method in ("heavy_ball", "nesterov"):
         ctes.append("g AS MATERIALIZED (SELECT shard, list({'x': x, 'y': y} ORDER BY seq) AS rows "
                     "FROM r GROUP BY shard)")
     for e in range(1, epochs + 1):
@@ -227,6 +230,17 @@ def _sharded_sql(method: str, epochs: int) -> str:
                         f"list_reduce(g.rows, {lam}, {init}) AS z FROM g, {prev} p)")
             ctes.append(f"st{e} AS MATERIALIZED (SELECT avg(pw0 - z.v0) AS w0, avg(pw1 - z.v1) AS w1, "
                         f"avg(z.v0) AS v0, avg(z.v1) AS v1 FROM f{e})")
+        elif method == "sgd_sequential":
+            u = hash_uniform_sql(["seq"], SH_SEED, e)
+            gr = "(2.0 * ((acc.w0 * e.x + acc.w1 * 1.0) - e.y))"
+            lam = (f"lambda acc, e: {{'w0': acc.w0 - (e.x * {gr}) * {s}, "
+                   f"'w1': acc.w1 - (1.0 * {gr}) * {s}}}")
+            init = "{'w0': p.w0, 'w1': p.w1}"
+            ctes.append(f"g{e} AS MATERIALIZED (SELECT list({{'x': x, 'y': y}} ORDER BY shard, u, seq) AS rows "
+                        f"FROM (SELECT *, {u} AS u FROM r))")
+            ctes.append(f"st{e} AS MATERIALIZED (SELECT z.w0 AS w0, z.w1 AS w1, CAST(0.0 AS DOUBLE) AS v0, "
+                        f"CAST(0.0 AS DOUBLE) AS v1 FROM (SELECT list_reduce(g.rows, {lam}, {init}) AS z "
+                        f"FROM g{e} g, {prev} p))")
         else:
             u = hash_uniform_sql(["seq"], SH_SEED, e)
             gr = "(2.0 * ((acc.w0 * e.x + acc.w1 * 1.0) - e.y))"
@@ -243,7 +257,7 @@ def _sharded_sql(method: str, epochs: int) -> str:
     for e in range(1, epochs + 1):
         s = dbl(SH_S0 / (1.0 + SH_DECAY * e))
         vel = ("round(st.v0, 6) AS velocity_slope, round(st.v1, 6) AS velocity_intercept, "
-               if method != "sgd" else "")
+               if method in ("heavy_ball", "nesterov") else "")
         parts.append(
             f"SELECT {e} AS epoch, round({s}, 12) AS step, round(st.w0, 6) AS slope, "
             f"round(st.w1, 6) AS intercept, {vel}"
@@ -262,7 +276,8 @@ QUERIES = {
     "momentum_full_history": _full_batch("heavy_ball"),
     "nesterov_full_history": _full_batch("nesterov"),
 }
-for _m, _name in (("heavy_ball", "heavy_ball"), ("nesterov", "nesterov"), ("sgd", "local_sgd")):
+for _m, _name in (("heavy_ball", "heavy_ball"), ("nesterov", "nesterov"), ("sgd", "local_sgd"),
+                  ("sgd_sequential", "sequential_sgd")):
     QUERIES[f"{_name}_epoch"] = _sharded(_m, 1)
     QUERIES[f"{_name}_history"] = _sharded(_m, HISTORY_EPOCHS)
     SQL[f"{_name}_epoch"] = _sharded_sql(_m, 1)

@@ -149,3 +149,19 @@ def test_mixed_shards_stitched_across_partitions(spark, method):
     assert r.w == pytest.approx(list(w), rel=1e-9, abs=1e-12)
     if method != "sgd":
         assert r.v == pytest.approx(list(v), rel=1e-9, abs=1e-12)
+
+
+def test_sequential_sgd_chains_shards_in_order(spark):
+    """combine='sequential' equals one driver loop over shards in order and
+    rows in their seeded per-epoch permutation (the reference's plain SGD)."""
+    from orbitfit.operators.prefix import scalar_uniform
+    line = line_dataset(spark, n=300, shards=3)
+    r = local_sgd(line, "y", ["x", "bias"], "shard", ["seq"], 3, 1e-7, 0.01, seed=42,
+                  permute="epoch", combine="sequential")
+    w = np.zeros(2)
+    for e in (1, 2, 3):
+        for sh in range(3):
+            ids = sorted(range(sh * 100, sh * 100 + 100), key=lambda i: (scalar_uniform(i, 42, e), i))
+            rows = [(2 * i + 3.0, [2 * i + 1.0, 1.0]) for i in ids]
+            w, _ = _sequential("sgd", rows, w, [0, 0], 1e-7 / (1 + 0.01 * e), 0.0)
+    assert r.w == pytest.approx(list(w), rel=1e-10)
