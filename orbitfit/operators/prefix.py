@@ -5,16 +5,20 @@ key is a seeded uniform ``u`` in (0, 1), so equal-width buckets
 ``floor(u * B)`` are balanced by construction whatever the data:
 
 1. ``groupBy(bucket)`` totals: B rows;
-2. bucket offsets by a window over those B rows (bounded by ``B``);
+2. bucket offsets by a window over those B rows;
 3. per-bucket running sums by a window ``partitionBy(bucket).orderBy(u, keys)``,
-   plus the bucket offset joined back with a broadcast of the B-row table.
+   plus the bucket offset joined back on ``bucket``.
 
-The broadcast side has exactly B rows (a parameter), never data-sized.
+B defaults to ``ceil(rows / ROWS_PER_BUCKET)`` (one count), so a window task
+holds about a million rows whatever the input size (and spills beyond the
+window buffer threshold). The offset table has exactly B rows; it is
+broadcast only while ``B <= BROADCAST_MAX_BUCKETS``, else joined by shuffle.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -29,10 +33,17 @@ def scalar_uniform(*salt: int | str) -> float:
     return (int(h[:13], 16) + 0.5) / TWO_52
 
 
-def running_total(df: DataFrame, weight: str, u: str, keys: Sequence[str], buckets: int = 64
-                  ) -> DataFrame:
+ROWS_PER_BUCKET = 1_000_000
+BROADCAST_MAX_BUCKETS = 2_000_000
+
+
+def running_total(df: DataFrame, weight: str, u: str, keys: Sequence[str],
+                  buckets: int | None = None) -> DataFrame:
     """Adds ``cum_before`` (exclusive) and ``cum_through`` (inclusive) of ``weight``
     in the order ``(u, keys...)``; ``u`` must lie in (0, 1)."""
+    if buckets is None:
+        n = df.count()
+        buckets = max(1, math.ceil(n / ROWS_PER_BUCKET))
     b = F.least(F.floor(F.col(u) * F.lit(buckets)), F.lit(buckets - 1)).cast("int")
     data = df.withColumn("_bucket", b)
     totals = data.groupBy("_bucket").agg(F.sum(weight).alias("_btotal"))
@@ -47,7 +58,7 @@ def running_total(df: DataFrame, weight: str, u: str, keys: Sequence[str], bucke
         F.sum(weight).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
     return (
         data.withColumn("_lt", local_through).withColumn("_lb", local_before)
-        .join(F.broadcast(offsets), "_bucket")
+        .join(F.broadcast(offsets) if buckets <= BROADCAST_MAX_BUCKETS else offsets, "_bucket")
         .select(*df.columns,
                 (F.col("_offset") + F.col("_lb")).alias("cum_before"),
                 (F.col("_offset") + F.col("_lt")).alias("cum_through"))

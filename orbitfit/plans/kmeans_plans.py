@@ -161,7 +161,7 @@ def _cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = kmeanspp_init(lat, KEYS, NAMES, 1, SEED)
     w = sq_distance([F.col(n) for n in NAMES], first[0])
     data = lat.select(*KEYS, *NAMES, w.alias("w"), hash_uniform(KEYS, SEED, 1).alias("u"))
-    return running_total(data, "w", "u", KEYS, buckets=64)
+    return running_total(data, "w", "u", KEYS)
 
 
 def kmeanspp_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
