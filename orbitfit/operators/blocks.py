@@ -89,3 +89,37 @@ def lloyd_step_blocks(feats: DataFrame, names: Sequence[str], centres: Sequence[
         else:
             new.append(tuple(sums[i][j] / counts[i] for j in range(d)))
     return new, counts
+
+
+def make_assign_kernel(names: Sequence[str], centres: Sequence[Sequence[float]]):
+    """``mapInArrow`` function appending ``cluster`` and ``d2`` to every row."""
+    C = np.asarray(centres, dtype=np.float64)
+    names = list(names)
+
+    def kernel(batches):
+        for b in batches:
+            if b.num_rows == 0:
+                continue
+            X = np.column_stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.float64)
+                                 for c in names])
+            idx = np.empty(len(X), dtype=np.int32)
+            d2 = np.empty(len(X))
+            for lo in range(0, len(X), BLOCK_ROWS):
+                i, d = nearest_block(X[lo:lo + BLOCK_ROWS], C)
+                idx[lo:lo + BLOCK_ROWS] = i
+                d2[lo:lo + BLOCK_ROWS] = d
+            cols = [b.column(j) for j in range(b.num_columns)]
+            yield pa.RecordBatch.from_arrays(
+                cols + [pa.array(idx), pa.array(d2, type=pa.float64())],
+                names=list(b.schema.names) + ["cluster", "d2"])
+
+    return kernel
+
+
+def assign_blocks(pts: DataFrame, names: Sequence[str], centres: Sequence[Sequence[float]]
+                  ) -> DataFrame:
+    """Every row of ``pts`` plus its ``cluster`` and ``d2``, computed in NumPy blocks."""
+    from pyspark.sql import types as T
+    schema = T.StructType(list(pts.schema.fields) + [
+        T.StructField("cluster", T.IntegerType(), True), T.StructField("d2", T.DoubleType(), True)])
+    return pts.mapInArrow(make_assign_kernel(names, centres), schema)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orbitfit.functions.vector import nearest, sq_distance
-from orbitfit.operators.blocks import lloyd_step_blocks
+from orbitfit.operators.blocks import assign_blocks, lloyd_step_blocks
 from orbitfit.operators.points import Features, project_points
 from orbitfit.operators.sampling import sample_by_hash
 from orbitfit.operators.seeding import kmeanspp_init, random_init
@@ -135,6 +135,8 @@ class KMeansModel:
         """Every row with its cluster and squared distance (K10, P6). Lazy."""
         pts, names = project_points(df, features if features is not None else self.names,
                                     keys, invalid)
+        if self.k * len(names) > BLOCKS_ABOVE:
+            return assign_blocks(pts.select(*keys, *names), names, self.centres)
         cluster, d2 = nearest([F.col(n) for n in names], self.centres)
         return pts.select(*keys, *names, cluster.alias("cluster"), d2.alias("d2"))
 

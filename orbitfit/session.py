@@ -39,8 +39,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session. Only when it is unset (local runs and tests) a
-    fresh local folder is created and registered as the checkpoint dir.
+    Read from the session. Only when it is unset *and* the master is local
+    (local runs, tests) a fresh local folder is created and registered; on a
+    cluster an unset folder is an error, never a machine-local path.
     """
     sc = spark.sparkContext
     current = None
@@ -51,6 +52,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not str(sc.master).startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir (a shared folder) for this cluster session")
         current = tempfile.mkdtemp(prefix="orbitfit-ckpt-")
         sc.setCheckpointDir(current)
     return current

@@ -146,3 +146,24 @@ def test_hash_uniform_matches_sql(spark):
                         f"{b}::INTEGER AS b)").fetchone()[0] for a, b in rows]
     assert got == want
     assert all(0.0 < u < 1.0 for u in got)
+
+
+def test_wide_assignment_uses_blocks_and_matches_expressions(spark):
+    from orbitfit.functions.vector import nearest
+    df = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
+    m = kmeans_fit(df, "embedding", 10, keys=["vec_id"], init="random", tol=-1, max_iter=1)
+    got = {r["vec_id"]: (r["cluster"], r["d2"]) for r in m.assign(df, "embedding", keys=["vec_id"]).collect()}
+    pts = df.select("vec_id", *[F.col("embedding")[j].cast("double").alias(f"embedding_{j}") for j in range(64)])
+    c, d2 = nearest([F.col(f"embedding_{j}") for j in range(64)], m.centres)
+    want = {r["vec_id"]: (r["c"], r["d2"]) for r in pts.select("vec_id", c.alias("c"), d2.alias("d2")).collect()}
+    assert got.keys() == want.keys()
+    for k in got:
+        assert got[k][0] == want[k][0]
+        assert got[k][1] == pytest.approx(want[k][1], rel=1e-12)
+
+
+def test_checkpoint_mode_uses_shared_folder(spark):
+    df = lineitem_points(spark, SF_SMALL)
+    a = kmeans_fit(df, ["x", "y"], 5, keys=LINEITEM_KEYS, init="random", max_iter=5, cache="checkpoint")
+    b = kmeans_fit(df, ["x", "y"], 5, keys=LINEITEM_KEYS, init="random", max_iter=5)
+    assert a.centres == b.centres
