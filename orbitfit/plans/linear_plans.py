@@ -29,6 +29,13 @@ SH_S0, SH_DECAY, SH_MOMENTUM, SH_SEED = 1e-7, 0.01, 0.6, 42
 HISTORY_EPOCHS = 5
 PHI = ["x", "bias"]
 
+# Output precision, both engines: values of magnitude ~1e5-1e10 (losses,
+# sums of squares) are compared to the precision two different summation
+# orders can both deliver, small values to 6 decimals.
+LOSS_DIGITS = 3
+STATS_DIGITS = 0
+MOMENT_DIGITS = 5
+
 
 def _r(c, digits: int = 6):
     return F.round(c, digits)
@@ -41,8 +48,9 @@ def _rr(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- Spark side
 def column_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = _column_moments(table(spark, sf_dir, "lineitem"), MOMENT_COLS)
-    return m.select(F.col("column").alias("column_name"), "n", _r(F.col("mean")).alias("mean"),
-                    _r(F.col("stddev")).alias("stddev"))
+    return m.select(F.col("column").alias("column_name"), "n",
+                    _r(F.col("mean"), MOMENT_DIGITS).alias("mean"),
+                    _r(F.col("stddev"), MOMENT_DIGITS).alias("stddev"))
 
 
 def standardize(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +73,7 @@ def linear_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def normal_stats_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = normal_stats_table(_rr(spark, sf_dir), "y", PHI)
-    return t.select("i", "j", _r(F.col("value"), 2).alias("value"))
+    return t.select("i", "j", _r(F.col("value"), STATS_DIGITS).alias("value"))
 
 
 def _standardised_r(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,7 +94,7 @@ def _history_df(spark: SparkSession, rows: list[tuple], with_velocity: bool) ->
     if with_velocity:
         cols += [_r(F.col("velocity_slope")).alias("velocity_slope"),
                  _r(F.col("velocity_intercept")).alias("velocity_intercept")]
-    return df.select(*cols, _r(F.col("loss")).alias("loss"))
+    return df.select(*cols, _r(F.col("loss"), LOSS_DIGITS).alias("loss"))
 
 
 def _full_batch(method: str):
@@ -135,8 +143,8 @@ W0, W1 = dbl(W_FIXED[0]), dbl(W_FIXED[1])
 SQL: dict[str, str] = {}
 
 SQL["column_moments"] = " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, count({c}) AS n, round(avg({c}), 6) AS mean, "
-    f"round(stddev_pop({c}), 6) AS stddev FROM lineitem" for c in MOMENT_COLS)
+    f"SELECT '{c}' AS column_name, count({c}) AS n, round(avg({c}), {MOMENT_DIGITS}) AS mean, "
+    f"round(stddev_pop({c}), {MOMENT_DIGITS}) AS stddev FROM lineitem" for c in MOMENT_COLS)
 
 SQL["standardize"] = with_(
     ["m AS MATERIALIZED (SELECT " + ", ".join(
@@ -155,7 +163,7 @@ SQL["linear_gradient"] = with_(
 SQL["normal_stats"] = with_(
     [_R, "s AS (SELECT CAST(count(*) AS DOUBLE) AS n, sum(y * y) AS yy, sum(x * y) AS b0, sum(x * x) AS a00, "
          "sum(x * bias) AS a01, sum(bias * y) AS b1, sum(bias * bias) AS a11 FROM r)"],
-    " UNION ALL ".join(f"SELECT {i} AS i, {j} AS j, round({v}, 2) AS value FROM s" for i, j, v in
+    " UNION ALL ".join(f"SELECT {i} AS i, {j} AS j, round({v}, {STATS_DIGITS}) AS value FROM s" for i, j, v in
                        [(-1, -2, "n"), (-1, -1, "yy"), (0, -1, "b0"), (0, 0, "a00"), (0, 1, "a01"),
                         (1, -1, "b1"), (1, 1, "a11")]))
 
@@ -192,7 +200,7 @@ def _full_batch_sql(method: str) -> str:
     vel = ("round(h.v0, 6) AS velocity_slope, round(h.v1, 6) AS velocity_intercept, "
            if method != "gd" else "")
     body = (f"SELECT h.epoch, round(h.step, 12) AS step, round(h.w0, 6) AS slope, round(h.w1, 6) AS intercept, "
-            f"{vel}round({loss}, 6) AS loss FROM h, st WHERE h.epoch > 0")
+            f"{vel}round({loss}, {LOSS_DIGITS}) AS loss FROM h, st WHERE h.epoch > 0")
     return "WITH RECURSIVE " + ",\n".join(ctes + [rec]) + "\n" + body
 
 
@@ -262,7 +270,7 @@ def _sharded_sql(method: str, epochs: int) -> str:
             f"SELECT {e} AS epoch, round({s}, 12) AS step, round(st.w0, 6) AS slope, "
             f"round(st.w1, 6) AS intercept, {vel}"
             f"round((SELECT avg((y - (st.w0 * x + st.w1 * bias)) * (y - (st.w0 * x + st.w1 * bias))) "
-            f"FROM r), 6) AS loss FROM st{e} st")
+            f"FROM r), {LOSS_DIGITS}) AS loss FROM st{e} st")
     return with_(ctes, " UNION ALL ".join(parts))
 
 
