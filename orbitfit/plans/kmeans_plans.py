@@ -164,7 +164,8 @@ def _cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = kmeanspp_init(lat, KEYS, NAMES, 1, SEED)
     w = sq_distance([F.col(n) for n in NAMES], first[0])
     data = lat.select(*KEYS, *NAMES, w.alias("w"), hash_uniform(KEYS, SEED, 1).alias("u"))
-    return running_total(data, "w", "u", KEYS)
+    # order: u, then keys, then coordinates (a duplicated key stays ordered)
+    return running_total(data, "w", "u", [*KEYS, *NAMES])
 
 
 def kmeanspp_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,7 +177,7 @@ THRESHOLD_R = scalar_uniform(SEED, "threshold")
 
 def kmeanspp_threshold_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
     cum = _cumulative(spark, sf_dir)
-    d = threshold_draw(cum, "w", "u", KEYS, THRESHOLD_R, cols=NAMES)
+    d = threshold_draw(cum, "w", "u", [*KEYS, *NAMES], THRESHOLD_R)
     return d.select(*KEYS, *NAMES, "cum_through")
 
 
@@ -284,14 +285,14 @@ _CUM = [
     f"(SELECT *, {hash_uniform_sql(KEYS, SEED, 0)} AS u FROM lat) ORDER BY u, x, y LIMIT 1)",
     f"wt AS MATERIALIZED (SELECT p.*, {d2_sql('p', NAMES, ['k.' + ccol('x', 0), 'k.' + ccol('y', 0)])} AS w, "
     f"{hash_uniform_sql(['p.' + k for k in KEYS], SEED, 1)} AS u FROM lat p, k0 k)",
-    f"cum AS MATERIALIZED (SELECT *, coalesce(sum(w) OVER (ORDER BY u, {KEYCOLS} ROWS BETWEEN "
-    f"UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS cum_before, sum(w) OVER (ORDER BY u, {KEYCOLS} "
+    f"cum AS MATERIALIZED (SELECT *, coalesce(sum(w) OVER (ORDER BY u, {KEYCOLS}, x, y ROWS BETWEEN "
+    f"UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS cum_before, sum(w) OVER (ORDER BY u, {KEYCOLS}, x, y "
     f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_through FROM wt)",
 ]
 SQL["kmeanspp_cumulative"] = with_(_CUM, "SELECT * FROM cum")
 SQL["kmeanspp_threshold_draw"] = with_(
     _CUM, f"SELECT {KEYCOLS}, x, y, cum_through FROM cum WHERE cum_through >= {dbl(THRESHOLD_R)} * "
-          f"(SELECT sum(w) FROM wt) ORDER BY u, {KEYCOLS} LIMIT 1")
+          f"(SELECT sum(w) FROM wt) ORDER BY u, {KEYCOLS}, x, y LIMIT 1")
 
 SQL["kmeanspp_init"] = with_(
     [PTS] + kmeanspp_ctes("c0", "pts", KEYS, NAMES, K, SEED),
