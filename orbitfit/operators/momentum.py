@@ -24,11 +24,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orbitfit.functions.random import hash_uniform
-from orbitfit.operators.linear import NormalStats, normal_stats, step_size
+from orbitfit.operators.linear import normal_stats, step_size
 from orbitfit.operators.scan import averaged_state, chained_state, sorted_layout
 from orbitfit.session import materialize
 

@@ -2,7 +2,6 @@ import math
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from conftest import SF_MED, SF_SMALL
 from orbitfit.functions.random import hash_uniform, hash_uniform_sql
