@@ -35,7 +35,7 @@ from orbitfit.operators.blocks import assign_blocks, lloyd_step_blocks
 from orbitfit.operators.points import Features, project_points
 from orbitfit.operators.sampling import sample_by_hash
 from orbitfit.operators.seeding import kmeanspp_init, random_init
-from orbitfit.session import materialize
+from orbitfit.session import materialize, spread
 
 # Metric names of the timing summary, in the reference's order.
 TIMING_METRICS = (
@@ -241,14 +241,9 @@ def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] =
     """
     pts, names = project_points(df, features, keys, invalid)
     seeded = isinstance(init, str)
-    cores = df.sparkSession.sparkContext.defaultParallelism
     # Seeding passes read the keyed points; the loop reads the features only.
-    base = pts if seeded else pts.select(*names)
-    if base.rdd.getNumPartitions() < cores:
-        # Few input splits (a small file): spread the points over all cores
-        # once. Large inputs already have many splits and skip this.
-        base = base.repartition(cores)
-    base = materialize(base, cache)
+    # A small input (fewer splits than cores) is spread over the cores once.
+    base = materialize(spread(pts if seeded else pts.select(*names)), cache)
     t0 = time.perf_counter()
     if seeded:
         if not keys:

@@ -9,9 +9,10 @@ key is a seeded uniform ``u`` in (0, 1), so equal-width buckets
 3. per-bucket running sums by a window ``partitionBy(bucket).orderBy(u, keys)``,
    plus the bucket offset joined back on ``bucket``.
 
-B defaults to ``ceil(rows / ROWS_PER_BUCKET)`` (one count), so a window task
-holds about a million rows whatever the input size (and spills beyond the
-window buffer threshold). The offset table has exactly B rows; it is
+B defaults to ``max(cores, ceil(rows / ROWS_PER_BUCKET))`` (one count), so a
+window task holds at most about a million rows whatever the input size (and
+spills beyond the window buffer threshold), and small inputs still use every
+core. The offset table has exactly B rows; it is
 broadcast only while ``B <= BROADCAST_MAX_BUCKETS``, else joined by shuffle.
 """
 
@@ -43,7 +44,8 @@ def running_total(df: DataFrame, weight: str, u: str, keys: Sequence[str],
     in the order ``(u, keys...)``; ``u`` must lie in (0, 1)."""
     if buckets is None:
         n = df.count()
-        buckets = max(1, math.ceil(n / ROWS_PER_BUCKET))
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        buckets = max(cores, math.ceil(n / ROWS_PER_BUCKET))
     b = F.least(F.floor(F.col(u) * F.lit(buckets)), F.lit(buckets - 1)).cast("int")
     data = df.withColumn("_bucket", b)
     totals = data.groupBy("_bucket").agg(F.sum(weight).alias("_btotal"))

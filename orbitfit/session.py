@@ -74,3 +74,16 @@ def materialize(df: DataFrame, mode: str = "persist") -> DataFrame:
     if mode == "none":
         return df
     raise ValueError(f"unknown materialize mode {mode!r}")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin an input that has fewer splits than cores over all cores.
+
+    Small files (one parquet row group) scan in a single task; CPU-heavy
+    passes that follow (hashing, sorting) then run on one core. Inputs with
+    at least as many splits as cores, as at cluster scale, are returned as is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
