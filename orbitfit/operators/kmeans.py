@@ -164,14 +164,22 @@ class KMeansModel:
         raise ValueError("around must be 'centre' or 'mean'")
 
     def inter_cluster_distances(self, spark: SparkSession) -> DataFrame:
-        """Centre-to-centre distances for unordered pairs i < j."""
-        c = self.centres_df(spark, [f"_c{j}" for j in range(len(self.names))])
-        a, b = c.alias("a"), c.alias("b")
+        """Centre-to-centre distances for unordered pairs i < j.
+
+        No join: each of the K centre rows explodes its partner ids ``j > i``
+        and reads the partner's coordinates from literal arrays, so the plan
+        is a narrow Generate over K rows.
+        """
         dims = [f"_c{j}" for j in range(len(self.names))]
-        d2 = sq_distance([F.col(f"a.{m}") for m in dims], [F.col(f"b.{m}") for m in dims])
-        return (a.join(b, F.col("a.cluster") < F.col("b.cluster"))
-                .select(F.col("a.cluster").alias("cluster_1"), F.col("b.cluster").alias("cluster_2"),
-                        F.sqrt(d2).alias("distance")))
+        c = self.centres_df(spark, dims)
+        k = self.k
+        partner = F.explode(F.filter(F.sequence(F.lit(0), F.lit(k - 1)),
+                                     lambda j: j > F.col("cluster"))).alias("cluster_2")
+        coord = [F.element_at(F.array(*[F.lit(float(ctr[m])) for ctr in self.centres]),
+                              F.col("cluster_2") + 1) for m in range(len(dims))]
+        d2 = sq_distance([F.col(m) for m in dims], coord)
+        return (c.select("cluster", *dims, partner)
+                .select(F.col("cluster").alias("cluster_1"), "cluster_2", F.sqrt(d2).alias("distance")))
 
     def sample_assignments(self, df: DataFrame, keys: Sequence[str], n: int = 10, seed: int = 42,
                            features: Features | None = None) -> DataFrame:

@@ -73,3 +73,15 @@ def test_running_total_broadcasts_only_the_bucket_table(spark):
     assert "BroadcastHashJoin" in p
     assert "hashpartitioning(_bucket" in p
     _no_data_sized_cross(p)
+
+
+def test_centre_pairs_need_no_join(spark):
+    centres = START + [(3.0, 3.0), (40.0, 9.0)]
+    m = KMeansModel(["x", "y"], centres, centres, 0, False)
+    q = m.inter_cluster_distances(spark)
+    p = _plan(q)
+    assert "Join" not in p and "Exchange" not in p and "Generate" in p
+    _no_data_sized_cross(p)
+    rows = q.collect()
+    assert sorted((r["cluster_1"], r["cluster_2"]) for r in rows) == \
+        [(i, j) for i in range(5) for j in range(i + 1, 5)]
