@@ -21,9 +21,13 @@ an inherently sequential fold into a parallel one:
    (which may continue a shard from the previous partition), the end state
    of its last run (which may continue into the next one) and the summed
    results of the whole shards in between;
-3. the driver stitches the partition summaries in partition order (at most
-   one row per partition, like the final merge of a tree aggregate) and
-   averages the shard results. One Python stage per epoch, no shuffle.
+3. the partition summaries are merged in partition order. Merging two
+   adjacent summaries gives a summary of the same shape, so when there are
+   more than ``STITCH_FANIN`` partitions, groups of that many consecutive
+   summaries are merged on executors (one small ``applyInArrow`` level per
+   factor of ``STITCH_FANIN``) and at most ``STITCH_FANIN`` rows reach the
+   driver, which stitches them and averages the shard results. One Python
+   stage over the data per epoch, no shuffle of rows.
 
 The results equal the sequential recurrence up to floating-point rounding.
 """
@@ -33,6 +37,8 @@ from __future__ import annotations
 import sys
 from collections.abc import Sequence
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -45,6 +51,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 METHODS = ("sgd", "heavy_ball", "nesterov")
 
+# Most partition summaries the driver receives per epoch; beyond that they
+# are merged on executors first, this many consecutive ones per group.
+STITCH_FANIN = 1024
+
 
 def state_dim(method: str, d: int) -> int:
     return 2 * d if method == "heavy_ball" else d
@@ -255,13 +265,24 @@ def chained_state(layout: DataFrame, method: str, d: int, step: float, gamma: fl
                   w: Sequence[float], v: Sequence[float]) -> tuple[list[float], list[float]]:
     """One ordered pass through all shards as a single chain (shard order,
     then row order): the state is carried from shard to shard, not averaged.
-    The driver multiplies one matrix per partition, in partition order."""
+    Each partition yields the product of its row maps; groups of consecutive
+    products are multiplied on executors once there are more than
+    ``STITCH_FANIN``, and the driver multiplies the rest in order."""
     z0 = start_state(method, d, w, v)
     look = None
     if method == "nesterov":
         look = (np.asarray(w) - gamma * np.asarray(v)).tolist()
-    rows = layout.mapInArrow(make_chain_kernel(method, d, step, gamma, look), CHAIN_SCHEMA).collect()
     m = len(z0)
+
+    def merge(rows):
+        acc = None
+        for r in rows:
+            mat = np.asarray(r["mat"], dtype=np.float64).reshape(m, m)
+            acc = mat if acc is None else mat @ acc
+        return None if acc is None else (lambda part: {"part": part, "mat": acc.reshape(-1).tolist()})
+
+    mats = layout.mapInArrow(make_chain_kernel(method, d, step, gamma, look), CHAIN_SCHEMA)
+    rows = reduce_levels(mats, merge, CHAIN_SCHEMA, partition_bound(layout)).collect()
     z = z0
     for r in sorted(rows, key=lambda r: r["part"]):
         z = np.asarray(r["mat"], dtype=np.float64).reshape(m, m) @ z
@@ -282,8 +303,9 @@ def start_state(method: str, d: int, w: Sequence[float], v: Sequence[float]) ->
 def stitch(rows, method: str, d: int, z0: np.ndarray, w0: np.ndarray) -> tuple[np.ndarray, int]:
     """Combine the partition summaries in partition order: ``(sum of results, shards)``.
 
-    At most one summary per partition reaches the driver, like the final
-    merge of a tree aggregate; each boundary shard costs one small product.
+    The rows are kernel summaries, or group summaries merged by
+    ``reduce_levels`` (at most ``STITCH_FANIN``), like the final merge of a
+    tree aggregate; each boundary shard costs one small product.
     """
     m = len(z0)
     total = None
@@ -318,17 +340,130 @@ def stitch(rows, method: str, d: int, z0: np.ndarray, w0: np.ndarray) -> tuple[n
     return total, count
 
 
+def merge_summaries(rows, method: str, d: int, z0: np.ndarray, w0: np.ndarray) -> dict | None:
+    """Merge consecutive partition summaries (given in order) into one.
+
+    The result has the shape of a kernel summary: the first run as a matrix
+    (it may continue a shard from before the group), the last run as an end
+    state (it may continue after the group) or ``None`` when the whole group
+    is one run, and the summed results of the whole shards in between.
+    """
+    m = len(z0)
+    acc = None
+    for r in rows:
+        mat = np.asarray(r["first_mat"], dtype=np.float64).reshape(m, m)
+        last = (None if r["last_vec"] is None
+                else (int(r["last_shard"]), np.asarray(r["last_vec"], dtype=np.float64)))
+        mid = np.asarray(r["mid_sum"], dtype=np.float64)
+        if acc is None:
+            acc = {"first_shard": int(r["first_shard"]), "first_mat": mat, "last": last,
+                   "mid_sum": mid, "mid_count": int(r["mid_count"]), "n_runs": int(r["n_runs"])}
+            continue
+        acc["n_runs"] += int(r["n_runs"])
+        if acc["last"] is None and int(r["first_shard"]) == acc["first_shard"]:
+            # one run so far, and it goes on: it stays the group's first run
+            acc["first_mat"] = mat @ acc["first_mat"]
+            acc["n_runs"] -= 1
+        else:
+            if acc["last"] is None:
+                z = mat @ z0
+            else:
+                shard, za = acc["last"]
+                if int(r["first_shard"]) == shard:
+                    z = mat @ za
+                    acc["n_runs"] -= 1
+                else:
+                    acc["mid_sum"] = acc["mid_sum"] + _out_vector(method, d, za, w0)
+                    acc["mid_count"] += 1
+                    z = mat @ z0
+            if last is None:
+                last = (int(r["first_shard"]), z)
+            else:
+                acc["mid_sum"] = acc["mid_sum"] + _out_vector(method, d, z, w0)
+                acc["mid_count"] += 1
+        acc["mid_sum"] = acc["mid_sum"] + mid
+        acc["mid_count"] += int(r["mid_count"])
+        if last is not None:
+            acc["last"] = last
+    return acc
+
+
+def _summary_row(part: int, acc: dict) -> dict:
+    last = acc["last"]
+    return {"part": part, "n_runs": acc["n_runs"], "first_shard": acc["first_shard"],
+            "first_mat": acc["first_mat"].reshape(-1).tolist(),
+            "last_shard": None if last is None else last[0],
+            "last_vec": None if last is None else last[1].tolist(),
+            "mid_sum": acc["mid_sum"].tolist(), "mid_count": acc["mid_count"]}
+
+
+def _group_merger(merge, schema: pa.Schema, fanin: int):
+    """``applyInArrow`` function: merge one group of consecutive rows, in ``part`` order."""
+
+    def fn(table: pa.Table) -> pa.Table:
+        rows = sorted(table.to_pylist(), key=lambda r: r["part"])
+        out = merge(rows)
+        return pa.Table.from_pylist([] if out is None else [out(rows[0]["part"] // fanin)],
+                                    schema=schema)
+
+    return fn
+
+
+def partition_bound(df: DataFrame) -> int:
+    """Upper bound on the partitions of a layout built by ``sorted_layout``."""
+    conf = df.sparkSession.conf
+    n = int(conf.get("spark.sql.shuffle.partitions"))
+    initial = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    if initial:
+        n = max(n, int(initial))
+    return n
+
+
+def reduce_levels(df: DataFrame, merge, schema: str, bound: int,
+                  fanin: int | None = None) -> DataFrame:
+    """Merge ordered per-partition rows on executors until at most ``fanin`` remain.
+
+    Each level groups ``fanin`` consecutive ``part`` ids and merges them with
+    ``merge(rows) -> (new_part -> row)``; the new ``part`` is the group id, so
+    order is kept. Lazy: the levels run in the same job as ``df``.
+    """
+    fanin = fanin or STITCH_FANIN
+    arrow_schema = _arrow_schema(schema)
+    while bound > fanin:
+        df = (df.groupBy(F.expr(f"part div {int(fanin)}").alias("_grp"))
+              .applyInArrow(_group_merger(merge, arrow_schema, fanin), schema))
+        bound = math.ceil(bound / fanin)
+    return df
+
+
+_ARROW_TYPES = {"int": pa.int32(), "long": pa.int64(), "array<double>": pa.list_(pa.float64())}
+
+
+def _arrow_schema(ddl: str) -> pa.Schema:
+    fields = []
+    for item in ddl.split(","):
+        name, typ = item.strip().split(" ", 1)
+        fields.append((name, _ARROW_TYPES[typ.strip()]))
+    return pa.schema(fields)
+
+
 def averaged_state(layout: DataFrame, method: str, d: int, step: float, gamma: float,
                    w: Sequence[float], v: Sequence[float]) -> tuple[list[float], list[float]]:
     """One ordered pass over every shard; unweighted mean of the shard results.
 
-    One Python stage over the sorted layout, no shuffle; the driver receives
-    one summary row per non-empty partition.
+    One Python stage over the sorted layout, no shuffle of rows; the driver
+    receives at most ``STITCH_FANIN`` merged partition summaries.
     """
     z0 = start_state(method, d, w, v)
     w0 = np.asarray(w, dtype=np.float64)
-    rows = layout.mapInArrow(make_epoch_kernel(method, d, step, gamma, z0.tolist(), w0.tolist()),
-                             SUMMARY_SCHEMA).collect()
+    summaries = layout.mapInArrow(
+        make_epoch_kernel(method, d, step, gamma, z0.tolist(), w0.tolist()), SUMMARY_SCHEMA)
+
+    def merge(rows):
+        acc = merge_summaries(rows, method, d, z0, w0)
+        return None if acc is None else (lambda part: _summary_row(part, acc))
+
+    rows = reduce_levels(summaries, merge, SUMMARY_SCHEMA, partition_bound(layout)).collect()
     total, count = stitch(rows, method, d, z0, w0)
     if not count:
         raise ValueError("no rows to fit")

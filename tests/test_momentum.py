@@ -1,8 +1,10 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from orbitfit.operators.momentum import heavy_ball, local_sgd, nesterov
+from orbitfit.operators import scan
 from orbitfit.operators.scan import row_maps, segmented_products
 from orbitfit.sources.tables import line_dataset
 
@@ -108,10 +110,14 @@ def test_shards_with_gaps_are_ignored(spark):
     assert ra.w == pytest.approx(rb.w, rel=1e-12)
 
 
+@pytest.mark.parametrize("fanin", [None, 3])
 @pytest.mark.parametrize("method", ["sgd", "heavy_ball", "nesterov"])
-def test_mixed_shards_stitched_across_partitions(spark, method):
+def test_mixed_shards_stitched_across_partitions(spark, method, fanin, monkeypatch):
     """Shards of 1..40 rows plus one hot shard with a third of all rows, over
-    many range partitions: equals the per-shard sequential recurrence."""
+    many range partitions: equals the per-shard sequential recurrence. With
+    fan-in 3 the 13 partition summaries are merged on executors in two levels."""
+    if fanin:
+        monkeypatch.setattr(scan, "STITCH_FANIN", fanin)
     rng = np.random.default_rng(1)
     sizes = [int(s) for s in rng.integers(1, 40, size=30)]
     sizes.insert(11, sum(sizes) // 2)  # hot shard: a third of the rows
@@ -151,10 +157,13 @@ def test_mixed_shards_stitched_across_partitions(spark, method):
         assert r.v == pytest.approx(list(v), rel=1e-9, abs=1e-12)
 
 
-def test_sequential_sgd_chains_shards_in_order(spark):
+@pytest.mark.parametrize("fanin", [None, 2])
+def test_sequential_sgd_chains_shards_in_order(spark, fanin, monkeypatch):
     """combine='sequential' equals one driver loop over shards in order and
     rows in their seeded per-epoch permutation (the reference's plain SGD)."""
     from orbitfit.operators.prefix import scalar_uniform
+    if fanin:
+        monkeypatch.setattr(scan, "STITCH_FANIN", fanin)
     line = line_dataset(spark, n=300, shards=3)
     r = local_sgd(line, "y", ["x", "bias"], "shard", ["seq"], 3, 1e-7, 0.01, seed=42,
                   permute="epoch", combine="sequential")
@@ -165,3 +174,34 @@ def test_sequential_sgd_chains_shards_in_order(spark):
             rows = [(2 * i + 3.0, [2 * i + 1.0, 1.0]) for i in ids]
             w, _ = _sequential("sgd", rows, w, [0, 0], 1e-7 / (1 + 0.01 * e), 0.0)
     assert r.w == pytest.approx(list(w), rel=1e-10)
+
+
+@pytest.mark.parametrize("method", ["sgd", "heavy_ball", "nesterov"])
+def test_merged_summaries_stitch_to_the_same_result(method):
+    """Merging any split of consecutive kernel summaries, then stitching,
+    equals stitching the kernel summaries directly."""
+    rng = np.random.default_rng(3)
+    d = 2
+    m = scan.state_dim(method, d) + 1
+    z0 = np.r_[rng.normal(size=m - 1), 1.0]
+    w0 = rng.normal(size=d)
+    shards = np.repeat(np.arange(9), rng.integers(1, 12, size=9))
+    y = rng.normal(size=len(shards))
+    P = np.column_stack([rng.normal(size=len(shards)), np.ones(len(shards))])
+    cuts = sorted(rng.choice(np.arange(1, len(shards)), size=10, replace=False))
+    kernel = scan.make_epoch_kernel(method, d, 0.01, 0.5, z0.tolist(), w0.tolist())
+    summaries = []
+    for part, (lo, hi) in enumerate(zip([0, *cuts], [*cuts, len(shards)])):
+        b = pa.RecordBatch.from_pydict({"shard": shards[lo:hi], "y": y[lo:hi], "p0": P[lo:hi, 0],
+                                        "p1": P[lo:hi, 1]})
+        summaries += [dict(r, part=part) for out in kernel(iter([b])) for r in out.to_pylist()]
+    direct = scan.stitch(summaries, method, d, z0, w0)
+    for split in ([3, 7], [1, 2, 3, 4], [5]):
+        groups, lo = [], 0
+        for hi in [*split, len(summaries)]:
+            acc = scan.merge_summaries(summaries[lo:hi], method, d, z0, w0)
+            groups.append(scan._summary_row(len(groups), acc))
+            lo = hi
+        total, count = scan.stitch(groups, method, d, z0, w0)
+        assert count == direct[1] == 9
+        assert total == pytest.approx(direct[0], rel=1e-12, abs=1e-12)
