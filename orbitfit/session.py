@@ -51,6 +51,8 @@ def shared_dir(spark: SparkSession) -> str:
         current = None
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
+        if current:
+            sc.setCheckpointDir(current)
     if not current:
         if not str(sc.master).startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir (a shared folder) for this cluster session")
