@@ -1,32 +1,46 @@
 """Running totals in a seeded random order (W1) and the threshold draw (P10).
 
-A global ``sum(..) OVER (ORDER BY ..)`` runs in a single task. Here the order
-key is a seeded uniform ``u`` in (0, 1), so equal-width buckets
-``floor(u * B)`` are balanced by construction whatever the data:
-
-1. ``groupBy(bucket)`` totals: B rows;
-2. bucket offsets by a window over those B rows;
-3. per-bucket running sums by a window ``partitionBy(bucket).orderBy(u, keys)``,
-   plus the bucket offset joined back on ``bucket``.
-
-B defaults to ``max(cores, ceil(rows / ROWS_PER_BUCKET))`` (one count), so a
-window task holds at most about a million rows whatever the input size (and
-spills beyond the window buffer threshold), and small inputs still use every
-core. The offset table has exactly B rows; it is
-broadcast only while ``B <= BROADCAST_MAX_BUCKETS``, else joined by shuffle.
+A global ``sum(..) OVER (ORDER BY ..)`` runs in a single task. Here the rows
+are range-partitioned on the whole order key ``(u, keys..., _tie)`` into B
+partitions and sorted inside each, so every partition is a contiguous slice
+of the global order:
+
+1. per-partition totals: one aggregate, B rows;
+2. partition offsets: an exclusive running sum over those B rows;
+3. per-partition running sums: a ``mapInArrow`` cumulative sum over the
+   sorted batches, plus the partition's offset joined back on ``_part``.
+
+``_tie`` (a row id) only separates exact copies: rows equal on ``(u, keys)``
+are interchangeable, so their relative order does not change the result,
+but with the id in the key the range bounds can cut a group of copies that
+holds a third of all rows into many partitions. The order key ``u`` is a
+seeded uniform, so distinct keys spread evenly anyway.
+
+B defaults to ``max(cores, ceil(rows / ROWS_PER_BUCKET))`` (one count). The
+partition count is explicit, so adaptive execution never coalesces these
+partitions and both reads of the one range shuffle see the same partition
+ids. The offset table has exactly B rows; it is broadcast only while
+``B <= BROADCAST_MAX_BUCKETS``, else joined by shuffle.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+import sys
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orbitfit.functions.random import TWO_52
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def scalar_uniform(*salt: int | str) -> float:
     """The seeded uniform of a key-less draw, same formula as ``hash_uniform``."""
@@ -38,29 +52,65 @@ ROWS_PER_BUCKET = 1_000_000
 BROADCAST_MAX_BUCKETS = 2_000_000
 
 
+def _local_sums_kernel(weight: str):
+    """``mapInArrow`` function: running sums of ``weight`` inside the (sorted)
+    partition, added left to right, plus the partition id. NULL adds 0."""
+
+    def kernel(batches):
+        import pyarrow.compute as pc
+        from pyspark import TaskContext
+        ctx = TaskContext.get()
+        part = ctx.partitionId() if ctx is not None else 0
+        carry = 0.0
+        for b in batches:
+            n = b.num_rows
+            if n == 0:
+                continue
+            w = pc.fill_null(b.column(weight).cast(pa.float64()), 0.0).to_numpy(zero_copy_only=False)
+            through = np.cumsum(np.concatenate(([carry], w)))
+            before, through = through[:-1], through[1:]
+            carry = float(through[-1])
+            yield pa.RecordBatch.from_arrays(
+                list(b.columns) + [pa.array(np.full(n, part, dtype=np.int32)),
+                                   pa.array(before), pa.array(through)],
+                names=list(b.schema.names) + ["_part", "_lb", "_lt"])
+
+    return kernel
+
+
+def ordered_layout(df: DataFrame, u: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Rows range-partitioned on ``(u, keys..., _tie)`` into ``buckets``
+    partitions and sorted inside each: partition i holds the i-th slice of
+    the global order. Adds ``_tie``, a row id that splits groups of copies."""
+    order = [F.col(u), *[F.col(k) for k in keys], F.col("_tie")]
+    return (df.withColumn("_tie", F.monotonically_increasing_id())
+            .repartitionByRange(buckets, *order).sortWithinPartitions(*order))
+
+
 def running_total(df: DataFrame, weight: str, u: str, keys: Sequence[str],
                   buckets: int | None = None) -> DataFrame:
     """Adds ``cum_before`` (exclusive) and ``cum_through`` (inclusive) of ``weight``
-    in the order ``(u, keys...)``; ``u`` must lie in (0, 1)."""
+    in the order ``(u, keys...)``; rows equal on all of them are copies."""
+    spark = df.sparkSession
     if buckets is None:
         n = df.count()
-        cores = df.sparkSession.sparkContext.defaultParallelism
+        cores = spark.sparkContext.defaultParallelism
         buckets = max(cores, math.ceil(n / ROWS_PER_BUCKET))
-    b = F.least(F.floor(F.col(u) * F.lit(buckets)), F.lit(buckets - 1)).cast("int")
-    data = df.withColumn("_bucket", b)
-    totals = data.groupBy("_bucket").agg(F.sum(weight).alias("_btotal"))
+    lay = ordered_layout(df, u, keys, buckets)
+    out_schema = T.StructType(list(lay.schema.fields) + [
+        T.StructField("_part", T.IntegerType(), True),
+        T.StructField("_lb", T.DoubleType(), True),
+        T.StructField("_lt", T.DoubleType(), True)])
+    local = lay.mapInArrow(_local_sums_kernel(weight), out_schema)
+    totals = (lay.select(F.spark_partition_id().alias("_part"), F.col(weight))
+              .groupBy("_part").agg(F.sum(weight).alias("_ptotal")))
     offsets = totals.select(
-        "_bucket",
-        F.coalesce(F.sum("_btotal").over(
-            Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)
+        "_part",
+        F.coalesce(F.sum("_ptotal").over(
+            Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)
         ).cast("double").alias("_offset"))
-    w = Window.partitionBy("_bucket").orderBy(F.col(u), *[F.col(k) for k in keys])
-    local_through = F.sum(weight).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local_before = F.coalesce(
-        F.sum(weight).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
     return (
-        data.withColumn("_lt", local_through).withColumn("_lb", local_before)
-        .join(F.broadcast(offsets) if buckets <= BROADCAST_MAX_BUCKETS else offsets, "_bucket")
+        local.join(F.broadcast(offsets) if buckets <= BROADCAST_MAX_BUCKETS else offsets, "_part")
         .select(*df.columns,
                 (F.col("_offset") + F.col("_lb")).alias("cum_before"),
                 (F.col("_offset") + F.col("_lt")).alias("cum_through"))

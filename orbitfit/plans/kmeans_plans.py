@@ -18,6 +18,7 @@ from orbitfit.operators.points import project_points
 from orbitfit.operators.prefix import running_total, scalar_uniform, threshold_draw
 from orbitfit.operators.sampling import sample_by_hash
 from orbitfit.operators.seeding import kmeanspp_init, min_sq_distance
+from orbitfit.session import spread
 from orbitfit.plans.sqlgen import (
     centres_long, ccol, converged_ctes, d2_sql, dbl, kmeanspp_ctes, literal_centres_cte,
     lloyd_ctes, nearest_sql, random_init_ctes, wide_to_long, with_,
@@ -160,7 +161,7 @@ def _lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lat = _lattice(spark, sf_dir)
+    lat = spread(_lattice(spark, sf_dir))
     first = kmeanspp_init(lat, KEYS, NAMES, 1, SEED)
     w = sq_distance([F.col(n) for n in NAMES], first[0])
     data = lat.select(*KEYS, *NAMES, w.alias("w"), hash_uniform(KEYS, SEED, 1).alias("u"))

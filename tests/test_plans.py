@@ -66,12 +66,16 @@ def test_sharded_epoch_range_layout_and_no_hash_shuffle(spark):
     assert "ReadSchema: struct<p_partkey:bigint,p_retailprice:double>" in p
 
 
-def test_running_total_broadcasts_only_the_bucket_table(spark):
+def test_running_total_one_range_shuffle_broadcasts_only_offsets(spark):
     pts = lineitem_points(spark, SF_SMALL)
     data = pts.select(*LINEITEM_KEYS, F.col("x").alias("w"), hash_uniform(LINEITEM_KEYS, 1).alias("u"))
-    p = _plan(running_total(data, "w", "u", LINEITEM_KEYS, buckets=4))
+    q = running_total(data, "w", "u", LINEITEM_KEYS, buckets=4)
+    q.collect()
+    p = _plan(q)
     assert "BroadcastHashJoin" in p
-    assert "hashpartitioning(_bucket" in p
+    # one range shuffle of the rows, read twice (totals and running sums)
+    assert "rangepartitioning(u" in p and "ReusedExchange" in p
+    assert "hashpartitioning(_part" in p and "MapInArrow" in p
     _no_data_sized_cross(p)
 
 
