@@ -236,7 +236,8 @@ class KMeansModel:
 def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] = (),
                init: str | Sequence[Sequence[float]] = "random", tol: float = 0.1,
                max_iter: int = 100, seed: int = 42, invalid: str = "error",
-               cache: str = "persist", method: str = "auto") -> KMeansModel:
+               cache: str = "persist", method: str = "auto",
+               spread_input: bool = False) -> KMeansModel:
     """Fit K centres by Lloyd iterations.
 
     ``init``: ``"random"`` (seeded K-point sample; needs ``keys``),
@@ -245,13 +246,16 @@ def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] =
     hashed from them). ``method``: ``"expr"`` (literal-centre column
     expressions, whole-stage codegen), ``"blocks"`` (NumPy distance blocks in
     ``mapInArrow``) or ``"auto"`` (blocks once ``K * d`` exceeds
-    ``BLOCKS_ABOVE``).
+    ``BLOCKS_ABOVE``). ``spread_input``: round-robin a file scan with fewer
+    splits than cores over all cores before caching (see ``session.spread``).
     """
     pts, names = project_points(df, features, keys, invalid)
     seeded = isinstance(init, str)
     # Seeding passes read the keyed points; the loop reads the features only.
-    # A small input (fewer splits than cores) is spread over the cores once.
-    base = materialize(spread(pts if seeded else pts.select(*names)), cache)
+    # An under-split file scan (fewer splits than cores) may be spread over
+    # the cores once, on request.
+    keep = pts if seeded else pts.select(*names)
+    base = materialize(spread(keep) if spread_input else keep, cache)
     t0 = time.perf_counter()
     if seeded:
         if not keys:

@@ -58,7 +58,7 @@ def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _fit(spark: SparkSession, sf_dir: str, init: str = "random") -> KMeansModel:
     return kmeans_fit(_points(spark, sf_dir), NAMES, K, keys=KEYS, init=init, tol=TOL,
-                      max_iter=MAX_ITER, seed=SEED)
+                      max_iter=MAX_ITER, seed=SEED, spread_input=True)
 
 
 def _centres_table(spark: SparkSession, model: KMeansModel, with_iterations: bool = False
@@ -82,7 +82,8 @@ def kmeans_assign_step(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kmeans_lloyd_3iter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = kmeans_fit(_points(spark, sf_dir), NAMES, K, keys=KEYS, init=START, tol=-1.0, max_iter=3)
+    m = kmeans_fit(_points(spark, sf_dir), NAMES, K, keys=KEYS, init=START, tol=-1.0, max_iter=3,
+                   spread_input=True)
     return _centres_table(spark, m)
 
 
@@ -197,7 +198,7 @@ def kmeanspp_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kmeans_embeddings_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     emb = table(spark, sf_dir, "embeddings")
     m = kmeans_fit(emb, "embedding", EMB_K, keys=["vec_id"], init="random", tol=-1.0,
-                   max_iter=EMB_ITERS, seed=SEED)
+                   max_iter=EMB_ITERS, seed=SEED, spread_input=True)
     rows = [(i, j, float(v)) for i, c in enumerate(m.centres) for j, v in enumerate(c)]
     schema = T.StructType([T.StructField("cluster", T.IntegerType(), False),
                            T.StructField("dim", T.IntegerType(), False),

@@ -84,6 +84,10 @@ def spread(df: DataFrame) -> DataFrame:
     Small files (one parquet row group) scan in a single task; CPU-heavy
     passes that follow (hashing, sorting) then run on one core. Inputs with
     at least as many splits as cores, as at cluster scale, are returned as is.
+
+    Meant for plain file scans: counting the partitions of a DataFrame that
+    contains a shuffle would run that shuffle (adaptive execution plans it
+    stage by stage), so callers opt in where the input is a scan.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
