@@ -5,7 +5,7 @@ are range-partitioned on the whole order key ``(u, keys..., _tie)`` into B
 partitions and sorted inside each, so every partition is a contiguous slice
 of the global order:
 
-1. per-partition totals: one aggregate, B rows;
+1. per-partition totals, added left to right like the running sums: B rows;
 2. partition offsets: an exclusive running sum over those B rows;
 3. per-partition running sums: a ``mapInArrow`` cumulative sum over the
    sorted batches, plus the partition's offset joined back on ``_part``.
@@ -87,6 +87,29 @@ def ordered_layout(df: DataFrame, u: str, keys: Sequence[str], buckets: int) ->
             .repartitionByRange(buckets, *order).sortWithinPartitions(*order))
 
 
+def _partition_total_kernel(weight: str):
+    """``mapInArrow`` function: ``(partition id, total of weight)``, one row."""
+
+    def kernel(batches):
+        import pyarrow.compute as pc
+        from pyspark import TaskContext
+        ctx = TaskContext.get()
+        part = ctx.partitionId() if ctx is not None else 0
+        carry, seen = 0.0, False
+        for b in batches:
+            if b.num_rows == 0:
+                continue
+            w = pc.fill_null(b.column(weight).cast(pa.float64()), 0.0).to_numpy(zero_copy_only=False)
+            carry = float(np.cumsum(np.concatenate(([carry], w)))[-1])
+            seen = True
+        if seen:
+            yield pa.RecordBatch.from_pylist([{"_part": part, "_ptotal": carry}],
+                                             schema=pa.schema([("_part", pa.int32()),
+                                                               ("_ptotal", pa.float64())]))
+
+    return kernel
+
+
 def running_total(df: DataFrame, weight: str, u: str, keys: Sequence[str],
                   buckets: int | None = None) -> DataFrame:
     """Adds ``cum_before`` (exclusive) and ``cum_through`` (inclusive) of ``weight``
@@ -102,8 +125,9 @@ def running_total(df: DataFrame, weight: str, u: str, keys: Sequence[str],
         T.StructField("_lb", T.DoubleType(), True),
         T.StructField("_lt", T.DoubleType(), True)])
     local = lay.mapInArrow(_local_sums_kernel(weight), out_schema)
-    totals = (lay.select(F.spark_partition_id().alias("_part"), F.col(weight))
-              .groupBy("_part").agg(F.sum(weight).alias("_ptotal")))
+    # Both branches consume whole rows of ``lay``, so no column is pruned
+    # below the range exchange and the second branch reuses the first's shuffle.
+    totals = lay.mapInArrow(_partition_total_kernel(weight), "_part int, _ptotal double")
     offsets = totals.select(
         "_part",
         F.coalesce(F.sum("_ptotal").over(

@@ -22,7 +22,7 @@ from orbitfit.operators.linear import normal_stats_table  # noqa: E402
 from orbitfit.operators.points import project_points  # noqa: E402
 from orbitfit.operators.prefix import running_total  # noqa: E402
 from orbitfit.operators.sampling import sample_by_hash  # noqa: E402
-from orbitfit.operators.scan import SUMMARY_SCHEMA, make_epoch_kernel, sorted_layout  # noqa: E402
+from orbitfit.operators.scan import SUMMARY_SCHEMA, make_epoch_kernel, reduce_levels, sorted_layout  # noqa: E402
 from orbitfit.operators.seeding import min_sq_distance  # noqa: E402
 from orbitfit.session import get_session  # noqa: E402
 from orbitfit.sources.tables import LINEITEM_KEYS, lineitem_points, part_regression, table  # noqa: E402
@@ -70,16 +70,21 @@ def main() -> None:
     model = KMeansModel(["x", "y"], START, START, 0, False)
     sections.append(("Cluster statistics around the mean (one aggregate)",
                      model.cluster_stats(pts, around="mean")))
-    sections.append(("Centre-to-centre distances (theta self-join of K rows)",
+    sections.append(("Centre-to-centre distances (partner ids exploded over K rows, no join)",
                      model.inter_cluster_distances(spark)))
     r = part_regression(spark, sf)
     lay = sorted_layout(r, "shard", ["seq"], "y", ["x", "bias"])
     sections.append(("Sharded heavy-ball epoch (range layout + affine scan kernel)",
                      lay.mapInArrow(make_epoch_kernel("heavy_ball", 2, 1e-7, 0.6, [0, 0, 0, 0, 1], [0, 0]),
                                     SUMMARY_SCHEMA)))
+    sections.append(("Summary merge levels (fan-in 3 over 13 range partitions; 1024 by default)",
+                     reduce_levels(sorted_layout(r, "shard", ["seq"], "y", ["x", "bias"])
+                                   .mapInArrow(make_epoch_kernel("heavy_ball", 2, 1e-7, 0.6,
+                                                                 [0, 0, 0, 0, 1], [0, 0]), SUMMARY_SCHEMA),
+                                   lambda rows: None, SUMMARY_SCHEMA, 13, fanin=3)))
     sections.append(("Sufficient statistics (one aggregate)", normal_stats_table(r, "y", ["x", "bias"])))
     data = pts.select(*LINEITEM_KEYS, "x", "y", F.col("x").alias("w"), hash_uniform(LINEITEM_KEYS, 42, 1).alias("u"))
-    sections.append(("Bucketed running total", running_total(data, "w", "u", LINEITEM_KEYS)))
+    sections.append(("Running total (one range shuffle, reused; Arrow prefix sums)", running_total(data, "w", "u", LINEITEM_KEYS)))
     with open(out, "w") as fh:
         fh.write("# Physical plans of the core jobs\n\n")
         fh.write(f"Generated by `tools/show_plans.py` on `{sf}` (local[8]); each job was executed "
