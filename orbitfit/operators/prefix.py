@@ -78,12 +78,21 @@ def _local_sums_kernel(weight: str):
     return kernel
 
 
-def ordered_layout(df: DataFrame, u: str, keys: Sequence[str], buckets: int) -> DataFrame:
+def ordered_layout(df: DataFrame, u: str, keys: Sequence[str], buckets: int,
+                   tie: str | None = None) -> DataFrame:
     """Rows range-partitioned on ``(u, keys..., _tie)`` into ``buckets``
     partitions and sorted inside each: partition i holds the i-th slice of
-    the global order. Adds ``_tie``, a row id that splits groups of copies."""
+    the global order.
+
+    ``_tie`` splits groups of copies: the column ``tie`` (a unique row id) or,
+    when not given, ``monotonically_increasing_id()`` taken here. A position
+    id is only reproducible on a task retry if the rows arrive in a fixed
+    order (a file scan does; a shuffle read does not), so for an input that
+    went through a shuffle, take the id at the scan and pass it as ``tie``.
+    """
+    tie_col = F.col(tie) if tie else F.monotonically_increasing_id()
     order = [F.col(u), *[F.col(k) for k in keys], F.col("_tie")]
-    return (df.withColumn("_tie", F.monotonically_increasing_id())
+    return (df.withColumn("_tie", tie_col)
             .repartitionByRange(buckets, *order).sortWithinPartitions(*order))
 
 
@@ -111,15 +120,16 @@ def _partition_total_kernel(weight: str):
 
 
 def running_total(df: DataFrame, weight: str, u: str, keys: Sequence[str],
-                  buckets: int | None = None) -> DataFrame:
+                  buckets: int | None = None, tie: str | None = None) -> DataFrame:
     """Adds ``cum_before`` (exclusive) and ``cum_through`` (inclusive) of ``weight``
-    in the order ``(u, keys...)``; rows equal on all of them are copies."""
+    in the order ``(u, keys...)``; rows equal on all of them are copies.
+    ``tie``: optional unique row id separating copies (see ``ordered_layout``)."""
     spark = df.sparkSession
     if buckets is None:
         n = df.count()
         cores = spark.sparkContext.defaultParallelism
         buckets = max(cores, math.ceil(n / ROWS_PER_BUCKET))
-    lay = ordered_layout(df, u, keys, buckets)
+    lay = ordered_layout(df, u, keys, buckets, tie)
     out_schema = T.StructType(list(lay.schema.fields) + [
         T.StructField("_part", T.IntegerType(), True),
         T.StructField("_lb", T.DoubleType(), True),
@@ -135,7 +145,7 @@ def running_total(df: DataFrame, weight: str, u: str, keys: Sequence[str],
         ).cast("double").alias("_offset"))
     return (
         local.join(F.broadcast(offsets) if buckets <= BROADCAST_MAX_BUCKETS else offsets, "_part")
-        .select(*df.columns,
+        .select(*[c for c in df.columns if c != tie],
                 (F.col("_offset") + F.col("_lb")).alias("cum_before"),
                 (F.col("_offset") + F.col("_lt")).alias("cum_through"))
     )

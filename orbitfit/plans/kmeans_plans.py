@@ -162,12 +162,14 @@ def _lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lat = spread(_lattice(spark, sf_dir))
+    # The row id that separates copies is taken at the scan, where rows come
+    # in a fixed order, before the under-split input is spread over the cores.
+    lat = spread(_lattice(spark, sf_dir).withColumn("_rid", F.monotonically_increasing_id()))
     first = kmeanspp_init(lat, KEYS, NAMES, 1, SEED)
     w = sq_distance([F.col(n) for n in NAMES], first[0])
-    data = lat.select(*KEYS, *NAMES, w.alias("w"), hash_uniform(KEYS, SEED, 1).alias("u"))
+    data = lat.select(*KEYS, *NAMES, w.alias("w"), hash_uniform(KEYS, SEED, 1).alias("u"), "_rid")
     # order: u, then keys, then coordinates (a duplicated key stays ordered)
-    return running_total(data, "w", "u", [*KEYS, *NAMES])
+    return running_total(data, "w", "u", [*KEYS, *NAMES], tie="_rid")
 
 
 def kmeanspp_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:

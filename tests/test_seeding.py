@@ -62,7 +62,8 @@ def test_running_total_matches_brute_force(spark):
             break
 
 
-def test_running_total_splits_a_group_of_copies(spark):
+@pytest.mark.parametrize("tie", [None, "rid"])
+def test_running_total_splits_a_group_of_copies(spark, tie):
     """One key copied so often that it holds a third of all rows: the copies
     are cut over several partitions, and the totals equal a row-by-row pass
     (copies are interchangeable, so compare per key the multiset of sums)."""
@@ -71,11 +72,13 @@ def test_running_total_splits_a_group_of_copies(spark):
     base = spark.range(600).select(F.col("id").alias("k"), (F.col("id") % 5 + 1).cast("double").alias("w"))
     hot = spark.range(300).select(F.lit(7).cast("long").alias("k"), F.lit(3.0).alias("w"))
     data = base.where("k != 7").unionByName(hot).withColumn("u", hash_uniform(["k"], 2))
-    sizes = Counter(r["p"] for r in ordered_layout(data, "u", ["k"], 6)
+    if tie:
+        data = data.withColumn(tie, F.monotonically_increasing_id())
+    sizes = Counter(r["p"] for r in ordered_layout(data, "u", ["k"], 6, tie)
                     .select(F.spark_partition_id().alias("p")).collect())
     assert len(sizes) == 6 and max(sizes.values()) < 300 * 0.75
     got = Counter((r["k"], r["cum_before"], r["cum_through"])
-                  for r in running_total(data, "w", "u", ["k"], buckets=6).collect())
+                  for r in running_total(data, "w", "u", ["k"], buckets=6, tie=tie).collect())
     acc, exp = 0.0, Counter()
     for _, k, w in sorted((r["u"], r["k"], r["w"]) for r in data.collect()):
         exp[(k, acc, acc + w)] += 1
