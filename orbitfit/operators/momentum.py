@@ -14,7 +14,8 @@ statistics collected once up front (no extra pass per epoch).
   in the sequential recurrence.
 * ``local_sgd``: rows visited in a seeded permutation per shard; with
   ``permute="epoch"`` (reference behaviour) a fresh permutation each epoch
-  (one range shuffle per epoch), ``"once"`` a single permutation, ``"none"``
+  (one range shuffle per epoch, from a persisted projection of the used
+  columns), ``"once"`` a single permutation, ``"none"``
   stored order. One shard reproduces row-by-row SGD.
 """
 
@@ -139,9 +140,19 @@ def local_sgd(df: DataFrame, y: str, phi: Sequence[str], shard: str, order: Sequ
     if permute != "epoch":
         raise ValueError("permute must be 'epoch', 'once' or 'none'")
 
+    # The used columns are projected and persisted once, so each epoch's
+    # fresh permutation (range sampling + shuffle) reads that copy instead
+    # of scanning the source twice.
+    cols = list(dict.fromkeys([shard, *order, y, *phi]))
+    base = materialize(df.select(*cols), cache)
+
     def reorder(e: int) -> DataFrame:
-        keyed = df.withColumn("_perm", permutation_key(order, seed, e))
+        keyed = base.withColumn("_perm", permutation_key(order, seed, e))
         return sorted_layout(keyed, shard, ["_perm", *order], y, phi)
 
-    return _run("sgd", df, y, phi, shard, order, epochs, s0, decay, 0.0, w0, cache, reorder,
-                combine=combine)
+    try:
+        return _run("sgd", base, y, phi, shard, order, epochs, s0, decay, 0.0, w0, cache, reorder,
+                    combine=combine)
+    finally:
+        if cache == "persist":
+            base.unpersist()
