@@ -11,6 +11,16 @@ is combined per task first, so only one row per task crosses the network.
 
 Rows with weight 0 (points equal to a chosen centre) are excluded, so a
 centre is never chosen twice.
+
+For small K each round recomputes the distance to every chosen centre from
+the cached points (r terms in round r; cheaper than caching a new copy).
+Above ``INCREMENTAL_ABOVE`` centres the squared distance to the nearest
+chosen centre is kept as a persisted column ``_md`` and each round adds only
+the distance to the newest centre, ``least(_md, d2_new)``; the draw job
+materialises the new copy and the previous one is released. Every
+``REBUILD_EVERY`` rounds ``_md`` is rebuilt from the points, so plans and
+recomputation chains stay short. ``least`` is exact, so both ways draw the
+same centres.
 """
 
 from __future__ import annotations
@@ -23,6 +33,10 @@ from pyspark.sql import functions as F
 from orbitfit.functions.random import hash_uniform
 from orbitfit.functions.vector import sq_distance
 from orbitfit.operators.sampling import sample_by_hash
+from orbitfit.session import materialize
+
+INCREMENTAL_ABOVE = 16
+REBUILD_EVERY = 32
 
 
 def random_init(points: DataFrame, keys: Sequence[str], names: Sequence[str], k: int,
@@ -57,12 +71,14 @@ def weighted_draw(df: DataFrame, weight: "F.Column", keys: Sequence[str], names:
 
 
 def kmeanspp_init(points: DataFrame, keys: Sequence[str], names: Sequence[str], k: int,
-                  seed: int = 42) -> list[tuple[float, ...]]:
+                  seed: int = 42, incremental: bool | None = None) -> list[tuple[float, ...]]:
     """K centres by distance-squared seeding, repeatable from ``seed``.
 
     Round 0 takes the point with the smallest uniform ``hash_uniform(keys,
     seed, 0)``; round r draws with weights ``min_d2`` and uniforms salted
     with r. Each round is one aggregate job returning one row.
+    ``incremental``: keep ``min_d2`` as a persisted column (default: when
+    ``k > INCREMENTAL_ABOVE``).
     """
     if k <= 0:
         raise ValueError("k must be positive")
@@ -73,10 +89,30 @@ def kmeanspp_init(points: DataFrame, keys: Sequence[str], names: Sequence[str],
     if first is None:
         raise ValueError("no points to seed from")
     centres = [tuple(float(first[n]) for n in names)]
-    for r in range(1, k):
-        nxt = weighted_draw(pts, min_sq_distance(xs, centres), keys, names, seed, r)
-        if nxt is None:
-            raise ValueError(
-                f"only {len(centres)} distinct points; cannot seed K={k} centres")
-        centres.append(nxt)
+    if incremental is None:
+        incremental = k > INCREMENTAL_ABOVE
+    cur = None
+    try:
+        for r in range(1, k):
+            if not incremental:
+                nxt = weighted_draw(pts, min_sq_distance(xs, centres), keys, names, seed, r)
+            else:
+                if cur is None or (r - 1) % REBUILD_EVERY == 0:
+                    md = min_sq_distance(xs, centres).alias("_md")
+                    src = pts
+                else:
+                    md = F.least(F.col("_md"), sq_distance(xs, centres[-1])).alias("_md")
+                    src = cur
+                new = materialize(src.select(*keys, *names, md))
+                nxt = weighted_draw(new, F.col("_md"), keys, names, seed, r)
+                if cur is not None:
+                    cur.unpersist()
+                cur = new
+            if nxt is None:
+                raise ValueError(
+                    f"only {len(centres)} distinct points; cannot seed K={k} centres")
+            centres.append(nxt)
+    finally:
+        if cur is not None:
+            cur.unpersist()
     return centres

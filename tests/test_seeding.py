@@ -84,3 +84,15 @@ def test_running_total_splits_a_group_of_copies(spark, tie):
         exp[(k, acc, acc + w)] += 1
         acc += w
     assert got == exp
+
+
+def test_incremental_seeding_draws_the_same_centres(spark, monkeypatch):
+    """The persisted running-minimum path (with a rebuild every 3 rounds)
+    draws exactly the centres of the recompute-all path."""
+    from orbitfit.operators import seeding
+    from orbitfit.sources.tables import LINEITEM_KEYS, lineitem_points
+    monkeypatch.setattr(seeding, "REBUILD_EVERY", 3)
+    pts = lineitem_points(spark, SF_SMALL)
+    a = kmeanspp_init(pts, LINEITEM_KEYS, ["x", "y"], 9, seed=7, incremental=False)
+    b = kmeanspp_init(pts, LINEITEM_KEYS, ["x", "y"], 9, seed=7, incremental=True)
+    assert a == b and len(set(a)) == 9
