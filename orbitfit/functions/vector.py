@@ -34,19 +34,32 @@ def feature_columns(df: DataFrame, cols: str | Sequence[str], dim: int | None =
     """Feature expressions as doubles.
 
     ``cols`` is a list of numeric column names, or the name of one array
-    column (e.g. an embedding); for an array ``dim`` is its length, read
-    from one row when not given.
+    column (e.g. an embedding) or ML vector column (dense or sparse, as a
+    ``VectorAssembler`` writes it; read with ``vector_to_array``); for an
+    array or vector ``dim`` is its length, read from one row when not given.
     """
     if isinstance(cols, str):
+        arr = F.col(cols)
+        if _is_ml_vector(df.schema[cols].dataType):
+            from pyspark.ml.functions import vector_to_array
+            arr = vector_to_array(arr, "float64")
         if dim is None:
-            row = df.select(F.size(cols).alias("n")).where(F.col(cols).isNotNull()).head(1)
+            row = df.select(F.size(arr).alias("n")).where(F.col(cols).isNotNull()).head(1)
             if not row:
                 raise ValueError(f"cannot infer the length of empty array column {cols!r}")
             dim = int(row[0]["n"])
-        return [F.col(cols).getItem(j).cast("double") for j in range(dim)]
+        return [arr.getItem(j).cast("double") for j in range(dim)]
     return [F.col(c).cast("double") for c in cols]
 
 
+def _is_ml_vector(dt) -> bool:
+    try:
+        from pyspark.ml.linalg import VectorUDT
+    except ImportError:  # pragma: no cover - ML not installed
+        return False
+    return isinstance(dt, VectorUDT)
+
+
 def check_valid(xs: Sequence[Column], invalid: str = "error") -> tuple[list[Column], Column | None]:
     """NULL / NaN policy applied before any assignment.
 

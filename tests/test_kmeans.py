@@ -166,3 +166,23 @@ def test_checkpoint_mode_uses_shared_folder(spark):
     a = kmeans_fit(df, ["x", "y"], 5, keys=LINEITEM_KEYS, init="random", max_iter=5, cache="checkpoint")
     b = kmeans_fit(df, ["x", "y"], 5, keys=LINEITEM_KEYS, init="random", max_iter=5)
     assert a.centres == b.centres
+
+
+def test_ml_vector_features_dense_and_sparse(spark):
+    """An ML vector column (dense or sparse rows mixed) gives the same points
+    and the same fit as the plain columns (P3, P4)."""
+    from pyspark.ml.linalg import Vectors
+    from orbitfit.operators.points import project_points
+    rows = [(i, float(i % 9), float((i * 7) % 5)) for i in range(200)]
+    vec = [(i, Vectors.sparse(2, {j: v for j, v in enumerate((x, y)) if v != 0.0}) if i % 2
+            else Vectors.dense([x, y])) for i, x, y in rows]
+    cols = spark.createDataFrame(rows, "id long, x double, y double")
+    vdf = spark.createDataFrame(vec, ["id", "features"])
+    pv, names = project_points(vdf, "features", ["id"])
+    assert names == ["features_0", "features_1"]
+    got = sorted(tuple(r) for r in pv.collect())
+    assert got == sorted(rows)
+    start = [(1.0, 1.0), (7.0, 3.0)]
+    a = kmeans_fit(cols, ["x", "y"], 2, init=start, tol=-1, max_iter=3)
+    b = kmeans_fit(vdf, "features", 2, init=start, tol=-1, max_iter=3)
+    assert a.centres == b.centres
