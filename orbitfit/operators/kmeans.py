@@ -251,18 +251,22 @@ def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] =
     """
     pts, names = project_points(df, features, keys, invalid)
     seeded = isinstance(init, str)
-    # Seeding passes read the keyed points; the loop reads the features only.
     # An under-split file scan (fewer splits than cores) may be spread over
     # the cores once, on request.
-    keep = pts if seeded else pts.select(*names)
-    base = materialize(spread(keep) if spread_input else keep, cache)
+    src = spread(pts) if spread_input else pts
+    # The loop reads the features only, so only they are cached for it. A
+    # random start is one pass over the keyed source (no keyed cache);
+    # distance-squared seeding makes K passes, so it reads a cached keyed copy
+    # that is released after the first iteration.
+    base = None
     t0 = time.perf_counter()
     if seeded:
         if not keys:
             raise ValueError("seeded initialisation needs key columns identifying the rows")
         if init == "random":
-            start = random_init(base, keys, names, k, seed)
+            start = random_init(src, keys, names, k, seed)
         elif init in ("k-means++", "kmeans++", "kmeanspp"):
+            base = materialize(src, cache)
             start = kmeanspp_init(base, keys, names, k, seed)
         else:
             raise ValueError(f"unknown init {init!r}")
@@ -277,7 +281,7 @@ def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] =
     if method == "auto":
         method = "blocks" if k * len(names) > BLOCKS_ABOVE else "expr"
     step = lloyd_step_blocks if method == "blocks" else lloyd_step
-    feats = materialize(base.select(*names), cache) if seeded else base
+    feats = materialize((base if base is not None else src).select(*names), cache)
     centres = list(start)
     log: list[tuple[int, float, int, list[int]]] = []
     converged = False
@@ -289,7 +293,7 @@ def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] =
             if it == 1:
                 if sum(sizes) < k:
                     raise ValueError(f"K={k} is larger than the number of points ({sum(sizes)})")
-                if seeded and cache == "persist":
+                if base is not None and cache == "persist":
                     base.unpersist()
             mv = movement(centres, new)
             centres = new
@@ -302,7 +306,8 @@ def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] =
     finally:
         if cache == "persist":
             feats.unpersist()
-            base.unpersist()
+            if base is not None:
+                base.unpersist()
     model = KMeansModel(names=list(names), centres=centres, init_centres=list(start),
                         iterations=len(log), converged=converged, log=log)
     model.timings[TIMING_METRICS[0]] = total_ms
