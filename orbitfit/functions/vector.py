@@ -126,13 +126,22 @@ def squared_loss_gradient(y: ColOrNum, phi: Sequence[ColOrNum], w: Sequence[ColO
     return [_c(p) * r for p in phi]
 
 
+def _same_length(a: Column, b: Column, value: Column) -> Column:
+    """``value``, or a job error when the two arrays differ in length (M5:
+    no silent truncation or NULL padding)."""
+    return F.when(F.size(a) != F.size(b),
+                  F.raise_error(F.lit("array arguments differ in length"))).otherwise(value)
+
+
 def array_add(a: Column, b: Column) -> Column:
     """Element-wise sum of two array columns of equal length."""
-    return F.zip_with(a, b, lambda x, y: x + y)
+    return _same_length(a, b, F.zip_with(a, b, lambda x, y: x + y))
 
 
 def array_dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, v: acc + v)
+    """Dot product of two array columns of equal length."""
+    return _same_length(a, b, F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0),
+                                          lambda acc, v: acc + v))
 
 
 def nearest(xs: Sequence[Column], centres: Sequence[Sequence[Number]]) -> tuple[Column, Column]:

@@ -55,3 +55,15 @@ def test_full_batch_gd_reaches_normal_equations(spark):
         h = full_batch_history(st, method, 300, 0.2, 0.0, 0.6)
         assert [h[-1][2], h[-1][3]] == pytest.approx(list(exact), rel=1e-6)
         assert h[-1][-1] == pytest.approx(0.0, abs=1e-6)
+
+
+def test_array_helpers_require_equal_length(spark):
+    import pytest as _pytest
+    from pyspark.sql import functions as F
+    from orbitfit.functions.vector import array_add, array_dot
+    df = spark.createDataFrame([([1.0, 2.0], [3.0, 4.0])], "a array<double>, b array<double>")
+    r = df.select(array_add(F.col("a"), F.col("b")).alias("s"), array_dot(F.col("a"), F.col("b")).alias("d")).collect()[0]
+    assert list(r["s"]) == [4.0, 6.0] and r["d"] == 11.0
+    bad = spark.createDataFrame([([1.0, 2.0], [3.0])], "a array<double>, b array<double>")
+    with _pytest.raises(Exception, match="differ in length"):
+        bad.select(array_dot(F.col("a"), F.col("b"))).collect()
