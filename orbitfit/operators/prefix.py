@@ -152,10 +152,16 @@ def running_total(df: DataFrame, weight: str, u: str, keys: Sequence[str],
 
 
 def threshold_draw(cum: DataFrame, weight: str, u: str, keys: Sequence[str], r: float,
-                   cols: Sequence[str] = ()) -> DataFrame:
+                   cols: Sequence[str] = (), total: float | None = None) -> DataFrame:
     """The first row (in ``(u, keys)`` order) whose inclusive total reaches
-    ``r * total``: an inverse-CDF weighted draw. One row."""
-    total = cum.agg(F.sum(weight).alias("t")).collect()[0]["t"] or 0.0
+    ``r * total``: an inverse-CDF weighted draw. One row.
+
+    ``total``: the sum of ``weight``. Pass it when it is at hand (one plain
+    aggregate over the input); otherwise it is summed from ``cum``, which
+    runs the running-total plan one more time.
+    """
+    if total is None:
+        total = cum.agg(F.sum(weight).alias("t")).collect()[0]["t"] or 0.0
     picked = (
         cum.where(F.col("cum_through") >= F.lit(r) * F.lit(float(total)))
         .agg(F.min(F.struct(F.col(u), *[F.col(k) for k in keys], *[F.col(c) for c in cols],

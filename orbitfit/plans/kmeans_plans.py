@@ -161,27 +161,31 @@ def _lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.round(F.col("l_discount") * F.lit(100.0)).alias("y"))
 
 
-def _cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _cumulative_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The row id that separates copies is taken at the scan, where rows come
     # in a fixed order, before the under-split input is spread over the cores.
     lat = spread(_lattice(spark, sf_dir).withColumn("_rid", F.monotonically_increasing_id()))
     first = kmeanspp_init(lat, KEYS, NAMES, 1, SEED)
     w = sq_distance([F.col(n) for n in NAMES], first[0])
-    data = lat.select(*KEYS, *NAMES, w.alias("w"), hash_uniform(KEYS, SEED, 1).alias("u"), "_rid")
+    return lat.select(*KEYS, *NAMES, w.alias("w"), hash_uniform(KEYS, SEED, 1).alias("u"), "_rid")
+
+
+def _cumulative(data: DataFrame) -> DataFrame:
     # order: u, then keys, then coordinates (a duplicated key stays ordered)
     return running_total(data, "w", "u", [*KEYS, *NAMES], tie="_rid")
 
 
 def kmeanspp_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _cumulative(spark, sf_dir)
+    return _cumulative(_cumulative_input(spark, sf_dir))
 
 
 THRESHOLD_R = scalar_uniform(SEED, "threshold")
 
 
 def kmeanspp_threshold_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cum = _cumulative(spark, sf_dir)
-    d = threshold_draw(cum, "w", "u", [*KEYS, *NAMES], THRESHOLD_R)
+    data = _cumulative_input(spark, sf_dir)
+    total = data.agg(F.sum("w").alias("t")).collect()[0]["t"] or 0.0
+    d = threshold_draw(_cumulative(data), "w", "u", [*KEYS, *NAMES], THRESHOLD_R, total=total)
     return d.select(*KEYS, *NAMES, "cum_through")
 
 
