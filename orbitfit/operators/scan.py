@@ -216,15 +216,21 @@ def make_epoch_kernel(method: str, d: int, step: float, gamma: float, z0: Sequen
 
 
 def sorted_layout(df: DataFrame, shard: str, order: Sequence[str], y: str,
-                  phi: Sequence[str]) -> DataFrame:
-    """Range-partition on ``(shard, order...)`` and sort inside partitions.
+                  phi: Sequence[str], tie: str | None = None) -> DataFrame:
+    """Range-partition on ``(shard, order..., _tie)`` and sort inside partitions.
 
     Output columns ``shard, y, p0..p{d-1}`` in scan order. A large shard
-    spans several range partitions, so no task holds a whole shard.
+    spans several range partitions, so no task holds a whole shard. ``order``
+    should identify rows within a shard; rows equal on it keep their input
+    order through ``_tie`` (the column ``tie``, or a position id taken here,
+    reproducible when the rows come straight from a file scan), which also
+    lets the range bounds cut a large group of such rows.
     """
-    keys = [F.col(shard)] + [F.col(o) for o in order]
+    tie_col = F.col(tie) if tie else F.monotonically_increasing_id()
+    keys = [F.col(shard)] + [F.col(o) for o in order] + [F.col("_tie")]
     return (
-        df.repartitionByRange(*keys)
+        df.withColumn("_tie", tie_col)
+        .repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .select(F.col(shard).cast("long").alias("shard"), F.col(y).cast("double").alias("y"),
                 *[F.col(p).cast("double").alias(f"p{j}") for j, p in enumerate(phi)])

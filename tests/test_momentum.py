@@ -205,3 +205,26 @@ def test_merged_summaries_stitch_to_the_same_result(method):
         total, count = scan.stitch(groups, method, d, z0, w0)
         assert count == direct[1] == 9
         assert total == pytest.approx(direct[0], rel=1e-12, abs=1e-12)
+
+
+def test_equal_order_values_keep_input_order_and_split(spark):
+    """A hot shard whose order column is constant: the row id keeps the input
+    order (the reference's stored order) and lets the range bounds cut it."""
+    from collections import Counter
+    rng = np.random.default_rng(5)
+    rows = [(0, 0, float(rng.normal()), float(rng.normal())) for _ in range(600)]
+    df = spark.createDataFrame(rows, "shard long, seq long, y double, x double") \
+        .withColumn("bias", F.lit(1.0))
+    spark.conf.set("spark.sql.shuffle.partitions", "6")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        lay = scan.sorted_layout(df, "shard", ["seq"], "y", ["x", "bias"])
+        sizes = Counter(r["p"] for r in lay.select(F.spark_partition_id().alias("p")).collect())
+        r = heavy_ball(df, "y", ["x", "bias"], "shard", ["seq"], 1, 0.01, 0.0, 0.5)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(sizes) > 3 and max(sizes.values()) < 600 * 0.5
+    w, v = _sequential("heavy_ball", [(y, [x, 1.0]) for _, _, y, x in rows],
+                       np.zeros(2), np.zeros(2), 0.01 / 1.0, 0.5)
+    assert r.w == pytest.approx(list(w), rel=1e-9, abs=1e-12)
