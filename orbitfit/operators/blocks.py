@@ -5,10 +5,11 @@ and Catalyst spends longer optimising it than the data takes to scan. Here
 each Arrow batch becomes an ``(n, d)`` array; the kernel forms the ``(n, K)``
 squared distances, takes the arg-min (first index on ties, like the
 expression path) and emits partial sums in long form ``(cluster, dim, sum)``
-plus one count row per cluster: at most ``K * (d + 1)`` rows per batch,
-whatever the batch size. A ``groupBy(cluster, dim)`` then adds them up, so
-the shuffle stays ``K * (d + 1)`` rows per batch and a cluster holding most
-of the points costs no more than any other.
+plus one count row per cluster, accumulated over the task's batches: at
+most ``K * (d + 1)`` rows per task, whatever the partition size. A
+``groupBy(cluster, dim)`` then adds them up, so the shuffle stays
+``K * (d + 1)`` rows per task and a cluster holding most of the points costs
+no more than any other.
 """
 
 from __future__ import annotations
@@ -42,26 +43,28 @@ def make_partial_kernel(names: Sequence[str], centres: Sequence[Sequence[float]]
     names = list(names)
 
     def kernel(batches):
+        counts = np.zeros(k)
+        sums = np.zeros((k, d))
         for b in batches:
             n = b.num_rows
             if n == 0:
                 continue
             X = np.column_stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.float64)
                                  for c in names])
-            counts = np.zeros(k)
-            sums = np.zeros((k, d))
             for lo in range(0, n, BLOCK_ROWS):
                 blk = X[lo:lo + BLOCK_ROWS]
                 idx, _ = nearest_block(blk, C)
                 counts += np.bincount(idx, minlength=k)
                 np.add.at(sums, idx, blk)
-            used = np.flatnonzero(counts)
-            cl = np.repeat(used, d + 1).astype(np.int32)
-            dim = np.tile(np.arange(-1, d, dtype=np.int32), len(used))
-            vals = np.column_stack([counts[used], sums[used]]).reshape(-1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cl), pa.array(dim), pa.array(vals, type=pa.float64())],
-                names=["cluster", "dim", "s"])
+        used = np.flatnonzero(counts)
+        if not len(used):
+            return
+        cl = np.repeat(used, d + 1).astype(np.int32)
+        dim = np.tile(np.arange(-1, d, dtype=np.int32), len(used))
+        vals = np.column_stack([counts[used], sums[used]]).reshape(-1)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(cl), pa.array(dim), pa.array(vals, type=pa.float64())],
+            names=["cluster", "dim", "s"])
 
     return kernel
 
