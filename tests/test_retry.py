@@ -1,8 +1,9 @@
 """Retried tasks give the same results.
 
 Runs in a fresh process with master ``local[4,3]`` (up to three attempts per
-task); the Arrow kernels of the sharded epoch and of the running total are
-wrapped to fail on the first attempt of some partitions.
+task); the Arrow kernels of the sharded epoch, its summary merge levels, the
+running total and the wide Lloyd step are wrapped to fail on the first
+attempt of some tasks.
 """
 
 import json
@@ -17,7 +18,8 @@ SCRIPT = r'''
 import json, sys
 sys.path.insert(0, ROOT)
 from pyspark.sql import SparkSession, functions as F
-from orbitfit.operators import prefix, scan
+from orbitfit.operators import blocks, prefix, scan
+from orbitfit.operators.kmeans import kmeans_fit
 from orbitfit.operators.momentum import heavy_ball
 from orbitfit.functions.random import hash_uniform
 from orbitfit.sources.tables import line_dataset
@@ -26,13 +28,17 @@ spark = (SparkSession.builder.master("local[4,3]").config("spark.ui.enabled", "f
          .config("spark.sql.shuffle.partitions", "4").getOrCreate())
 spark.sparkContext.setLogLevel("OFF")
 
+scan.STITCH_FANIN = 2  # four partition summaries: merge levels on executors run too
+
 def run():
     line = line_dataset(spark, n=400, shards=4)
     hb = heavy_ball(line, "y", ["x", "bias"], "shard", ["seq"], 3, 1e-7, 0.01, 0.6)
+    km = kmeans_fit(line, ["x", "y"], 3, init=[(1.0, 3.0), (300.0, 302.0), (700.0, 702.0)],
+                    tol=-1.0, max_iter=3, method="blocks")
     data = spark.range(300).select(F.col("id").alias("k"), (F.col("id") % 7).cast("double").alias("w"))
     data = data.withColumn("u", hash_uniform(["k"], 3))
     cum = sorted(tuple(r) for r in prefix.running_total(data, "w", "u", ["k"], buckets=4).collect())
-    return {"w": hb.w, "v": hb.v, "cum": cum}
+    return {"w": hb.w, "v": hb.v, "cum": cum, "centres": km.centres}
 
 clean = run()
 
@@ -51,6 +57,20 @@ def flaky(make):
 scan.make_epoch_kernel = flaky(scan.make_epoch_kernel)
 prefix._local_sums_kernel = flaky(prefix._local_sums_kernel)
 prefix._partition_total_kernel = flaky(prefix._partition_total_kernel)
+blocks.make_partial_kernel = flaky(blocks.make_partial_kernel)
+
+def flaky_group(make):
+    def wrapped(*args, **kwargs):
+        inner = make(*args, **kwargs)
+        def fn(table):
+            from pyspark import TaskContext
+            if TaskContext.get().attemptNumber() == 0:
+                raise RuntimeError("injected task failure")
+            return inner(table)
+        return fn
+    return wrapped
+
+scan._group_merger = flaky_group(scan._group_merger)
 sc = spark.sparkContext
 sc.setJobGroup("retried", "runs with injected failures")
 retried = run()
