@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from orbitfit.functions.random import hash_uniform
 from orbitfit.operators.linear import normal_stats, step_size
-from orbitfit.operators.scan import averaged_state, chained_state, sorted_layout
+from orbitfit.operators.scan import averaged_state, chained_state, layout_partitions, sorted_layout
 from orbitfit.session import materialize
 
 
@@ -78,18 +78,20 @@ def _run(method: str, df: DataFrame, y: str, phi: Sequence[str], shard: str, ord
     w = list(w0) if w0 is not None else [0.0] * d
     v = [0.0] * d if method != "sgd" else []
     stats = normal_stats(df, y, phi)
+    # the layout is sized from the row count the statistics pass just gave
+    parts = layout_partitions(df.sparkSession, stats.n)
     layout = None
     if reorder is None:
-        layout = materialize(sorted_layout(df, shard, order, y, phi), cache)
+        layout = materialize(sorted_layout(df, shard, order, y, phi, partitions=parts), cache)
     hist = []
     try:
         for e in range(1, epochs + 1):
             s = step_size(s0, decay, e)
-            lay = layout if reorder is None else reorder(e)
+            lay = layout if reorder is None else reorder(e, parts)
             if combine == "average":
-                w, v = averaged_state(lay, method, d, s, momentum, w, v)
+                w, v = averaged_state(lay, method, d, s, momentum, w, v, bound=parts)
             elif combine == "sequential":
-                w, v = chained_state(lay, method, d, s, momentum, w, v)
+                w, v = chained_state(lay, method, d, s, momentum, w, v, bound=parts)
             else:
                 raise ValueError("combine must be 'average' or 'sequential'")
             hist.append((e, s, *w, *v, stats.loss(w)))
@@ -146,9 +148,9 @@ def local_sgd(df: DataFrame, y: str, phi: Sequence[str], shard: str, order: Sequ
     cols = list(dict.fromkeys([shard, *order, y, *phi]))
     base = materialize(df.select(*cols), cache)
 
-    def reorder(e: int) -> DataFrame:
+    def reorder(e: int, parts: int) -> DataFrame:
         keyed = base.withColumn("_perm", permutation_key(order, seed, e))
-        return sorted_layout(keyed, shard, ["_perm", *order], y, phi)
+        return sorted_layout(keyed, shard, ["_perm", *order], y, phi, partitions=parts)
 
     try:
         return _run("sgd", base, y, phi, shard, order, epochs, s0, decay, 0.0, w0, cache, reorder,

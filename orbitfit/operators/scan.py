@@ -54,6 +54,8 @@ METHODS = ("sgd", "heavy_ball", "nesterov")
 # Most partition summaries the driver receives per epoch; beyond that they
 # are merged on executors first, this many consecutive ones per group.
 STITCH_FANIN = 1024
+# Rows per partition of a sharded layout (a few tens of MB of narrow rows).
+ROWS_PER_PARTITION = 1_000_000
 
 
 def state_dim(method: str, d: int) -> int:
@@ -215,8 +217,16 @@ def make_epoch_kernel(method: str, d: int, step: float, gamma: float, z0: Sequen
     return kernel
 
 
+def layout_partitions(spark, rows: int) -> int:
+    """Partitions for a layout of ``rows`` rows: about ``ROWS_PER_PARTITION``
+    each, at least one per core."""
+    cores = spark.sparkContext.defaultParallelism
+    return max(cores, math.ceil(rows / ROWS_PER_PARTITION))
+
+
 def sorted_layout(df: DataFrame, shard: str, order: Sequence[str], y: str,
-                  phi: Sequence[str], tie: str | None = None) -> DataFrame:
+                  phi: Sequence[str], tie: str | None = None,
+                  partitions: int | None = None) -> DataFrame:
     """Range-partition on ``(shard, order..., _tie)`` and sort inside partitions.
 
     Output columns ``shard, y, p0..p{d-1}`` in scan order. A large shard
@@ -225,12 +235,16 @@ def sorted_layout(df: DataFrame, shard: str, order: Sequence[str], y: str,
     order through ``_tie`` (the column ``tie``, or a position id taken here,
     reproducible when the rows come straight from a file scan), which also
     lets the range bounds cut a large group of such rows.
+
+    ``partitions``: an explicit count (see ``layout_partitions``), which
+    adaptive execution keeps as is; otherwise ``spark.sql.shuffle.partitions``.
     """
     tie_col = F.col(tie) if tie else F.monotonically_increasing_id()
     keys = [F.col(shard)] + [F.col(o) for o in order] + [F.col("_tie")]
+    keyed = df.withColumn("_tie", tie_col)
     return (
-        df.withColumn("_tie", tie_col)
-        .repartitionByRange(*keys)
+        (keyed.repartitionByRange(partitions, *keys) if partitions
+         else keyed.repartitionByRange(*keys))
         .sortWithinPartitions(*keys)
         .select(F.col(shard).cast("long").alias("shard"), F.col(y).cast("double").alias("y"),
                 *[F.col(p).cast("double").alias(f"p{j}") for j, p in enumerate(phi)])
@@ -268,7 +282,8 @@ def make_chain_kernel(method: str, d: int, step: float, gamma: float, look: Sequ
 
 
 def chained_state(layout: DataFrame, method: str, d: int, step: float, gamma: float,
-                  w: Sequence[float], v: Sequence[float]) -> tuple[list[float], list[float]]:
+                  w: Sequence[float], v: Sequence[float], bound: int | None = None
+                  ) -> tuple[list[float], list[float]]:
     """One ordered pass through all shards as a single chain (shard order,
     then row order): the state is carried from shard to shard, not averaged.
     Each partition yields the product of its row maps; groups of consecutive
@@ -288,7 +303,7 @@ def chained_state(layout: DataFrame, method: str, d: int, step: float, gamma: fl
         return None if acc is None else (lambda part: {"part": part, "mat": acc.reshape(-1).tolist()})
 
     mats = layout.mapInArrow(make_chain_kernel(method, d, step, gamma, look), CHAIN_SCHEMA)
-    rows = reduce_levels(mats, merge, CHAIN_SCHEMA, partition_bound(layout)).collect()
+    rows = reduce_levels(mats, merge, CHAIN_SCHEMA, bound or partition_bound(layout)).collect()
     z = z0
     for r in sorted(rows, key=lambda r: r["part"]):
         z = np.asarray(r["mat"], dtype=np.float64).reshape(m, m) @ z
@@ -416,7 +431,8 @@ def _group_merger(merge, schema: pa.Schema, fanin: int):
 
 
 def partition_bound(df: DataFrame) -> int:
-    """Upper bound on the partitions of a layout built by ``sorted_layout``."""
+    """Upper bound on the partitions of a layout built by ``sorted_layout``
+    without an explicit count."""
     conf = df.sparkSession.conf
     n = int(conf.get("spark.sql.shuffle.partitions"))
     initial = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
@@ -454,7 +470,8 @@ def _arrow_schema(ddl: str) -> pa.Schema:
 
 
 def averaged_state(layout: DataFrame, method: str, d: int, step: float, gamma: float,
-                   w: Sequence[float], v: Sequence[float]) -> tuple[list[float], list[float]]:
+                   w: Sequence[float], v: Sequence[float], bound: int | None = None
+                   ) -> tuple[list[float], list[float]]:
     """One ordered pass over every shard; unweighted mean of the shard results.
 
     One Python stage over the sorted layout, no shuffle of rows; the driver
@@ -469,7 +486,7 @@ def averaged_state(layout: DataFrame, method: str, d: int, step: float, gamma: f
         acc = merge_summaries(rows, method, d, z0, w0)
         return None if acc is None else (lambda part: _summary_row(part, acc))
 
-    rows = reduce_levels(summaries, merge, SUMMARY_SCHEMA, partition_bound(layout)).collect()
+    rows = reduce_levels(summaries, merge, SUMMARY_SCHEMA, bound or partition_bound(layout)).collect()
     total, count = stitch(rows, method, d, z0, w0)
     if not count:
         raise ValueError("no rows to fit")

@@ -74,10 +74,11 @@ def test_segmented_products_equal_sequential():
         assert z[:len(want)] == pytest.approx(want, rel=1e-10, abs=1e-12)
 
 
-def test_one_hot_shard_split_over_tasks(spark):
+def test_one_hot_shard_split_over_tasks(spark, monkeypatch):
     """A single shard holding every row is split over range partitions; the
     result equals the row-by-row recurrence."""
     n = 3000
+    monkeypatch.setattr(scan, "ROWS_PER_PARTITION", 500)  # six partitions
     df = spark.range(n).select(F.col("id").alias("seq"), F.lit(0).cast("long").alias("shard"),
                                ((F.col("id") % 17) / 10.0 + 1.0).alias("y"),
                                ((F.col("id") % 13) / 13.0).alias("x"), F.lit(1.0).alias("bias"))
@@ -127,6 +128,8 @@ def test_mixed_shards_stitched_across_partitions(spark, method, fanin, monkeypat
             rows.append((seq, sh * 7, float(rng.normal()), float(rng.normal())))
             seq += 1
     df = spark.createDataFrame(rows, "seq long, shard long, y double, x double").withColumn("bias", F.lit(1.0))
+    # about 13 range partitions (the layout is sized from the row count)
+    monkeypatch.setattr(scan, "ROWS_PER_PARTITION", len(rows) // 13 + 1)
     spark.conf.set("spark.sql.shuffle.partitions", "13")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
@@ -228,3 +231,19 @@ def test_equal_order_values_keep_input_order_and_split(spark):
     w, v = _sequential("heavy_ball", [(y, [x, 1.0]) for _, _, y, x in rows],
                        np.zeros(2), np.zeros(2), 0.01 / 1.0, 0.5)
     assert r.w == pytest.approx(list(w), rel=1e-9, abs=1e-12)
+
+
+def test_layout_is_sized_from_the_row_count(spark, monkeypatch):
+    """The layout gets an explicit, row-sized partition count (at least one
+    per core), not spark.sql.shuffle.partitions."""
+    monkeypatch.setattr(scan, "ROWS_PER_PARTITION", 100)
+    assert scan.layout_partitions(spark, 1) == spark.sparkContext.defaultParallelism
+    assert scan.layout_partitions(spark, 1001) == max(11, spark.sparkContext.defaultParallelism)
+    line = line_dataset(spark, n=1000, shards=10)
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        lay = scan.sorted_layout(line, "shard", ["seq"], "y", ["x", "bias"],
+                                 partitions=scan.layout_partitions(spark, 1000))
+        assert lay.rdd.getNumPartitions() == max(10, spark.sparkContext.defaultParallelism)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
