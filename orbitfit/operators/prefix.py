@@ -52,6 +52,12 @@ ROWS_PER_BUCKET = 1_000_000
 BROADCAST_MAX_BUCKETS = 2_000_000
 
 
+def bucket_count(spark, rows: int) -> int:
+    """Partitions for a running total over ``rows`` rows: about
+    ``ROWS_PER_BUCKET`` each, at least one per core."""
+    return max(spark.sparkContext.defaultParallelism, math.ceil(rows / ROWS_PER_BUCKET))
+
+
 def _local_sums_kernel(weight: str):
     """``mapInArrow`` function: running sums of ``weight`` inside the (sorted)
     partition, added left to right, plus the partition id. NULL adds 0."""
@@ -124,11 +130,8 @@ def running_total(df: DataFrame, weight: str, u: str, keys: Sequence[str],
     """Adds ``cum_before`` (exclusive) and ``cum_through`` (inclusive) of ``weight``
     in the order ``(u, keys...)``; rows equal on all of them are copies.
     ``tie``: optional unique row id separating copies (see ``ordered_layout``)."""
-    spark = df.sparkSession
     if buckets is None:
-        n = df.count()
-        cores = spark.sparkContext.defaultParallelism
-        buckets = max(cores, math.ceil(n / ROWS_PER_BUCKET))
+        buckets = bucket_count(df.sparkSession, df.count())
     lay = ordered_layout(df, u, keys, buckets, tie)
     out_schema = T.StructType(list(lay.schema.fields) + [
         T.StructField("_part", T.IntegerType(), True),

@@ -15,7 +15,7 @@ from orbitfit.functions.random import hash_uniform, hash_uniform_sql
 from orbitfit.functions.vector import sq_distance
 from orbitfit.operators.kmeans import KMeansModel, kmeans_fit
 from orbitfit.operators.points import project_points
-from orbitfit.operators.prefix import running_total, scalar_uniform, threshold_draw
+from orbitfit.operators.prefix import bucket_count, running_total, scalar_uniform, threshold_draw
 from orbitfit.operators.sampling import sample_by_hash
 from orbitfit.operators.seeding import kmeanspp_init, min_sq_distance
 from orbitfit.session import spread
@@ -170,9 +170,9 @@ def _cumulative_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lat.select(*KEYS, *NAMES, w.alias("w"), hash_uniform(KEYS, SEED, 1).alias("u"), "_rid")
 
 
-def _cumulative(data: DataFrame) -> DataFrame:
+def _cumulative(data: DataFrame, buckets: int | None = None) -> DataFrame:
     # order: u, then keys, then coordinates (a duplicated key stays ordered)
-    return running_total(data, "w", "u", [*KEYS, *NAMES], tie="_rid")
+    return running_total(data, "w", "u", [*KEYS, *NAMES], buckets=buckets, tie="_rid")
 
 
 def kmeanspp_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,8 +184,11 @@ THRESHOLD_R = scalar_uniform(SEED, "threshold")
 
 def kmeanspp_threshold_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = _cumulative_input(spark, sf_dir)
-    total = data.agg(F.sum("w").alias("t")).collect()[0]["t"] or 0.0
-    d = threshold_draw(_cumulative(data), "w", "u", [*KEYS, *NAMES], THRESHOLD_R, total=total)
+    # one aggregate gives both the total weight and the row count that sizes
+    # the running total's partitions
+    agg = data.agg(F.count(F.lit(1)).alias("n"), F.sum("w").alias("t")).collect()[0]
+    cum = _cumulative(data, bucket_count(spark, agg["n"]))
+    d = threshold_draw(cum, "w", "u", [*KEYS, *NAMES], THRESHOLD_R, total=agg["t"] or 0.0)
     return d.select(*KEYS, *NAMES, "cum_through")
 
 
