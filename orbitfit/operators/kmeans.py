@@ -252,12 +252,19 @@ def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] =
     pts, names = project_points(df, features, keys, invalid)
     seeded = isinstance(init, str)
     # An under-split file scan (fewer splits than cores) may be spread over
-    # the cores once, on request.
-    src = spread(pts) if spread_input else pts
+    # the cores once, on request. Such an input is small by definition, so
+    # the spread copy is kept (one scan, one round-robin shuffle); an input
+    # with enough splits is used as it is.
+    src = pts
+    spread_copy = None
+    if spread_input:
+        spread_src = spread(pts)
+        if spread_src is not pts:
+            spread_copy = src = materialize(spread_src, cache)
     # The loop reads the features only, so only they are cached for it. A
     # random start is one pass over the keyed source (no keyed cache);
-    # distance-squared seeding makes K passes, so it reads a cached keyed copy
-    # that is released after the first iteration.
+    # distance-squared seeding makes K passes, so it reads a cached keyed copy.
+    # Keyed copies are released after the first iteration.
     base = None
     t0 = time.perf_counter()
     if seeded:
@@ -266,7 +273,7 @@ def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] =
         if init == "random":
             start = random_init(src, keys, names, k, seed)
         elif init in ("k-means++", "kmeans++", "kmeanspp"):
-            base = materialize(src, cache)
+            base = src if spread_copy is not None else materialize(src, cache)
             start = kmeanspp_init(base, keys, names, k, seed)
         else:
             raise ValueError(f"unknown init {init!r}")
@@ -293,8 +300,10 @@ def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] =
             if it == 1:
                 if sum(sizes) < k:
                     raise ValueError(f"K={k} is larger than the number of points ({sum(sizes)})")
-                if base is not None and cache == "persist":
-                    base.unpersist()
+                if cache == "persist":
+                    for keyed in (base, spread_copy):
+                        if keyed is not None:
+                            keyed.unpersist()
             mv = movement(centres, new)
             centres = new
             ms = _ms(t0)
@@ -306,8 +315,9 @@ def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] =
     finally:
         if cache == "persist":
             feats.unpersist()
-            if base is not None:
-                base.unpersist()
+            for keyed in (base, spread_copy):
+                if keyed is not None:
+                    keyed.unpersist()
     model = KMeansModel(names=list(names), centres=centres, init_centres=list(start),
                         iterations=len(log), converged=converged, log=log)
     model.timings[TIMING_METRICS[0]] = total_ms

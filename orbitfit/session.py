@@ -31,6 +31,12 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    # Stage and task timings without any UI or server: the event log, written
+    # to a folder named by ORBITFIT_EVENT_LOG_DIR (off by default).
+    event_dir = os.environ.get("ORBITFIT_EVENT_LOG_DIR")
+    if event_dir:
+        builder = (builder.config("spark.eventLog.enabled", "true")
+                   .config("spark.eventLog.dir", event_dir))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
