@@ -247,3 +247,36 @@ def test_layout_is_sized_from_the_row_count(spark, monkeypatch):
         assert lay.rdd.getNumPartitions() == max(10, spark.sparkContext.defaultParallelism)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_three_merge_levels_equal_direct_stitch(spark):
+    """Forty partition summaries merged on executors with fan-in 3 (three
+    levels: 40 -> 14 -> 5 -> 2 rows) stitch to the same result as all forty."""
+    rng = np.random.default_rng(11)
+    d, method = 2, "heavy_ball"
+    m = scan.state_dim(method, d) + 1
+    z0 = np.r_[rng.normal(size=m - 1), 1.0]
+    w0 = rng.normal(size=d)
+    shards = np.repeat(np.arange(30), rng.integers(1, 9, size=30))
+    y = rng.normal(size=len(shards))
+    x = rng.normal(size=len(shards))
+    cuts = sorted(rng.choice(np.arange(1, len(shards)), size=39, replace=False))
+    kernel = scan.make_epoch_kernel(method, d, 0.01, 0.5, z0.tolist(), w0.tolist())
+    summaries = []
+    for part, (lo, hi) in enumerate(zip([0, *cuts], [*cuts, len(shards)])):
+        b = pa.RecordBatch.from_pydict({"shard": shards[lo:hi], "y": y[lo:hi], "p0": x[lo:hi],
+                                        "p1": np.ones(hi - lo)})
+        summaries += [dict(r, part=part) for out in kernel(iter([b])) for r in out.to_pylist()]
+    assert len(summaries) == 40
+    df = spark.createDataFrame(summaries, scan.SUMMARY_SCHEMA)
+
+    def merge(rows):
+        acc = scan.merge_summaries(rows, method, d, z0, w0)
+        return lambda part: scan._summary_row(part, acc)
+
+    merged = scan.reduce_levels(df, merge, scan.SUMMARY_SCHEMA, 40, fanin=3).collect()
+    assert len(merged) <= 3
+    total, count = scan.stitch(merged, method, d, z0, w0)
+    direct = scan.stitch(summaries, method, d, z0, w0)
+    assert count == direct[1] == 30
+    assert total == pytest.approx(direct[0], rel=1e-12, abs=1e-12)
