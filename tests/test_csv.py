@@ -56,3 +56,22 @@ def test_legacy_parser_is_lenient_but_stable(spark, csv_path):
         assert df.select("lat").count() == 3 and df.count() == 3
     finally:
         spark.conf.set("spark.sql.legacy.timeParserPolicy", old)
+
+
+def test_csv_round_trip_is_time_zone_independent(spark):
+    """The events timestamps are wall-clock values (timestamp_ntz): the CSV
+    round trip gives the oracle's text in any session time zone."""
+    import duckdb
+
+    import __spark_entry__ as entry
+    from conftest import SF_SMALL
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{SF_SMALL}/events.parquet')")
+    want = sorted(con.execute(entry.oracle_sql()["csv_points"]).fetchall())
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        got = sorted(tuple(r) for r in entry.queries()["csv_points"](spark, SF_SMALL).collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == want and len(got) > 0
