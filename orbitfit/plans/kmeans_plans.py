@@ -161,32 +161,38 @@ def _lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.round(F.col("l_discount") * F.lit(100.0)).alias("y"))
 
 
-def _cumulative_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _cumulative_input(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """``(data, weights)``: the keyed, hashed rows for the running total
+    (spread over the cores when under-split) and the plain weight column read
+    straight from the scan, for counts and totals that need neither."""
     # The row id that separates copies is taken at the scan, where rows come
     # in a fixed order, before the under-split input is spread over the cores.
-    lat = spread(_lattice(spark, sf_dir).withColumn("_rid", F.monotonically_increasing_id()))
+    raw = _lattice(spark, sf_dir).withColumn("_rid", F.monotonically_increasing_id())
+    lat = spread(raw)
     first = kmeanspp_init(lat, KEYS, NAMES, 1, SEED)
     w = sq_distance([F.col(n) for n in NAMES], first[0])
-    return lat.select(*KEYS, *NAMES, w.alias("w"), hash_uniform(KEYS, SEED, 1).alias("u"), "_rid")
+    data = lat.select(*KEYS, *NAMES, w.alias("w"), hash_uniform(KEYS, SEED, 1).alias("u"), "_rid")
+    return data, raw.select(w.alias("w"))
 
 
-def _cumulative(data: DataFrame, buckets: int | None = None) -> DataFrame:
+def _cumulative(data: DataFrame, buckets: int) -> DataFrame:
     # order: u, then keys, then coordinates (a duplicated key stays ordered)
     return running_total(data, "w", "u", [*KEYS, *NAMES], buckets=buckets, tie="_rid")
 
 
 def kmeanspp_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _cumulative(_cumulative_input(spark, sf_dir))
+    data, weights = _cumulative_input(spark, sf_dir)
+    return _cumulative(data, bucket_count(spark, weights.count()))
 
 
 THRESHOLD_R = scalar_uniform(SEED, "threshold")
 
 
 def kmeanspp_threshold_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    data = _cumulative_input(spark, sf_dir)
-    # one aggregate gives both the total weight and the row count that sizes
-    # the running total's partitions
-    agg = data.agg(F.count(F.lit(1)).alias("n"), F.sum("w").alias("t")).collect()[0]
+    data, weights = _cumulative_input(spark, sf_dir)
+    # one aggregate over the scan gives both the total weight and the row
+    # count that sizes the running total's partitions
+    agg = weights.agg(F.count(F.lit(1)).alias("n"), F.sum("w").alias("t")).collect()[0]
     cum = _cumulative(data, bucket_count(spark, agg["n"]))
     d = threshold_draw(cum, "w", "u", [*KEYS, *NAMES], THRESHOLD_R, total=agg["t"] or 0.0)
     return d.select(*KEYS, *NAMES, "cum_through")
