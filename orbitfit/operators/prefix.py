@@ -16,7 +16,8 @@ but with the id in the key the range bounds can cut a group of copies that
 holds a third of all rows into many partitions. The order key ``u`` is a
 seeded uniform, so distinct keys spread evenly anyway.
 
-B defaults to ``max(cores, ceil(rows / ROWS_PER_BUCKET))`` (one count). The
+B defaults to about ``ROWS_PER_BUCKET`` rows per partition, spread over the
+cores while each keeps at least ``session.MIN_ROWS_PER_TASK`` (one count). The
 partition count is explicit, so adaptive execution never coalesces these
 partitions and both reads of the one range shuffle see the same partition
 ids. The offset table has exactly B rows; it is broadcast only while
@@ -26,7 +27,6 @@ ids. The offset table has exactly B rows; it is broadcast only while
 from __future__ import annotations
 
 import hashlib
-import math
 import sys
 from collections.abc import Sequence
 
@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orbitfit.functions.random import TWO_52
+from orbitfit.session import partitions_for
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -54,8 +55,8 @@ BROADCAST_MAX_BUCKETS = 2_000_000
 
 def bucket_count(spark, rows: int) -> int:
     """Partitions for a running total over ``rows`` rows: about
-    ``ROWS_PER_BUCKET`` each, at least one per core."""
-    return max(spark.sparkContext.defaultParallelism, math.ceil(rows / ROWS_PER_BUCKET))
+    ``ROWS_PER_BUCKET`` each (see ``session.partitions_for``)."""
+    return partitions_for(spark, rows, ROWS_PER_BUCKET)
 
 
 def _local_sums_kernel(weight: str):

@@ -34,17 +34,18 @@ The results equal the sequential recurrence up to floating-point rounding.
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Sequence
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orbitfit.session import partitions_for
+
 # Ship this module's kernel functions to Python workers by value, so the
 # executors need only numpy/pyarrow, not this package on their path.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -219,9 +220,8 @@ def make_epoch_kernel(method: str, d: int, step: float, gamma: float, z0: Sequen
 
 def layout_partitions(spark, rows: int) -> int:
     """Partitions for a layout of ``rows`` rows: about ``ROWS_PER_PARTITION``
-    each, at least one per core."""
-    cores = spark.sparkContext.defaultParallelism
-    return max(cores, math.ceil(rows / ROWS_PER_PARTITION))
+    each (see ``session.partitions_for``)."""
+    return partitions_for(spark, rows, ROWS_PER_PARTITION)
 
 
 def sorted_layout(df: DataFrame, shard: str, order: Sequence[str], y: str,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 
@@ -84,6 +85,21 @@ def materialize(df: DataFrame, mode: str = "persist") -> DataFrame:
     raise ValueError(f"unknown materialize mode {mode!r}")
 
 
+# Fewest rows a task of a row-sized layout gets when small data is spread
+# over the cores (below this, task overhead outweighs the parallelism).
+MIN_ROWS_PER_TASK = 10_000
+
+
+def partitions_for(spark: SparkSession, rows: int, rows_per_partition: int) -> int:
+    """Partition count for ``rows`` rows: about ``rows_per_partition`` each,
+    and spread over the cores only while every task keeps at least
+    ``MIN_ROWS_PER_TASK`` rows (a tiny table on a 1,000-executor cluster
+    gets a few partitions, not one per core)."""
+    cores = spark.sparkContext.defaultParallelism
+    return max(1, math.ceil(rows / rows_per_partition),
+               min(cores, math.ceil(rows / MIN_ROWS_PER_TASK)))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin an input that has fewer splits than cores over all cores.
 

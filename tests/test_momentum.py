@@ -234,17 +234,21 @@ def test_equal_order_values_keep_input_order_and_split(spark):
 
 
 def test_layout_is_sized_from_the_row_count(spark, monkeypatch):
-    """The layout gets an explicit, row-sized partition count (at least one
-    per core), not spark.sql.shuffle.partitions."""
+    """The layout gets an explicit, row-sized partition count, spread over
+    the cores only while tasks keep enough rows; not spark.sql.shuffle.partitions."""
+    from orbitfit import session
+    cores = spark.sparkContext.defaultParallelism
     monkeypatch.setattr(scan, "ROWS_PER_PARTITION", 100)
-    assert scan.layout_partitions(spark, 1) == spark.sparkContext.defaultParallelism
-    assert scan.layout_partitions(spark, 1001) == max(11, spark.sparkContext.defaultParallelism)
+    monkeypatch.setattr(session, "MIN_ROWS_PER_TASK", 50)
+    assert scan.layout_partitions(spark, 1) == 1          # tiny: not one per core
+    assert scan.layout_partitions(spark, 120) == min(cores, 3)
+    assert scan.layout_partitions(spark, 1001) == 11      # about 100 rows each
     line = line_dataset(spark, n=1000, shards=10)
     spark.conf.set("spark.sql.shuffle.partitions", "200")
     try:
         lay = scan.sorted_layout(line, "shard", ["seq"], "y", ["x", "bias"],
                                  partitions=scan.layout_partitions(spark, 1000))
-        assert lay.rdd.getNumPartitions() == max(10, spark.sparkContext.defaultParallelism)
+        assert lay.rdd.getNumPartitions() == 10
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 

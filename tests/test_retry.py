@@ -28,7 +28,11 @@ spark = (SparkSession.builder.master("local[4,3]").config("spark.ui.enabled", "f
          .config("spark.sql.shuffle.partitions", "4").getOrCreate())
 spark.sparkContext.setLogLevel("OFF")
 
-scan.STITCH_FANIN = 2  # four partition summaries: merge levels on executors run too
+# small partitions, so there are several: four partition summaries, merge
+# levels on executors, and several running-total partitions
+scan.STITCH_FANIN = 2
+scan.ROWS_PER_PARTITION = 100
+prefix.ROWS_PER_BUCKET = 100
 
 def run():
     line = line_dataset(spark, n=400, shards=4)
