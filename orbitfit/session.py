@@ -109,9 +109,13 @@ def spread(df: DataFrame) -> DataFrame:
 
     Meant for plain file scans: counting the partitions of a DataFrame that
     contains a shuffle would run that shuffle (adaptive execution plans it
-    stage by stage), so callers opt in where the input is a scan.
+    stage by stage), so callers opt in where the input is a scan. An
+    under-split input is counted once and gets ``min(cores, rows /
+    MIN_ROWS_PER_TASK)`` partitions, so a tiny file stays in one task.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    parts = df.rdd.getNumPartitions()
+    if parts >= cores:
+        return df
+    target = min(cores, math.ceil(df.count() / MIN_ROWS_PER_TASK))
+    return df.repartition(target) if target > parts else df
