@@ -186,3 +186,17 @@ def test_ml_vector_features_dense_and_sparse(spark):
     a = kmeans_fit(cols, ["x", "y"], 2, init=start, tol=-1, max_iter=3)
     b = kmeans_fit(vdf, "features", 2, init=start, tol=-1, max_iter=3)
     assert a.centres == b.centres
+
+
+def test_spread_sizes_from_rows(spark, monkeypatch):
+    """An under-split input is spread to at most one partition per
+    MIN_ROWS_PER_TASK rows (capped at the cores); a tiny one stays whole and
+    an input with enough splits is returned as it is."""
+    from orbitfit import session
+    cores = spark.sparkContext.defaultParallelism
+    one = spark.range(0, 1000, 1, 1)
+    assert session.spread(one) is one                       # 1000 rows < 10k: one task
+    monkeypatch.setattr(session, "MIN_ROWS_PER_TASK", 400)
+    assert session.spread(one).rdd.getNumPartitions() == min(cores, 3)
+    many = spark.range(0, 1000, 1, cores)
+    assert session.spread(many) is many
