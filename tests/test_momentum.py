@@ -284,3 +284,17 @@ def test_three_merge_levels_equal_direct_stitch(spark):
     direct = scan.stitch(summaries, method, d, z0, w0)
     assert count == direct[1] == 30
     assert total == pytest.approx(direct[0], rel=1e-12, abs=1e-12)
+
+
+def test_history_views(spark):
+    """Weight, loss and velocity histories as temp views read by SQL,
+    one row per epoch with an explicit epoch column."""
+    r = heavy_ball(line_dataset(spark), "y", ["x", "bias"], "shard", ["seq"], 3, 1e-7, 0.01, 0.6)
+    r.register_views(spark, prefix="hb_")
+    w = spark.sql("SELECT * FROM hb_weightHistoryView ORDER BY epoch").collect()
+    loss = spark.sql("SELECT * FROM hb_lossHistoryView ORDER BY epoch").collect()
+    vel = spark.sql("SELECT * FROM hb_velocityHistoryView ORDER BY epoch").collect()
+    assert [x["epoch"] for x in w] == [1, 2, 3] == [x["epoch"] for x in loss] == [x["epoch"] for x in vel]
+    assert (w[-1]["w0"], w[-1]["w1"]) == (r.w[0], r.w[1])
+    assert (vel[-1]["v0"], vel[-1]["v1"]) == (r.v[0], r.v[1])
+    assert [x["loss"] for x in loss] == [h[-1] for h in r.history]
