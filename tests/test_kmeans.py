@@ -200,3 +200,18 @@ def test_spread_sizes_from_rows(spark, monkeypatch):
     assert session.spread(one).rdd.getNumPartitions() == min(cores, 3)
     many = spark.range(0, 1000, 1, cores)
     assert session.spread(many) is many
+
+
+def test_fit_on_derived_input_with_and_without_cache(spark):
+    """A fit on an aggregated (shuffled) input: the same centres whether the
+    features are persisted or recomputed from the plan each iteration, up to
+    rounding (a recomputed average may add its rows in another order, since
+    a shuffle read has no fixed order)."""
+    li = lineitem_points(spark, SF_SMALL)
+    per_order = li.groupBy("l_orderkey").agg(F.avg("x").alias("x"), F.avg("y").alias("y"))
+    a = kmeans_fit(per_order, ["x", "y"], 3, keys=["l_orderkey"], init="random", max_iter=5)
+    b = kmeans_fit(per_order, ["x", "y"], 3, keys=["l_orderkey"], init="random", max_iter=5,
+                   cache="none")
+    assert a.iterations == b.iterations
+    for ca, cb in zip(a.centres, b.centres):
+        assert ca == pytest.approx(cb, rel=1e-12)
