@@ -7,12 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orbitfit.llm.base import table
+from orbitfit.llm import embedding, langid, toxicity
+from orbitfit.llm.base import fold, table
 from orbitfit.llm.exact_dedup import exact_dedup
 from orbitfit.llm.mixing import mix
 from orbitfit.llm.simhash import near_dedup
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                                      keep=lambda k: fold(k, 5) != 0)
+    return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "rate", "copies")
@@ -22,6 +29,18 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    model = langid.fit(docs.filter(~held_out), F.col("doc_id"), "text", "lang")
+    return (docs.select("doc_id", held_out.alias("held_out"), langid.identify(docs, model).alias("p"))
+            .select("doc_id", "held_out", "p.lang_pred", "p.score", "p.ambiguous"))
+
+
+def op9_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding.near_dedup(table(spark, sf_dir, "embeddings"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -39,8 +58,11 @@ FROM d WINDOW g AS (PARTITION BY text_sha256)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_toxicity": op2_toxicity,
         "op3_mixing": op3_mixing,
         "op5_simhash": op5_simhash,
+        "op8_language": op8_language,
+        "op9_embedding": op9_embedding,
         "op10_exact_dedup": op10_exact_dedup,
     }
 
