@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orbitfit.llm import embedding, langid, toxicity
+from orbitfit.llm import embedding, langid, pieces, toxicity
 from orbitfit.llm.base import fold, table
 from orbitfit.llm.exact_dedup import exact_dedup
 from orbitfit.llm.mixing import mix
 from orbitfit.llm.simhash import near_dedup
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"), check=True)
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
                                       keep=lambda k: fold(k, 5) != 0)
@@ -58,6 +62,7 @@ FROM d WINDOW g AS (PARTITION BY text_sha256)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_sentencepiece": op1_sentencepiece,
         "op2_toxicity": op2_toxicity,
         "op3_mixing": op3_mixing,
         "op5_simhash": op5_simhash,
