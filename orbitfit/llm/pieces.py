@@ -405,11 +405,10 @@ def worker_encoder(pieces: Pieces, tag: str) -> Encoder:
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL,
            check: bool = False) -> DataFrame:
     """Per row: id, n_pieces, ids; with ``check`` also whether decoding gives the text back."""
-    spark = docs.sparkSession
-    pieces = spark.sparkContext.broadcast(load(model))   # the vocabulary: fixed by the model file
+    pieces = load(model)   # travels with the function; its size is fixed by the model file
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(pieces.value, model)
+        encoder = worker_encoder(pieces, model)
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for a, b in slices(texts, SLICE):
@@ -430,11 +429,10 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
 
 def decode(rows: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", model: str = MODEL) -> DataFrame:
     """Per row: id, text. Null or empty ids decode to the empty text."""
-    spark = rows.sparkSession
-    pieces = spark.sparkContext.broadcast(load(model))
+    pieces = load(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(pieces.value, model)
+        encoder = worker_encoder(pieces, model)
         for batch in batches:
             for s in range(0, batch.num_rows, 256):
                 part = batch.slice(s, 256)
