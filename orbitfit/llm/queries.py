@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orbitfit.llm import embedding, langid, pieces, toxicity
+from orbitfit.llm import embedding, langid, pieces, secrets, toxicity
 from orbitfit.llm.base import fold, table
 from orbitfit.llm.exact_dedup import exact_dedup
 from orbitfit.llm.mixing import mix
@@ -33,6 +33,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = fold(F.col("doc_id"), 4) == 2
@@ -66,6 +70,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_toxicity": op2_toxicity,
         "op3_mixing": op3_mixing,
         "op5_simhash": op5_simhash,
+        "op7_secrets": op7_secrets,
         "op8_language": op8_language,
         "op9_embedding": op9_embedding,
         "op10_exact_dedup": op10_exact_dedup,
