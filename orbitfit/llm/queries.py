@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orbitfit.llm import embedding, langid, pieces, secrets, toxicity
+from orbitfit.llm import embedding, html_text, langid, licenses, pieces, secrets, toxicity
 from orbitfit.llm.base import fold, table
 from orbitfit.llm.exact_dedup import exact_dedup
 from orbitfit.llm.mixing import mix
@@ -29,10 +29,19 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "rate", "copies")
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.main_text(table(spark, sf_dir, "pages"), keep=("url",))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
@@ -69,7 +78,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_sentencepiece": op1_sentencepiece,
         "op2_toxicity": op2_toxicity,
         "op3_mixing": op3_mixing,
+        "op4_licenses": op4_licenses,
         "op5_simhash": op5_simhash,
+        "op6_html": op6_html,
         "op7_secrets": op7_secrets,
         "op8_language": op8_language,
         "op9_embedding": op9_embedding,
