@@ -73,7 +73,8 @@ class Model:
 
     def score(self, text: str | None) -> float:
         z = self.bias + self.weights[present(text, self.place)].sum()
-        return float(1 / (1 + np.exp(-np.clip(z, -700, 700))))
+        with np.errstate(over="ignore"):
+            return float(1 / (1 + np.exp(-z)))
 
 
 def labelled(docs: DataFrame, labels: DataFrame, keep, id_col: str, text_col: str, label_col: str,
@@ -103,7 +104,8 @@ def fit(rows: DataFrame) -> Model:
     place = np.full(1 << HASH_BITS, -1, np.int32)
     if not n1 or not n0:
         p = n1 / (n1 + n0) if n1 + n0 else 0.0
-        return Model(place, np.zeros(1), float(np.clip(np.log(p + 1e-300) - np.log(1 - p + 1e-300), -700, 700)))
+        with np.errstate(divide="ignore"):
+            return Model(place, np.zeros(1), float(np.log(p) - np.log1p(-p)))
     f, one, zero = f[f >= 0], one[f >= 0], zero[f >= 0]
 
     def part(k, n):   # k * log(k / n), 0 at k = 0
