@@ -1,4 +1,5 @@
 import os
+import re
 
 import duckdb
 import pytest
@@ -19,7 +20,8 @@ def test_entry_runs(spark):
 def test_every_query_has_an_oracle_or_is_rows_only():
     q, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(q)
-    assert set(q) - set(sql) == {"kmeans_timings"}
+    # Operators on text that learn, search or tokenise have brute-force tests instead.
+    assert {n for n in set(q) - set(sql) if n != "pipeline" and not re.match(r"op\d+_", n)} == {"kmeans_timings"}
 
 
 @pytest.fixture(scope="module")
