@@ -5,7 +5,8 @@ sample or a weighted draw does not depend on partitioning, task retries or
 the engine: the same formula in SQL gives the same numbers.
 
 Fixed formula (shared with the SQL oracle): take the md5 hex digest of the
-key values and the seed joined by ``':'``, read its first 13 hex digits as
+key values and the seed joined by ``':'`` (NULL as ``\\n``, a backslash in a
+value as two, a colon as ``\\c``, so different keys never join alike), read its first 13 hex digits as
 an integer N, and return ``(N + 0.5) / 2^52``, a value strictly inside (0, 1).
 """
 
@@ -21,6 +22,8 @@ TWO_52 = float(2 ** 52)
 
 def hash_uniform(keys: Sequence[str | Column], *salt: int | str) -> Column:
     parts = [(F.col(k) if isinstance(k, str) else k).cast("string") for k in keys]
+    parts = [F.coalesce(F.replace(F.replace(p, F.lit("\\"), F.lit("\\\\")), F.lit(":"), F.lit("\\c")), F.lit("\\n"))
+             for p in parts]
     parts += [F.lit(str(s)) for s in salt]
     digest = F.md5(F.concat_ws(":", *parts))
     n = F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint")
@@ -29,7 +32,7 @@ def hash_uniform(keys: Sequence[str | Column], *salt: int | str) -> Column:
 
 def hash_uniform_sql(keys: Sequence[str], *salt: int | str) -> str:
     """The same uniform as a DuckDB SQL expression."""
-    parts = [f"CAST({k} AS VARCHAR)" for k in keys] + [f"'{s}'" for s in salt]
+    parts = [rf"coalesce(replace(replace(CAST({k} AS VARCHAR), '\', '\\'), ':', '\c'), '\n')" for k in keys] + [f"'{s}'" for s in salt]
     return (
         "((('0x' || substr(md5(concat_ws(':', " + ", ".join(parts) + ")), 1, 13))::BIGINT)"
         "::DOUBLE + 0.5) / 4503599627370496.0"

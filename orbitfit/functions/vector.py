@@ -36,7 +36,9 @@ def feature_columns(df: DataFrame, cols: str | Sequence[str], dim: int | None =
     ``cols`` is a list of numeric column names, or the name of one array
     column (e.g. an embedding) or ML vector column (dense or sparse, as a
     ``VectorAssembler`` writes it; read with ``vector_to_array``); for an
-    array or vector ``dim`` is its length, read from one row when not given.
+    array or vector ``dim`` is its length. When it is not given, one aggregate
+    reads the lengths and differing ones are an error; a row of another length
+    than ``dim`` gives NULL features, which :func:`check_valid` rejects or drops.
     """
     if isinstance(cols, str):
         arr = F.col(cols)
@@ -44,11 +46,14 @@ def feature_columns(df: DataFrame, cols: str | Sequence[str], dim: int | None =
             from pyspark.ml.functions import vector_to_array
             arr = vector_to_array(arr, "float64")
         if dim is None:
-            row = df.select(F.size(arr).alias("n")).where(F.col(cols).isNotNull()).head(1)
-            if not row:
+            n = F.when(F.col(cols).isNotNull(), F.size(arr))
+            least, most = df.agg(F.min(n), F.max(n)).first()
+            if least is None:
                 raise ValueError(f"cannot infer the length of empty array column {cols!r}")
-            dim = int(row[0]["n"])
-        return [arr.getItem(j).cast("double") for j in range(dim)]
+            if least != most:
+                raise ValueError(f"column {cols!r} holds arrays of {least} to {most} values; give dim")
+            dim = int(least)
+        return [F.when(F.size(arr) == dim, arr.getItem(j)).cast("double") for j in range(dim)]
     return [F.col(c).cast("double") for c in cols]
 
 
@@ -138,6 +143,16 @@ def array_add(a: Column, b: Column) -> Column:
     return _same_length(a, b, F.zip_with(a, b, lambda x, y: x + y))
 
 
+def array_subtract(a: Column, b: Column) -> Column:
+    """Element-wise difference of two array columns of equal length."""
+    return _same_length(a, b, F.zip_with(a, b, lambda x, y: x - y))
+
+
+def array_scale(s: ColOrNum, a: Column) -> Column:
+    """Every element of an array column times ``s``."""
+    return F.transform(a, lambda x: x * _c(s))
+
+
 def array_dot(a: Column, b: Column) -> Column:
     """Dot product of two array columns of equal length."""
     return _same_length(a, b, F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0),

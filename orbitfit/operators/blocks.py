@@ -26,13 +26,23 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 PARTIAL_SCHEMA = "cluster int, dim int, s double"
-BLOCK_ROWS = 2048
+BLOCK_CELLS = 1 << 18   # row-centre pairs of a block: its size in memory whatever K and d
+
+
+def block_rows(k: int) -> int:
+    return max(1, BLOCK_CELLS // k)
 
 
 def nearest_block(X: np.ndarray, C: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Arg-min cluster and squared distance for each row of ``X``."""
-    diff = X[:, None, :] - C[None, :, :]
-    d2 = np.einsum("nkd,nkd->nk", diff, diff)
+    """Arg-min cluster and squared distance for each row of ``X``.
+
+    Squares are added one dimension after the other, like the column
+    expressions, so both give the same bits; memory is rows x centres.
+    """
+    d2 = np.zeros((len(X), len(C)))
+    for j in range(C.shape[1]):
+        diff = X[:, j, None] - C[None, :, j]
+        d2 += diff * diff
     idx = np.argmin(d2, axis=1)
     return idx, d2[np.arange(len(X)), idx]
 
@@ -51,8 +61,8 @@ def make_partial_kernel(names: Sequence[str], centres: Sequence[Sequence[float]]
                 continue
             X = np.column_stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.float64)
                                  for c in names])
-            for lo in range(0, n, BLOCK_ROWS):
-                blk = X[lo:lo + BLOCK_ROWS]
+            for lo in range(0, n, block_rows(k)):
+                blk = X[lo:lo + block_rows(k)]
                 idx, _ = nearest_block(blk, C)
                 counts += np.bincount(idx, minlength=k)
                 np.add.at(sums, idx, blk)
@@ -107,10 +117,9 @@ def make_assign_kernel(names: Sequence[str], centres: Sequence[Sequence[float]])
                                  for c in names])
             idx = np.empty(len(X), dtype=np.int32)
             d2 = np.empty(len(X))
-            for lo in range(0, len(X), BLOCK_ROWS):
-                i, d = nearest_block(X[lo:lo + BLOCK_ROWS], C)
-                idx[lo:lo + BLOCK_ROWS] = i
-                d2[lo:lo + BLOCK_ROWS] = d
+            step = block_rows(len(C))
+            for lo in range(0, len(X), step):
+                idx[lo:lo + step], d2[lo:lo + step] = nearest_block(X[lo:lo + step], C)
             cols = [b.column(j) for j in range(b.num_columns)]
             yield pa.RecordBatch.from_arrays(
                 cols + [pa.array(idx), pa.array(d2, type=pa.float64())],

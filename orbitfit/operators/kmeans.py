@@ -47,7 +47,8 @@ TIMING_METRICS = (
 )
 
 
-# Above this many centre coordinates (K * d) the fit uses NumPy blocks.
+# Above this many centre coordinates (K * d) NumPy blocks replace the column
+# expressions. Both add the same terms in the same order, so results are equal.
 BLOCKS_ABOVE = 64
 
 
@@ -135,10 +136,14 @@ class KMeansModel:
         """Every row with its cluster and squared distance (K10, P6). Lazy."""
         pts, names = project_points(df, features if features is not None else self.names,
                                     keys, invalid)
+        return self._tag(pts.select(*keys, *names), names)
+
+    def _tag(self, pts: DataFrame, names: Sequence[str]) -> DataFrame:
+        """``pts`` with ``cluster`` and ``d2``."""
         if self.k * len(names) > BLOCKS_ABOVE:
-            return assign_blocks(pts.select(*keys, *names), names, self.centres)
+            return assign_blocks(pts, names, self.centres)
         cluster, d2 = nearest([F.col(n) for n in names], self.centres)
-        return pts.select(*keys, *names, cluster.alias("cluster"), d2.alias("d2"))
+        return pts.select("*", cluster.alias("cluster"), d2.alias("d2"))
 
     def cluster_stats(self, df: DataFrame, features: Features | None = None,
                       around: str = "centre", invalid: str = "error") -> DataFrame:
@@ -182,54 +187,50 @@ class KMeansModel:
                 .select(F.col("cluster").alias("cluster_1"), "cluster_2", F.sqrt(d2).alias("distance")))
 
     def sample_assignments(self, df: DataFrame, keys: Sequence[str], n: int = 10, seed: int = 42,
-                           features: Features | None = None) -> DataFrame:
+                           features: Features | None = None, invalid: str = "error") -> DataFrame:
         """A seeded n-point sample with its clusters (K5, L2)."""
-        pts, names = project_points(df, features if features is not None else self.names, keys)
+        pts, names = project_points(df, features if features is not None else self.names, keys, invalid)
         smp = sample_by_hash(pts, keys, n, seed, tie_cols=names)
-        cluster, _ = nearest([F.col(m) for m in names], self.centres)
-        return smp.select(*keys, *names, cluster.alias("cluster"))
+        return self._tag(smp.select(*keys, *names), names).select(*keys, *names, "cluster")
 
     def report(self, df: DataFrame, keys: Sequence[str], features: Features | None = None,
-               n_sample: int = 10, seed: int = 42, around: str = "centre") -> dict[str, DataFrame]:
+               n_sample: int = 10, seed: int = 42, around: str = "centre",
+               invalid: str = "error") -> dict[str, DataFrame]:
         """The reference's cluster report, timed; bounded results only."""
         spark = df.sparkSession
         t0 = time.perf_counter()
-        pts, names = project_points(df, features if features is not None else self.names, keys)
-        smp = sample_by_hash(pts, keys, n_sample, seed, tie_cols=names).collect()
+        pts, names = project_points(df, features if features is not None else self.names, keys, invalid)
+        picked = sample_by_hash(pts, keys, n_sample, seed, tie_cols=names).select(*keys, *names)
+        smp = spark.createDataFrame(picked.collect(), picked.schema)   # n_sample rows
         self.timings[TIMING_METRICS[1]] = _ms(t0)
         t0 = time.perf_counter()
-        sample_rows = []
-        for r in smp:
-            p = [float(r[m]) for m in names]
-            best, bi = None, 0
-            for i, c in enumerate(self.centres):
-                d = sum((x - y) * (x - y) for x, y in zip(p, c))
-                if best is None or d < best:
-                    best, bi = d, i
-            sample_rows.append((*[r[k] for k in keys], *p, bi))
+        tagged = self._tag(smp, names).select(*keys, *names, "cluster")
+        sample = spark.createDataFrame(tagged.collect(), tagged.schema)
         self.timings[TIMING_METRICS[2]] = _ms(t0)
         t0 = time.perf_counter()
-        stats = self.cluster_stats(df, features, around).collect()
+        stats = self.cluster_stats(df, features, around, invalid).collect()
         self.timings[TIMING_METRICS[3]] = _ms(t0)
         t0 = time.perf_counter()
         icd = self.inter_cluster_distances(spark).collect()
         self.timings[TIMING_METRICS[4]] = _ms(t0)
-        key_fields = [f for f in pts.schema.fields if f.name in keys]
-        smp_schema = T.StructType(key_fields + [T.StructField(m, T.DoubleType()) for m in names]
-                                  + [T.StructField("cluster", T.IntegerType())])
         return {
             "centres": self.centres_df(spark),
             "iteration_log": self.iteration_log_df(spark),
-            "sample_assignments": spark.createDataFrame(sample_rows, smp_schema),
+            "sample_assignments": sample,
             "cluster_stats": spark.createDataFrame(stats),
             "inter_cluster_distances": spark.createDataFrame(icd),
             "timings": self.timings_df(spark),
         }
 
-    def register_views(self, df: DataFrame, keys: Sequence[str] = (), prefix: str = "") -> None:
-        """Temp views ``cluster_assignments`` and ``centroids``."""
+    def register_views(self, df: DataFrame, keys: Sequence[str] = (), prefix: str = "",
+                       features: Features | None = None, invalid: str = "error") -> None:
+        """Temp views ``cluster_assignments`` and ``centroids``.
+
+        Pass ``features`` and ``invalid`` as for the fit when it used an array
+        or vector column, expressions, or dropped incomplete rows.
+        """
         spark = df.sparkSession
-        self.assign(df, keys=keys).createOrReplaceTempView(f"{prefix}cluster_assignments")
+        self.assign(df, features, keys, invalid).createOrReplaceTempView(f"{prefix}cluster_assignments")
         self.centres_df(spark).createOrReplaceTempView(f"{prefix}centroids")
 
 
@@ -252,7 +253,7 @@ def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] =
     pts, names = project_points(df, features, keys, invalid)
     seeded = isinstance(init, str)
     # An under-split file scan (fewer splits than cores) may be spread over
-    # the cores once, on request. Such an input is small by definition, so
+    # the cores once, on request. Its partitions are fewer than the cores, so
     # the spread copy is kept (one scan, one round-robin shuffle); an input
     # with enough splits is used as it is.
     src = pts
@@ -266,17 +267,29 @@ def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] =
     # distance-squared seeding makes K passes, so it reads a cached keyed copy.
     # Keyed copies are released after the first iteration.
     base = None
+
+    def release() -> None:
+        if cache == "persist":
+            for keyed in (base, spread_copy):
+                if keyed is not None:
+                    keyed.unpersist()
+
     t0 = time.perf_counter()
     if seeded:
         if not keys:
             raise ValueError("seeded initialisation needs key columns identifying the rows")
-        if init == "random":
-            start = random_init(src, keys, names, k, seed)
-        elif init in ("k-means++", "kmeans++", "kmeanspp"):
-            base = src if spread_copy is not None else materialize(src, cache)
-            start = kmeanspp_init(base, keys, names, k, seed)
-        else:
+        if init not in ("random", "k-means++", "kmeans++", "kmeanspp"):
+            release()
             raise ValueError(f"unknown init {init!r}")
+        try:
+            if init == "random":
+                start = random_init(src, keys, names, k, seed)
+            else:
+                base = src if spread_copy is not None else materialize(src, cache)
+                start = kmeanspp_init(base, keys, names, k, seed)
+        except Exception:
+            release()
+            raise
     else:
         start = [tuple(float(v) for v in c) for c in init]
         if len(start) != k:
@@ -300,10 +313,7 @@ def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] =
             if it == 1:
                 if sum(sizes) < k:
                     raise ValueError(f"K={k} is larger than the number of points ({sum(sizes)})")
-                if cache == "persist":
-                    for keyed in (base, spread_copy):
-                        if keyed is not None:
-                            keyed.unpersist()
+                release()
             mv = movement(centres, new)
             centres = new
             ms = _ms(t0)
@@ -315,9 +325,7 @@ def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] =
     finally:
         if cache == "persist":
             feats.unpersist()
-            for keyed in (base, spread_copy):
-                if keyed is not None:
-                    keyed.unpersist()
+        release()
     model = KMeansModel(names=list(names), centres=centres, init_centres=list(start),
                         iterations=len(log), converged=converged, log=log)
     model.timings[TIMING_METRICS[0]] = total_ms

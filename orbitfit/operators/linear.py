@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orbitfit.functions.vector import dot, squared_loss_gradient
+from orbitfit.functions.vector import check_valid, dot, squared_loss_gradient
 
 
 def _col(c: str | Column) -> Column:
@@ -51,11 +51,11 @@ def moments(df: DataFrame, cols: Sequence[str]) -> tuple[int, list[float], list[
 
 
 def standardize_exprs(cols: Sequence[str], means: Sequence[float], sds: Sequence[float]) -> list[Column]:
-    """``(x - mean) / sd``; a zero (or undefined) deviation gives 0.0 (H9)."""
+    """``(x - mean) / sd``; a zero deviation gives 0.0 (H9), a NaN in the column NaN; NULL stays NULL."""
     out = []
     for c, m, s in zip(cols, means, sds):
-        if s is None or s == 0.0 or s != s:
-            out.append(F.lit(0.0).alias(c))
+        if s is None or s == 0.0:
+            out.append(F.when(F.col(c).isNotNull(), F.lit(0.0)).alias(c))
         else:
             out.append(((F.col(c).cast("double") - F.lit(float(m))) / F.lit(float(s))).alias(c))
     return out
@@ -104,10 +104,16 @@ class NormalStats:
         return g
 
 
-def normal_stats(df: DataFrame, y: str | Column, phi: Sequence[str | Column]) -> NormalStats:
+def complete_rows(df: DataFrame, y: str | Column, phi: Sequence[str | Column], invalid: str = "error"
+                  ) -> tuple[DataFrame, Column, list[Column]]:
+    """``(df, y, phi)`` under one NULL / NaN policy: an error, or the row is dropped as a whole."""
+    (yc, *ps), ok = check_valid([_col(c).cast("double") for c in (y, *phi)], invalid)
+    return (df if ok is None else df.where(ok)), yc, ps
+
+
+def normal_stats(df: DataFrame, y: str | Column, phi: Sequence[str | Column], invalid: str = "error") -> NormalStats:
     """One aggregate computing the upper triangle of Phi'Phi, Phi'y, y'y and n."""
-    yc = _col(y).cast("double")
-    ps = [_col(p).cast("double") for p in phi]
+    df, yc, ps = complete_rows(df, y, phi, invalid)
     d = len(ps)
     aggs = [F.count(F.lit(1)).alias("n"), F.sum(yc * yc).alias("yy")]
     for i in range(d):
@@ -122,14 +128,14 @@ def normal_stats(df: DataFrame, y: str | Column, phi: Sequence[str | Column]) ->
     return NormalStats(int(r["n"]), xtx, [float(r[f"b{i}"]) for i in range(d)], float(r["yy"]))
 
 
-def normal_stats_table(df: DataFrame, y: str | Column, phi: Sequence[str | Column]) -> DataFrame:
+def normal_stats_table(df: DataFrame, y: str | Column, phi: Sequence[str | Column],
+                       invalid: str = "error") -> DataFrame:
     """The same statistics as a long table ``(i, j, value)`` built in Spark.
 
     ``i = j = -1`` holds ``y'y``; ``j = -1`` holds ``Phi'y``; ``i = -1, j = -2``
     holds n. One aggregate, then an in-plan ``inline`` to long form.
     """
-    yc = _col(y).cast("double")
-    ps = [_col(p).cast("double") for p in phi]
+    df, yc, ps = complete_rows(df, y, phi, invalid)
     d = len(ps)
     entries = [(-1, -2, F.count(F.lit(1)).cast("double")), (-1, -1, F.sum(yc * yc))]
     for i in range(d):

@@ -60,14 +60,22 @@ class FitResult:
             rows.append((e, s, *ws, *vs, h[-1]))
         return spark.createDataFrame(rows, T.StructType(fields))
 
-    def register_views(self, spark: SparkSession, prefix: str = "") -> None:
-        """``weightHistoryView``, ``lossHistoryView``, ``velocityHistoryView``."""
-        h = self.history_df(spark)
-        h.select("epoch", *[f"w{j}" for j in range(self.d)]).createOrReplaceTempView(
+    def register_views(self, spark: SparkSession, prefix: str = "", w_names: Sequence[str] | None = None,
+                       v_names: Sequence[str] | None = None) -> None:
+        """``weightHistoryView``, ``lossHistoryView``, ``velocityHistoryView``.
+
+        A fit of a line (two weights) names them ``slope, intercept`` and
+        ``velocity_slope, velocity_intercept`` unless other names are given.
+        """
+        line = ["slope", "intercept"] if self.d == 2 else None
+        w_names = list(w_names or line or [f"w{j}" for j in range(self.d)])
+        v_names = list(v_names or ([f"velocity_{n}" for n in line] if line else [f"v{j}" for j in range(len(self.v))]))
+        h = self.history_df(spark, w_names, v_names)
+        h.select("epoch", *w_names).createOrReplaceTempView(
             f"{prefix}weightHistoryView")
         h.select("epoch", "loss").createOrReplaceTempView(f"{prefix}lossHistoryView")
         if self.v:
-            h.select("epoch", *[f"v{j}" for j in range(len(self.v))]).createOrReplaceTempView(
+            h.select("epoch", *v_names[:len(self.v)]).createOrReplaceTempView(
                 f"{prefix}velocityHistoryView")
 
 

@@ -158,7 +158,8 @@ def running_total(df: DataFrame, weight: str, u: str, keys: Sequence[str],
 def threshold_draw(cum: DataFrame, weight: str, u: str, keys: Sequence[str], r: float,
                    cols: Sequence[str] = (), total: float | None = None) -> DataFrame:
     """The first row (in ``(u, keys)`` order) whose inclusive total reaches
-    ``r * total``: an inverse-CDF weighted draw. One row.
+    ``r * total``: an inverse-CDF weighted draw. One row; none if no row
+    qualifies or the total is not positive.
 
     ``total``: the sum of ``weight``. Pass it when it is at hand (one plain
     aggregate over the input); otherwise it is summed from ``cum``, which
@@ -171,4 +172,4 @@ def threshold_draw(cum: DataFrame, weight: str, u: str, keys: Sequence[str], r:
         .agg(F.min(F.struct(F.col(u), *[F.col(k) for k in keys], *[F.col(c) for c in cols],
                             F.col("cum_through"))).alias("p"))
     )
-    return picked.select("p.*")
+    return picked.where(F.col("p").isNotNull() & F.lit(float(total) > 0)).select("p.*")

@@ -57,8 +57,11 @@ def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fit(spark: SparkSession, sf_dir: str, init: str = "random") -> KMeansModel:
-    return kmeans_fit(_points(spark, sf_dir), NAMES, K, keys=KEYS, init=init, tol=TOL,
-                      max_iter=MAX_ITER, seed=SEED, spread_input=True)
+    model = kmeans_fit(_points(spark, sf_dir), NAMES, K, keys=KEYS, init=init, tol=TOL,
+                       max_iter=MAX_ITER, seed=SEED, spread_input=True)
+    if not model.converged:
+        raise RuntimeError(f"no convergence within {MAX_ITER} iterations")
+    return model
 
 
 def _centres_table(spark: SparkSession, model: KMeansModel, with_iterations: bool = False

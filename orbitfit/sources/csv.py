@@ -48,11 +48,10 @@ def read_csv_stable(spark: SparkSession, path: str, schema: T.StructType = LOCAT
 
     ``timestamp_format`` applies to ``timestamp`` and ``timestamp_ntz`` columns.
     """
-    lines = spark.read.text(path)
-    if header:
-        first = lines.limit(1).collect()
-        if first:
-            lines = lines.where(F.col("value") != F.lit(first[0]["value"]))
+    # Raw lines through the CSV reader with a separator that no text holds and
+    # without quotes: it takes the first non-blank line of every file as header.
+    lines = spark.read.csv(path, schema="value string", sep="\uffff", quote="", escape="", header=header,
+                           ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     lines = lines.where(F.length(F.trim(F.col("value"))) > 0)
     full = T.StructType(list(schema.fields) + [T.StructField(_BAD, T.StringType(), True)])
     opts = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}

@@ -47,10 +47,9 @@ def line_dataset(spark: SparkSession, n: int = 1000, shards: int = 10) -> DataFr
     ``seq = i`` and ``shard = floor(i * shards / n)`` reproduce ``shards``
     contiguous slices of equal size. Small fixture for tests and goldens.
     """
-    per = n // shards
     return spark.range(n).select(
         F.col("id").alias("seq"),
-        F.floor(F.col("id") / F.lit(per)).cast("long").alias("shard"),
+        F.expr(f"id * {int(shards)} div {int(n)}").alias("shard"),
         (F.col("id") * 2 + 3).cast("double").alias("y"),
         (F.col("id") * 2 + 1).cast("double").alias("x"),
         F.lit(1.0).alias("bias"),
