@@ -26,7 +26,7 @@ MOMENT_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 W_FIXED = (0.9, 905.0)
 FB_EPOCHS, FB_S0, FB_DECAY, FB_MOMENTUM = 20, 0.1, 0.01, 0.6
 SH_S0, SH_DECAY, SH_MOMENTUM, SH_SEED = 1e-7, 0.01, 0.6, 42
-HISTORY_EPOCHS = 5
+HISTORY_EPOCHS = 50
 PHI = ["x", "bias"]
 
 # Output precision, both engines: values of magnitude ~1e5-1e10 (losses,
