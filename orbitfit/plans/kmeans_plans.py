@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from orbitfit.functions.random import hash_uniform, hash_uniform_sql
 from orbitfit.functions.vector import sq_distance
-from orbitfit.operators.kmeans import KMeansModel, kmeans_fit
+from orbitfit.operators.kmeans import TIMING_METRICS, KMeansModel, kmeans_fit
 from orbitfit.operators.points import project_points
 from orbitfit.operators.prefix import bucket_count, running_total, scalar_uniform, threshold_draw
 from orbitfit.operators.sampling import sample_by_hash
