@@ -64,12 +64,11 @@ class FitResult:
                        v_names: Sequence[str] | None = None) -> None:
         """``weightHistoryView``, ``lossHistoryView``, ``velocityHistoryView``.
 
-        A fit of a line (two weights) names them ``slope, intercept`` and
-        ``velocity_slope, velocity_intercept`` unless other names are given.
+        ``w_names`` and ``v_names`` name the columns, for a line for instance
+        ``slope, intercept`` and ``velocity_slope, velocity_intercept``.
         """
-        line = ["slope", "intercept"] if self.d == 2 else None
-        w_names = list(w_names or line or [f"w{j}" for j in range(self.d)])
-        v_names = list(v_names or ([f"velocity_{n}" for n in line] if line else [f"v{j}" for j in range(len(self.v))]))
+        w_names = list(w_names or [f"w{j}" for j in range(self.d)])
+        v_names = list(v_names or [f"v{j}" for j in range(len(self.v))])
         h = self.history_df(spark, w_names, v_names)
         h.select("epoch", *w_names).createOrReplaceTempView(
             f"{prefix}weightHistoryView")
