@@ -15,8 +15,8 @@ an inherently sequential fold into a parallel one:
    partition, so a hot shard is *split* across as many tasks as its size
    needs (no task ever holds a whole shard);
 2. ``mapInArrow`` streams each partition's Arrow batches, builds the row
-   matrices with NumPy and reduces every run of equal shard with a
-   segmented doubling scan
+   matrices with NumPy, multiplies neighbours of equal shard pairwise until
+   one matrix per run is left (a tree, so ``n - 1`` products for n rows)
    and emits one summary row per partition: the matrix of its first run
    (which may continue a shard from the previous partition), the end state
    of its last run (which may continue into the next one) and the summed
@@ -57,6 +57,10 @@ METHODS = ("sgd", "heavy_ball", "nesterov")
 STITCH_FANIN = 1024
 # Rows per partition of a sharded layout (a few tens of MB of narrow rows).
 ROWS_PER_PARTITION = 1_000_000
+# Doubles in the row matrices a task holds at once (32 MB); wide states take
+# their rows in smaller pieces. Beyond MAX_STATE a summary row gets too large.
+BLOCK_DOUBLES = 4_000_000
+MAX_STATE = 256
 
 
 def state_dim(method: str, d: int) -> int:
@@ -99,19 +103,28 @@ def row_maps(method: str, y: np.ndarray, P: np.ndarray, step: float, gamma: floa
     raise ValueError(f"unknown method {method!r}")
 
 
-def segmented_products(M: np.ndarray, seg_start: np.ndarray) -> np.ndarray:
-    """Inclusive segmented scan: ``out[i] = M[i] @ ... @ M[seg_start[i]]``."""
-    out = M.copy()
-    n = len(M)
-    idx = np.arange(n)
-    off = 1
-    longest = int((idx - seg_start).max()) + 1 if n else 0
-    while off < longest:
-        sel = idx[(idx - off) >= seg_start]
-        if len(sel):
-            out[sel] = out[sel] @ out[sel - off]
-        off *= 2
-    return out
+def run_products(M: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """One matrix per run, ``M[last] @ ... @ M[first]``; ``starts`` are the first rows.
+
+    Every level multiplies the even rows of each run by their odd successors.
+    """
+    size = np.diff(np.append(starts, len(M)))
+    while len(M) > len(size):
+        place = np.arange(len(M)) - np.repeat(np.cumsum(size) - size, size)
+        even = np.flatnonzero(place % 2 == 0)
+        paired = np.append(place[1:] % 2 == 1, False)[even]
+        out = M[even]
+        out[paired] = M[even[paired] + 1] @ out[paired]
+        M, size = out, (size + 1) // 2
+    return M
+
+
+def pieces(batches, m: int):
+    """Non-empty slices of the batches whose row matrices stay within ``BLOCK_DOUBLES``."""
+    rows = max(1, BLOCK_DOUBLES // (m * m))
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
 
 
 def _out_vector(method: str, d: int, z: np.ndarray, w0: np.ndarray) -> np.ndarray:
@@ -165,9 +178,7 @@ def make_epoch_kernel(method: str, d: int, step: float, gamma: float, z0: Sequen
                 mid_sum = mid_sum + _out_vector(method, d, mat @ z0a, w0a)
                 mid_count += 1
 
-        for b in batches:
-            if b.num_rows == 0:
-                continue
+        for b in pieces(batches, len(z0a)):
             shard = b.column("shard").to_numpy(zero_copy_only=False).astype(np.int64)
             y = b.column("y").to_numpy(zero_copy_only=False).astype(np.float64)
             P = np.column_stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.float64)
@@ -177,8 +188,7 @@ def make_epoch_kernel(method: str, d: int, step: float, gamma: float, z0: Sequen
             change[0] = True
             change[1:] = shard[1:] != shard[:-1]
             starts = np.flatnonzero(change)
-            ends = np.r_[starts[1:], len(shard)] - 1
-            totals = segmented_products(M, np.repeat(starts, ends - starts + 1))[ends]
+            totals = run_products(M, starts)
             ids = shard[starts]
             i0 = 0
             if carry is not None and ids[0] == carry_shard:
@@ -264,14 +274,12 @@ def make_chain_kernel(method: str, d: int, step: float, gamma: float, look: Sequ
         ctx = TaskContext.get()
         part = ctx.partitionId() if ctx is not None else 0
         acc = None
-        for b in batches:
-            if b.num_rows == 0:
-                continue
+        for b in pieces(batches, state_dim(method, d) + 1):
             y = b.column("y").to_numpy(zero_copy_only=False).astype(np.float64)
             P = np.column_stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.float64)
                                  for c in pcols])
             M = row_maps(method, y, P, step, gamma, look_arr)
-            tot = segmented_products(M, np.zeros(len(M), dtype=np.int64))[-1]
+            tot = run_products(M, np.zeros(1, dtype=np.int64))[0]
             acc = tot if acc is None else tot @ acc
         if acc is not None:
             yield pa.RecordBatch.from_pylist(
@@ -312,6 +320,9 @@ def chained_state(layout: DataFrame, method: str, d: int, step: float, gamma: fl
 
 
 def start_state(method: str, d: int, w: Sequence[float], v: Sequence[float]) -> np.ndarray:
+    if state_dim(method, d) >= MAX_STATE:
+        raise ValueError(f"{d} features are too many for the ordered scan (state of {MAX_STATE} at most); "
+                         "fit from sufficient statistics instead (full_batch_history)")
     w0 = np.asarray(w, dtype=np.float64)
     if method == "sgd":
         return np.r_[w0, 1.0]

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from orbitfit.operators.momentum import heavy_ball, local_sgd, nesterov
 from orbitfit.operators import scan
-from orbitfit.operators.scan import row_maps, segmented_products
+from orbitfit.operators.scan import row_maps, run_products
 from orbitfit.sources.tables import line_dataset
 
 # Golden trajectories (FIXTURES F7): generated line, step 1e-7/(1 + 0.01 epoch),
@@ -56,15 +56,14 @@ def _sequential(method, rows, w, v, s, g):
     return w, v
 
 
-def test_segmented_products_equal_sequential():
+def test_run_products_equal_sequential():
     rng = np.random.default_rng(0)
     P = rng.normal(size=(37, 2))
     y = rng.normal(size=37)
     for method in ("sgd", "heavy_ball", "nesterov"):
         look = np.array([0.3, 0.1]) - 0.6 * np.array([0.05, -0.02])
         M = row_maps(method, y, P, 0.01, 0.6, look)
-        seg = np.zeros(37, dtype=int)
-        tot = segmented_products(M, seg)[-1]
+        tot = run_products(M, np.array([0]))[0]
         z0 = {"sgd": np.r_[0.3, 0.1, 1.0], "heavy_ball": np.r_[0.3, 0.1, 0.05, -0.02, 1.0],
               "nesterov": np.r_[0.05, -0.02, 1.0]}[method]
         w, v = _sequential(method, list(zip(y, P)), [0.3, 0.1], [0.05, -0.02] if method != "sgd" else [0, 0],
@@ -298,3 +297,29 @@ def test_history_views(spark):
     assert (w[-1]["w0"], w[-1]["w1"]) == (r.w[0], r.w[1])
     assert (vel[-1]["v0"], vel[-1]["v1"]) == (r.v[0], r.v[1])
     assert [x["loss"] for x in loss] == [h[-1] for h in r.history]
+
+
+def test_run_products_of_several_runs():
+    rng = np.random.default_rng(1)
+    M = rng.normal(size=(23, 3, 3))
+    starts = np.array([0, 1, 2, 9, 13, 22])
+    got = run_products(M, starts)
+    for k, (a, b) in enumerate(zip(starts, [*starts[1:], 23])):
+        want = np.eye(3)
+        for i in range(a, b):
+            want = M[i] @ want
+        assert np.allclose(got[k], want, rtol=1e-10)
+
+
+def test_small_blocks_give_the_same_fit(spark, monkeypatch):
+    from orbitfit.operators import scan
+    df = line_dataset(spark)
+    want = heavy_ball(df, "y", ["x", "bias"], "shard", ["seq"], epochs=2).w
+    monkeypatch.setattr(scan, "BLOCK_DOUBLES", 200)   # 8 rows of 5 x 5 at a time
+    assert heavy_ball(df, "y", ["x", "bias"], "shard", ["seq"], epochs=2).w == pytest.approx(want, rel=1e-10)
+
+
+def test_too_many_features_for_the_scan():
+    from orbitfit.operators.scan import start_state
+    with pytest.raises(ValueError, match="too many"):
+        start_state("heavy_ball", 200, [0.0] * 200, [0.0] * 200)
