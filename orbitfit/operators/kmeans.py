@@ -286,7 +286,7 @@ def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] =
                 start = random_init(src, keys, names, k, seed)
             else:
                 base = src if spread_copy is not None else materialize(src, cache)
-                start = kmeanspp_init(base, keys, names, k, seed)
+                start = kmeanspp_init(base, keys, names, k, seed, cache="none")
         except Exception:
             release()
             raise

@@ -71,28 +71,30 @@ def weighted_draw(df: DataFrame, weight: "F.Column", keys: Sequence[str], names:
 
 
 def kmeanspp_init(points: DataFrame, keys: Sequence[str], names: Sequence[str], k: int,
-                  seed: int = 42, incremental: bool | None = None) -> list[tuple[float, ...]]:
+                  seed: int = 42, incremental: bool | None = None,
+                cache: str = "persist") -> list[tuple[float, ...]]:
     """K centres by distance-squared seeding, repeatable from ``seed``.
 
     Round 0 takes the point with the smallest uniform ``hash_uniform(keys,
     seed, 0)``; round r draws with weights ``min_d2`` and uniforms salted
     with r. Each round is one aggregate job returning one row.
     ``incremental``: keep ``min_d2`` as a persisted column (default: when
-    ``k > INCREMENTAL_ABOVE``).
+    ``k > INCREMENTAL_ABOVE``). ``cache``: how the points are kept for the K
+    passes, so that the source is read once ("none": they are kept already).
     """
     if k <= 0:
         raise ValueError("k must be positive")
-    pts = points.select(*keys, *names)
     xs = [F.col(n) for n in names]
     u0 = hash_uniform(keys, seed, 0)
-    first = pts.agg(F.min(F.struct(u0.alias("u"), *xs)).alias("best")).collect()[0]["best"]
-    if first is None:
-        raise ValueError("no points to seed from")
-    centres = [tuple(float(first[n]) for n in names)]
     if incremental is None:
         incremental = k > INCREMENTAL_ABOVE
     cur = None
+    pts = materialize(points.select(*keys, *names), cache if k > 1 else "none")
     try:
+        first = pts.agg(F.min(F.struct(u0.alias("u"), *xs)).alias("best")).collect()[0]["best"]
+        if first is None:
+            raise ValueError("no points to seed from")
+        centres = [tuple(float(first[n]) for n in names)]
         for r in range(1, k):
             if not incremental:
                 nxt = weighted_draw(pts, min_sq_distance(xs, centres), keys, names, seed, r)
@@ -115,4 +117,6 @@ def kmeanspp_init(points: DataFrame, keys: Sequence[str], names: Sequence[str],
     finally:
         if cur is not None:
             cur.unpersist()
+        if cache == "persist" and k > 1:
+            pts.unpersist()
     return centres

@@ -96,3 +96,19 @@ def test_incremental_seeding_draws_the_same_centres(spark, monkeypatch):
     a = kmeanspp_init(pts, LINEITEM_KEYS, ["x", "y"], 9, seed=7, incremental=False)
     b = kmeanspp_init(pts, LINEITEM_KEYS, ["x", "y"], 9, seed=7, incremental=True)
     assert a == b and len(set(a)) == 9
+
+
+def test_kmeanspp_reads_a_kept_copy(spark, monkeypatch):
+    from orbitfit.operators import seeding
+    plans = []
+    draw = seeding.weighted_draw
+
+    def seen(df, *args):
+        plans.append(df._jdf.queryExecution().withCachedData().toString())
+        return draw(df, *args)
+
+    monkeypatch.setattr(seeding, "weighted_draw", seen)
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    seeding.kmeanspp_init(lineitem_points(spark, SF_SMALL), LINEITEM_KEYS, ["x", "y"], 4)
+    assert len(plans) == 3 and all("InMemoryRelation" in p for p in plans)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
