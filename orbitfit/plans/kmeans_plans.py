@@ -7,12 +7,14 @@ whole table. Computed doubles are rounded to 6 decimals on both sides.
 
 from __future__ import annotations
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orbitfit.functions.random import hash_uniform, hash_uniform_sql
-from orbitfit.functions.vector import sq_distance
+from orbitfit.functions.vector import array_add, array_dot, array_scale, array_subtract, sq_distance
 from orbitfit.operators.kmeans import TIMING_METRICS, KMeansModel, kmeans_fit
 from orbitfit.operators.points import project_points
 from orbitfit.operators.prefix import bucket_count, running_total, scalar_uniform, threshold_draw
@@ -209,7 +211,7 @@ def kmeanspp_threshold_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kmeanspp_init_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     pts, _ = project_points(_points(spark, sf_dir), NAMES, KEYS)
-    seeds = kmeanspp_init(pts, KEYS, NAMES, K, SEED)
+    seeds = kmeanspp_init(spread(pts), KEYS, NAMES, K, SEED)
     schema = T.StructType([T.StructField("seed_order", T.IntegerType(), False)]
                           + [T.StructField(n, T.DoubleType(), False) for n in NAMES])
     return spark.createDataFrame([(i, *c) for i, c in enumerate(seeds)], schema)
@@ -219,6 +221,32 @@ def kmeanspp_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _centres_table(spark, _fit(spark, sf_dir, init="k-means++"), with_iterations=True)
 
 
+def kmeans_vector_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The points as one ML vector column with four zeros appended: sparse where
+    the line number is even (the assembler's choice for mostly zeros), else dense."""
+    zeros = [F.lit(0.0).alias(f"zero_{j}") for j in range(4)]
+    pts = _points(spark, sf_dir).select("*", *zeros)
+    wide = VectorAssembler(inputCols=[*NAMES, *[f"zero_{j}" for j in range(4)]], outputCol="sparse").transform(pts)
+    wide = wide.withColumn("point", F.when(F.col("l_linenumber") % 2 == 0, F.col("sparse")).otherwise(
+        array_to_vector(F.concat(F.array(*NAMES), F.array_repeat(F.lit(0.0), 4)))))
+    start = [(*c, 0.0, 0.0, 0.0, 0.0) for c in START]
+    names = [f"point_{j}" for j in range(len(start[0]))]
+    model = KMeansModel(names=names, centres=start, init_centres=start, iterations=0, converged=False)
+    a = model.assign(wide, features="point", keys=KEYS)
+    return a.select(*KEYS, "cluster", _r(F.col("d2")).alias("d2"))
+
+
+def embedding_arithmetic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per vector ``e``: ``2e``, ``e + 2e`` and ``(e + 2e) - e/2``, each by its dot product with ``e``."""
+    e = F.col("embedding").cast("array<double>")
+    twice = array_scale(2.0, e)
+    total = array_add(e, twice)
+    less = array_subtract(total, array_scale(0.5, e))
+    return table(spark, sf_dir, "embeddings").select(
+        "vec_id", _r(array_dot(e, twice)).alias("dot_scaled"), _r(array_dot(e, total)).alias("dot_sum"),
+        _r(array_dot(e, less)).alias("dot_difference"))
+
+
 def kmeans_embeddings_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     emb = table(spark, sf_dir, "embeddings")
     m = kmeans_fit(emb, "embedding", EMB_K, keys=["vec_id"], init="random", tol=-1.0,
@@ -340,6 +368,17 @@ SQL["kmeans_embeddings_step"] = with_(
     wide_to_long(f"c{EMB_ITERS}", _EN, EMB_K))
 
 
+SQL["kmeans_vector_assign"] = with_(
+    [PTS, literal_centres_cte("c0", NAMES, START)],
+    f"SELECT {KEYCOLS}, nn.cluster AS cluster, round(nn.d2, 6) AS d2 FROM ({_sql_assign('c0')})")
+
+_DE = "CAST(embedding AS DOUBLE[])"
+SQL["embedding_arithmetic"] = (
+    "SELECT vec_id, " + ", ".join(
+        f"round(list_sum(list_transform({_DE}, lambda x: x * {v})), 6) AS {n}" for n, v in [
+            ("dot_scaled", "(2.0::DOUBLE * x)"), ("dot_sum", "(x + 2.0::DOUBLE * x)"),
+            ("dot_difference", "((x + 2.0::DOUBLE * x) - 0.5::DOUBLE * x)")]) + " FROM embeddings")
+
 SQL["kmeans_timings"] = SQL_TIMINGS
 
 
@@ -363,4 +402,6 @@ QUERIES = {
     "kmeanspp_init": kmeanspp_init_query,
     "kmeanspp_fit": kmeanspp_fit,
     "kmeans_embeddings_step": kmeans_embeddings_step,
+    "kmeans_vector_assign": kmeans_vector_assign,
+    "embedding_arithmetic": embedding_arithmetic,
 }

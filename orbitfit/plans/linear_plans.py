@@ -135,6 +135,24 @@ def _sharded(method: str, epochs: int):
     return run
 
 
+# Column and view of each history query, as the views name them.
+_VIEWS = {
+    "weight_history_view": ("weightHistoryView", ["slope", "intercept"], 6),
+    "velocity_history_view": ("velocityHistoryView", ["velocity_slope", "velocity_intercept"], 6),
+    "loss_history_view": ("lossHistoryView", ["loss"], LOSS_DIGITS),
+}
+
+
+def _history_view(view: str, columns: list[str], digits: int):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        res = heavy_ball(_rr(spark, sf_dir), "y", PHI, "shard", ["seq"], HISTORY_EPOCHS, SH_S0, SH_DECAY, SH_MOMENTUM)
+        res.register_views(spark, w_names=["slope", "intercept"],
+                           v_names=["velocity_slope", "velocity_intercept"])
+        return spark.sql("SELECT epoch, " + ", ".join(f"round({c}, {digits}) AS {c}" for c in columns)
+                         + f" FROM {view}")
+    return run
+
+
 # ---------------------------------------------------------------- SQL side
 _R = ("r AS MATERIALIZED (SELECT p_partkey AS seq, p_partkey // 100 AS shard, p_retailprice AS y, "
       "(p_partkey % 1000) / CAST('10.0' AS DOUBLE) AS x, CAST('1.0' AS DOUBLE) AS bias FROM part)")
@@ -290,3 +308,6 @@ for _m, _name in (("heavy_ball", "heavy_ball"), ("nesterov", "nesterov"), ("sgd"
     QUERIES[f"{_name}_history"] = _sharded(_m, HISTORY_EPOCHS)
     SQL[f"{_name}_epoch"] = _sharded_sql(_m, 1)
     SQL[f"{_name}_history"] = _sharded_sql(_m, HISTORY_EPOCHS)
+for _name, _view in _VIEWS.items():
+    QUERIES[_name] = _history_view(*_view)
+    SQL[_name] = f"SELECT epoch, {', '.join(_view[1])} FROM ({SQL['heavy_ball_history']})"

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orbitfit.session import shared_dir
-from orbitfit.sources.csv import read_csv_stable, write_location_csv
+from orbitfit.sources.csv import LOCATION_TIME_FORMAT, parse_csv_lines, read_csv_stable, write_location_csv
 from orbitfit.sources.tables import table
 
 LOCATION_NTZ_SCHEMA = T.StructType([
@@ -37,9 +37,26 @@ def csv_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(F.date_format("time", "yyyy-MM-dd HH:mm:ss").alias("time"), "lat", "lon", "base")
 
 
+def csv_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a line, by ``event_id % 7`` with a bad date (0), a bad
+    number (1), a field too few (2) or one too many (3); the others parse."""
+    kind = F.col("event_id") % 7
+    good = [F.date_format("ts", LOCATION_TIME_FORMAT), F.col("value").cast("string"),
+            F.col("user_id").cast("string"), F.col("event_type")]
+    line = (F.when(kind == 0, F.concat_ws(",", F.lit("13/32/2014 0:00:00"), *good[1:]))
+            .when(kind == 1, F.concat_ws(",", good[0], F.lit("n/a"), *good[2:]))
+            .when(kind == 2, F.concat_ws(",", *good[:3]))
+            .when(kind == 3, F.concat_ws(",", *good, F.lit("more")))
+            .otherwise(F.concat_ws(",", *good)))
+    back = parse_csv_lines(table(spark, sf_dir, "events").select(line.alias("value")), LOCATION_NTZ_SCHEMA)
+    return back.select(F.date_format("time", "yyyy-MM-dd HH:mm:ss").alias("time"), "lat", "lon", "base")
+
+
 SQL = {
+    "csv_malformed": ("SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS time, value AS lat, "
+                      "CAST(user_id AS DOUBLE) AS lon, event_type AS base FROM events WHERE event_id % 7 > 3"),
     "csv_points": ("SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS time, value AS lat, "
                    "CAST(user_id AS DOUBLE) AS lon, event_type AS base FROM events"),
 }
 
-QUERIES = {"csv_points": csv_points}
+QUERIES = {"csv_points": csv_points, "csv_malformed": csv_malformed}

@@ -52,13 +52,19 @@ def read_csv_stable(spark: SparkSession, path: str, schema: T.StructType = LOCAT
     # without quotes: it takes the first non-blank line of every file as header.
     lines = spark.read.csv(path, schema="value string", sep="\uffff", quote="", escape="", header=header,
                            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-    lines = lines.where(F.length(F.trim(F.col("value"))) > 0)
+    return parse_csv_lines(lines, schema, sep, timestamp_format)
+
+
+def parse_csv_lines(lines: DataFrame, schema: T.StructType = LOCATION_SCHEMA, sep: str = ",",
+                    timestamp_format: str | None = LOCATION_TIME_FORMAT, column: str = "value") -> DataFrame:
+    """Typed rows of the CSV lines in ``column``; blank and malformed lines dropped."""
+    lines = lines.where(F.length(F.trim(F.col(column))) > 0)
     full = T.StructType(list(schema.fields) + [T.StructField(_BAD, T.StringType(), True)])
     opts = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
     if timestamp_format:
         opts["timestampFormat"] = timestamp_format
         opts["timestampNTZFormat"] = timestamp_format
-    parsed = lines.select(F.from_csv(F.col("value"), full.simpleString(), opts).alias("r"))
+    parsed = lines.select(F.from_csv(F.col(column), full.simpleString(), opts).alias("r"))
     return parsed.where(F.col(f"r.{_BAD}").isNull()).select(
         *[F.col(f"r.{f.name}").alias(f.name) for f in schema.fields])
 
