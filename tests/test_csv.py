@@ -26,7 +26,7 @@ def csv_path(tmp_path):
 
 
 def _policy(spark):
-    return spark.conf.get("spark.sql.legacy.timeParserPolicy", "EXCEPTION")
+    return spark.conf.get("spark.sql.legacy.timeParserPolicy")
 
 
 def test_corrected_parser_keeps_two_rows_for_every_projection(spark, csv_path):
