@@ -76,13 +76,14 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE) -> DataFrame:
-    """(id, fp) with fp as a signed long holding the 64 bits."""
+    """(id, fp, text_hash) with fp as a signed long holding the 64 bits."""
     @F.pandas_udf("long")
     def fp(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
             yield pd.Series(np.array([fingerprint(t, shingle) for t in batch], np.uint64).view(np.int64))
 
-    return docs.select(F.col(id_col).alias("id"), fp(F.col(text_col)).alias("fp"))
+    return docs.select(F.col(id_col).alias("id"), fp(F.col(text_col)).alias("fp"),
+                       F.xxhash64(F.col(text_col)).alias("text_hash"))
 
 
 def popcounts(fps: np.ndarray) -> np.ndarray:
@@ -228,24 +229,43 @@ def near_links(distinct: DataFrame, distance: int = DISTANCE, cell_limit: int =
             .mapInArrow(cell_links(distance), "a long, b long"))
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
-               distance: int = DISTANCE, cell_limit: int = CELL_LIMIT) -> DataFrame:
-    """Per row: id, fp (signed long), fingerprint (16 hex digits), component_id."""
+def classed(docs: DataFrame, id_col: str, text_col: str, shingle: int, distance: int, cell_limit: int
+            ) -> tuple[DataFrame, DataFrame]:
+    """Rows (id, fp, text_hash) and one row per distinct fingerprint: fp, first (its smallest id), component.
+
+    ``component`` (none, first, fp) is the smallest label the fingerprint reaches, its own if it has no link.
+    """
     rows = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     # A fingerprint's label is its smallest id; the fingerprint itself keeps labels apart when ids repeat.
     classes = written(rows.groupBy("fp").agg(F.min("id").alias("first")), "classes")
     label = F.struct(F.col("first").isNull().alias("none"), "first", "fp")
     found = components(near_links(classes, distance, cell_limit),
                        classes.select(F.col("fp").alias("node"), label.alias("label")))
-    labels = classes.join(found, classes["fp"] == found["node"], "left").select(
-        "fp", F.coalesce(F.col("component.first"), F.col("first")).alias("component_id"))
+    return rows, classes.join(found, classes["fp"] == found["node"], "left").select(
+        "fp", "first", F.coalesce("component", label).alias("component"))
+
+
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+               distance: int = DISTANCE, cell_limit: int = CELL_LIMIT) -> DataFrame:
+    """Per row: id, fp (signed long), fingerprint (16 hex digits), component_id."""
+    rows, classes = classed(docs, id_col, text_col, shingle, distance, cell_limit)
+    labels = classes.select("fp", F.col("component.first").alias("component_id"))
     return rows.join(labels, "fp").select(
         F.col("id").alias(id_col), "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each component, with all its columns: the one with the smallest id."""
-    kept = (near_dedup(docs, id_col, text_col).filter(F.col(id_col).eqNullSafe(F.col("component_id")))
-            .select(F.col(id_col).alias("__id")).distinct())
-    joined = docs.join(kept, F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
-    return joined.dropDuplicates([id_col]).select(*[F.col(f"`{c}`") for c in docs.columns])
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+             distance: int = DISTANCE) -> DataFrame:
+    """One document of each component, with all its columns: the one with the smallest id.
+
+    A null identifier stays only where its whole component has none. Of rows
+    that share the identifier the smallest fingerprint, then text hash, stays,
+    so rows without an identifier, or with one used twice, are told apart.
+    """
+    rows, classes = classed(docs, id_col, text_col, shingle, distance, CELL_LIMIT)
+    heads = classes.filter(F.col("component.fp") == F.col("fp")).select("fp", "first")
+    kept = (rows.join(heads, "fp").filter(F.col("id").eqNullSafe(F.col("first")))
+            .groupBy("fp", F.col("id").alias("__id")).agg(F.min("text_hash").alias("__hash")))
+    marked = docs.withColumn("__text", F.xxhash64(F.col(text_col)))
+    joined = marked.join(kept, (F.col("__text") == F.col("__hash")) & F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
+    return joined.dropDuplicates([id_col, "__text"]).select(*[F.col(f"`{c}`") for c in docs.columns])

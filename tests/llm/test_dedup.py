@@ -72,6 +72,19 @@ def test_simhash_edges(edges, nothing):
     assert kept.filter("doc_id in (1, 2)").count() == 1
 
 
+def test_simhash_keeps_texts_without_or_with_shared_ids(spark):
+    rng = random.Random(5)
+    a, b, c, d = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(4))
+    rows = [(None, a), (None, b), (7, c), (7, d), (7, d), (None, c), (9, c), (None, None), (None, " ")]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, first string")
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    got = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert sorted((i, t) for i, t in got if i) == sorted([(7, c), (7, d)])
+    assert {t for i, t in got if i is None and t and t.strip()} == {a, b}
+    assert sum(not (t or "").strip() for _, t in got) == 1 and len(got) == 5
+
+
 def test_grid_finds_every_pair_of_a_dense_cluster(spark):
     rng = random.Random(1)
     centre = rng.getrandbits(64)
