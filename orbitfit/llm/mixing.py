@@ -33,7 +33,7 @@ from orbitfit.llm.base import written
 
 WEIGHTS = (5, 2, 1)   # by source in code point order, repeating
 CAP = 3               # most copies of a document, most words of a source over its size
-CELLS = 1024          # shift cells per source
+CELLS = 16384         # shift cells per source; one task per source orders the rows of one cell
 STEPS = 40            # Newton steps at most; the rounding meets the target whatever is left
 CLOSE = 1e-6          # relative miss of the dual at which a source is done
 
