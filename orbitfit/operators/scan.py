@@ -16,7 +16,8 @@ an inherently sequential fold into a parallel one:
    needs (no task ever holds a whole shard);
 2. ``mapInArrow`` streams each partition's Arrow batches, builds the row
    matrices with NumPy, multiplies neighbours of equal shard pairwise until
-   one matrix per run is left (a tree, so ``n - 1`` products for n rows)
+   one matrix per run is left (a tree, so ``n - 1`` products for n rows;
+   Nesterov needs none, its run is a weighted sum of the row gradients)
    and emits one summary row per partition: the matrix of its first run
    (which may continue a shard from the previous partition), the end state
    of its last run (which may continue into the next one) and the summed
@@ -55,8 +56,8 @@ METHODS = ("sgd", "heavy_ball", "nesterov")
 # Most partition summaries the driver receives per epoch; beyond that they
 # are merged on executors first, this many consecutive ones per group.
 STITCH_FANIN = 1024
-# Rows per partition of a sharded layout (a few tens of MB of narrow rows).
-ROWS_PER_PARTITION = 1_000_000
+# Rows per partition of a sharded layout (about 0.6 GB of narrow rows).
+ROWS_PER_PARTITION = 8_000_000
 # Doubles in the row matrices a task holds at once (32 MB); wide states take
 # their rows in smaller pieces. Beyond MAX_STATE a summary row gets too large.
 BLOCK_DOUBLES = 4_000_000
@@ -119,6 +120,29 @@ def run_products(M: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return M
 
 
+def nesterov_totals(y: np.ndarray, P: np.ndarray, starts: np.ndarray, step: float, gamma: float,
+                    look: np.ndarray) -> np.ndarray:
+    """One matrix per run, without a matrix per row: a run of n rows maps v to
+    ``gamma^n v + sum_k gamma^(n-1-k) step grad_k``."""
+    n, d = P.shape
+    size = np.diff(np.append(starts, n))
+    left = np.repeat(starts + size, size) - 1 - np.arange(n)   # rows of the run still to come
+    grad = P * (step * 2.0 * (P @ look - y) * np.power(gamma, left))[:, None]
+    M = np.zeros((len(starts), d + 1, d + 1))
+    M[:, :d, :d] = np.power(gamma, size)[:, None, None] * np.eye(d)
+    M[:, :d, d] = np.add.reduceat(grad, starts, axis=0)
+    M[:, d, d] = 1.0
+    return M
+
+
+def run_totals(method: str, y: np.ndarray, P: np.ndarray, starts: np.ndarray, step: float, gamma: float,
+               look: np.ndarray | None) -> np.ndarray:
+    """One matrix per run of rows."""
+    if method == "nesterov":
+        return nesterov_totals(y, P, starts, step, gamma, look)
+    return run_products(row_maps(method, y, P, step, gamma, look), starts)
+
+
 def pieces(batches, m: int):
     """Non-empty slices of the batches whose row matrices stay within ``BLOCK_DOUBLES``."""
     rows = max(1, BLOCK_DOUBLES // (m * m))
@@ -183,12 +207,11 @@ def make_epoch_kernel(method: str, d: int, step: float, gamma: float, z0: Sequen
             y = b.column("y").to_numpy(zero_copy_only=False).astype(np.float64)
             P = np.column_stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.float64)
                                  for c in pcols])
-            M = row_maps(method, y, P, step, gamma, look)
             change = np.empty(len(shard), dtype=bool)
             change[0] = True
             change[1:] = shard[1:] != shard[:-1]
             starts = np.flatnonzero(change)
-            totals = run_products(M, starts)
+            totals = run_totals(method, y, P, starts, step, gamma, look)
             ids = shard[starts]
             i0 = 0
             if carry is not None and ids[0] == carry_shard:
@@ -278,8 +301,7 @@ def make_chain_kernel(method: str, d: int, step: float, gamma: float, look: Sequ
             y = b.column("y").to_numpy(zero_copy_only=False).astype(np.float64)
             P = np.column_stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.float64)
                                  for c in pcols])
-            M = row_maps(method, y, P, step, gamma, look_arr)
-            tot = run_products(M, np.zeros(1, dtype=np.int64))[0]
+            tot = run_totals(method, y, P, np.zeros(1, dtype=np.int64), step, gamma, look_arr)[0]
             acc = tot if acc is None else tot @ acc
         if acc is not None:
             yield pa.RecordBatch.from_pylist(

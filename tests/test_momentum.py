@@ -323,3 +323,13 @@ def test_too_many_features_for_the_scan():
     from orbitfit.operators.scan import start_state
     with pytest.raises(ValueError, match="too many"):
         start_state("heavy_ball", 200, [0.0] * 200, [0.0] * 200)
+
+
+def test_nesterov_totals_equal_the_products():
+    from orbitfit.operators.scan import nesterov_totals
+
+    rng = np.random.default_rng(11)
+    y, P, look = rng.normal(size=70), rng.normal(size=(70, 3)), rng.normal(size=3)
+    starts = np.array([0, 1, 4, 33, 69])
+    want = run_products(row_maps("nesterov", y, P, 0.02, 0.6, look), starts)
+    assert np.allclose(nesterov_totals(y, P, starts, 0.02, 0.6, look), want, rtol=1e-12, atol=1e-14)
