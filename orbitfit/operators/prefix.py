@@ -27,13 +27,14 @@ ids. The offset table has exactly B rows; it is broadcast only while
 from __future__ import annotations
 
 import hashlib
+import math
 import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,7 +50,8 @@ def scalar_uniform(*salt: int | str) -> float:
     return (int(h[:13], 16) + 0.5) / TWO_52
 
 
-ROWS_PER_BUCKET = 1_000_000
+# About 0.7 GB of rows of ten columns; the sort spills beyond memory.
+ROWS_PER_BUCKET = 8_000_000
 BROADCAST_MAX_BUCKETS = 2_000_000
 
 
@@ -85,8 +87,27 @@ def _local_sums_kernel(weight: str):
     return kernel
 
 
+# Slices of u that ``u_slices`` counts (at most so many rows reach the driver).
+SLICES = 1024
+
+
+def u_slices(u: Column) -> Column:
+    """Slice of ``u`` for counting: see ``evenly_sliced``."""
+    return F.floor(u * SLICES)
+
+
+def evenly_sliced(counts: Sequence[int], buckets: int) -> bool:
+    """Whether equal slices of ``u`` make even partitions, from the row counts of the slices.
+
+    Keys draw ``u`` uniformly, so only copies of a key can crowd a slice. A
+    slice may exceed the mean by its noise and by one partition's worth.
+    """
+    mean = sum(counts) / SLICES
+    return max(counts, default=0) <= mean + 8 * math.sqrt(mean) + sum(counts) / buckets
+
+
 def ordered_layout(df: DataFrame, u: str, keys: Sequence[str], buckets: int,
-                   tie: str | None = None) -> DataFrame:
+                   tie: str | None = None, even: bool = False) -> DataFrame:
     """Rows range-partitioned on ``(u, keys..., _tie)`` into ``buckets``
     partitions and sorted inside each: partition i holds the i-th slice of
     the global order.
@@ -96,9 +117,16 @@ def ordered_layout(df: DataFrame, u: str, keys: Sequence[str], buckets: int,
     id is only reproducible on a task retry if the rows arrive in a fixed
     order (a file scan does; a shuffle read does not), so for an input that
     went through a shuffle, take the id at the scan and pass it as ``tie``.
+
+    ``even``: the caller knows that no group of copies crowds a slice of ``u``
+    (``evenly_sliced``). Partition i is then the i-th of ``buckets`` equal
+    slices of ``u``: no pass over the input to sample range bounds.
     """
     tie_col = F.col(tie) if tie else F.monotonically_increasing_id()
     order = [F.col(u), *[F.col(k) for k in keys], F.col("_tie")]
+    if even:
+        part = F.least(F.floor(F.col(u) * buckets), F.lit(buckets - 1)).cast("int")
+        return df.withColumn("_tie", tie_col).repartitionById(buckets, part).sortWithinPartitions(*order)
     return (df.withColumn("_tie", tie_col)
             .repartitionByRange(buckets, *order).sortWithinPartitions(*order))
 
@@ -127,13 +155,14 @@ def _partition_total_kernel(weight: str):
 
 
 def running_total(df: DataFrame, weight: str, u: str, keys: Sequence[str],
-                  buckets: int | None = None, tie: str | None = None) -> DataFrame:
+                  buckets: int | None = None, tie: str | None = None, even: bool = False) -> DataFrame:
     """Adds ``cum_before`` (exclusive) and ``cum_through`` (inclusive) of ``weight``
     in the order ``(u, keys...)``; rows equal on all of them are copies.
-    ``tie``: optional unique row id separating copies (see ``ordered_layout``)."""
+    ``tie``: optional unique row id separating copies; ``even``: no group of copies
+    crowds a slice of ``u`` (see ``ordered_layout`` for both)."""
     if buckets is None:
         buckets = bucket_count(df.sparkSession, df.count())
-    lay = ordered_layout(df, u, keys, buckets, tie)
+    lay = ordered_layout(df, u, keys, buckets, tie, even)
     out_schema = T.StructType(list(lay.schema.fields) + [
         T.StructField("_part", T.IntegerType(), True),
         T.StructField("_lb", T.DoubleType(), True),

@@ -17,7 +17,9 @@ from orbitfit.functions.random import hash_uniform, hash_uniform_sql
 from orbitfit.functions.vector import array_add, array_dot, array_scale, array_subtract, sq_distance
 from orbitfit.operators.kmeans import TIMING_METRICS, KMeansModel, kmeans_fit
 from orbitfit.operators.points import project_points
-from orbitfit.operators.prefix import bucket_count, running_total, scalar_uniform, threshold_draw
+from orbitfit.operators.prefix import (
+    bucket_count, evenly_sliced, running_total, scalar_uniform, threshold_draw, u_slices,
+)
 from orbitfit.operators.sampling import sample_by_hash
 from orbitfit.operators.seeding import kmeanspp_init, min_sq_distance
 from orbitfit.session import spread
@@ -172,40 +174,42 @@ def _lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.round(F.col("l_discount") * F.lit(100.0)).alias("y"))
 
 
-def _cumulative_input(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """``(data, weights)``: the keyed, hashed rows for the running total
-    (spread over the cores when under-split) and the plain weight column read
-    straight from the scan, for counts and totals that need neither."""
-    # The row id that separates copies is taken at the scan, where rows come
-    # in a fixed order, before the under-split input is spread over the cores.
-    raw = _lattice(spark, sf_dir).withColumn("_rid", F.monotonically_increasing_id())
-    lat = spread(raw)
-    first = kmeanspp_init(lat, KEYS, NAMES, 1, SEED)
-    w = sq_distance([F.col(n) for n in NAMES], first[0])
-    data = lat.select(*KEYS, *NAMES, w.alias("w"), hash_uniform(KEYS, SEED, 1).alias("u"), "_rid")
-    return data, raw.select(w.alias("w"))
-
+def _cumulative(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """``(running totals, weights)``: the second is the plain weight column of the scan.
 
-def _cumulative(data: DataFrame, buckets: int) -> DataFrame:
+    One aggregate over the scan finds the first centre, the row count and
+    whether equal slices of ``u`` are even; the rows are then read once more
+    (twice with crowded slices, for the range bounds) and shuffled once.
+    """
+    u = hash_uniform(KEYS, SEED, 1)
+    raw = _lattice(spark, sf_dir).withColumn("_rid", F.monotonically_increasing_id())
+    seen = raw.groupBy(u_slices(u)).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min(F.struct(hash_uniform(KEYS, SEED, 0).alias("u"), *NAMES)).alias("first")).collect()
+    if not seen:
+        raise ValueError("no rows to weigh")
+    first = min(tuple(r["first"]) for r in seen)[1:]
+    counts = [r["n"] for r in seen]
+    buckets = bucket_count(spark, sum(counts))
+    w = sq_distance([F.col(n) for n in NAMES], first)
+    data = raw.select(*KEYS, *NAMES, w.alias("w"), u.alias("u"), "_rid")
     # order: u, then keys, then coordinates (a duplicated key stays ordered)
-    return running_total(data, "w", "u", [*KEYS, *NAMES], buckets=buckets, tie="_rid")
+    cum = running_total(data, "w", "u", [*KEYS, *NAMES], buckets=buckets, tie="_rid",
+                        even=evenly_sliced(counts, buckets))
+    return cum, raw.select(w.alias("w"))
 
 
 def kmeanspp_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
-    data, weights = _cumulative_input(spark, sf_dir)
-    return _cumulative(data, bucket_count(spark, weights.count()))
+    return _cumulative(spark, sf_dir)[0]
 
 
 THRESHOLD_R = scalar_uniform(SEED, "threshold")
 
 
 def kmeanspp_threshold_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    data, weights = _cumulative_input(spark, sf_dir)
-    # one aggregate over the scan gives both the total weight and the row
-    # count that sizes the running total's partitions
-    agg = weights.agg(F.count(F.lit(1)).alias("n"), F.sum("w").alias("t")).collect()[0]
-    cum = _cumulative(data, bucket_count(spark, agg["n"]))
-    d = threshold_draw(cum, "w", "u", [*KEYS, *NAMES], THRESHOLD_R, total=agg["t"] or 0.0)
+    cum, weights = _cumulative(spark, sf_dir)
+    total = weights.agg(F.sum("w")).collect()[0][0] or 0.0
+    d = threshold_draw(cum, "w", "u", [*KEYS, *NAMES], THRESHOLD_R, total=total)
     return d.select(*KEYS, *NAMES, "cum_through")
 
 

@@ -82,6 +82,17 @@ def test_running_total_one_range_shuffle_broadcasts_only_offsets(spark):
     _no_data_sized_cross(p)
 
 
+def test_running_total_over_even_slices_reads_the_rows_once(spark):
+    pts = lineitem_points(spark, SF_SMALL)
+    data = pts.select(*LINEITEM_KEYS, F.col("x").alias("w"), hash_uniform(LINEITEM_KEYS, 1).alias("u"))
+    q = running_total(data, "w", "u", LINEITEM_KEYS, buckets=4, even=True)
+    q.collect()
+    final = _plan(q).split("== Initial Plan ==")[0]
+    # no range bounds, so no sampling pass; one scan, one shuffle of the rows, read twice
+    assert "rangepartitioning" not in final and final.count("FileScan") == 1
+    assert final.count("REPARTITION_BY_NUM") == 2 and "ReusedExchange" in final   # the second is the reuse
+
+
 def test_centre_pairs_need_no_join(spark):
     centres = START + [(3.0, 3.0), (40.0, 9.0)]
     m = KMeansModel(["x", "y"], centres, centres, 0, False)

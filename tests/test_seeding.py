@@ -42,18 +42,19 @@ def test_sample_by_hash_is_smallest_uniforms(spark):
     assert got == [k for _, k in allu[:7]]
 
 
-def test_running_total_matches_brute_force(spark):
+@pytest.mark.parametrize("even", [False, True])
+def test_running_total_matches_brute_force(spark, even):
     df = spark.range(500).select(F.col("id").alias("k"), (F.col("id") % 7).cast("double").alias("w"))
     data = df.withColumn("u", hash_uniform(["k"], 5))
     got = {r["k"]: (r["cum_before"], r["cum_through"]) for r in
-           running_total(data, "w", "u", ["k"], buckets=8).collect()}
+           running_total(data, "w", "u", ["k"], buckets=8, even=even).collect()}
     rows = sorted((r["u"], r["k"], r["w"]) for r in data.collect())
     acc = 0.0
     for _, k, w in rows:
         assert got[k] == (acc, acc + w)
         acc += w
     r = scalar_uniform(5, "t")
-    d = threshold_draw(running_total(data, "w", "u", ["k"], buckets=8), "w", "u", ["k"], r).collect()[0]
+    d = threshold_draw(running_total(data, "w", "u", ["k"], buckets=8, even=even), "w", "u", ["k"], r).collect()[0]
     acc = 0.0
     for _, k, w in rows:
         acc += w
@@ -86,6 +87,15 @@ def test_running_total_splits_a_group_of_copies(spark, tie):
     assert got == exp
 
 
+def test_crowded_slices_are_seen():
+    from orbitfit.operators.prefix import SLICES, evenly_sliced
+    assert evenly_sliced([1000] * SLICES, 40_000) and evenly_sliced([], 1)
+    assert evenly_sliced([1000] * (SLICES - 1) + [1200], 40_000)                  # noise
+    assert not evenly_sliced([1000] * (SLICES - 1) + [2000], 40_000)              # copies of many partitions
+    assert evenly_sliced([1000] * (SLICES - 1) + [2000], 8)                       # far below one partition
+    assert not evenly_sliced([1000] * (SLICES - 1) + [SLICES * 500], 8)           # a third of all rows
+
+
 def test_incremental_seeding_draws_the_same_centres(spark, monkeypatch):
     """The persisted running-minimum path (with a rebuild every 3 rounds)
     draws exactly the centres of the recompute-all path."""
