@@ -75,15 +75,16 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(sum(1 << i for i in np.flatnonzero(2 * counts > n).tolist()))
 
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE) -> DataFrame:
-    """(id, fp, text_hash) with fp as a signed long holding the 64 bits."""
+def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE,
+                 hashes: bool = False) -> DataFrame:
+    """(id, fp) with fp as a signed long holding the 64 bits; with ``hashes`` also text_hash."""
     @F.pandas_udf("long")
     def fp(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
             yield pd.Series(np.array([fingerprint(t, shingle) for t in batch], np.uint64).view(np.int64))
 
     return docs.select(F.col(id_col).alias("id"), fp(F.col(text_col)).alias("fp"),
-                       F.xxhash64(F.col(text_col)).alias("text_hash"))
+                       *([F.xxhash64(F.col(text_col)).alias("text_hash")] if hashes else []))
 
 
 def popcounts(fps: np.ndarray) -> np.ndarray:
@@ -229,13 +230,13 @@ def near_links(distinct: DataFrame, distance: int = DISTANCE, cell_limit: int =
             .mapInArrow(cell_links(distance), "a long, b long"))
 
 
-def classed(docs: DataFrame, id_col: str, text_col: str, shingle: int, distance: int, cell_limit: int
-            ) -> tuple[DataFrame, DataFrame]:
-    """Rows (id, fp, text_hash) and one row per distinct fingerprint: fp, first (its smallest id), component.
+def classed(docs: DataFrame, id_col: str, text_col: str, shingle: int, distance: int, cell_limit: int,
+            hashes: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Rows (see ``fingerprints``) and one row per distinct fingerprint: fp, first (its smallest id), component.
 
     ``component`` (none, first, fp) is the smallest label the fingerprint reaches, its own if it has no link.
     """
-    rows = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    rows = written(fingerprints(docs, id_col, text_col, shingle, hashes), "fingerprints")
     # A fingerprint's label is its smallest id; the fingerprint itself keeps labels apart when ids repeat.
     classes = written(rows.groupBy("fp").agg(F.min("id").alias("first")), "classes")
     label = F.struct(F.col("first").isNull().alias("none"), "first", "fp")
@@ -262,7 +263,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     that share the identifier the smallest fingerprint, then text hash, stays,
     so rows without an identifier, or with one used twice, are told apart.
     """
-    rows, classes = classed(docs, id_col, text_col, shingle, distance, CELL_LIMIT)
+    rows, classes = classed(docs, id_col, text_col, shingle, distance, CELL_LIMIT, hashes=True)
     heads = classes.filter(F.col("component.fp") == F.col("fp")).select("fp", "first")
     kept = (rows.join(heads, "fp").filter(F.col("id").eqNullSafe(F.col("first")))
             .groupBy("fp", F.col("id").alias("__id")).agg(F.min("text_hash").alias("__hash")))
