@@ -6,9 +6,11 @@ cell of the product grid; every vector is indexed in its nearest cell and
 visits its nearest cells in multi-sequence order (smallest sum of the two
 squared distances first). How many cells it visits is set by measurement:
 ``PROBES`` sampled vectors are compared with all vectors in blocks, the place
-of each true partner's cell in the sequence is noted, and the number of cells
-is the smallest that reaches ``RECALL`` of the pairs. A visited vector is then
-verified by its cosine in double precision.
+of each true partner's cell in the sequence is noted, and so is that of
+``DRAWN`` partners of each probe drawn exactly at the cosine, as true pairs may
+be few or absent in a sample. The number of cells is the smallest that reaches
+``RECALL`` of either kind. A visited vector is then verified by its cosine in
+double precision.
 
 Equal vectors are one class and are compared once. A cell returns per class
 the number of linked vectors, and links that connect what its pairs connect,
@@ -41,6 +43,7 @@ COSINE = 0.95
 RECALL = 0.98
 MAX_FIT = 20_000      # vectors the codebooks are fitted on
 PROBES = 400          # vectors whose partners are searched by brute force
+DRAWN = 20            # partners drawn at the cosine for each of them
 CODES = 256           # codewords per half, at most
 PER_CELL = 16         # vectors a cell holds on average, while the codebooks may grow
 RESIDENTS = 2048
@@ -114,9 +117,30 @@ class Grid:
         return self.sequence(x, 1)[:, 0]
 
 
-def visits_needed(classes: DataFrame, grid: Grid, dim: int, cosine: float, recall: float) -> tuple[int, float]:
-    """Cells to visit for the recall, and the recall measured there on the sample."""
-    probes = matrix(pa.array([bytes(r["v"]) for r in bounded_sample(classes, F.col("cid"), PROBES).select("v").collect()]), dim)
+def threshold_partners(x: np.ndarray, cosine: float, each: int) -> np.ndarray:
+    """``each`` unit vectors per row of ``x``, exactly at the cosine, in seeded directions (row by row)."""
+    x = np.repeat(x, each, axis=0)
+    u = np.random.default_rng(5).normal(size=x.shape)
+    u -= (u * x).sum(axis=1, keepdims=True) * x
+    size = np.sqrt((u * u).sum(axis=1, keepdims=True))
+    # In one dimension nothing is at right angles to a vector.
+    u = np.divide(u, size, out=np.zeros_like(u), where=size > 1e-9)
+    return cosine * x + np.sqrt(max(0.0, 1 - cosine * cosine)) * u
+
+
+def reached(weight: dict[int, float], recall: float) -> tuple[int, float]:
+    """Cells to visit for the recall, and the recall there, of the weight found at each rank."""
+    ranks = sorted(weight)
+    share = np.cumsum([weight[r] for r in ranks]) / sum(weight.values())
+    at = min(len(ranks) - 1, int(np.searchsorted(share, recall - 1e-12)))
+    return ranks[at] + 1, min(1.0, float(share[at]))
+
+
+def visits_needed(classes: DataFrame, grid: Grid, dim: int, cosine: float, recall: float) -> tuple[int, float | None, float]:
+    """Cells to visit for the recall; the recall there of the probes' true partners (None without any) and of drawn ones."""
+    sample = bounded_sample(classes, F.col("cid"), PROBES).select("cid", "v").collect()
+    own = np.array([r["cid"] for r in sample])
+    probes = matrix(pa.array([bytes(r["v"]) for r in sample]), dim)
     most = len(grid.left) * len(grid.right)
     home = grid.home(probes)
 
@@ -124,10 +148,11 @@ def visits_needed(classes: DataFrame, grid: Grid, dim: int, cosine: float, recal
         seen = np.zeros(most, np.int64)
         for batch in batches:
             for s in range(0, batch.num_rows, 2048):
-                x = matrix(batch.column(0).slice(s, 2048), dim)
+                x, cid = matrix(batch.column(0).slice(s, 2048), dim), batch.column(1).slice(s, 2048).to_numpy()
                 for q in range(0, len(probes), 500):
-                    # At most 4096 partners a block enter the statistic; all of them are compared.
-                    i, j = (h[:4096] for h in np.nonzero(x @ probes[q:q + 500].T >= cosine))
+                    # At most 4096 partners a block enter the statistic; all of them are compared. A probe is not its own partner.
+                    hit = (x @ probes[q:q + 500].T >= cosine) & (cid[:, None] != own[None, q:q + 500])
+                    i, j = (h[:4096] for h in np.nonzero(hit))
                     if len(i):
                         at = grid.home(x[i])
                         both = np.minimum(grid.rank(x[i], home[q + j]), grid.rank(probes[q + j], at))
@@ -135,13 +160,20 @@ def visits_needed(classes: DataFrame, grid: Grid, dim: int, cosine: float, recal
         found = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(seen[found])], ["rank", "n"])
 
-    got = (classes.select("v").mapInArrow(ranks, "rank long, n long").groupBy("rank").sum("n")
+    got = (classes.select("v", "cid").mapInArrow(ranks, "rank long, n long").groupBy("rank").sum("n")
            .orderBy("rank").collect())   # at most one row per cell of the grid
-    share = np.cumsum([r[1] for r in got]) / max(1, sum(r[1] for r in got))
-    if not len(share):
-        return 1, 1.0
-    at = int(np.searchsorted(share, recall))
-    return int(got[at][0]) + 1, float(share[at])
+    # Few probes, or none, may have a partner: partners drawn at the cosine itself stand for pairs the sample lacks.
+    drawn: dict[int, float] = {}
+    for s in range(0, len(probes), 50):
+        x = np.repeat(probes[s:s + 50], DRAWN, axis=0)
+        y = threshold_partners(probes[s:s + 50], cosine, DRAWN)
+        both = np.minimum(grid.rank(y, np.repeat(home[s:s + 50], DRAWN)), grid.rank(x, grid.home(y)))
+        for r, n in zip(*np.unique(np.minimum(both, most - 1), return_counts=True)):
+            drawn[int(r)] = drawn.get(int(r), 0) + int(n)
+    true = {r[0]: r[1] for r in got}
+    visits = max(reached(w, recall)[0] for w in (true, drawn) if w)
+    found, synthetic = (sum(n for r, n in w.items() if r < visits) / sum(w.values()) if w else None for w in (true, drawn))
+    return visits, found, synthetic
 
 
 def placements(grid: Grid, dim: int, visits: int):
@@ -235,7 +267,7 @@ def search(classes: DataFrame, dim: int, cosine: float = COSINE, recall: float =
     sample = matrix(pa.array(sorted(bytes(r["v"]) for r in sample)), dim)
     k = max(1, min(CODES, int(np.ceil(np.sqrt(rows / PER_CELL)))))
     grid = Grid(sample, k)
-    visits, measured = visits_needed(classes, grid, dim, cosine, recall)
+    visits, measured, drawn = visits_needed(classes, grid, dim, cosine, recall)
     placed = written(classes.select("cid", "copies", "v").mapInArrow(
         placements(grid, dim, visits),
         "cell long, resident boolean, home long, cid long, copies long, v binary, visits binary"), "placed")
@@ -255,7 +287,7 @@ def search(classes: DataFrame, dim: int, cosine: float = COSINE, recall: float =
     grouped = (living.select(*columns).unionByName(visiting.select(*columns))
                .repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j", F.desc("resident"), "cid"))
     found = grouped.mapInArrow(matches(dim, visits, cosine), "cid long, n long, other long")
-    return found, {"rows": rows, "codes": k, "visits": visits, "recall": measured}
+    return found, {"rows": rows, "codes": k, "visits": visits, "recall": measured, "drawn_recall": drawn}
 
 
 def vector_classes(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, DataFrame]:

@@ -163,3 +163,16 @@ def test_embedding_edges(spark):
     assert all(by[i] == [(0, i, True)] for i in (3, 4, 5, 6, 7, 8, 9))
     assert by[10] == [(1, 10, True)] and by[None] == [(1, 10, False)]
     assert embedding.near_dedup(vectors(spark, [])).count() == 0
+
+
+def test_embedding_finds_isolated_pairs(spark, monkeypatch):
+    """A few pairs at the cosine among many strangers, of which the probes hold next to none."""
+    monkeypatch.setattr(embedding, "PROBES", 40)
+    rng = np.random.default_rng(9)
+    x = embedding.unit(rng.normal(size=(4000, 32)))
+    pairs = embedding.threshold_partners(x[:80], 0.952, 1)
+    rows = [(i, r.tolist(), "l", "i", "k") for i, r in enumerate(np.concatenate([x, pairs]))]
+    measured = []
+    got = {r["vec_id"]: r["component_id"] for r in embedding.near_dedup(vectors(spark, rows), measured=measured).collect()}
+    assert measured[0]["visits"] > 1 and measured[0]["drawn_recall"] >= 0.98
+    assert sum(got[4000 + i] == i for i in range(80)) >= 76
