@@ -9,7 +9,7 @@ squared distances first). How many cells it visits is set by measurement:
 of each true partner's cell in the sequence is noted, and so is that of
 ``DRAWN`` partners of each probe drawn exactly at the cosine, as true pairs may
 be few or absent in a sample. The number of cells is the smallest that reaches
-``RECALL`` of either kind. A visited vector is then verified by its cosine in
+``RECALL`` of either kind, on the mean over the probes. A visited vector is then verified by its cosine in
 double precision.
 
 Equal vectors are one class and are compared once. A cell returns per class
@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orbitfit.llm.base import bounded_sample, written
@@ -144,23 +144,32 @@ def visits_needed(classes: DataFrame, grid: Grid, dim: int, cosine: float, recal
     most = len(grid.left) * len(grid.right)
     home = grid.home(probes)
 
+    def ranked(x: np.ndarray, row: np.ndarray, cell: np.ndarray) -> np.ndarray:
+        """``grid.rank`` of each (row of x, cell), once per distinct one and in pieces."""
+        pair, back = np.unique(row * most + cell, return_inverse=True)
+        parts = [pair[a:a + 4096] for a in range(0, len(pair), 4096)]
+        return np.concatenate([grid.rank(x[p // most], p % most) for p in parts])[back]
+
     def ranks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(most, np.int64)
         for batch in batches:
             for s in range(0, batch.num_rows, 2048):
                 x, cid = matrix(batch.column(0).slice(s, 2048), dim), batch.column(1).slice(s, 2048).to_numpy()
-                for q in range(0, len(probes), 500):
-                    # At most 4096 partners a block enter the statistic; all of them are compared. A probe is not its own partner.
-                    hit = (x @ probes[q:q + 500].T >= cosine) & (cid[:, None] != own[None, q:q + 500])
-                    i, j = (h[:4096] for h in np.nonzero(hit))
-                    if len(i):
-                        at = grid.home(x[i])
-                        both = np.minimum(grid.rank(x[i], home[q + j]), grid.rank(probes[q + j], at))
-                        seen += np.bincount(np.minimum(both, most - 1), minlength=most)
-        found = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(seen[found])], ["rank", "n"])
-
-    got = (classes.select("v", "cid").mapInArrow(ranks, "rank long, n long").groupBy("rank").sum("n")
+                # Every partner of a probe counts; a probe is not its own.
+                i, j = np.nonzero((x @ probes.T >= cosine) & (cid[:, None] != own[None, :]))
+                if not len(i):
+                    continue
+                rows, at = np.unique(i, return_inverse=True)
+                both = ranked(probes, j, grid.home(x[rows])[at])
+                away = np.flatnonzero(both)   # the others lie in the probe's own cell
+                if len(away):
+                    both[away] = np.minimum(both[away], ranked(x, i[away], home[j[away]]))
+                pair, n = np.unique(j * most + np.minimum(both, most - 1), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(pair // most), pa.array(pair % most), pa.array(n)], ["probe", "rank", "n"])
+
+    # Each probe with a partner weighs the same, however many it has.
+    each = classes.select("v", "cid").mapInArrow(ranks, "probe long, rank long, n long").groupBy("probe", "rank").agg(F.sum("n").alias("n"))
+    share = F.col("n") / F.sum("n").over(Window.partitionBy("probe"))
+    got = (each.select("rank", share.alias("n")).groupBy("rank").agg(F.sum("n"))
            .orderBy("rank").collect())   # at most one row per cell of the grid
     # Few probes, or none, may have a partner: partners drawn at the cosine itself stand for pairs the sample lacks.
     drawn: dict[int, float] = {}

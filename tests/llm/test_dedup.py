@@ -176,3 +176,18 @@ def test_embedding_finds_isolated_pairs(spark, monkeypatch):
     got = {r["vec_id"]: r["component_id"] for r in embedding.near_dedup(vectors(spark, rows), measured=measured).collect()}
     assert measured[0]["visits"] > 1 and measured[0]["drawn_recall"] >= 0.98
     assert sum(got[4000 + i] == i for i in range(80)) >= 76
+
+
+def test_embedding_visits_count_every_probe_alike(spark):
+    """A hot group does not crowd out the probes of sparse pairs that lie cells apart."""
+    rng = np.random.default_rng(9)
+    x = embedding.unit(rng.normal(size=(2000, 32)))
+    far = embedding.threshold_partners(x, 0.951, 1)
+    grid = embedding.Grid(x, 10)
+    ranks = np.minimum(grid.rank(x, grid.home(far)), grid.rank(far, grid.home(x)))
+    apart = np.argsort(-ranks, kind="stable")[:100]
+    hot = embedding.threshold_partners(x[:1], 0.999, 120)
+    rows = [(k, r.tobytes()) for k, r in enumerate(np.concatenate([hot, x[apart], far[apart]]))]
+    classes = spark.createDataFrame(rows, "cid long, v binary").coalesce(1)
+    visits, recall, *_ = embedding.visits_needed(classes, grid, 32, 0.95, 0.98)
+    assert recall >= 0.98 and visits > np.quantile(ranks[apart], 0.9)
