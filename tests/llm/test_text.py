@@ -162,6 +162,37 @@ def test_licences(spark, nothing, edges):
     assert {(3, 0, "MIT"), (3, 1, "Apache-2.0")} <= found and not any(i == 1 for i, _, _ in found)
 
 
+def test_licences_of_wrapped_texts(spark):
+    """Standard texts at about 80 columns, bare and in comments."""
+    mit = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:"""
+    bsd = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:"""
+    gpl = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+    texts = [(f, text) for f, text in (("MIT", mit), ("BSD", bsd), ("GPL-3.0", gpl))]
+    split = mit.replace("is hereby granted", "is\nhereby granted")
+    rows, want = [], {}
+    for f, text in [*texts, ("MIT", split)]:
+        for mark in ("", " * ", "# ", "rem "):
+            body = "\n".join(mark + line for line in text.split("\n"))
+            rows.append((len(rows), f"{mark}Copyright (c) 2020 The authors\n{mark}\n{body}\n{mark}\nint main() {{}}"))
+            want[rows[-1][0]] = (f, 2)
+    rows.append((len(rows), "word " * 300 + mit.replace("\n", " ") + " word" * 300))
+    want[rows[-1][0]] = ("MIT", 0)
+    rows.append((len(rows), "The city may license\nstreet vendors under the new law.\nPermission to use the\npark is given on request."))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = licenses.fit(spark.read.parquet(f"{SF}/documents.parquet"), "doc_id", "text")
+    got = licenses.scan_paragraphs(docs, model=model).collect()
+    assert sorted((r["doc_id"], r["family"], r["place"]) for r in got) == [(k, *v) for k, v in sorted(want.items())]
+
+
 def test_html_of_whole_table(spark):
     from html import unescape
 
