@@ -51,18 +51,24 @@ def fold(key: Column, parts: int) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % parts, F.lit(0)).cast("int")
 
 
+def drawn(key: Column, bound: int, rows: int) -> Column:
+    """Whether a row is of the share ``bound / rows``, by a 64-bit hash of ``key``: the same on every run."""
+    if rows <= bound:
+        return F.lit(True)
+    return F.xxhash64(key.cast("string"), F.lit("fit")) < F.lit(bound * 2**64 // rows - 2**63)
+
+
 def bounded_sample(df: DataFrame, key: Column, bound: int) -> DataFrame:
-    """About ``bound`` rows at most, chosen by a hash of ``key``: the same rows on every run.
+    """About ``bound`` rows, chosen by a hash of ``key``: the same rows on every run.
 
     For model fitting only. A table of up to ``bound`` rows is used whole;
-    larger ones keep the share ``bound / rows``.
+    larger ones keep the share ``bound / rows``, and never nothing.
     """
     rows = df.count()
-    if rows <= bound:
-        return df
-    share = bound / rows
-    return df.filter(F.pmod(F.xxhash64(key.cast("string"), F.lit("fit")), F.lit(1_000_000))
-                     < int(share * 1_000_000))
+    found = df.filter(drawn(key, bound, rows))
+    if rows > bound and found.isEmpty():   # shared or null keys, or a very small bound
+        found = df.orderBy(F.xxhash64(key.cast("string"), F.lit("fit"))).limit(bound)
+    return found
 
 
 def slices(texts: list, limit: int) -> Iterator[tuple[int, int]]:

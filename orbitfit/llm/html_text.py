@@ -36,7 +36,6 @@ from pyspark.sql import functions as F
 from orbitfit.llm.base import bounded_sample
 
 MAX_TRAIN = 240        # pages the labeller learns from
-MAX_TRAIN_CHARS = 20_000   # longer pages are not drawn for training
 HIDDEN = 16
 PATH, WORDS = 160, 32
 INPUT = PATH + WORDS + 4
@@ -306,9 +305,9 @@ def train(htmls: list[str]) -> Labeller:
         variants = [(page, teacher(page))] + [composed(page, rng) for _ in range(3)]
         variants.append(([((), page[int(rng.integers(len(page)))][1], 0.0)], np.ones(1)))   # a page without elements
         data += [(features(b, memo)[:WINDOW].astype(np.float64), y[:WINDOW]) for b, y in filter(None, variants)]
-    model = Labeller()
     if not data:
-        return model
+        raise ValueError("no training page holds a block")
+    model = Labeller()
     state = [(np.zeros_like(p), np.zeros_like(p)) for p in model.parameters()]
     k = 0
     for r in range(ROUNDS):
@@ -353,11 +352,15 @@ def extract(htmls: list[str | None], model: Labeller, memo: dict) -> list[str]:
 
 
 def fit(pages: DataFrame, id_col: str, html_col: str) -> Labeller:
-    known = pages.select(F.col(id_col).alias("k"), F.col(html_col).alias("html")).filter(
-        F.length("html").between(1, MAX_TRAIN_CHARS))
-    # The share drawn varies a little around the bound; the sort makes the order the same on every run.
-    rows = bounded_sample(known, F.col("k"), MAX_TRAIN).select("html").collect()
-    return train(sorted(r["html"] for r in rows))
+    known = pages.select(F.col(id_col).alias("k"), F.col(html_col).alias("html")).filter(F.length("html") > 0)
+    holds = F.udf(lambda html: bool(blocks(html)), "boolean")
+    # Pages with a block are searched for only where the first draw holds none.
+    for source in (known, known.filter(holds("html"))):
+        # The share drawn varies a little around the bound; the sort makes the order the same on every run.
+        rows = sorted(r["html"] for r in bounded_sample(source, F.col("k"), MAX_TRAIN).select("html").collect())
+        if any(blocks(html) for html in rows):
+            return train(rows)
+    return Labeller()   # no page holds a block, so none is labelled
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orbitfit.llm import html_text, langid, licenses, mixing, pieces, queries, secrets, toxicity
-from orbitfit.llm.base import written
+from orbitfit.llm.base import bounded_sample, written
 from tests_llm_common import SF
 
 MED = "/root/testdata/sf0.01"
@@ -219,6 +219,16 @@ def test_html_other_layouts(spark):
     assert html_text.main_text(df.limit(0)).count() == 0
 
 
+def test_small_shares_and_long_pages_still_teach(spark):
+    assert 0 < bounded_sample(spark.range(3_000_000), F.col("id"), 2).count() < 20
+    pages = spark.read.parquet(f"{SF}/pages.parquet").filter("html <> ''").orderBy("page_id").limit(24).select(
+        "page_id", F.concat("html", F.lit("<!--" + "x" * 20_000 + "-->")).alias("html"))
+    model, want = html_text.fit(pages, "page_id", "html"), html_text.train(sorted(r["html"] for r in pages.collect()))
+    assert all(np.array_equal(a, b) for a, b in zip(model.parameters(), want.parameters()))
+    with pytest.raises(ValueError):
+        html_text.train([])
+
+
 def test_lstm_gradients():
     rng = np.random.default_rng(0)
     model = html_text.Labeller(1)
