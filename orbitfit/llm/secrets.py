@@ -10,14 +10,15 @@ a chain (a line, cut after sentence ends). A chain in which no token's gain
 over "outside" can outweigh the best transitions is outside as a whole, which
 a bound shows exactly; only the others are decoded step by step.
 
-The field is trained here on a bounded sample of documents (``MAX_TRAIN``):
-the values that the fixed patterns find there are the secrets, everything else
+The field is trained here on bounded samples (``MAX_TRAIN`` each) of the documents
+that hold a fixed match, searched for in the whole table, and of all documents:
+the values that the fixed patterns find are the secrets, everything else
 is outside, so the field learns what such values look like in place and also
 tags values that no pattern covers. Fixed matches always stay; a tagged span is
 added (kind ``crf``) where it overlaps none of them.
 
 Cases: null text counts as empty; empty texts have no spans; texts of any
-length are scanned whole; without a fixed match in the sample nothing is
+length are scanned whole; without a fixed match in the table nothing is
 added; repeated rows get equal results; an empty table gives an empty result;
 other columns are not inputs. Positions are code points, end exclusive.
 """
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orbitfit.llm.base import bounded_sample, slices
+from orbitfit.llm.base import bounded_sample, drawn, slices
 
 KINDS = ("assign", "access", "hex", "crf")
 # Fixed patterns (values given by the contract).
@@ -46,7 +47,7 @@ KNOWN = ("password", "passwd", "pwd", "pass", "secret", "token", "key", "apikey"
          "bearer", "access", "access_key", "secret_key", "private", "credential", "credentials", "login", "client_secret",
          ":", "=", "\"", "'", ".", ",", "@", "(", ")", "|")
 
-MAX_TRAIN = 20_000     # documents looked at for training chains
+MAX_TRAIN = 20_000     # documents of either kind looked at for training chains
 MAX_CHAINS = 1_500     # of either kind: chains with and without a secret
 WINDOW = 48            # tokens of a training chain
 LEAST = 8              # characters of an added span
@@ -259,9 +260,14 @@ def train(feats: np.ndarray, labels: np.ndarray) -> Field:
 
 
 def fit(docs: DataFrame, id_col: str, text_col: str) -> Field | None:
-    """Field from windows around fixed matches and from windows without one, of a bounded sample."""
+    """Field from windows around fixed matches and from windows without one, of bounded samples."""
     classes = character_classes()
 
+    def holding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            yield batch.filter(pa.array([bool(t and values(t, base_spans(t))) for t in texts], pa.bool_()))
+
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
@@ -289,10 +295,18 @@ def fit(docs: DataFrame, id_col: str, text_col: str) -> Field | None:
                                               pa.array([r[1] for r in rows], pa.binary()),
                                               pa.array([r[2] for r in rows], pa.binary())], ["kind", "x", "y"])
 
-    sample = bounded_sample(docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("text")), F.col("k"), MAX_TRAIN)
-    found = sample.select("text").mapInArrow(windows, "kind int, x binary, y binary")
+    rows = docs.select(F.col(id_col).alias("k"), F.col(text_col).cast("string").alias("text"))
+    # Rare matches are searched for in every document, and only then is a share of their documents drawn.
+    matched = rows.select("text").mapInArrow(holding, "text string").count()
+    if not matched:
+        return None
+    # The documents are drawn before the patterns run again, on the drawn ones alone.
+    secret = rows.filter(drawn(F.col("k"), MAX_TRAIN, matched)).select("text").mapInArrow(holding, "text string")
+    if matched > MAX_TRAIN and secret.isEmpty():   # shared or null identifiers
+        secret = rows.select("text").mapInArrow(holding, "text string").orderBy(F.xxhash64("text"), "text").limit(MAX_TRAIN)
     got = []
-    for kind in (0, 1):
+    for kind, sample in ((0, bounded_sample(rows, F.col("k"), MAX_TRAIN).select("text")), (1, secret)):
+        found = sample.mapInArrow(windows, "kind int, x binary, y binary")
         got += found.filter(F.col("kind") == kind).orderBy(F.xxhash64("x", "y"), "x", "y").limit(MAX_CHAINS).collect()
     if not any(r["kind"] for r in got):
         return None

@@ -281,6 +281,20 @@ def test_secrets_of_whole_table(spark, edges, nothing):
     assert secrets.scan(nothing).count() == 0
 
 
+def test_secrets_rare_matches_teach_the_field(spark, monkeypatch):
+    """A few matches among many documents, which a sample of all documents would miss."""
+    monkeypatch.setattr(secrets, "MAX_TRAIN", 300)
+    rng = random.Random(6)
+    value = lambda: "".join(rng.choice("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789") for _ in range(20))
+    rows = [(i, f"The day was long and number {i} is fine.\nname = value\nSome words follow, and then some more.") for i in range(20_000)]
+    for i in range(0, 20_000, 1000):
+        rows[i] = (i, f"Notes of the day.\n{rng.choice(('password', 'token', 'secret'))} = {value()}\nAnd so on.")
+    rows.append((20_000, f"Notes of the day.\npwd = {value()}\nAnd so on."))
+    assert secrets.base_spans(rows[-1][1]) == []
+    got = {r["doc_id"]: r for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert got[20_000]["n_added"] == 1 and got[0]["n_assign"] == 1 and got[1]["spans"] == ""
+
+
 def test_field_decodes_like_a_full_search():
     rng = np.random.default_rng(8)
     moves = rng.normal(size=(3, 3))
