@@ -64,7 +64,7 @@ def test_csv_round_trip_is_time_zone_independent(spark):
     import duckdb
 
     import __spark_entry__ as entry
-    from conftest import SF_SMALL
+    from sf_dirs import SF_SMALL
     con = duckdb.connect()
     con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{SF_SMALL}/events.parquet')")
     want = sorted(con.execute(entry.oracle_sql()["csv_points"]).fetchall())

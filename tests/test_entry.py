@@ -5,7 +5,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 
 ORACLE_NAMES = sorted(entry.oracle_sql())
 

@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_MED, SF_SMALL
+from sf_dirs import SF_MED, SF_SMALL
 from orbitfit.functions.random import hash_uniform, hash_uniform_sql
 from orbitfit.functions.vector import nearest_centre
 from orbitfit.operators.kmeans import KMeansModel, kmeans_fit, movement

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 from orbitfit.operators.linear import (
     column_moments, full_batch_history, gradient, mse, normal_stats, standardize,
 )

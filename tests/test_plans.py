@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 from orbitfit.functions.random import hash_uniform
 from orbitfit.functions.vector import nearest
 from orbitfit.operators.kmeans import KMeansModel

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 from orbitfit.operators.prefix import running_total, scalar_uniform, threshold_draw
 from orbitfit.operators.sampling import sample_by_hash
 from orbitfit.operators.seeding import kmeanspp_init, weighted_draw

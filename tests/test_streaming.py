@@ -1,5 +1,5 @@
 
-from conftest import SF_SMALL
+from sf_dirs import SF_SMALL
 from orbitfit.operators.kmeans import kmeans_fit
 from orbitfit.sources.tables import LINEITEM_KEYS, lineitem_points
 from orbitfit.streaming import assign_stream
