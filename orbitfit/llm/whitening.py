@@ -42,6 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orbitfit.llm.base import written
+from orbitfit.session import materialize
 
 COMPONENTS = 16
 GUARD = 20            # columns beyond the components
@@ -213,7 +214,6 @@ class Model:
     trace: float
     identity_error: float
     residual: float      # largest residual of a component over the largest eigenvalue
-    passes: int
 
 
 def leading(times: Callable[[np.ndarray], np.ndarray], dim: int, wanted: int, degree: int = DEGREE,
@@ -237,7 +237,9 @@ def leading(times: Callable[[np.ndarray], np.ndarray], dim: int, wanted: int, de
         known = values[:wanted]
         if floor is None:
             floor = spectrum_floor(times, rng.standard_normal(dim), LANCZOS)
-        high = max(float(values[-1 - FRESH]), 1e-9 * size)   # the last columns were fresh, their values are low
+        # The last columns were fresh, their values are low. A block inside one repeated value ends its interval below it.
+        high = min(float(values[-1 - FRESH]), floor + 0.9 * (float(values[wanted - 1]) - floor))
+        high = max(high, 1e-9 * size)
         q[:, block - FRESH:] = rng.standard_normal((dim, FRESH)) / np.sqrt(dim)
         q = np.linalg.qr(chebyshev(times, q, degree, min(floor, high / 2), high, max(size, high * 1.01)))[0]
     raise ArithmeticError(f"not converged in {ROUNDS} rounds (residual {residual / size:.1e})")
@@ -245,15 +247,9 @@ def leading(times: Callable[[np.ndarray], np.ndarray], dim: int, wanted: int, de
 
 def fit(blocks: DataFrame, dim: int, components: int = COMPONENTS) -> Model:
     """Mean, leading components and their certificate, by distributed passes over the fit list."""
-    at, passes = centre(blocks, dim), 0
-
-    def times(q: np.ndarray) -> np.ndarray:
-        nonlocal passes
-        passes += 1
-        return apply(blocks, at, q)
-
+    at = centre(blocks, dim)
     total = trace(blocks, at)
-    values, vectors, residual = leading(times, dim, min(components, dim))
+    values, vectors, residual = leading(lambda q: apply(blocks, at, q), dim, min(components, dim))
     real = values > max(1e-13 * total, 0.0)
     values, vectors = values[real], vectors[:, real]
 
@@ -266,7 +262,7 @@ def fit(blocks: DataFrame, dim: int, components: int = COMPONENTS) -> Model:
 
     k = len(values)
     error = float(np.abs(summed(blocks, partial, (k, k), dim) / at.n - np.eye(k)).max()) if k else 0.0
-    return Model(at, values, vectors, total, error, residual, passes)
+    return Model(at, values, vectors, total, error, residual)
 
 
 def whiten(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -281,7 +277,11 @@ def whiten(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding
     first = blocks.select((F.octet_length("data") / F.col("rows") / 8).cast("int")).first()
     if first is None:
         return rows.sparkSession.createDataFrame([], schema)
-    model = fit(blocks, first[0], components)
+    kept = materialize(blocks)
+    try:
+        model = fit(kept, first[0], components)
+    finally:
+        kept.unpersist()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         onto = model.vectors / np.sqrt(model.values)
