@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 TWO_52 = float(2 ** 52)
 
 
-def hash_uniform(keys: Sequence[str | Column], *salt: int | str) -> Column:
+def hash_uniform(keys: Sequence[str | Column], *salt: int | str | Column) -> Column:
     parts = [(F.col(k) if isinstance(k, str) else k).cast("string") for k in keys]
     parts = [F.coalesce(F.replace(F.replace(p, F.lit("\\"), F.lit("\\\\")), F.lit(":"), F.lit("\\c")), F.lit("\\n"))
              for p in parts]
-    parts += [F.lit(str(s)) for s in salt]
+    parts += [s.cast("string") if isinstance(s, Column) else F.lit(str(s)) for s in salt]
     digest = F.md5(F.concat_ws(":", *parts))
     n = F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint")
     return (n.cast("double") + F.lit(0.5)) / F.lit(TWO_52)

@@ -1,34 +1,32 @@
 """Ordered per-shard recurrences as a distributed affine scan.
 
 For the squared loss every per-row update used by the stochastic fits is an
-*affine* map of the optimiser state ``z``:
+*affine* map of the optimiser state:
 
 * SGD          ``w <- w - s * 2 (w.p - y) p``            (state w)
 * heavy ball   ``v <- g v + s * grad(w); w <- w - v``    (state (w, v))
-* Nesterov     ``v <- g v + s * grad(look)``             (state v; ``look`` fixed per epoch)
-
-So a shard's ordered pass is the product ``M_n ... M_1`` of small
-``(m x m)`` homogeneous matrices, and products are associative. That turns
-an inherently sequential fold into a parallel one:
-
-1. rows are range-partitioned on ``(shard, order)`` and sorted inside each
-   partition, so a hot shard is *split* across as many tasks as its size
-   needs (no task ever holds a whole shard);
-2. ``mapInArrow`` streams each partition's Arrow batches, builds the row
-   matrices with NumPy, multiplies neighbours of equal shard pairwise until
-   one matrix per run is left (a tree, so ``n - 1`` products for n rows;
-   Nesterov needs none, its run is a weighted sum of the row gradients)
-   and emits one summary row per partition: the matrix of its first run
-   (which may continue a shard from the previous partition), the end state
-   of its last run (which may continue into the next one) and the summed
-   results of the whole shards in between;
-3. the partition summaries are merged in partition order. Merging two
-   adjacent summaries gives a summary of the same shape, so when there are
-   more than ``STITCH_FANIN`` partitions, groups of that many consecutive
-   summaries are merged on executors (one small ``applyInArrow`` level per
-   factor of ``STITCH_FANIN``) and at most ``STITCH_FANIN`` rows reach the
-   driver, which stitches them and averages the shard results. One Python
-   stage over the data per epoch, no shuffle of rows.
+* Nesterov     ``v <- g v + s * grad(look)``             (state (v, look), ``look`` fixed per epoch)
+
+So a shard's ordered pass is a small homogeneous ``(m x m)`` matrix, the product
+of its rows' matrices, and its result is linear in the state that the epoch
+starts from. The mean over shards is then one matrix as well, and it does not
+depend on the state. As the step sizes are known beforehand, *one* pass over the
+rows gives the mean matrices of a whole group of epochs, and the driver only
+applies them one after the other:
+
+1. rows lie in order in their partitions (:mod:`orbitfit.operators.layout`), a
+   hot shard in as many as its size needs;
+2. ``mapInArrow`` advances chunks of rows side by side, for all epochs of the
+   group at once (a row changes the matrix by an outer product, ``d m`` numbers),
+   multiplies the chunks of a run of equal shard pairwise, and emits one summary
+   per partition: the maps of its first run (which may continue a shard from the
+   previous partition), of its last run (which may go on in the next one) and
+   the sum of the maps of the whole shards in between. For Nesterov the maps of
+   all epochs differ by the step only, so one map serves any number of epochs;
+3. merging the summaries of neighbours gives a summary of the same shape, so
+   beyond ``STITCH_FANIN`` partitions groups of that many are merged on
+   executors (one small ``applyInArrow`` level per factor of ``STITCH_FANIN``)
+   and at most ``STITCH_FANIN`` rows reach the driver.
 
 The results equal the sequential recurrence up to floating-point rounding.
 """
@@ -37,7 +35,7 @@ from __future__ import annotations
 
 import math
 import sys
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -53,61 +51,35 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 METHODS = ("sgd", "heavy_ball", "nesterov")
 
-# Most partition summaries the driver receives per epoch; beyond that they
+# Most partition summaries the driver receives per pass; beyond that they
 # are merged on executors first, this many consecutive ones per group.
 STITCH_FANIN = 1024
 # Rows per partition of a sharded layout (about 0.6 GB of narrow rows).
 ROWS_PER_PARTITION = 8_000_000
-# Doubles in the row matrices a task holds at once (32 MB); wide states take
-# their rows in smaller pieces. Beyond MAX_STATE a summary row gets too large.
+# Doubles in the maps a task holds at once (32 MB); wide states take their rows
+# in smaller pieces. Beyond MAX_STATE a summary row gets too large.
 BLOCK_DOUBLES = 4_000_000
 MAX_STATE = 256
+# Doubles in the summaries that reach the driver in a pass (64 MB).
+DRIVER_DOUBLES = 8_000_000
+# Rows that are advanced one after the other; chunks advance side by side.
+CHUNK = 64
 
 
 def state_dim(method: str, d: int) -> int:
-    return 2 * d if method == "heavy_ball" else d
-
-
-def row_maps(method: str, y: np.ndarray, P: np.ndarray, step: float, gamma: float,
-             look: np.ndarray | None) -> np.ndarray:
-    """Homogeneous matrices, shape ``(n, m, m)``, one per row, in row order."""
-    n, d = P.shape
-    eye = np.eye(d)
-    if method == "sgd":
-        m = d + 1
-        M = np.zeros((n, m, m))
-        M[:, :d, :d] = eye - 2.0 * step * P[:, :, None] * P[:, None, :]
-        M[:, :d, d] = 2.0 * step * y[:, None] * P
-        M[:, d, d] = 1.0
-        return M
-    if method == "heavy_ball":
-        m = 2 * d + 1
-        ppt = 2.0 * step * P[:, :, None] * P[:, None, :]
-        ryp = 2.0 * step * y[:, None] * P
-        M = np.zeros((n, m, m))
-        M[:, :d, :d] = eye - ppt
-        M[:, :d, d:2 * d] = -gamma * eye
-        M[:, :d, 2 * d] = ryp
-        M[:, d:2 * d, :d] = ppt
-        M[:, d:2 * d, d:2 * d] = gamma * eye
-        M[:, d:2 * d, 2 * d] = -ryp
-        M[:, 2 * d, 2 * d] = 1.0
-        return M
-    if method == "nesterov":
-        m = d + 1
-        r = 2.0 * (P @ look - y)
-        M = np.zeros((n, m, m))
-        M[:, :d, :d] = gamma * eye
-        M[:, :d, d] = step * (P * r[:, None])
-        M[:, d, d] = 1.0
-        return M
-    raise ValueError(f"unknown method {method!r}")
+    if method not in METHODS:
+        raise ValueError(f"unknown method {method!r}")
+    m = d if method == "sgd" else 2 * d
+    if m >= MAX_STATE:
+        raise ValueError(f"{d} features are too many for the ordered scan (state of {MAX_STATE} at most); "
+                         "fit from sufficient statistics instead (full_batch_history)")
+    return m
 
 
 def run_products(M: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """One matrix per run, ``M[last] @ ... @ M[first]``; ``starts`` are the first rows.
+    """One matrix per run, ``M[last] @ ... @ M[first]``; ``starts`` are the first places.
 
-    Every level multiplies the even rows of each run by their odd successors.
+    Every level multiplies the even places of each run by their odd successors.
     """
     size = np.diff(np.append(starts, len(M)))
     while len(M) > len(size):
@@ -120,133 +92,231 @@ def run_products(M: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return M
 
 
-def nesterov_totals(y: np.ndarray, P: np.ndarray, starts: np.ndarray, step: float, gamma: float,
-                    look: np.ndarray) -> np.ndarray:
-    """One matrix per run, without a matrix per row: a run of n rows maps v to
-    ``gamma^n v + sum_k gamma^(n-1-k) step grad_k``."""
+def nesterov_maps(y: np.ndarray, P: np.ndarray, starts: np.ndarray, gamma: float) -> np.ndarray:
+    """One map per run for step 1, without a matrix per row: n rows take v to
+    ``gamma^n v + sum_k gamma^(n-1-k) 2 (p_k.look - y_k) p_k``."""
     n, d = P.shape
     size = np.diff(np.append(starts, n))
     left = np.repeat(starts + size, size) - 1 - np.arange(n)   # rows of the run still to come
-    grad = P * (step * 2.0 * (P @ look - y) * np.power(gamma, left))[:, None]
-    M = np.zeros((len(starts), d + 1, d + 1))
+    weighted = P * (2.0 * np.power(gamma, left))[:, None]
+    M = np.zeros((len(starts), 2 * d + 1, 2 * d + 1))
     M[:, :d, :d] = np.power(gamma, size)[:, None, None] * np.eye(d)
-    M[:, :d, d] = np.add.reduceat(grad, starts, axis=0)
-    M[:, d, d] = 1.0
+    M[:, :d, d:2 * d] = np.add.reduceat(weighted[:, :, None] * P[:, None, :], starts, axis=0)
+    M[:, :d, 2 * d] = -np.add.reduceat(weighted * y[:, None], starts, axis=0)
+    M[:, d:, d:] = np.eye(d + 1)
     return M
 
 
-def run_totals(method: str, y: np.ndarray, P: np.ndarray, starts: np.ndarray, step: float, gamma: float,
-               look: np.ndarray | None) -> np.ndarray:
-    """One matrix per run of rows."""
+def chunk_maps(method: str, y: np.ndarray, P: np.ndarray, starts: np.ndarray, rows: np.ndarray,
+               steps: np.ndarray, gamma: float) -> tuple[np.ndarray, np.ndarray]:
+    """``(chunks, epochs, m, m)`` maps of chunks of ``CHUNK`` rows that do not cross runs, and each run's first chunk.
+
+    ``rows``: the row at every place, one line for all epochs or one per epoch.
+    """
+    n, d, epochs = rows.shape[1], P.shape[1], len(steps)
+    size = np.diff(np.append(starts, n))
+    per = -(-size // CHUNK)
+    first = np.cumsum(per) - per
+    begin = np.repeat(starts, per) + CHUNK * (np.arange(int(per.sum())) - np.repeat(first, per))
+    length = np.minimum(CHUNK, np.repeat(starts + size, per) - begin)
+    order = np.argsort(-length, kind="stable")    # at every place the chunks that go on are the first ones
+    begin, length = begin[order], length[order]
+    m = state_dim(method, d) + 1
+    w = np.zeros((len(begin), epochs, d, m))
+    w[..., range(d), range(d)] = 1.0
+    v = None
+    if method == "heavy_ball":
+        v = np.zeros_like(w)
+        v[..., range(d), range(d, 2 * d)] = 1.0
+    double_step = 2.0 * steps[None, :, None]
+    for t in range(int(length[0]) if len(length) else 0):
+        on = int(np.count_nonzero(length > t))
+        at = rows[:, begin[:on] + t].T                       # (chunks, 1 or epochs)
+        p = P[at]
+        r = (p[:, :, None, :] @ w[:on])[:, :, 0, :]          # p.w as a row over the starting state
+        r[..., -1] -= y[at]
+        up = p[..., None] * (double_step * r)[:, :, None, :]
+        if v is None:
+            w[:on] -= up
+        else:
+            v[:on] *= gamma
+            v[:on] += up
+            w[:on] -= v[:on]
+    out = np.zeros((len(begin), epochs, m, m))
+    out[order, :, :d] = w
+    if v is not None:
+        out[order, :, d:2 * d] = v
+    out[..., m - 1, m - 1] = 1.0
+    return out, first
+
+
+def run_maps(method: str, y: np.ndarray, P: np.ndarray, starts: np.ndarray, steps: Sequence[float], gamma: float,
+             rows: np.ndarray | None = None) -> np.ndarray:
+    """``(runs, epochs, m, m)``: the map of every run of rows for every step size (Nesterov: one for step 1)."""
     if method == "nesterov":
-        return nesterov_totals(y, P, starts, step, gamma, look)
-    return run_products(row_maps(method, y, P, step, gamma, look), starts)
+        return nesterov_maps(y, P, starts, gamma)[:, None]
+    rows = np.arange(len(y))[None, :] if rows is None else rows
+    return run_products(*chunk_maps(method, y, P, starts, rows, np.asarray(steps, np.float64), gamma))
 
 
-def pieces(batches, m: int):
-    """Non-empty slices of the batches whose row matrices stay within ``BLOCK_DOUBLES``."""
-    rows = max(1, BLOCK_DOUBLES // (m * m))
+def pieces(batches, doubles: int):
+    """Non-empty slices of the batches whose maps (``doubles`` per row) stay within ``BLOCK_DOUBLES``."""
+    rows = max(1, BLOCK_DOUBLES // doubles)
     for b in batches:
         for i in range(0, b.num_rows, rows):
             yield b.slice(i, rows)
 
 
-def _out_vector(method: str, d: int, z: np.ndarray, w0: np.ndarray) -> np.ndarray:
-    """Per-shard result ``(w_s, v_s)`` from its end state (``w_s`` only for SGD)."""
-    if method == "sgd":
-        return z[..., :d]
-    if method == "heavy_ball":
-        return z[..., :2 * d]
-    v = z[..., :d]
-    return np.concatenate([w0 - v, v], axis=-1)
-
-
-SUMMARY_SCHEMA = ("part int, n_runs long, first_shard long, first_mat array<double>, "
-                  "last_shard long, last_vec array<double>, mid_sum array<double>, mid_count long")
-
+class Summary:
+    """Maps of consecutive rows: of the first run, of the last one (if there are two), and the
+    sum and number of the runs between."""
+
+    def __init__(self, first_shard, first, last_shard=None, last=None, mid=0.0, mid_count=0):
+        self.first_shard, self.first = first_shard, first
+        self.last_shard, self.last = last_shard, last
+        self.mid, self.mid_count = mid, mid_count
+
+    @classmethod
+    def of_runs(cls, shards: np.ndarray, maps: np.ndarray) -> Summary:
+        if len(shards) == 1:
+            return cls(int(shards[0]), maps[0])
+        return cls(int(shards[0]), maps[0], int(shards[-1]), maps[-1], maps[1:-1].sum(axis=0), len(shards) - 2)
+
+    def then(self, after: Summary) -> Summary:
+        """The summary of these rows and those of ``after``, which follow."""
+        mid, count = self.mid + after.mid, self.mid_count + after.mid_count
+        one = self.last is None
+        shard, run = (self.first_shard, self.first) if one else (self.last_shard, self.last)
+        first = self.first
+        if shard == after.first_shard:
+            run = after.first @ run               # the run goes on
+            if one:
+                return Summary(shard, run, after.last_shard, after.last, mid, count)
+        elif one:
+            run, shard = after.first, after.first_shard
+        else:
+            mid, count = mid + run, count + 1     # the run has ended between two others
+            run, shard = after.first, after.first_shard
+        if after.last is None:
+            return Summary(self.first_shard, first, shard, run, mid, count)
+        return Summary(self.first_shard, first, after.last_shard, after.last, mid + run, count + 1)
+
+    def total(self) -> tuple[np.ndarray, int]:
+        """Sum of the maps of all runs, and their number."""
+        total, count = self.first + self.mid, 1 + self.mid_count
+        return (total, count) if self.last is None else (total + self.last, count + 1)
+
+    def row(self, part: int) -> dict:
+        def packed(m):
+            return None if m is None else np.ascontiguousarray(m, np.float64).tobytes()
+        mid = self.mid if self.mid_count else None
+        return {"part": part, "first_shard": self.first_shard, "first_map": packed(self.first),
+                "last_shard": self.last_shard, "last_map": packed(self.last), "mid_sum": packed(mid),
+                "mid_count": self.mid_count}
+
+    @classmethod
+    def of_row(cls, r, m: int) -> Summary:
+        def unpacked(b):
+            return None if b is None else np.frombuffer(b, np.float64).reshape(-1, m, m)
+        mid = unpacked(r["mid_sum"])
+        return cls(r["first_shard"], unpacked(r["first_map"]), r["last_shard"], unpacked(r["last_map"]),
+                   0.0 if mid is None else mid, r["mid_count"])
+
+
+def merged(rows, m: int) -> Summary | None:
+    """One summary of consecutive summary rows, given in any order."""
+    acc = None
+    for r in sorted(rows, key=lambda r: r["part"]):
+        s = Summary.of_row(r, m)
+        acc = s if acc is None else acc.then(s)
+    return acc
 
-def make_epoch_kernel(method: str, d: int, step: float, gamma: float, z0: Sequence[float],
-                      w0: Sequence[float]):
-    """``mapInArrow`` function: one summary row per non-empty partition.
 
-    The partition's rows are sorted by ``(shard, order)``. Its *first* run of
-    equal shard may continue a shard from the previous partition, so it is
-    returned as a matrix; its *last* run may continue into the next
-    partition, so it is returned as the end state from ``z0``; every run in
-    between is a whole shard, so its result is added to ``mid_sum``.
+SUMMARY_SCHEMA = ("part int, first_shard long, first_map binary, last_shard long, last_map binary, "
+                  "mid_sum binary, mid_count long")
+_ARROW_TYPES = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+SUMMARY_ARROW = pa.schema([(c.split()[0], _ARROW_TYPES[c.split()[1]]) for c in SUMMARY_SCHEMA.split(", ")])
+
+
+def columns(b: pa.RecordBatch, d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(shard, y, P) of a batch of a layout."""
+    shard, y, *p = (b.column(c).to_numpy(zero_copy_only=False) for c in ["shard", "y", *(f"p{j}" for j in range(d))])
+    return shard.astype(np.int64), y.astype(np.float64), np.column_stack(p).astype(np.float64)
+
+
+def run_starts(shard: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1])))
+
+
+def ordered_runs(d: int, doubles: int) -> Callable:
+    """Pieces of a partition as (shard, y, P, rows): rows in the order in which they lie."""
+    def read(batches: Iterator[pa.RecordBatch]):
+        for b in pieces(batches, doubles):
+            yield *columns(b, d), None
+    return read
+
+
+def permuted_runs(d: int, epochs: int, doubles: int) -> Callable:
+    """Whole shards of a partition as (shard, y, P, rows), the rows of every shard in the order of the
+    epoch's column of ``u``. Holds one shard and one batch at a time."""
+    limit = max(1, BLOCK_DOUBLES // doubles)
+
+    def read(batches: Iterator[pa.RecordBatch]):
+        kept: list = []
+        for b in batches:
+            if not b.num_rows:
+                continue
+            u = b.column("u").flatten().to_numpy(zero_copy_only=False).reshape(-1, epochs)
+            part = (*columns(b, d), u)
+            cut = run_starts(part[0])[-1]
+            if cut == 0 and kept and kept[-1][0][-1] == part[0][0]:
+                kept.append(part)       # still the same shard
+                continue
+            head, tail = [c[:cut] for c in part], [c[cut:] for c in part]
+            yield from whole([*kept, head])
+            kept = [tail]
+        yield from whole(kept)
+
+    def whole(parts):
+        parts = [p for p in parts if len(p[0])]
+        if parts:
+            shard, y, P, u = (np.concatenate(c) for c in zip(*parts))
+            starts = np.append(run_starts(shard), len(shard))
+            place = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+            a = 0
+            while a < len(starts) - 1:     # as many shards as the maps' bound allows, one at least
+                b = max(a + 1, int(np.searchsorted(starts, starts[a] + limit, side="right")) - 1)
+                i, j = starts[a], starts[b]
+                rows = np.stack([np.lexsort((u[i:j, e], place[i:j])) for e in range(epochs)])
+                yield shard[i:j], y[i:j], P[i:j], rows
+                a = b
+    return read
+
+
+def make_map_kernel(method: str, d: int, steps: Sequence[float], gamma: float, chain: bool = False,
+                    permuted: bool = False):
+    """``mapInArrow`` function: one ``Summary`` row per non-empty partition, whose rows lie in order.
+
+    ``chain``: all rows are one run, whatever their shard. ``permuted``: the rows of a shard, which
+    lie in one partition, are taken in the order of column ``u``, one value per epoch.
     """
-    z0a = np.asarray(z0, dtype=np.float64)
-    w0a = np.asarray(w0, dtype=np.float64)
-    look = None
-    if method == "nesterov":
-        v0 = z0a[:d]
-        look = w0a - gamma * v0
-    pcols = [f"p{j}" for j in range(d)]
-    n_out = d if method == "sgd" else 2 * d
+    m = state_dim(method, d) + 1
+    steps = [1.0] if method == "nesterov" else list(steps)
+    doubles = len(steps) * m * m
+    read = permuted_runs(d, len(steps), doubles) if permuted else ordered_runs(d, doubles)
 
     def kernel(batches):
         from pyspark import TaskContext
         ctx = TaskContext.get()
-        part = ctx.partitionId() if ctx is not None else 0
-        carry_shard, carry = None, None
-        first_shard, first_mat = None, None
-        n_runs = 0
-        mid_sum = np.zeros(n_out)
-        mid_count = 0
-
-        def close(shard_id, mat):
-            nonlocal first_shard, first_mat, mid_sum, mid_count
-            if first_mat is None:
-                first_shard, first_mat = shard_id, mat
-            else:
-                mid_sum = mid_sum + _out_vector(method, d, mat @ z0a, w0a)
-                mid_count += 1
-
-        for b in pieces(batches, len(z0a)):
-            shard = b.column("shard").to_numpy(zero_copy_only=False).astype(np.int64)
-            y = b.column("y").to_numpy(zero_copy_only=False).astype(np.float64)
-            P = np.column_stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.float64)
-                                 for c in pcols])
-            change = np.empty(len(shard), dtype=bool)
-            change[0] = True
-            change[1:] = shard[1:] != shard[:-1]
-            starts = np.flatnonzero(change)
-            totals = run_totals(method, y, P, starts, step, gamma, look)
-            ids = shard[starts]
-            i0 = 0
-            if carry is not None and ids[0] == carry_shard:
-                carry = totals[0] @ carry
-                i0 = 1
-            if len(ids) > i0:
-                if carry is not None:
-                    close(carry_shard, carry)
-                new = list(range(i0, len(ids) - 1))
-                n_runs += len(ids) - i0
-                if new and first_mat is None:
-                    close(int(ids[new[0]]), totals[new[0]])
-                    new = new[1:]
-                if new:
-                    z = totals[new[0]:new[-1] + 1] @ z0a
-                    mid_sum = mid_sum + _out_vector(method, d, z, w0a).sum(axis=0)
-                    mid_count += len(new)
-                carry_shard, carry = int(ids[-1]), totals[-1]
-        if carry is None:
-            return
-        n_runs = max(n_runs, 1)
-        last_shard, last_vec = None, None
-        if first_mat is None:
-            first_shard, first_mat = carry_shard, carry
-        else:
-            last_shard, last_vec = carry_shard, (carry @ z0a).tolist()
-        yield pa.RecordBatch.from_pylist([{
-            "part": part, "n_runs": n_runs, "first_shard": first_shard,
-            "first_mat": first_mat.reshape(-1).tolist(), "last_shard": last_shard,
-            "last_vec": last_vec, "mid_sum": mid_sum.tolist(), "mid_count": mid_count,
-        }], schema=pa.schema([
-            ("part", pa.int32()), ("n_runs", pa.int64()), ("first_shard", pa.int64()),
-            ("first_mat", pa.list_(pa.float64())), ("last_shard", pa.int64()),
-            ("last_vec", pa.list_(pa.float64())), ("mid_sum", pa.list_(pa.float64())),
-            ("mid_count", pa.int64())]))
+        acc = None
+        for shard, y, P, rows in read(batches):
+            if chain:
+                shard = np.zeros_like(shard)
+            starts = run_starts(shard)
+            summary = Summary.of_runs(shard[starts], run_maps(method, y, P, starts, steps, gamma, rows))
+            acc = summary if acc is None else acc.then(summary)
+        if acc is not None:
+            yield pa.RecordBatch.from_pylist([acc.row(0 if ctx is None else ctx.partitionId())], schema=SUMMARY_ARROW)
 
     return kernel
 
@@ -257,273 +327,63 @@ def layout_partitions(spark, rows: int) -> int:
     return partitions_for(spark, rows, ROWS_PER_PARTITION)
 
 
-def sorted_layout(df: DataFrame, shard: str, order: Sequence[str], y: str,
-                  phi: Sequence[str], tie: str | None = None,
-                  partitions: int | None = None) -> DataFrame:
-    """Range-partition on ``(shard, order..., _tie)`` and sort inside partitions.
-
-    Output columns ``shard, y, p0..p{d-1}`` in scan order. A large shard
-    spans several range partitions, so no task holds a whole shard. ``order``
-    should identify rows within a shard; rows equal on it keep their input
-    order through ``_tie`` (the column ``tie``, or a position id taken here,
-    reproducible when the rows come straight from a file scan), which also
-    lets the range bounds cut a large group of such rows.
-
-    ``partitions``: an explicit count (see ``layout_partitions``), which
-    adaptive execution keeps as is; otherwise ``spark.sql.shuffle.partitions``.
-    """
-    tie_col = F.col(tie) if tie else F.monotonically_increasing_id()
-    keys = [F.col(shard)] + [F.col(o) for o in order] + [F.col("_tie")]
-    keyed = df.withColumn("_tie", tie_col)
-    return (
-        (keyed.repartitionByRange(partitions, *keys) if partitions
-         else keyed.repartitionByRange(*keys))
-        .sortWithinPartitions(*keys)
-        .select(F.col(shard).cast("long").alias("shard"), F.col(y).cast("double").alias("y"),
-                *[F.col(p).cast("double").alias(f"p{j}") for j, p in enumerate(phi)])
-    )
-
-
-CHAIN_SCHEMA = "part int, mat array<double>"
+def epochs_per_pass(method: str, d: int, partitions: int) -> int:
+    """Epochs whose maps one pass gives, so that summaries and pieces stay bounded."""
+    doubles = (state_dim(method, d) + 1) ** 2
+    return max(1, min(DRIVER_DOUBLES // (3 * doubles * min(partitions, STITCH_FANIN)), BLOCK_DOUBLES // (1024 * doubles)))
 
 
-def make_chain_kernel(method: str, d: int, step: float, gamma: float, look: Sequence[float] | None):
-    """``mapInArrow`` function: the product of *all* row maps of a partition, in order."""
-    look_arr = np.asarray(look, dtype=np.float64) if look is not None else None
-    pcols = [f"p{j}" for j in range(d)]
-
-    def kernel(batches):
-        from pyspark import TaskContext
-        ctx = TaskContext.get()
-        part = ctx.partitionId() if ctx is not None else 0
-        acc = None
-        for b in pieces(batches, state_dim(method, d) + 1):
-            y = b.column("y").to_numpy(zero_copy_only=False).astype(np.float64)
-            P = np.column_stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.float64)
-                                 for c in pcols])
-            tot = run_totals(method, y, P, np.zeros(1, dtype=np.int64), step, gamma, look_arr)[0]
-            acc = tot if acc is None else tot @ acc
-        if acc is not None:
-            yield pa.RecordBatch.from_pylist(
-                [{"part": part, "mat": acc.reshape(-1).tolist()}],
-                schema=pa.schema([("part", pa.int32()), ("mat", pa.list_(pa.float64()))]))
-
-    return kernel
-
-
-def chained_state(layout: DataFrame, method: str, d: int, step: float, gamma: float,
-                  w: Sequence[float], v: Sequence[float], bound: int | None = None
-                  ) -> tuple[list[float], list[float]]:
-    """One ordered pass through all shards as a single chain (shard order,
-    then row order): the state is carried from shard to shard, not averaged.
-    Each partition yields the product of its row maps; groups of consecutive
-    products are multiplied on executors once there are more than
-    ``STITCH_FANIN``, and the driver multiplies the rest in order."""
-    z0 = start_state(method, d, w, v)
-    look = None
-    if method == "nesterov":
-        look = (np.asarray(w) - gamma * np.asarray(v)).tolist()
-    m = len(z0)
-
-    def merge(rows):
-        acc = None
-        for r in rows:
-            mat = np.asarray(r["mat"], dtype=np.float64).reshape(m, m)
-            acc = mat if acc is None else mat @ acc
-        return None if acc is None else (lambda part: {"part": part, "mat": acc.reshape(-1).tolist()})
-
-    mats = layout.mapInArrow(make_chain_kernel(method, d, step, gamma, look), CHAIN_SCHEMA)
-    rows = reduce_levels(mats, merge, CHAIN_SCHEMA, bound or partition_bound(layout)).collect()
-    z = z0
-    for r in sorted(rows, key=lambda r: r["part"]):
-        z = np.asarray(r["mat"], dtype=np.float64).reshape(m, m) @ z
-    out = _out_vector(method, d, z, np.asarray(w, dtype=np.float64))
-    return out[:d].tolist(), (out[d:2 * d].tolist() if method != "sgd" else list(v))
-
-
-def start_state(method: str, d: int, w: Sequence[float], v: Sequence[float]) -> np.ndarray:
-    if state_dim(method, d) >= MAX_STATE:
-        raise ValueError(f"{d} features are too many for the ordered scan (state of {MAX_STATE} at most); "
-                         "fit from sufficient statistics instead (full_batch_history)")
-    w0 = np.asarray(w, dtype=np.float64)
-    if method == "sgd":
-        return np.r_[w0, 1.0]
-    v0 = np.asarray(v, dtype=np.float64)
-    if method == "heavy_ball":
-        return np.r_[w0, v0, 1.0]
-    return np.r_[v0, 1.0]
-
-
-def stitch(rows, method: str, d: int, z0: np.ndarray, w0: np.ndarray) -> tuple[np.ndarray, int]:
-    """Combine the partition summaries in partition order: ``(sum of results, shards)``.
-
-    The rows are kernel summaries, or group summaries merged by
-    ``reduce_levels`` (at most ``STITCH_FANIN``), like the final merge of a
-    tree aggregate; each boundary shard costs one small product.
-    """
-    m = len(z0)
-    total = None
-    count = 0
-    pending = None  # (shard, end state so far) of a shard that may continue
-
-    def finish(state):
-        nonlocal total, count
-        out = _out_vector(method, d, state, w0)
-        total = out if total is None else total + out
-        count += 1
-
-    for r in sorted(rows, key=lambda r: r["part"]):
-        mat = np.asarray(r["first_mat"], dtype=np.float64).reshape(m, m)
-        if pending is not None and pending[0] == r["first_shard"]:
-            z = mat @ pending[1]
-        else:
-            if pending is not None:
-                finish(pending[1])
-            z = mat @ z0
-        if r["mid_count"]:
-            ms = np.asarray(r["mid_sum"], dtype=np.float64)
-            total = ms if total is None else total + ms
-            count += int(r["mid_count"])
-        if r["last_vec"] is None:
-            pending = (r["first_shard"], z)
-        else:
-            finish(z)
-            pending = (r["last_shard"], np.asarray(r["last_vec"], dtype=np.float64))
-    if pending is not None:
-        finish(pending[1])
-    return total, count
-
-
-def merge_summaries(rows, method: str, d: int, z0: np.ndarray, w0: np.ndarray) -> dict | None:
-    """Merge consecutive partition summaries (given in order) into one.
-
-    The result has the shape of a kernel summary: the first run as a matrix
-    (it may continue a shard from before the group), the last run as an end
-    state (it may continue after the group) or ``None`` when the whole group
-    is one run, and the summed results of the whole shards in between.
-    """
-    m = len(z0)
-    acc = None
-    for r in rows:
-        mat = np.asarray(r["first_mat"], dtype=np.float64).reshape(m, m)
-        last = (None if r["last_vec"] is None
-                else (int(r["last_shard"]), np.asarray(r["last_vec"], dtype=np.float64)))
-        mid = np.asarray(r["mid_sum"], dtype=np.float64)
-        if acc is None:
-            acc = {"first_shard": int(r["first_shard"]), "first_mat": mat, "last": last,
-                   "mid_sum": mid, "mid_count": int(r["mid_count"]), "n_runs": int(r["n_runs"])}
-            continue
-        acc["n_runs"] += int(r["n_runs"])
-        if acc["last"] is None and int(r["first_shard"]) == acc["first_shard"]:
-            # one run so far, and it goes on: it stays the group's first run
-            acc["first_mat"] = mat @ acc["first_mat"]
-            acc["n_runs"] -= 1
-        else:
-            if acc["last"] is None:
-                z = mat @ z0
-            else:
-                shard, za = acc["last"]
-                if int(r["first_shard"]) == shard:
-                    z = mat @ za
-                    acc["n_runs"] -= 1
-                else:
-                    acc["mid_sum"] = acc["mid_sum"] + _out_vector(method, d, za, w0)
-                    acc["mid_count"] += 1
-                    z = mat @ z0
-            if last is None:
-                last = (int(r["first_shard"]), z)
-            else:
-                acc["mid_sum"] = acc["mid_sum"] + _out_vector(method, d, z, w0)
-                acc["mid_count"] += 1
-        acc["mid_sum"] = acc["mid_sum"] + mid
-        acc["mid_count"] += int(r["mid_count"])
-        if last is not None:
-            acc["last"] = last
-    return acc
-
-
-def _summary_row(part: int, acc: dict) -> dict:
-    last = acc["last"]
-    return {"part": part, "n_runs": acc["n_runs"], "first_shard": acc["first_shard"],
-            "first_mat": acc["first_mat"].reshape(-1).tolist(),
-            "last_shard": None if last is None else last[0],
-            "last_vec": None if last is None else last[1].tolist(),
-            "mid_sum": acc["mid_sum"].tolist(), "mid_count": acc["mid_count"]}
-
-
-def _group_merger(merge, schema: pa.Schema, fanin: int):
-    """``applyInArrow`` function: merge one group of consecutive rows, in ``part`` order."""
+def _group_merger(m: int, fanin: int):
+    """``applyInArrow`` function: merge one group of consecutive summaries."""
 
     def fn(table: pa.Table) -> pa.Table:
-        rows = sorted(table.to_pylist(), key=lambda r: r["part"])
-        out = merge(rows)
-        return pa.Table.from_pylist([] if out is None else [out(rows[0]["part"] // fanin)],
-                                    schema=schema)
+        rows = table.to_pylist()
+        part = min(r["part"] for r in rows) // fanin
+        return pa.Table.from_pylist([merged(rows, m).row(part)], schema=SUMMARY_ARROW)
 
     return fn
 
 
-def partition_bound(df: DataFrame) -> int:
-    """Upper bound on the partitions of a layout built by ``sorted_layout``
-    without an explicit count."""
-    conf = df.sparkSession.conf
-    n = int(conf.get("spark.sql.shuffle.partitions"))
-    initial = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-    if initial:
-        n = max(n, int(initial))
-    return n
+def reduce_levels(df: DataFrame, m: int, bound: int, fanin: int | None = None) -> DataFrame:
+    """Merge ordered per-partition summaries on executors until at most ``fanin`` remain.
 
-
-def reduce_levels(df: DataFrame, merge, schema: str, bound: int,
-                  fanin: int | None = None) -> DataFrame:
-    """Merge ordered per-partition rows on executors until at most ``fanin`` remain.
-
-    Each level groups ``fanin`` consecutive ``part`` ids and merges them with
-    ``merge(rows) -> (new_part -> row)``; the new ``part`` is the group id, so
-    order is kept. Lazy: the levels run in the same job as ``df``.
+    Each level groups ``fanin`` consecutive ``part`` ids; the new ``part`` is the
+    group id, so order is kept. Lazy: the levels run in the same job as ``df``.
     """
     fanin = fanin or STITCH_FANIN
-    arrow_schema = _arrow_schema(schema)
     while bound > fanin:
         df = (df.groupBy(F.expr(f"part div {int(fanin)}").alias("_grp"))
-              .applyInArrow(_group_merger(merge, arrow_schema, fanin), schema))
+              .applyInArrow(_group_merger(m, fanin), SUMMARY_SCHEMA))
         bound = math.ceil(bound / fanin)
     return df
 
 
-_ARROW_TYPES = {"int": pa.int32(), "long": pa.int64(), "array<double>": pa.list_(pa.float64())}
-
-
-def _arrow_schema(ddl: str) -> pa.Schema:
-    fields = []
-    for item in ddl.split(","):
-        name, typ = item.strip().split(" ", 1)
-        fields.append((name, _ARROW_TYPES[typ.strip()]))
-    return pa.schema(fields)
-
+def mean_maps(layout: DataFrame, method: str, d: int, steps: Sequence[float], gamma: float, bound: int,
+              chain: bool = False, permuted: bool = False) -> np.ndarray:
+    """``(epochs, m, m)``: for every step size the unweighted mean over the shards of the map that a shard's
+    ordered pass applies to the state; with ``chain`` the map of one pass through all shards in turn.
 
-def averaged_state(layout: DataFrame, method: str, d: int, step: float, gamma: float,
-                   w: Sequence[float], v: Sequence[float], bound: int | None = None
-                   ) -> tuple[list[float], list[float]]:
-    """One ordered pass over every shard; unweighted mean of the shard results.
-
-    One Python stage over the sorted layout, no shuffle of rows; the driver
-    receives at most ``STITCH_FANIN`` merged partition summaries.
+    One Python stage over the ordered layout of at most ``bound`` partitions, no shuffle of rows. Nesterov
+    gives one map, for step 1.
     """
-    z0 = start_state(method, d, w, v)
-    w0 = np.asarray(w, dtype=np.float64)
-    summaries = layout.mapInArrow(
-        make_epoch_kernel(method, d, step, gamma, z0.tolist(), w0.tolist()), SUMMARY_SCHEMA)
-
-    def merge(rows):
-        acc = merge_summaries(rows, method, d, z0, w0)
-        return None if acc is None else (lambda part: _summary_row(part, acc))
-
-    rows = reduce_levels(summaries, merge, SUMMARY_SCHEMA, bound or partition_bound(layout)).collect()
-    total, count = stitch(rows, method, d, z0, w0)
-    if not count:
+    m = state_dim(method, d) + 1
+    rows = layout.mapInArrow(make_map_kernel(method, d, steps, gamma, chain, permuted), SUMMARY_SCHEMA)
+    found = merged(reduce_levels(rows, m, bound).collect(), m)
+    if found is None:
         raise ValueError("no rows to fit")
-    mean = total / count
-    w_new = mean[:d].tolist()
-    v_new = mean[d:2 * d].tolist() if method != "sgd" else list(v)
-    return w_new, v_new
+    total, count = found.total()
+    return total / count
+
+
+def advance(method: str, step: float, gamma: float, M: np.ndarray, w: np.ndarray, v: np.ndarray
+            ) -> tuple[np.ndarray, np.ndarray]:
+    """State after one epoch whose mean map is ``M``."""
+    d = len(w)
+    if method == "sgd":
+        return M[:d, :d] @ w + M[:d, d], v
+    if method == "heavy_ball":
+        z = M[:2 * d] @ np.r_[w, v, 1.0]
+        return z[:d], z[d:]
+    look = w - gamma * v
+    v = M[:d, :d] @ v + step * (M[:d, d:2 * d] @ look + M[:d, 2 * d])
+    return w - v, v

@@ -1,3 +1,5 @@
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -5,7 +7,7 @@ from pyspark.sql import functions as F
 
 from orbitfit.operators.momentum import heavy_ball, local_sgd, nesterov
 from orbitfit.operators import scan
-from orbitfit.operators.scan import row_maps, run_products
+from orbitfit.operators.scan import run_maps, run_products
 from orbitfit.sources.tables import line_dataset
 
 # Golden trajectories (FIXTURES F7): generated line, step 1e-7/(1 + 0.01 epoch),
@@ -56,23 +58,6 @@ def _sequential(method, rows, w, v, s, g):
     return w, v
 
 
-def test_run_products_equal_sequential():
-    rng = np.random.default_rng(0)
-    P = rng.normal(size=(37, 2))
-    y = rng.normal(size=37)
-    for method in ("sgd", "heavy_ball", "nesterov"):
-        look = np.array([0.3, 0.1]) - 0.6 * np.array([0.05, -0.02])
-        M = row_maps(method, y, P, 0.01, 0.6, look)
-        tot = run_products(M, np.array([0]))[0]
-        z0 = {"sgd": np.r_[0.3, 0.1, 1.0], "heavy_ball": np.r_[0.3, 0.1, 0.05, -0.02, 1.0],
-              "nesterov": np.r_[0.05, -0.02, 1.0]}[method]
-        w, v = _sequential(method, list(zip(y, P)), [0.3, 0.1], [0.05, -0.02] if method != "sgd" else [0, 0],
-                           0.01, 0.6)
-        z = tot @ z0
-        want = {"sgd": w, "heavy_ball": np.r_[w, v], "nesterov": v}[method]
-        assert z[:len(want)] == pytest.approx(want, rel=1e-10, abs=1e-12)
-
-
 def test_one_hot_shard_split_over_tasks(spark, monkeypatch):
     """A single shard holding every row is split over range partitions; the
     result equals the row-by-row recurrence."""
@@ -178,113 +163,6 @@ def test_sequential_sgd_chains_shards_in_order(spark, fanin, monkeypatch):
     assert r.w == pytest.approx(list(w), rel=1e-10)
 
 
-@pytest.mark.parametrize("method", ["sgd", "heavy_ball", "nesterov"])
-def test_merged_summaries_stitch_to_the_same_result(method):
-    """Merging any split of consecutive kernel summaries, then stitching,
-    equals stitching the kernel summaries directly."""
-    rng = np.random.default_rng(3)
-    d = 2
-    m = scan.state_dim(method, d) + 1
-    z0 = np.r_[rng.normal(size=m - 1), 1.0]
-    w0 = rng.normal(size=d)
-    shards = np.repeat(np.arange(9), rng.integers(1, 12, size=9))
-    y = rng.normal(size=len(shards))
-    P = np.column_stack([rng.normal(size=len(shards)), np.ones(len(shards))])
-    cuts = sorted(rng.choice(np.arange(1, len(shards)), size=10, replace=False))
-    kernel = scan.make_epoch_kernel(method, d, 0.01, 0.5, z0.tolist(), w0.tolist())
-    summaries = []
-    for part, (lo, hi) in enumerate(zip([0, *cuts], [*cuts, len(shards)])):
-        b = pa.RecordBatch.from_pydict({"shard": shards[lo:hi], "y": y[lo:hi], "p0": P[lo:hi, 0],
-                                        "p1": P[lo:hi, 1]})
-        summaries += [dict(r, part=part) for out in kernel(iter([b])) for r in out.to_pylist()]
-    direct = scan.stitch(summaries, method, d, z0, w0)
-    for split in ([3, 7], [1, 2, 3, 4], [5]):
-        groups, lo = [], 0
-        for hi in [*split, len(summaries)]:
-            acc = scan.merge_summaries(summaries[lo:hi], method, d, z0, w0)
-            groups.append(scan._summary_row(len(groups), acc))
-            lo = hi
-        total, count = scan.stitch(groups, method, d, z0, w0)
-        assert count == direct[1] == 9
-        assert total == pytest.approx(direct[0], rel=1e-12, abs=1e-12)
-
-
-def test_equal_order_values_keep_input_order_and_split(spark):
-    """A hot shard whose order column is constant: the row id keeps the input
-    order (the reference's stored order) and lets the range bounds cut it."""
-    from collections import Counter
-    rng = np.random.default_rng(5)
-    rows = [(0, 0, float(rng.normal()), float(rng.normal())) for _ in range(600)]
-    df = spark.createDataFrame(rows, "shard long, seq long, y double, x double") \
-        .withColumn("bias", F.lit(1.0))
-    spark.conf.set("spark.sql.shuffle.partitions", "6")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        lay = scan.sorted_layout(df, "shard", ["seq"], "y", ["x", "bias"])
-        sizes = Counter(r["p"] for r in lay.select(F.spark_partition_id().alias("p")).collect())
-        r = heavy_ball(df, "y", ["x", "bias"], "shard", ["seq"], 1, 0.01, 0.0, 0.5)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert len(sizes) > 3 and max(sizes.values()) < 600 * 0.5
-    w, v = _sequential("heavy_ball", [(y, [x, 1.0]) for _, _, y, x in rows],
-                       np.zeros(2), np.zeros(2), 0.01 / 1.0, 0.5)
-    assert r.w == pytest.approx(list(w), rel=1e-9, abs=1e-12)
-
-
-def test_layout_is_sized_from_the_row_count(spark, monkeypatch):
-    """The layout gets an explicit, row-sized partition count, spread over
-    the cores only while tasks keep enough rows; not spark.sql.shuffle.partitions."""
-    from orbitfit import session
-    cores = spark.sparkContext.defaultParallelism
-    monkeypatch.setattr(scan, "ROWS_PER_PARTITION", 100)
-    monkeypatch.setattr(session, "MIN_ROWS_PER_TASK", 50)
-    assert scan.layout_partitions(spark, 1) == 1          # tiny: not one per core
-    assert scan.layout_partitions(spark, 120) == min(cores, 3)
-    assert scan.layout_partitions(spark, 1001) == 11      # about 100 rows each
-    line = line_dataset(spark, n=1000, shards=10)
-    spark.conf.set("spark.sql.shuffle.partitions", "200")
-    try:
-        lay = scan.sorted_layout(line, "shard", ["seq"], "y", ["x", "bias"],
-                                 partitions=scan.layout_partitions(spark, 1000))
-        assert lay.rdd.getNumPartitions() == 10
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
-
-
-def test_three_merge_levels_equal_direct_stitch(spark):
-    """Forty partition summaries merged on executors with fan-in 3 (three
-    levels: 40 -> 14 -> 5 -> 2 rows) stitch to the same result as all forty."""
-    rng = np.random.default_rng(11)
-    d, method = 2, "heavy_ball"
-    m = scan.state_dim(method, d) + 1
-    z0 = np.r_[rng.normal(size=m - 1), 1.0]
-    w0 = rng.normal(size=d)
-    shards = np.repeat(np.arange(30), rng.integers(1, 9, size=30))
-    y = rng.normal(size=len(shards))
-    x = rng.normal(size=len(shards))
-    cuts = sorted(rng.choice(np.arange(1, len(shards)), size=39, replace=False))
-    kernel = scan.make_epoch_kernel(method, d, 0.01, 0.5, z0.tolist(), w0.tolist())
-    summaries = []
-    for part, (lo, hi) in enumerate(zip([0, *cuts], [*cuts, len(shards)])):
-        b = pa.RecordBatch.from_pydict({"shard": shards[lo:hi], "y": y[lo:hi], "p0": x[lo:hi],
-                                        "p1": np.ones(hi - lo)})
-        summaries += [dict(r, part=part) for out in kernel(iter([b])) for r in out.to_pylist()]
-    assert len(summaries) == 40
-    df = spark.createDataFrame(summaries, scan.SUMMARY_SCHEMA)
-
-    def merge(rows):
-        acc = scan.merge_summaries(rows, method, d, z0, w0)
-        return lambda part: scan._summary_row(part, acc)
-
-    merged = scan.reduce_levels(df, merge, scan.SUMMARY_SCHEMA, 40, fanin=3).collect()
-    assert len(merged) <= 3
-    total, count = scan.stitch(merged, method, d, z0, w0)
-    direct = scan.stitch(summaries, method, d, z0, w0)
-    assert count == direct[1] == 30
-    assert total == pytest.approx(direct[0], rel=1e-12, abs=1e-12)
-
-
 def test_history_views(spark):
     """Weight, loss and velocity histories as temp views read by SQL,
     one row per epoch with an explicit epoch column."""
@@ -319,17 +197,135 @@ def test_small_blocks_give_the_same_fit(spark, monkeypatch):
     assert heavy_ball(df, "y", ["x", "bias"], "shard", ["seq"], epochs=2).w == pytest.approx(want, rel=1e-10)
 
 
+@pytest.mark.parametrize("method", ["sgd", "heavy_ball", "nesterov"])
+def test_run_maps_equal_the_sequential_recurrence(method):
+    """Maps of several runs and step sizes, chunks of every length, against a row-by-row loop."""
+    rng = np.random.default_rng(0)
+    starts = np.array([0, 1, 3, 67, 131, 330])
+    n, gamma, steps = 400, 0.6, [0.01, 0.003]
+    P, y = rng.normal(size=(n, 3)), rng.normal(size=n)
+    w, v = rng.normal(size=3), 0.1 * rng.normal(size=3)
+    maps = run_maps(method, y, P, starts, steps, gamma)
+    for k, (a, b) in enumerate(zip(starts, [*starts[1:], n])):
+        for e, s in enumerate(steps):
+            want_w, want_v = _sequential(method, list(zip(y[a:b], P[a:b])), w, v, s, gamma)
+            if method == "nesterov":
+                want_w = w - want_v
+            got_w, got_v = scan.advance(method, s, gamma, maps[k, 0 if method == "nesterov" else e], w, v)
+            assert got_w == pytest.approx(want_w, rel=1e-10, abs=1e-12)
+            if method != "sgd":
+                assert got_v == pytest.approx(want_v, rel=1e-10, abs=1e-12)
+
+
+def test_rows_taken_in_another_order_per_epoch():
+    rng = np.random.default_rng(5)
+    P, y, w = rng.normal(size=(90, 2)), rng.normal(size=90), rng.normal(size=2)
+    rows = np.stack([np.concatenate((rng.permutation(30), 30 + rng.permutation(60))) for _ in range(3)])
+    maps = run_maps("sgd", y, P, np.array([0, 30]), [0.01, 0.02, 0.03], 0.0, rows)
+    for e, s in enumerate([0.01, 0.02, 0.03]):
+        for k, part in enumerate((rows[e, :30], rows[e, 30:])):
+            want, _ = _sequential("sgd", [(y[i], P[i]) for i in part], w, [0, 0], s, 0.0)
+            assert scan.advance("sgd", s, 0.0, maps[k, e], w, np.zeros(2))[0] == pytest.approx(want, rel=1e-10)
+
+
+def _summaries(method, n_shards, cuts_at, chain=False, seed=3):
+    """Kernel summaries of rows cut into partitions anywhere, and the maps of the whole shards."""
+    rng = np.random.default_rng(seed)
+    shards = np.repeat(np.arange(n_shards), rng.integers(1, 12, size=n_shards))
+    y = rng.normal(size=len(shards))
+    P = np.column_stack([rng.normal(size=len(shards)), np.ones(len(shards))])
+    cuts = sorted(rng.choice(np.arange(1, len(shards)), size=cuts_at, replace=False))
+    kernel = scan.make_map_kernel(method, 2, [0.01, 0.02], 0.5, chain)
+    rows = []
+    for part, (lo, hi) in enumerate(zip([0, *cuts], [*cuts, len(shards)])):
+        b = pa.RecordBatch.from_pydict({"shard": shards[lo:hi], "y": y[lo:hi], "p0": P[lo:hi, 0], "p1": P[lo:hi, 1]})
+        rows += [dict(r, part=part) for out in kernel(iter([b])) for r in out.to_pylist()]
+    starts = np.array([0]) if chain else scan.run_starts(shards)
+    return rows, run_maps(method, y, P, starts, [0.01, 0.02], 0.5)
+
+
+@pytest.mark.parametrize("chain", [False, True])
+@pytest.mark.parametrize("method", ["sgd", "heavy_ball", "nesterov"])
+def test_merged_summaries_give_the_sum_of_whole_shards(method, chain):
+    """Any cuts into partitions, and merging any split of consecutive summaries first."""
+    rows, maps = _summaries(method, 9, 10, chain)
+    m = maps.shape[-1]
+    for split in ([], [3, 7], [1, 2, 3, 4], [5]):
+        groups, lo = [], 0
+        for hi in [*split, len(rows)]:
+            groups.append(scan.merged(rows[lo:hi], m).row(len(groups)))
+            lo = hi
+        total, count = scan.merged(groups, m).total()
+        assert count == len(maps)
+        assert np.allclose(total, maps.sum(axis=0), rtol=1e-11, atol=1e-12)
+
+
+def test_three_merge_levels_on_executors(spark):
+    """Forty partition summaries with fan-in 3 (40 -> 14 -> 5 -> 2 rows) give the same sum."""
+    rows, maps = _summaries("heavy_ball", 30, 39, seed=11)
+    assert len(rows) == 40
+    merged = scan.reduce_levels(spark.createDataFrame(rows, scan.SUMMARY_SCHEMA), 5, 40, fanin=3).collect()
+    assert len(merged) <= 3
+    total, count = scan.merged(merged, 5).total()
+    assert count == 30 and np.allclose(total, maps.sum(axis=0), rtol=1e-11, atol=1e-12)
+
+
 def test_too_many_features_for_the_scan():
-    from orbitfit.operators.scan import start_state
     with pytest.raises(ValueError, match="too many"):
-        start_state("heavy_ball", 200, [0.0] * 200, [0.0] * 200)
+        scan.state_dim("heavy_ball", 200)
+
 
+def _jobs(spark, run):
+    sc, group = spark.sparkContext, uuid.uuid4().hex
+    sc.setJobGroup(group, "jobs of one fit")
+    try:
+        run()
+        return len(sc.statusTracker().getJobIdsForGroup(group))
+    finally:
+        sc.setJobGroup("", "")
+
+
+@pytest.mark.parametrize("fit", ["heavy_ball", "nesterov", "sgd_none", "sgd_epoch"])
+def test_jobs_do_not_grow_with_the_epochs(spark, fit):
+    line = line_dataset(spark)
+
+    def run(epochs):
+        args = ("y", ["x", "bias"], "shard", ["seq"], epochs)
+        if fit.startswith("sgd"):
+            return lambda: local_sgd(line, *args, permute=fit[4:])
+        return lambda: {"heavy_ball": heavy_ball, "nesterov": nesterov}[fit](line, *args)
+
+    run(1)()
+    few, many = _jobs(spark, run(2)), _jobs(spark, run(100))
+    # Two actions, the statistics and the pass (and the largest shard); each shuffle counts as a job too.
+    assert few == many and many <= 4 + 5 * (fit == "sgd_epoch")
+
+
+def test_several_passes_equal_one(spark, monkeypatch):
+    line = line_dataset(spark)
+    args = (line, "y", ["x", "bias"], "shard", ["seq"], 7, 1e-7)
+    want = [heavy_ball(*args).history, local_sgd(*args).history, local_sgd(*args, permute="none").history]
+    monkeypatch.setattr(scan, "BLOCK_DOUBLES", 1024 * 60)
+    got = [heavy_ball(*args).history, local_sgd(*args).history, local_sgd(*args, permute="none").history]
+    assert scan.epochs_per_pass("heavy_ball", 2, 1) == 2
+    for a, b in zip(want, got):
+        assert np.allclose(a, b, rtol=1e-10)
+
+
+@pytest.mark.parametrize("combine", ["average", "sequential"])
+def test_shards_too_large_for_a_task_are_dealt_each_epoch(spark, monkeypatch, combine):
+    """The two ways of drawing a fresh permutation give the same fit."""
+    from orbitfit.operators import momentum
+    line = line_dataset(spark, n=900, shards=4)
+    args = (line, "y", ["x", "bias"], "shard", ["seq"], 3, 1e-8)
+    monkeypatch.setattr(scan, "ROWS_PER_PARTITION", 100)
+    want = local_sgd(*args, combine=combine)
+    monkeypatch.setattr(momentum, "PERMUTED_ROWS", 10)
+    got = local_sgd(*args, combine=combine)
+    assert np.allclose(want.history, got.history, rtol=1e-10)
 
-def test_nesterov_totals_equal_the_products():
-    from orbitfit.operators.scan import nesterov_totals
 
-    rng = np.random.default_rng(11)
-    y, P, look = rng.normal(size=70), rng.normal(size=(70, 3)), rng.normal(size=3)
-    starts = np.array([0, 1, 4, 33, 69])
-    want = run_products(row_maps("nesterov", y, P, 0.02, 0.6, look), starts)
-    assert np.allclose(nesterov_totals(y, P, starts, 0.02, 0.6, look), want, rtol=1e-12, atol=1e-14)
+def test_null_shard_is_an_error(spark):
+    df = line_dataset(spark, n=20, shards=2).withColumn("shard", F.when(F.col("seq") != 3, F.col("shard")))
+    with pytest.raises(Exception, match="NULL shard"):
+        heavy_ball(df, "y", ["x", "bias"], "shard", ["seq"], 1)

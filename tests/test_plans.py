@@ -6,8 +6,9 @@ from sf_dirs import SF_SMALL
 from orbitfit.functions.random import hash_uniform
 from orbitfit.functions.vector import nearest
 from orbitfit.operators.kmeans import KMeansModel
+from orbitfit.operators.layout import sorted_layout
 from orbitfit.operators.prefix import running_total
-from orbitfit.operators.scan import SUMMARY_SCHEMA, make_epoch_kernel, sorted_layout
+from orbitfit.operators.scan import SUMMARY_SCHEMA, make_map_kernel
 from orbitfit.operators.seeding import min_sq_distance
 from orbitfit.sources.tables import LINEITEM_KEYS, lineitem_points, part_regression
 
@@ -55,14 +56,13 @@ def test_cluster_stats_single_aggregate_no_join(spark):
     assert "partial_var_pop" in p or "partial_" in p
 
 
-def test_sharded_epoch_range_layout_and_no_hash_shuffle(spark):
+def test_sharded_pass_has_one_shuffle_and_no_sampling(spark):
     r = part_regression(spark, SF_SMALL)
-    lay = sorted_layout(r, "shard", ["seq"], "y", ["x", "bias"])
-    q = lay.mapInArrow(make_epoch_kernel("heavy_ball", 2, 1e-7, 0.6, [0, 0, 0, 0, 1], [0, 0]),
-                       SUMMARY_SCHEMA)
+    lay = sorted_layout(r, "shard", ["seq"], "y", ["x", "bias"], 200, 4)
+    q = lay.mapInArrow(make_map_kernel("heavy_ball", 2, [1e-7, 2e-7], 0.6), SUMMARY_SCHEMA)
     p = _plan(q)
-    assert "rangepartitioning(shard" in p and "MapInArrow" in p
-    assert "hashpartitioning" not in p
+    assert "REPARTITION_BY_NUM" in p and "MapInArrow" in p
+    assert "rangepartitioning" not in p and "hashpartitioning" not in p
     assert "ReadSchema: struct<p_partkey:bigint,p_retailprice:double>" in p
 
 

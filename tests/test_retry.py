@@ -58,7 +58,7 @@ def flaky(make):
         return kernel
     return wrapped
 
-scan.make_epoch_kernel = flaky(scan.make_epoch_kernel)
+scan.make_map_kernel = flaky(scan.make_map_kernel)
 prefix._local_sums_kernel = flaky(prefix._local_sums_kernel)
 prefix._partition_total_kernel = flaky(prefix._partition_total_kernel)
 blocks.make_partial_kernel = flaky(blocks.make_partial_kernel)

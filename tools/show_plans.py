@@ -18,11 +18,12 @@ from orbitfit.functions.random import hash_uniform  # noqa: E402
 from orbitfit.functions.vector import nearest  # noqa: E402
 from orbitfit.operators.blocks import PARTIAL_SCHEMA, make_partial_kernel  # noqa: E402
 from orbitfit.operators.kmeans import KMeansModel  # noqa: E402
+from orbitfit.operators.layout import sorted_layout  # noqa: E402
 from orbitfit.operators.linear import normal_stats_table  # noqa: E402
 from orbitfit.operators.points import project_points  # noqa: E402
 from orbitfit.operators.prefix import running_total  # noqa: E402
 from orbitfit.operators.sampling import sample_by_hash  # noqa: E402
-from orbitfit.operators.scan import SUMMARY_SCHEMA, make_epoch_kernel, reduce_levels, sorted_layout  # noqa: E402
+from orbitfit.operators.scan import SUMMARY_SCHEMA, make_map_kernel, reduce_levels  # noqa: E402
 from orbitfit.operators.seeding import min_sq_distance  # noqa: E402
 from orbitfit.session import get_session  # noqa: E402
 from orbitfit.sources.tables import LINEITEM_KEYS, lineitem_points, part_regression, table  # noqa: E402
@@ -73,15 +74,11 @@ def main() -> None:
     sections.append(("Centre-to-centre distances (partner ids exploded over K rows, no join)",
                      model.inter_cluster_distances(spark)))
     r = part_regression(spark, sf)
-    lay = sorted_layout(r, "shard", ["seq"], "y", ["x", "bias"])
-    sections.append(("Sharded heavy-ball epoch (range layout + affine scan kernel)",
-                     lay.mapInArrow(make_epoch_kernel("heavy_ball", 2, 1e-7, 0.6, [0, 0, 0, 0, 1], [0, 0]),
-                                    SUMMARY_SCHEMA)))
-    sections.append(("Summary merge levels (fan-in 3 over 13 range partitions; 1024 by default)",
-                     reduce_levels(sorted_layout(r, "shard", ["seq"], "y", ["x", "bias"])
-                                   .mapInArrow(make_epoch_kernel("heavy_ball", 2, 1e-7, 0.6,
-                                                                 [0, 0, 0, 0, 1], [0, 0]), SUMMARY_SCHEMA),
-                                   lambda rows: None, SUMMARY_SCHEMA, 13, fanin=3)))
+    lay = sorted_layout(r, "shard", ["seq"], "y", ["x", "bias"], r.count(), 13)
+    maps = lay.mapInArrow(make_map_kernel("heavy_ball", 2, [1e-7, 9e-8], 0.6), SUMMARY_SCHEMA)
+    sections.append(("Sharded heavy ball, all epochs in one pass (counted layout + affine scan kernel)", maps))
+    sections.append(("Summary merge levels (fan-in 3 over 13 partitions; 1024 by default)",
+                     reduce_levels(maps, 5, 13, fanin=3)))
     sections.append(("Sufficient statistics (one aggregate)", normal_stats_table(r, "y", ["x", "bias"])))
     data = pts.select(*LINEITEM_KEYS, "x", "y", F.col("x").alias("w"), hash_uniform(LINEITEM_KEYS, 42, 1).alias("u"))
     sections.append(("Running total (one range shuffle, reused; Arrow prefix sums)", running_total(data, "w", "u", LINEITEM_KEYS)))
