@@ -5,17 +5,22 @@ over rows is one Spark aggregate (partial per task, one row to the driver):
 
 * ``column_moments`` / ``standardize``: count, mean and population deviation
   of every column in one pass (G1); a constant column standardises to 0.0.
-* ``normal_stats``: ``n, Phi'Phi, Phi'y, y'y`` in one pass (G7). From them the
+* ``normal_stats``: sufficient statistics in one pass (G7). From them the
   loss and gradient of *any* weight vector follow with no further job, so a
   full-batch fit of any number of epochs costs a single scan, and the
-  per-epoch loss of the stochastic fits needs no extra job either.
+  per-epoch loss of the stochastic fits needs no extra job either. They are
+  centred co-moments (which merge over tasks) of the features and of the
+  residual of reference weights, not raw sums: with raw sums the loss of a good
+  fit is a small difference of large numbers.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,38 +75,60 @@ def standardize(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()
 
 @dataclass
 class NormalStats:
-    """Sufficient statistics of least squares: n, Phi'Phi, Phi'y, y'y."""
+    """Sufficient statistics of least squares, around reference weights ``ref``.
+
+    ``mean`` and ``cov`` are the means and population covariances of the
+    features and, last, of the residual ``r = y - ref . phi``. Any residual is
+    ``r - (w - ref) . phi``, so its mean square is its squared mean plus a
+    quadratic form of ``cov``, taken through a factor of it: never negative,
+    and without cancellation as long as ``ref`` fits about as well as ``w``.
+    """
     n: int
-    xtx: list[list[float]]
-    xty: list[float]
-    yty: float
+    ref: list[float]
+    mean: list[float]
+    cov: list[list[float]]
 
     @property
     def d(self) -> int:
-        return len(self.xty)
+        return len(self.ref)
+
+    @cached_property
+    def _factor(self) -> np.ndarray:
+        """F with ``F'F = cov``, through the correlations, so that scales apart do not mix."""
+        cov = np.asarray(self.cov)
+        sd = np.sqrt(np.diag(cov))
+        inv = np.divide(1.0, sd, out=np.zeros_like(sd), where=sd > 0)
+        values, vectors = np.linalg.eigh(cov * inv[:, None] * inv[None, :])
+        return np.sqrt(np.maximum(values, 0.0))[:, None] * vectors.T * sd[None, :]
+
+    def _residual(self, w: Sequence[float]) -> tuple[np.ndarray, float]:
+        """Coefficients of the residual of ``w`` over (features, r), and its mean."""
+        z = np.append(np.asarray(self.ref) - np.asarray(w, np.float64), 1.0)
+        return z, float(z @ np.asarray(self.mean))
 
     def loss(self, w: Sequence[float]) -> float:
-        """Mean squared error ``(y'y - 2 w'Phi'y + w'Phi'Phi w) / n``."""
-        quad = 0.0
-        for i in range(self.d):
-            row = 0.0
-            for j in range(self.d):
-                row += self.xtx[i][j] * w[j]
-            quad += w[i] * row
-        lin = 0.0
-        for i in range(self.d):
-            lin += w[i] * self.xty[i]
-        return (self.yty - 2.0 * lin + quad) / self.n
+        """Mean squared error of the weights."""
+        z, mean = self._residual(w)
+        f = self._factor @ z
+        return float(f @ f) + mean * mean
 
     def grad(self, w: Sequence[float]) -> list[float]:
-        """Mean per-row gradient ``2 (Phi'Phi w - Phi'y) / n``."""
-        g = []
-        for i in range(self.d):
-            acc = 0.0
-            for j in range(self.d):
-                acc += self.xtx[i][j] * w[j]
-            g.append(2.0 * (acc - self.xty[i]) / self.n)
-        return g
+        """Mean per-row gradient ``-2 E[phi residual]``."""
+        z, mean = self._residual(w)
+        cross = np.asarray(self.cov)[:self.d] @ z
+        return (-2.0 * (cross + np.asarray(self.mean[:self.d]) * mean)).tolist()
+
+    @property
+    def xtx(self) -> list[list[float]]:
+        """Phi'Phi."""
+        m = np.asarray(self.mean[:self.d])
+        return (self.n * (np.asarray(self.cov)[:self.d, :self.d] + np.outer(m, m))).tolist()
+
+    @property
+    def xty(self) -> list[float]:
+        """Phi'y."""
+        m, ref = np.asarray(self.mean), np.append(self.ref, 1.0)
+        return (self.n * (np.asarray(self.cov)[:self.d] @ ref + m[:self.d] * (m @ ref))).tolist()
 
 
 def complete_rows(df: DataFrame, y: str | Column, phi: Sequence[str | Column], invalid: str = "error"
@@ -111,21 +138,38 @@ def complete_rows(df: DataFrame, y: str | Column, phi: Sequence[str | Column], i
     return (df if ok is None else df.where(ok)), yc, ps
 
 
+# Rows that the reference weights are fitted on; they only decide how much is left to cancel.
+REFERENCE_ROWS = 1000
+
+
+def reference_weights(df: DataFrame, y: Column, phi: Sequence[Column]) -> list[float]:
+    """Least-squares weights of a few rows, rounded to 20 binary digits so that products with features
+    of up to 33 digits are exact. Zeros where the rows give none."""
+    rows = df.select(*[p.alias(f"p{i}") for i, p in enumerate(phi)], y.alias("y")).limit(REFERENCE_ROWS).collect()
+    data = np.array([tuple(r) for r in rows], np.float64).reshape(len(rows), len(phi) + 1)
+    scale = np.abs(data).max(axis=0, initial=0.0)
+    if not np.isfinite(scale).all() or not scale[-1] or not scale[:-1].any():
+        return [0.0] * len(phi)
+    scale[scale == 0.0] = 1.0
+    found = np.linalg.lstsq(data[:, :-1] / scale[:-1], data[:, -1] / scale[-1], rcond=None)[0] * scale[-1] / scale[:-1]
+    digits, exponent = np.frexp(found)
+    return np.ldexp(np.round(digits * 2.0 ** 20), exponent - 20).tolist()
+
+
 def normal_stats(df: DataFrame, y: str | Column, phi: Sequence[str | Column], invalid: str = "error") -> NormalStats:
-    """One aggregate computing the upper triangle of Phi'Phi, Phi'y, y'y and n."""
+    """One aggregate: row count, means and covariances of the features and of the residual of weights
+    fitted on ``REFERENCE_ROWS`` rows."""
     df, yc, ps = complete_rows(df, y, phi, invalid)
     d = len(ps)
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(yc * yc).alias("yy")]
-    for i in range(d):
-        aggs.append(F.sum(ps[i] * yc).alias(f"b{i}"))
-        for j in range(i, d):
-            aggs.append(F.sum(ps[i] * ps[j]).alias(f"a{i}_{j}"))
+    ref = reference_weights(df, yc, ps)
+    cols = [*ps, yc - dot(ref, ps)]
+    aggs = [F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]]
+    aggs += [F.covar_pop(cols[i], cols[j]).alias(f"v{i}_{j}") for i in range(d + 1) for j in range(i, d + 1)]
     r = df.agg(*aggs).collect()[0]
-    xtx = [[0.0] * d for _ in range(d)]
-    for i in range(d):
-        for j in range(i, d):
-            xtx[i][j] = xtx[j][i] = float(r[f"a{i}_{j}"])
-    return NormalStats(int(r["n"]), xtx, [float(r[f"b{i}"]) for i in range(d)], float(r["yy"]))
+    if not r["n"]:
+        raise ValueError("no rows to fit")
+    cov = [[float(r[f"v{min(i, j)}_{max(i, j)}"]) for j in range(d + 1)] for i in range(d + 1)]
+    return NormalStats(int(r["n"]), ref, [float(r[f"m{i}"]) for i in range(d + 1)], cov)
 
 
 def normal_stats_table(df: DataFrame, y: str | Column, phi: Sequence[str | Column],

@@ -3,7 +3,9 @@
 R = part: ``y = p_retailprice``, ``phi = (x, 1)`` with
 ``x = (p_partkey % 1000) / 10`` (so ``y = 900 + x``), ``seq = p_partkey`` and
 ``shard = floor(p_partkey / 100)``: contiguous shards of 100 rows, as the
-reference's ten slices of 100. Lineitem numerics feed the moment queries.
+reference's ten slices of 100. The ``*_epoch`` and ``*_lineitem`` fits run on all of
+lineitem in three shards of a third of the rows each, and its numerics feed the
+moment queries.
 """
 
 from __future__ import annotations
@@ -18,8 +20,8 @@ from orbitfit.operators.linear import (
     normal_stats_table, standardize as _standardize,
 )
 from orbitfit.operators.momentum import FitResult, heavy_ball, local_sgd, nesterov
-from orbitfit.plans.sqlgen import dbl, with_
-from orbitfit.sources.tables import LINEITEM_KEYS, part_regression, table
+from orbitfit.plans.sqlgen import dbl, significant, with_
+from orbitfit.sources.tables import LINEITEM_KEYS, lineitem_regression, part_regression, table
 
 # Fixed parameters of the registered linear-model queries.
 MOMENT_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -27,13 +29,11 @@ W_FIXED = (0.9, 905.0)
 FB_EPOCHS, FB_S0, FB_DECAY, FB_MOMENTUM = 20, 0.1, 0.01, 0.6
 SH_S0, SH_DECAY, SH_MOMENTUM, SH_SEED = 1e-7, 0.01, 0.6, 42
 HISTORY_EPOCHS = 50
+LI_EPOCHS, LI_S0 = 10, 1e-4
 PHI = ["x", "bias"]
 
-# Output precision, both engines: values of magnitude ~1e5-1e10 (losses,
-# sums of squares) are compared to the precision two different summation
-# orders can both deliver, small values to 6 decimals.
-LOSS_DIGITS = 3
-STATS_DIGITS = 0
+# Output precision, both engines: losses and sums are compared on nine
+# significant digits (``significant``), weights to 6 decimals.
 MOMENT_DIGITS = 5
 
 
@@ -73,7 +73,7 @@ def linear_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def normal_stats_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = normal_stats_table(_rr(spark, sf_dir), "y", PHI)
-    return t.select("i", "j", _r(F.col("value"), STATS_DIGITS).alias("value"))
+    return t.select("i", "j", F.expr(significant("value")).alias("value"))
 
 
 def _standardised_r(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,7 +94,7 @@ def _history_df(spark: SparkSession, rows: list[tuple], with_velocity: bool) ->
     if with_velocity:
         cols += [_r(F.col("velocity_slope")).alias("velocity_slope"),
                  _r(F.col("velocity_intercept")).alias("velocity_intercept")]
-    return df.select(*cols, _r(F.col("loss"), LOSS_DIGITS).alias("loss"))
+    return df.select(*cols, F.expr(significant("loss")).alias("loss"))
 
 
 def _full_batch(method: str):
@@ -118,44 +118,46 @@ def _sharded_rows(res: FitResult) -> list[tuple]:
     return out
 
 
-def _sharded(method: str, epochs: int):
+def _sharded(method: str, epochs: int, lineitem: bool = False):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        r = _rr(spark, sf_dir)
+        r = lineitem_regression(spark, sf_dir) if lineitem else _rr(spark, sf_dir)
+        order, s0 = (LINEITEM_KEYS, LI_S0) if lineitem else (["seq"], SH_S0)
+        args = (r, "y", PHI, "shard", order, epochs, s0, SH_DECAY)
         if method == "heavy_ball":
-            res = heavy_ball(r, "y", PHI, "shard", ["seq"], epochs, SH_S0, SH_DECAY, SH_MOMENTUM)
+            res = heavy_ball(*args, SH_MOMENTUM)
         elif method == "nesterov":
-            res = nesterov(r, "y", PHI, "shard", ["seq"], epochs, SH_S0, SH_DECAY, SH_MOMENTUM)
-        elif method == "sgd_sequential":
-            res = local_sgd(r, "y", PHI, "shard", ["seq"], epochs, SH_S0, SH_DECAY, seed=SH_SEED,
-                            permute="epoch", combine="sequential")
+            res = nesterov(*args, SH_MOMENTUM)
         else:
-            res = local_sgd(r, "y", PHI, "shard", ["seq"], epochs, SH_S0, SH_DECAY, seed=SH_SEED,
-                            permute="epoch")
+            res = local_sgd(*args, seed=SH_SEED, permute="epoch",
+                            combine="sequential" if method == "sgd_sequential" else "average")
         return _history_df(spark, _sharded_rows(res), method in ("heavy_ball", "nesterov"))
     return run
 
 
 # Column and view of each history query, as the views name them.
 _VIEWS = {
-    "weight_history_view": ("weightHistoryView", ["slope", "intercept"], 6),
-    "velocity_history_view": ("velocityHistoryView", ["velocity_slope", "velocity_intercept"], 6),
-    "loss_history_view": ("lossHistoryView", ["loss"], LOSS_DIGITS),
+    "weight_history_view": ("weightHistoryView", ["slope", "intercept"]),
+    "velocity_history_view": ("velocityHistoryView", ["velocity_slope", "velocity_intercept"]),
+    "loss_history_view": ("lossHistoryView", ["loss"]),
 }
 
 
-def _history_view(view: str, columns: list[str], digits: int):
+def _history_view(view: str, columns: list[str]):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         res = heavy_ball(_rr(spark, sf_dir), "y", PHI, "shard", ["seq"], HISTORY_EPOCHS, SH_S0, SH_DECAY, SH_MOMENTUM)
         res.register_views(spark, w_names=["slope", "intercept"],
                            v_names=["velocity_slope", "velocity_intercept"])
-        return spark.sql("SELECT epoch, " + ", ".join(f"round({c}, {digits}) AS {c}" for c in columns)
-                         + f" FROM {view}")
+        shown = [(significant(c) if c == "loss" else f"round({c}, 6)") + f" AS {c}" for c in columns]
+        return spark.sql(f"SELECT epoch, {', '.join(shown)} FROM {view}")
     return run
 
 
 # ---------------------------------------------------------------- SQL side
 _R = ("r AS MATERIALIZED (SELECT p_partkey AS seq, p_partkey // 100 AS shard, p_retailprice AS y, "
       "(p_partkey % 1000) / CAST('10.0' AS DOUBLE) AS x, CAST('1.0' AS DOUBLE) AS bias FROM part)")
+_R_LINEITEM = ("r AS MATERIALIZED (SELECT " + ", ".join(LINEITEM_KEYS) + ", ascii(l_returnflag) AS shard, "
+               "l_extendedprice / CAST('1000.0' AS DOUBLE) AS y, l_quantity / CAST('10.0' AS DOUBLE) AS x, "
+               "CAST('1.0' AS DOUBLE) AS bias FROM lineitem)")
 W0, W1 = dbl(W_FIXED[0]), dbl(W_FIXED[1])
 
 SQL: dict[str, str] = {}
@@ -181,7 +183,7 @@ SQL["linear_gradient"] = with_(
 SQL["normal_stats"] = with_(
     [_R, "s AS (SELECT CAST(count(*) AS DOUBLE) AS n, sum(y * y) AS yy, sum(x * y) AS b0, sum(x * x) AS a00, "
          "sum(x * bias) AS a01, sum(bias * y) AS b1, sum(bias * bias) AS a11 FROM r)"],
-    " UNION ALL ".join(f"SELECT {i} AS i, {j} AS j, round({v}, {STATS_DIGITS}) AS value FROM s" for i, j, v in
+    " UNION ALL ".join(f"SELECT {i} AS i, {j} AS j, {significant(v)} AS value FROM s" for i, j, v in
                        [(-1, -2, "n"), (-1, -1, "yy"), (0, -1, "b0"), (0, 0, "a00"), (0, 1, "a01"),
                         (1, -1, "b1"), (1, 1, "a11")]))
 
@@ -213,13 +215,14 @@ def _full_batch_sql(method: str) -> str:
         f"{s0} / (1.0 + {dec} * (h.epoch + 1)) AS s, h.w0, h.w1, h.v0, h.v1, {g0} AS g0, {g1} AS g1 "
         f"FROM h, st WHERE h.epoch < {FB_EPOCHS}) q)"
     )
-    loss = ("(st.yy - 2.0 * (h.w0 * st.b0 + h.w1 * st.b1) + (h.w0 * (st.a00 * h.w0 + st.a01 * h.w1) "
-            "+ h.w1 * (st.a01 * h.w0 + st.a11 * h.w1))) / st.n")
+    residual = "(z.y - (h.w0 * z.x + h.w1 * z.bias))"
     vel = ("round(h.v0, 6) AS velocity_slope, round(h.v1, 6) AS velocity_intercept, "
            if method != "gd" else "")
+    losses = (f"l AS MATERIALIZED (SELECT h.epoch, avg({residual} * {residual}) AS loss FROM h, z "
+              "WHERE h.epoch > 0 GROUP BY h.epoch)")
     body = (f"SELECT h.epoch, round(h.step, 12) AS step, round(h.w0, 6) AS slope, round(h.w1, 6) AS intercept, "
-            f"{vel}round({loss}, {LOSS_DIGITS}) AS loss FROM h, st WHERE h.epoch > 0")
-    return "WITH RECURSIVE " + ",\n".join(ctes + [rec]) + "\n" + body
+            f"{vel}{significant('l.loss')} AS loss FROM h JOIN l ON h.epoch = l.epoch")
+    return "WITH RECURSIVE " + ",\n".join(ctes + [rec, losses]) + "\n" + body
 
 
 SQL["gd_full_history"] = _full_batch_sql("gd")
@@ -227,15 +230,17 @@ SQL["momentum_full_history"] = _full_batch_sql("heavy_ball")
 SQL["nesterov_full_history"] = _full_batch_sql("nesterov")
 
 
-def _sharded_sql(method: str, epochs: int) -> str:
+def _sharded_sql(method: str, epochs: int, lineitem: bool = False) -> str:
     gam = dbl(SH_MOMENTUM)
-    ctes = [_R, "st0 AS MATERIALIZED (SELECT CAST(0.0 AS DOUBLE) AS w0, CAST(0.0 AS DOUBLE) AS w1, "
+    keys, s0 = (LINEITEM_KEYS, LI_S0) if lineitem else (["seq"], SH_S0)
+    seq = ", ".join(keys)
+    ctes = [_R_LINEITEM if lineitem else _R, "st0 AS MATERIALIZED (SELECT CAST(0.0 AS DOUBLE) AS w0, CAST(0.0 AS DOUBLE) AS w1, "
                 "CAST(0.0 AS DOUBLE) AS v0, CAST(0.0 AS DOUBLE) AS v1)"]
     if method in ("heavy_ball", "nesterov"):
-        ctes.append("g AS MATERIALIZED (SELECT shard, list({'x': x, 'y': y} ORDER BY seq) AS rows "
+        ctes.append("g AS MATERIALIZED (SELECT shard, list({'x': x, 'y': y} ORDER BY " + seq + ") AS rows "
                     "FROM r GROUP BY shard)")
     for e in range(1, epochs + 1):
-        s = dbl(SH_S0 / (1.0 + SH_DECAY * e))
+        s = dbl(s0 / (1.0 + SH_DECAY * e))
         prev = f"st{e - 1}"
         if method == "heavy_ball":
             gr = "(2.0 * ((acc.w0 * e.x + acc.w1 * 1.0) - e.y))"
@@ -257,23 +262,23 @@ def _sharded_sql(method: str, epochs: int) -> str:
             ctes.append(f"st{e} AS MATERIALIZED (SELECT avg(pw0 - z.v0) AS w0, avg(pw1 - z.v1) AS w1, "
                         f"avg(z.v0) AS v0, avg(z.v1) AS v1 FROM f{e})")
         elif method == "sgd_sequential":
-            u = hash_uniform_sql(["seq"], SH_SEED, e)
+            u = hash_uniform_sql(keys, SH_SEED, e)
             gr = "(2.0 * ((acc.w0 * e.x + acc.w1 * 1.0) - e.y))"
             lam = (f"lambda acc, e: {{'w0': acc.w0 - (e.x * {gr}) * {s}, "
                    f"'w1': acc.w1 - (1.0 * {gr}) * {s}}}")
             init = "{'w0': p.w0, 'w1': p.w1}"
-            ctes.append(f"g{e} AS MATERIALIZED (SELECT list({{'x': x, 'y': y}} ORDER BY shard, u, seq) AS rows "
+            ctes.append(f"g{e} AS MATERIALIZED (SELECT list({{'x': x, 'y': y}} ORDER BY shard, u, {seq}) AS rows "
                         f"FROM (SELECT *, {u} AS u FROM r))")
             ctes.append(f"st{e} AS MATERIALIZED (SELECT z.w0 AS w0, z.w1 AS w1, CAST(0.0 AS DOUBLE) AS v0, "
                         f"CAST(0.0 AS DOUBLE) AS v1 FROM (SELECT list_reduce(g.rows, {lam}, {init}) AS z "
                         f"FROM g{e} g, {prev} p))")
         else:
-            u = hash_uniform_sql(["seq"], SH_SEED, e)
+            u = hash_uniform_sql(keys, SH_SEED, e)
             gr = "(2.0 * ((acc.w0 * e.x + acc.w1 * 1.0) - e.y))"
             lam = (f"lambda acc, e: {{'w0': acc.w0 - (e.x * {gr}) * {s}, "
                    f"'w1': acc.w1 - (1.0 * {gr}) * {s}}}")
             init = "{'w0': p.w0, 'w1': p.w1}"
-            ctes.append(f"g{e} AS MATERIALIZED (SELECT shard, list({{'x': x, 'y': y}} ORDER BY u, seq) AS rows "
+            ctes.append(f"g{e} AS MATERIALIZED (SELECT shard, list({{'x': x, 'y': y}} ORDER BY u, {seq}) AS rows "
                         f"FROM (SELECT *, {u} AS u FROM r) GROUP BY shard)")
             ctes.append(f"f{e} AS MATERIALIZED (SELECT g.shard, list_reduce(g.rows, {lam}, {init}) AS z "
                         f"FROM g{e} g, {prev} p)")
@@ -281,14 +286,15 @@ def _sharded_sql(method: str, epochs: int) -> str:
                         f"CAST(0.0 AS DOUBLE) AS v0, CAST(0.0 AS DOUBLE) AS v1 FROM f{e})")
     parts = []
     for e in range(1, epochs + 1):
-        s = dbl(SH_S0 / (1.0 + SH_DECAY * e))
+        ctes.append(f"l{e} AS MATERIALIZED (SELECT avg((y - (st.w0 * x + st.w1 * bias)) * (y - (st.w0 * x + "
+                    f"st.w1 * bias))) AS loss FROM r, st{e} st)")
+        s = dbl(s0 / (1.0 + SH_DECAY * e))
         vel = ("round(st.v0, 6) AS velocity_slope, round(st.v1, 6) AS velocity_intercept, "
                if method in ("heavy_ball", "nesterov") else "")
         parts.append(
             f"SELECT {e} AS epoch, round({s}, 12) AS step, round(st.w0, 6) AS slope, "
             f"round(st.w1, 6) AS intercept, {vel}"
-            f"round((SELECT avg((y - (st.w0 * x + st.w1 * bias)) * (y - (st.w0 * x + st.w1 * bias))) "
-            f"FROM r), {LOSS_DIGITS}) AS loss FROM st{e} st")
+            f"{significant(f'l{e}.loss')} AS loss FROM st{e} st, l{e}")
     return with_(ctes, " UNION ALL ".join(parts))
 
 
@@ -304,10 +310,9 @@ QUERIES = {
 }
 for _m, _name in (("heavy_ball", "heavy_ball"), ("nesterov", "nesterov"), ("sgd", "local_sgd"),
                   ("sgd_sequential", "sequential_sgd")):
-    QUERIES[f"{_name}_epoch"] = _sharded(_m, 1)
-    QUERIES[f"{_name}_history"] = _sharded(_m, HISTORY_EPOCHS)
-    SQL[f"{_name}_epoch"] = _sharded_sql(_m, 1)
-    SQL[f"{_name}_history"] = _sharded_sql(_m, HISTORY_EPOCHS)
+    for _kind, _args in (("epoch", (1, True)), ("lineitem", (LI_EPOCHS, True)), ("history", (HISTORY_EPOCHS,))):
+        QUERIES[f"{_name}_{_kind}"] = _sharded(_m, *_args)
+        SQL[f"{_name}_{_kind}"] = _sharded_sql(_m, *_args)
 for _name, _view in _VIEWS.items():
     QUERIES[_name] = _history_view(*_view)
     SQL[_name] = f"SELECT epoch, {', '.join(_view[1])} FROM ({SQL['heavy_ball_history']})"

@@ -148,3 +148,11 @@ def wide_to_long(wide: str, names: Sequence[str], k: int, digits: int = 6) -> st
     return (f"SELECT CAST(cluster AS INTEGER) AS cluster, CAST(dim AS INTEGER) AS dim, "
             f"round(value, {digits}) AS value FROM (SELECT unnest([{cl}]) AS cluster, "
             f"unnest([{dm}]) AS dim, unnest([{vs}]) AS value FROM {wide})")
+
+
+def significant(v: str, digits: int = 9) -> str:
+    """``v`` rounded to significant digits, the same text for both engines: it only multiplies and
+    divides by powers of ten that doubles hold exactly."""
+    k = f"(floor(log10(abs({v}))) - {digits - 1})"
+    return (f"CASE WHEN {v} = 0 THEN 0.0 WHEN {k} >= 0 THEN round({v} / pow(10, {k})) * pow(10, {k}) "
+            f"ELSE round({v} * pow(10, -{k})) / pow(10, -{k}) END")

@@ -41,6 +41,19 @@ def part_regression(spark: SparkSession, sf_dir: str, shard_size: int = 100) ->
     )
 
 
+def lineitem_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Linear data from ``lineitem``: ``y`` the price in thousands, ``phi = (x, 1)`` with ``x`` the
+    quantity in tens. Three shards, one per return flag, each about a third of the rows."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        *LINEITEM_KEYS,
+        F.ascii("l_returnflag").cast("long").alias("shard"),
+        (F.col("l_extendedprice") / F.lit(1000.0)).alias("y"),
+        (F.col("l_quantity") / F.lit(10.0)).alias("x"),
+        F.lit(1.0).alias("bias"),
+    )
+
+
 def line_dataset(spark: SparkSession, n: int = 1000, shards: int = 10) -> DataFrame:
     """The generated line (S4): ``x = 2 i + 1``, ``y = x + 2``, ``phi = (x, 1)``.
 

@@ -67,3 +67,38 @@ def test_array_helpers_require_equal_length(spark):
     bad = spark.createDataFrame([([1.0, 2.0], [3.0])], "a array<double>, b array<double>")
     with _pytest.raises(Exception, match="differ in length"):
         bad.select(array_dot(F.col("a"), F.col("b"))).collect()
+
+
+@pytest.mark.parametrize("spread", [1.0, 1e4, 1e7])
+def test_loss_of_a_good_fit_far_from_zero(spark, spread):
+    """x around 1e7, residuals of 0.01: the loss from the statistics is that of a pass over the rows."""
+    from pyspark.sql import functions as F
+    df = spark.range(4000).select(
+        (F.lit(1e7) + F.floor(spread * ((F.col("id") * 7919) % 4000) / 4)).alias("x"), F.lit(1.0).alias("bias"),
+        (F.when(F.col("id") % 2 == 0, 0.01).otherwise(-0.01)).alias("noise"))
+    df = df.withColumn("y", F.col("x") + 2 + F.col("noise"))
+    st = normal_stats(df, "y", ["x", "bias"])
+    for w in ([1.0, 2.0], [1.0, 2.5], [1.0 + 1e-9, 2.0], [0.0, 0.0], [3.0, -7.0], st.ref):
+        direct = df.agg(mse(df, "y", ["x", "bias"], w)).first()[0]
+        assert st.loss(w) >= 0.0
+        assert st.loss(w) == pytest.approx(direct, rel=1e-9), w
+
+
+def test_statistics_merge_over_any_partitioning(spark):
+    line = line_dataset(spark, n=700, shards=7)
+    one = normal_stats(line.coalesce(1), "y", ["x", "bias"])
+    many = normal_stats(line.repartition(13), "y", ["x", "bias"])
+    assert np.allclose(one.xtx, many.xtx, rtol=1e-13) and np.allclose(one.xty, many.xty, rtol=1e-13)
+    assert one.n == many.n == 700
+    x = np.array([[2.0 * i + 1, 1.0] for i in range(700)])
+    assert np.allclose(one.xtx, x.T @ x, rtol=1e-13) and np.allclose(one.xty, x.T @ (x[:, 0] + 2), rtol=1e-13)
+
+
+def test_statistics_of_degenerate_rows(spark):
+    schema = "y double, a double, b double"
+    with pytest.raises(ValueError, match="no rows"):
+        normal_stats(spark.createDataFrame([], schema), "y", ["a", "b"])
+    zeros = normal_stats(spark.createDataFrame([(0.0, 0.0, 0.0)] * 3, schema), "y", ["a", "b"])
+    assert zeros.loss([1.0, 2.0]) == 0.0 and zeros.grad([1.0, 2.0]) == [0.0, 0.0]
+    one = normal_stats(spark.createDataFrame([(5.0, 2.0, 0.0)], schema), "y", ["a", "b"])
+    assert one.loss([2.0, 9.0]) == 1.0 and one.grad([2.0, 9.0]) == [-4.0, 0.0]
