@@ -2,11 +2,7 @@
 
 from orbitfit.functions.vector import (
     sq_distance,
-    distance,
     dot,
-    add,
-    subtract,
-    scale,
     squared_loss_gradient,
     nearest_centre,
     feature_columns,
@@ -16,11 +12,7 @@ from orbitfit.functions.random import hash_uniform, hash_uniform_sql
 
 __all__ = [
     "sq_distance",
-    "distance",
     "dot",
-    "add",
-    "subtract",
-    "scale",
     "squared_loss_gradient",
     "nearest_centre",
     "feature_columns",

@@ -41,22 +41,28 @@ def feature_columns(df: DataFrame, cols: str | Sequence[str], dim: int | None =
     than ``dim`` gives NULL features, which :func:`check_valid` rejects or drops.
     """
     if isinstance(cols, str):
-        arr = F.col(cols)
-        if _is_ml_vector(df.schema[cols].dataType):
-            from pyspark.ml.functions import vector_to_array
-            arr = vector_to_array(arr, "float64")
-        if dim is None:
-            n = F.when(F.col(cols).isNotNull(), F.size(arr))
-            least, most = df.agg(F.min(n), F.max(n)).first()
-            if least is None:
-                raise ValueError(f"cannot infer the length of empty array column {cols!r}")
-            if least != most:
-                raise ValueError(f"column {cols!r} holds arrays of {least} to {most} values; give dim")
-            dim = int(least)
+        arr, dim = array_feature(df, cols, dim)
         return [F.when(F.size(arr) == dim, arr.getItem(j)).cast("double") for j in range(dim)]
     return [F.col(c).cast("double") for c in cols]
 
 
+def array_feature(df: DataFrame, col: str, dim: int | None = None) -> tuple[Column, int]:
+    """An array or ML vector column as an array, and the length of its values (see :func:`feature_columns`)."""
+    arr = F.col(col)
+    if _is_ml_vector(df.schema[col].dataType):
+        from pyspark.ml.functions import vector_to_array
+        arr = vector_to_array(arr, "float64")
+    if dim is None:
+        n = F.when(F.col(col).isNotNull(), F.size(arr))
+        least, most = df.agg(F.min(n), F.max(n)).first()
+        if least is None:
+            raise ValueError(f"cannot infer the length of empty array column {col!r}")
+        if least != most:
+            raise ValueError(f"column {col!r} holds arrays of {least} to {most} values; give dim")
+        dim = int(least)
+    return arr, dim
+
+
 def _is_ml_vector(dt) -> bool:
     try:
         from pyspark.ml.linalg import VectorUDT
@@ -88,6 +94,20 @@ def check_valid(xs: Sequence[Column], invalid: str = "error") -> tuple[list[Colu
     raise ValueError(f"invalid must be 'error', 'skip' or 'keep', not {invalid!r}")
 
 
+def valid_array(arr: Column, dim: int, invalid: str = "error") -> tuple[Column, Column | None]:
+    """The policy of :func:`check_valid` for a whole array of ``dim`` doubles, as one expression."""
+    arr = arr.cast("array<double>")
+    if invalid == "keep":
+        return arr, None
+    ok = F.coalesce((F.size(arr) == dim) & F.forall(arr, lambda x: x.isNotNull() & ~F.isnan(x)), F.lit(False))
+    if invalid == "error":
+        message = F.lit("NULL or NaN feature value; use invalid='skip' to drop such rows")
+        return F.when(ok, arr).otherwise(F.raise_error(message).cast("array<double>")), None
+    if invalid == "skip":
+        return arr, ok
+    raise ValueError(f"invalid must be 'error', 'skip' or 'keep', not {invalid!r}")
+
+
 def sq_distance(xs: Sequence[Column], centre: Sequence[ColOrNum]) -> Column:
     """Squared Euclidean distance ``sum_j (x_j - c_j) * (x_j - c_j)``."""
     if len(xs) != len(centre):
@@ -99,32 +119,12 @@ def sq_distance(xs: Sequence[Column], centre: Sequence[ColOrNum]) -> Column:
     return _sum(terms)
 
 
-def distance(xs: Sequence[Column], centre: Sequence[ColOrNum]) -> Column:
-    return F.sqrt(sq_distance(xs, centre))
-
-
 def dot(a: Sequence[ColOrNum], b: Sequence[ColOrNum]) -> Column:
     if len(a) != len(b):
         raise ValueError("dot of vectors of different length")
     return _sum([_c(x) * _c(y) for x, y in zip(a, b)])
 
 
-def add(a: Sequence[ColOrNum], b: Sequence[ColOrNum]) -> list[Column]:
-    if len(a) != len(b):
-        raise ValueError("add of vectors of different length")
-    return [_c(x) + _c(y) for x, y in zip(a, b)]
-
-
-def subtract(a: Sequence[ColOrNum], b: Sequence[ColOrNum]) -> list[Column]:
-    if len(a) != len(b):
-        raise ValueError("subtract of vectors of different length")
-    return [_c(x) - _c(y) for x, y in zip(a, b)]
-
-
-def scale(s: ColOrNum, v: Sequence[ColOrNum]) -> list[Column]:
-    return [_c(x) * _c(s) for x in v]
-
-
 def squared_loss_gradient(y: ColOrNum, phi: Sequence[ColOrNum], w: Sequence[ColOrNum]) -> list[Column]:
     """Per-row gradient of ``(w.phi - y)^2``: ``phi_j * (2 * (w.phi - y))``."""
     r = F.lit(2.0) * (dot(w, phi) - _c(y))

@@ -47,6 +47,23 @@ def nearest_block(X: np.ndarray, C: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return idx, d2[np.arange(len(X)), idx]
 
 
+def rows_of(b: pa.RecordBatch, names: Sequence[str]) -> np.ndarray:
+    """The points of a batch as a matrix, from a column per dimension or from one array column."""
+    if len(names) == 1 and pa.types.is_list(b.schema.field(names[0]).type):
+        return b.column(names[0]).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(b.num_rows, -1)
+    return np.column_stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.float64) for c in names])
+
+
+def partial_rows(counts: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+    """``(cluster, dim, s)`` of the clusters that hold points; dimension -1 is the count."""
+    used, d = np.flatnonzero(counts), sums.shape[1]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.repeat(used, d + 1).astype(np.int32)),
+         pa.array(np.tile(np.arange(-1, d, dtype=np.int32), len(used))),
+         pa.array(np.column_stack([counts[used], sums[used]]).reshape(-1), type=pa.float64())],
+        names=["cluster", "dim", "s"])
+
+
 def make_partial_kernel(names: Sequence[str], centres: Sequence[Sequence[float]]):
     C = np.asarray(centres, dtype=np.float64)
     k, d = C.shape
@@ -59,22 +76,14 @@ def make_partial_kernel(names: Sequence[str], centres: Sequence[Sequence[float]]
             n = b.num_rows
             if n == 0:
                 continue
-            X = np.column_stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.float64)
-                                 for c in names])
+            X = rows_of(b, names)
             for lo in range(0, n, block_rows(k)):
                 blk = X[lo:lo + block_rows(k)]
                 idx, _ = nearest_block(blk, C)
                 counts += np.bincount(idx, minlength=k)
                 np.add.at(sums, idx, blk)
-        used = np.flatnonzero(counts)
-        if not len(used):
-            return
-        cl = np.repeat(used, d + 1).astype(np.int32)
-        dim = np.tile(np.arange(-1, d, dtype=np.int32), len(used))
-        vals = np.column_stack([counts[used], sums[used]]).reshape(-1)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(cl), pa.array(dim), pa.array(vals, type=pa.float64())],
-            names=["cluster", "dim", "s"])
+        if counts.any():
+            yield partial_rows(counts, sums)
 
     return kernel
 
@@ -82,12 +91,13 @@ def make_partial_kernel(names: Sequence[str], centres: Sequence[Sequence[float]]
 def lloyd_step_blocks(feats: DataFrame, names: Sequence[str], centres: Sequence[Sequence[float]]
                       ) -> tuple[list[tuple[float, ...]], list[int]]:
     """Same contract as :func:`orbitfit.operators.kmeans.lloyd_step`."""
-    rows = (
-        feats.mapInArrow(make_partial_kernel(names, centres), PARTIAL_SCHEMA)
-        .groupBy("cluster", "dim").agg(F.sum("s").alias("s"))
-        .collect()
-    )
-    k, d = len(centres), len(names)
+    partial = feats.mapInArrow(make_partial_kernel(names, centres), PARTIAL_SCHEMA)
+    return added_up(partial.groupBy("cluster", "dim").agg(F.sum("s").alias("s")).collect(), centres)
+
+
+def added_up(rows, centres: Sequence[Sequence[float]]) -> tuple[list[tuple[float, ...]], list[int]]:
+    """New centres and cluster sizes from the sums per cluster and dimension; an empty cluster keeps its centre."""
+    k, d = len(centres), len(centres[0])
     counts = [0] * k
     sums = [[0.0] * d for _ in range(k)]
     for r in rows:
@@ -113,8 +123,7 @@ def make_assign_kernel(names: Sequence[str], centres: Sequence[Sequence[float]])
         for b in batches:
             if b.num_rows == 0:
                 continue
-            X = np.column_stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.float64)
-                                 for c in names])
+            X = rows_of(b, names)
             idx = np.empty(len(X), dtype=np.int32)
             d2 = np.empty(len(X))
             step = block_rows(len(C))
@@ -135,3 +144,16 @@ def assign_blocks(pts: DataFrame, names: Sequence[str], centres: Sequence[Sequen
     schema = T.StructType(list(pts.schema.fields) + [
         T.StructField("cluster", T.IntegerType(), True), T.StructField("d2", T.DoubleType(), True)])
     return pts.mapInArrow(make_assign_kernel(names, centres), schema)
+
+
+def with_min_d2(pts: DataFrame, name: str, centres: Sequence[Sequence[float]], out: str) -> DataFrame:
+    """Every row plus ``out``, the squared distance of its array point to the nearest centre."""
+    from pyspark.sql import types as T
+    schema = T.StructType([*pts.schema.fields, T.StructField(out, T.DoubleType(), True)])
+    assign = make_assign_kernel([name], centres)
+
+    def kernel(batches):
+        for b in assign(batches):
+            yield pa.RecordBatch.from_arrays([*b.columns[:-2], b.columns[-1]], names=[*b.schema.names[:-2], out])
+
+    return pts.mapInArrow(kernel, schema)

@@ -32,7 +32,8 @@ from pyspark.sql import types as T
 
 from orbitfit.functions.vector import nearest, sq_distance
 from orbitfit.operators.blocks import assign_blocks, lloyd_step_blocks
-from orbitfit.operators.points import Features, project_points
+from orbitfit.operators.bounds import BoundedSteps
+from orbitfit.operators.points import Features, project_array, project_points
 from orbitfit.operators.sampling import sample_by_hash
 from orbitfit.operators.seeding import kmeanspp_init, random_init
 from orbitfit.session import materialize, spread
@@ -50,6 +51,23 @@ TIMING_METRICS = (
 # Above this many centre coordinates (K * d) NumPy blocks replace the column
 # expressions. Both add the same terms in the same order, so results are equal.
 BLOCKS_ABOVE = 64
+# From this many centres on, distance bounds are carried from one iteration to
+# the next; the clusters stay the same.
+BOUNDS_FROM = 64
+
+
+def points_for(df: DataFrame, features: Features, keys: Sequence[str], invalid: str, k: int, method: str = "auto"
+               ) -> tuple[DataFrame, list[str], list[str]]:
+    """``(points, names, columns)``: an array that NumPy blocks will read stays one column, named as
+    it is; other features become a column per dimension, ``names``."""
+    if isinstance(features, str) and method != "expr":
+        pts, names = project_array(df, features, keys, invalid)
+        if method != "auto" or k * len(names) > BLOCKS_ABOVE:
+            return pts, names, [features]
+        pts, names = project_points(df, features, keys, invalid, len(names))
+        return pts, names, names
+    pts, names = project_points(df, features, keys, invalid)
+    return pts, names, names
 
 
 def _ms(t0: float) -> int:
@@ -101,6 +119,7 @@ class KMeansModel:
     converged: bool
     log: list[tuple[int, float, int, list[int]]] = field(default_factory=list)
     timings: dict[str, int] = field(default_factory=dict)
+    distances: list[int] = field(default_factory=list)   # computed in each iteration, if they were counted
 
     @property
     def k(self) -> int:
@@ -133,14 +152,22 @@ class KMeansModel:
     # -- distributed operators ------------------------------------------
     def assign(self, df: DataFrame, features: Features | None = None, keys: Sequence[str] = (),
                invalid: str = "error") -> DataFrame:
-        """Every row with its cluster and squared distance (K10, P6). Lazy."""
-        pts, names = project_points(df, features if features is not None else self.names,
-                                    keys, invalid)
-        return self._tag(pts.select(*keys, *names), names)
+        """Every row with its cluster and squared distance (K10, P6). Lazy.
+
+        The columns are the keys, the point (a column per dimension; a wide array
+        stays one column), ``cluster`` and ``d2``.
+        """
+        pts, cols = self._points(df, features, keys, invalid)
+        return self._tag(pts.select(*keys, *cols), cols)
+
+    def _points(self, df: DataFrame, features: Features | None, keys: Sequence[str], invalid: str
+                ) -> tuple[DataFrame, list[str]]:
+        pts, _, cols = points_for(df, self.names if features is None else features, keys, invalid, self.k)
+        return pts, cols
 
     def _tag(self, pts: DataFrame, names: Sequence[str]) -> DataFrame:
         """``pts`` with ``cluster`` and ``d2``."""
-        if self.k * len(names) > BLOCKS_ABOVE:
+        if self.k * len(self.names) > BLOCKS_ABOVE:
             return assign_blocks(pts, names, self.centres)
         cluster, d2 = nearest([F.col(n) for n in names], self.centres)
         return pts.select("*", cluster.alias("cluster"), d2.alias("d2"))
@@ -154,8 +181,10 @@ class KMeansModel:
         squared distance to it, which equals ``sum_j var_pop(x_j)``.
         """
         assigned = self.assign(df, features, (), invalid)
-        names = self.names if features is None else [c for c in assigned.columns
-                                                     if c not in ("cluster", "d2")]
+        names = [c for c in assigned.columns if c not in ("cluster", "d2")]
+        if around == "mean" and names != self.names and names == [features]:   # a wide array
+            assigned = assigned.select("cluster", *[F.col(features)[j].alias(m) for j, m in enumerate(self.names)])
+            names = self.names
         n = F.count(F.lit(1)).alias("number_of_points")
         if around == "centre":
             return assigned.groupBy("cluster").agg(n, F.avg("d2").alias("dispersion"))
@@ -189,7 +218,7 @@ class KMeansModel:
     def sample_assignments(self, df: DataFrame, keys: Sequence[str], n: int = 10, seed: int = 42,
                            features: Features | None = None, invalid: str = "error") -> DataFrame:
         """A seeded n-point sample with its clusters (K5, L2)."""
-        pts, names = project_points(df, features if features is not None else self.names, keys, invalid)
+        pts, names = self._points(df, features, keys, invalid)
         smp = sample_by_hash(pts, keys, n, seed, tie_cols=names)
         return self._tag(smp.select(*keys, *names), names).select(*keys, *names, "cluster")
 
@@ -199,7 +228,7 @@ class KMeansModel:
         """The reference's cluster report, timed; bounded results only."""
         spark = df.sparkSession
         t0 = time.perf_counter()
-        pts, names = project_points(df, features if features is not None else self.names, keys, invalid)
+        pts, names = self._points(df, features, keys, invalid)
         picked = sample_by_hash(pts, keys, n_sample, seed, tie_cols=names).select(*keys, *names)
         smp = spark.createDataFrame(picked.collect(), picked.schema)   # n_sample rows
         self.timings[TIMING_METRICS[1]] = _ms(t0)
@@ -246,11 +275,14 @@ def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] =
     list of K centres. ``keys`` must identify rows (the seeded uniforms are
     hashed from them). ``method``: ``"expr"`` (literal-centre column
     expressions, whole-stage codegen), ``"blocks"`` (NumPy distance blocks in
-    ``mapInArrow``) or ``"auto"`` (blocks once ``K * d`` exceeds
-    ``BLOCKS_ABOVE``). ``spread_input``: round-robin a file scan with fewer
+    ``mapInArrow``), ``"bounds"`` (blocks that carry distance bounds, see
+    :mod:`orbitfit.operators.bounds`) or ``"auto"`` (bounds from ``BOUNDS_FROM``
+    centres on, else blocks once ``K * d`` exceeds ``BLOCKS_ABOVE``). ``spread_input``: round-robin a file scan with fewer
     splits than cores over all cores before caching (see ``session.spread``).
     """
-    pts, names = project_points(df, features, keys, invalid)
+    if method not in ("auto", "expr", "blocks", "bounds"):
+        raise ValueError(f"unknown method {method!r}")
+    pts, names, cols = points_for(df, features, keys, invalid, k, method)
     seeded = isinstance(init, str)
     # An under-split file scan (fewer splits than cores) may be spread over
     # the cores once, on request. Its partitions are fewer than the cores, so
@@ -283,10 +315,10 @@ def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] =
             raise ValueError(f"unknown init {init!r}")
         try:
             if init == "random":
-                start = random_init(src, keys, names, k, seed)
+                start = random_init(src, keys, cols, k, seed)
             else:
                 base = src if spread_copy is not None else materialize(src, cache)
-                start = kmeanspp_init(base, keys, names, k, seed, cache="none")
+                start = kmeanspp_init(base, keys, cols, k, seed, cache="none")
         except Exception:
             release()
             raise
@@ -299,9 +331,12 @@ def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] =
     init_ms = _ms(t0)
 
     if method == "auto":
-        method = "blocks" if k * len(names) > BLOCKS_ABOVE else "expr"
-    step = lloyd_step_blocks if method == "blocks" else lloyd_step
-    feats = materialize((base if base is not None else src).select(*names), cache)
+        method = "bounds" if k >= BOUNDS_FROM else "blocks" if k * len(names) > BLOCKS_ABOVE else "expr"
+    feats = (base if base is not None else src).select(*cols)
+    bounded = BoundedSteps(feats, cols) if method == "bounds" else None
+    if bounded is None:
+        feats = materialize(feats, cache)
+    plain = lloyd_step_blocks if method == "blocks" else lloyd_step
     centres = list(start)
     log: list[tuple[int, float, int, list[int]]] = []
     converged = False
@@ -309,7 +344,7 @@ def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] =
     try:
         for it in range(1, max_iter + 1):
             t0 = time.perf_counter()
-            new, sizes = step(feats, names, centres)
+            new, sizes = bounded(centres) if bounded else plain(feats, cols, centres)
             if it == 1:
                 if sum(sizes) < k:
                     raise ValueError(f"K={k} is larger than the number of points ({sum(sizes)})")
@@ -323,11 +358,14 @@ def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] =
                 converged = True
                 break
     finally:
-        if cache == "persist":
+        if bounded:
+            bounded.release()
+        elif cache == "persist":
             feats.unpersist()
         release()
     model = KMeansModel(names=list(names), centres=centres, init_centres=list(start),
                         iterations=len(log), converged=converged, log=log)
     model.timings[TIMING_METRICS[0]] = total_ms
     model.timings["Initialisation Time"] = init_ms
+    model.distances = bounded.distances if bounded else []
     return model

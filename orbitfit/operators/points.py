@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orbitfit.functions.vector import check_valid, feature_columns
+from orbitfit.functions.vector import array_feature, check_valid, feature_columns, valid_array
 
 Features = str | Sequence[str] | Mapping[str, Column]
 
@@ -43,3 +43,14 @@ def project_points(df: DataFrame, features: Features, keys: Sequence[str] = (),
             ok = c if ok is None else ok & c
         out = out.where(ok)
     return out, names
+
+
+def project_array(df: DataFrame, feature: str, keys: Sequence[str] = (), invalid: str = "error",
+                  dim: int | None = None) -> tuple[DataFrame, list[str]]:
+    """``(points, names)`` with the points left in one array column, named ``feature``: a single
+    guard expression and no column per dimension. ``names`` are those that
+    :func:`project_points` would give the dimensions."""
+    arr, dim = array_feature(df, feature, dim)
+    arr, ok = valid_array(arr, dim, invalid)
+    out = df if ok is None else df.where(ok)
+    return out.select(*[F.col(k) for k in keys], arr.alias(feature)), [f"{feature}_{j}" for j in range(dim)]

@@ -29,9 +29,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orbitfit.functions.random import hash_uniform
 from orbitfit.functions.vector import sq_distance
+from orbitfit.operators.blocks import with_min_d2
 from orbitfit.operators.sampling import sample_by_hash
 from orbitfit.session import materialize
 
@@ -45,7 +47,14 @@ def random_init(points: DataFrame, keys: Sequence[str], names: Sequence[str], k:
     rows = sample_by_hash(points.select(*keys, *names), keys, k, seed, tie_cols=names).collect()
     if len(rows) < k:
         raise ValueError(f"K={k} is larger than the number of points ({len(rows)})")
-    return [tuple(float(r[n]) for n in names) for r in rows]
+    return [coordinates(r, names) for r in rows]
+
+
+def coordinates(row, names: Sequence[str]) -> tuple[float, ...]:
+    """A point from its columns, or from its one array column."""
+    if len(names) == 1 and isinstance(row[names[0]], (list, tuple)):
+        return tuple(float(v) for v in row[names[0]])
+    return tuple(float(row[n]) for n in names)
 
 
 def min_sq_distance(xs, centres) -> "F.Column":
@@ -67,7 +76,7 @@ def weighted_draw(df: DataFrame, weight: "F.Column", keys: Sequence[str], names:
     )
     if best is None:
         return None
-    return tuple(float(best[n]) for n in names)
+    return coordinates(best, names)
 
 
 def kmeanspp_init(points: DataFrame, keys: Sequence[str], names: Sequence[str], k: int,
@@ -81,6 +90,7 @@ def kmeanspp_init(points: DataFrame, keys: Sequence[str], names: Sequence[str],
     ``incremental``: keep ``min_d2`` as a persisted column (default: when
     ``k > INCREMENTAL_ABOVE``). ``cache``: how the points are kept for the K
     passes, so that the source is read once ("none": they are kept already).
+    ``names`` may be one array column, whose distances NumPy blocks compute.
     """
     if k <= 0:
         raise ValueError("k must be positive")
@@ -94,9 +104,12 @@ def kmeanspp_init(points: DataFrame, keys: Sequence[str], names: Sequence[str],
         first = pts.agg(F.min(F.struct(u0.alias("u"), *xs)).alias("best")).collect()[0]["best"]
         if first is None:
             raise ValueError("no points to seed from")
-        centres = [tuple(float(first[n]) for n in names)]
+        centres = [coordinates(first, names)]
+        wide = isinstance(pts.schema[names[0]].dataType, T.ArrayType)
         for r in range(1, k):
-            if not incremental:
+            if wide:
+                nxt = weighted_draw(with_min_d2(pts, names[0], centres, "_md"), F.col("_md"), keys, names, seed, r)
+            elif not incremental:
                 nxt = weighted_draw(pts, min_sq_distance(xs, centres), keys, names, seed, r)
             else:
                 if cur is None or (r - 1) % REBUILD_EVERY == 0:
