@@ -25,6 +25,7 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from itertools import zip_longest
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -189,10 +190,10 @@ class KMeansModel:
         if around == "centre":
             return assigned.groupBy("cluster").agg(n, F.avg("d2").alias("dispersion"))
         if around == "mean":
-            disp = None
-            for m in names:
-                v = F.var_pop(m)
-                disp = v if disp is None else disp + v
+            parts = [F.var_pop(m) for m in names]
+            while len(parts) > 1:     # in pairs: a chain of hundreds of sums is too deep to plan
+                parts = [a if b is None else a + b for a, b in zip_longest(parts[::2], parts[1::2])]
+            disp = parts[0]
             return assigned.groupBy("cluster").agg(
                 n, *[F.avg(m).alias(f"centroid_{m}") for m in names], disp.alias("dispersion"))
         raise ValueError("around must be 'centre' or 'mean'")

@@ -25,7 +25,7 @@ from orbitfit.operators.seeding import kmeanspp_init, min_sq_distance
 from orbitfit.session import spread
 from orbitfit.plans.sqlgen import (
     centres_long, ccol, converged_ctes, d2_sql, dbl, kmeanspp_ctes, literal_centres_cte,
-    lloyd_ctes, nearest_sql, random_init_ctes, wide_to_long, with_,
+    list_centres_long, list_lloyd_ctes, lloyd_ctes, nearest_sql, random_init_ctes, wide_to_long, with_,
 )
 from orbitfit.sources.tables import LINEITEM_KEYS, lineitem_points, table
 
@@ -40,6 +40,9 @@ MAX_ITER = 30
 EMB_K = 10
 EMB_DIM = 64
 EMB_ITERS = 2
+EMB_TOL, EMB_MAX_ITER = 1e-9, 40
+MANY_K, MANY_ITERS = 100, 8
+MANY_UNIT = 997.0   # a prime: mean prices then do not end in a 5 where they are rounded
 
 R6 = 6
 # Per-row distances to *fitted* centres (which two engines may compute one
@@ -255,6 +258,10 @@ def kmeans_embeddings_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     emb = table(spark, sf_dir, "embeddings")
     m = kmeans_fit(emb, "embedding", EMB_K, keys=["vec_id"], init="random", tol=-1.0,
                    max_iter=EMB_ITERS, seed=SEED, spread_input=True)
+    return _centres_long(spark, m)
+
+
+def _centres_long(spark: SparkSession, m: KMeansModel) -> DataFrame:
     rows = [(i, j, float(v)) for i, c in enumerate(m.centres) for j, v in enumerate(c)]
     schema = T.StructType([T.StructField("cluster", T.IntegerType(), False),
                            T.StructField("dim", T.IntegerType(), False),
@@ -262,6 +269,23 @@ def kmeans_embeddings_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, schema).select("cluster", "dim", _r(F.col("value")).alias("value"))
 
 
+def kmeans_embeddings_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide fit to convergence."""
+    m = kmeans_fit(table(spark, sf_dir, "embeddings"), "embedding", EMB_K, keys=["vec_id"], init="random",
+                   tol=EMB_TOL, max_iter=EMB_MAX_ITER, seed=SEED, spread_input=True)
+    if not m.converged:
+        raise RuntimeError(f"no convergence within {EMB_MAX_ITER} iterations")
+    return _centres_long(spark, m).withColumn("iterations", F.lit(m.iterations))
+
+
+def kmeans_many_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A hundred centres over (price, quantity) of lineitem, with distance bounds."""
+    li = table(spark, sf_dir, "lineitem").select(
+        *KEYS, (F.col("l_extendedprice") / MANY_UNIT).alias("x"), F.col("l_quantity").alias("y"))
+    return _centres_long(spark, kmeans_fit(li, NAMES, MANY_K, keys=KEYS, init="random", tol=-1.0,
+                                           max_iter=MANY_ITERS, seed=SEED, spread_input=True))
+
+
 # ---------------------------------------------------------------- SQL side
 PTS = ("pts AS MATERIALIZED (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, "
        "l_quantity AS x, l_discount * CAST('100.0' AS DOUBLE) AS y FROM lineitem)")
@@ -372,6 +396,20 @@ SQL["kmeans_embeddings_step"] = with_(
     wide_to_long(f"c{EMB_ITERS}", _EN, EMB_K))
 
 
+_LIST_HIST = " UNION ALL ".join(f"SELECT * FROM m{i}" for i in range(1, EMB_MAX_ITER + 1))
+_LIST_ALL = " UNION ALL ".join(f"SELECT {i} AS it, * FROM c{i}" for i in range(1, EMB_MAX_ITER + 1))
+SQL["kmeans_embeddings_fit"] = with_(
+    ["epts AS MATERIALIZED (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)",
+     *list_lloyd_ctes("epts", ["vec_id"], EMB_K, SEED, EMB_MAX_ITER),
+     f"fin AS MATERIALIZED (SELECT min(iteration) AS it FROM ({_LIST_HIST}) WHERE movement <= {dbl(EMB_TOL)})",
+     f"cf AS MATERIALIZED (SELECT c.*, CAST(c.it AS INTEGER) AS iterations FROM ({_LIST_ALL}) c, fin "
+     "WHERE c.it = fin.it)"],
+    list_centres_long("cf", ", iterations"))
+SQL["kmeans_many_centres"] = with_(
+    [f"mpts AS MATERIALIZED (SELECT {KEYCOLS}, [l_extendedprice / {dbl(MANY_UNIT)}, l_quantity] AS e FROM lineitem)",
+     *list_lloyd_ctes("mpts", KEYS, MANY_K, SEED, MANY_ITERS)],
+    list_centres_long(f"c{MANY_ITERS}"))
+
 SQL["kmeans_vector_assign"] = with_(
     [PTS, literal_centres_cte("c0", NAMES, START)],
     f"SELECT {KEYCOLS}, nn.cluster AS cluster, round(nn.d2, 6) AS d2 FROM ({_sql_assign('c0')})")
@@ -406,6 +444,8 @@ QUERIES = {
     "kmeanspp_init": kmeanspp_init_query,
     "kmeanspp_fit": kmeanspp_fit,
     "kmeans_embeddings_step": kmeans_embeddings_step,
+    "kmeans_embeddings_fit": kmeans_embeddings_fit,
+    "kmeans_many_centres": kmeans_many_centres,
     "kmeans_vector_assign": kmeans_vector_assign,
     "embedding_arithmetic": embedding_arithmetic,
 }

@@ -156,3 +156,28 @@ def significant(v: str, digits: int = 9) -> str:
     k = f"(floor(log10(abs({v}))) - {digits - 1})"
     return (f"CASE WHEN {v} = 0 THEN 0.0 WHEN {k} >= 0 THEN round({v} / pow(10, {k})) * pow(10, {k}) "
             f"ELSE round({v} * pow(10, -{k})) / pow(10, -{k}) END")
+
+
+def list_lloyd_ctes(pts: str, keys: Sequence[str], k: int, seed: int, n_iter: int) -> list[str]:
+    """``n_iter`` Lloyd iterations over points ``e`` (lists) from a seeded K-point sample: centre tables
+    ``c{i}(cluster, e)`` in long form and ``m{i}``, the total squared movement."""
+    order = ", ".join(["u", *keys, "e"])
+    ctes = [f"c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY {order}) - 1 AS INTEGER) AS cluster, e FROM "
+            f"(SELECT *, {hash_uniform_sql(keys, seed)} AS u FROM {pts} ORDER BY {order} LIMIT {k}))"]
+    for i in range(1, n_iter + 1):
+        ctes.append(f"a{i} AS MATERIALIZED (SELECT (min({{'d': list_distance(p.e, c.e), 'c': c.cluster}})).c AS cluster, "
+                    f"any_value(p.e) AS e FROM {pts} p, c{i - 1} c GROUP BY {', '.join('p.' + x for x in keys)})")
+        ctes.append(f"s{i} AS MATERIALIZED (SELECT cluster, list(v ORDER BY j) AS e FROM (SELECT cluster, j, avg(v) AS v "
+                    f"FROM (SELECT cluster, unnest(e) AS v, generate_subscripts(e, 1) AS j FROM a{i}) "
+                    "GROUP BY cluster, j) GROUP BY cluster)")
+        ctes.append(f"c{i} AS MATERIALIZED (SELECT o.cluster, coalesce(s.e, o.e) AS e FROM c{i - 1} o LEFT JOIN s{i} s "
+                    "ON o.cluster = s.cluster)")
+        ctes.append(f"m{i} AS MATERIALIZED (SELECT {i} AS iteration, sum(list_distance(o.e, c.e) * list_distance(o.e, c.e)) "
+                    f"AS movement FROM c{i - 1} o JOIN c{i} c ON o.cluster = c.cluster)")
+    return ctes
+
+
+def list_centres_long(wide: str, extra: str = "") -> str:
+    """``(cluster, dim, value)`` rows of a long centre table."""
+    return (f"SELECT cluster, CAST(j - 1 AS INTEGER) AS dim, round(v, 6) AS value{extra} FROM (SELECT *, "
+            f"unnest(e) AS v, generate_subscripts(e, 1) AS j FROM {wide})")
