@@ -10,6 +10,11 @@ of the global order:
 3. per-partition running sums: a ``mapInArrow`` cumulative sum over the
    sorted batches, plus the partition's offset joined back on ``_part``.
 
+Every sum is carried as two floats, the rounded sum and the sum of the exact
+rounding errors of its additions, inside partitions and over the offsets, and
+rounded once at the end. A total therefore does not depend on where the
+partitions are cut, whatever the weights.
+
 ``_tie`` (a row id) only separates exact copies: rows equal on ``(u, keys)``
 are interchangeable, so their relative order does not change the result,
 but with the id in the key the range bounds can cut a group of copies that
@@ -34,7 +39,7 @@ from collections.abc import Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,32 +66,53 @@ def bucket_count(spark, rows: int) -> int:
     return partitions_for(spark, rows, ROWS_PER_BUCKET)
 
 
+def two_float_sums(w: np.ndarray, high: float, low: float) -> tuple[np.ndarray, np.ndarray]:
+    """Running sums of ``w`` after ``high + low``, the start included: rounded sums, added left to
+    right, and the sums of their rounding errors (each exact, after Knuth)."""
+    with np.errstate(invalid="ignore"):
+        return _two_float_sums(w, high, low)
+
+
+def _two_float_sums(w: np.ndarray, high: float, low: float) -> tuple[np.ndarray, np.ndarray]:
+    s = np.cumsum(np.concatenate(([high], w)))
+    part = s[1:] - s[:-1]
+    error = (s[:-1] - (s[1:] - part)) + (w - part)
+    error[~np.isfinite(error)] = 0.0      # beyond an infinite weight the sums stay infinite
+    return s, np.cumsum(np.concatenate(([low], error)))
+
+
+def _weights(b: pa.RecordBatch, weight: str) -> np.ndarray:
+    import pyarrow.compute as pc
+    return pc.fill_null(b.column(weight).cast(pa.float64()), 0.0).to_numpy(zero_copy_only=False)
+
+
 def _local_sums_kernel(weight: str):
     """``mapInArrow`` function: running sums of ``weight`` inside the (sorted)
-    partition, added left to right, plus the partition id. NULL adds 0."""
+    partition, before and through each row, plus the partition id. NULL adds 0."""
 
     def kernel(batches):
-        import pyarrow.compute as pc
         from pyspark import TaskContext
         ctx = TaskContext.get()
         part = ctx.partitionId() if ctx is not None else 0
-        carry = 0.0
+        high = low = 0.0
         for b in batches:
             n = b.num_rows
             if n == 0:
                 continue
-            w = pc.fill_null(b.column(weight).cast(pa.float64()), 0.0).to_numpy(zero_copy_only=False)
-            through = np.cumsum(np.concatenate(([carry], w)))
-            before, through = through[:-1], through[1:]
-            carry = float(through[-1])
+            s, e = two_float_sums(_weights(b, weight), high, low)
+            high, low = float(s[-1]), float(e[-1])
             yield pa.RecordBatch.from_arrays(
-                list(b.columns) + [pa.array(np.full(n, part, dtype=np.int32)),
-                                   pa.array(before), pa.array(through)],
-                names=list(b.schema.names) + ["_part", "_lb", "_lt"])
+                list(b.columns) + [pa.array(np.full(n, part, dtype=np.int32)), pa.array(s[:-1]), pa.array(e[:-1]),
+                                   pa.array(s[1:]), pa.array(e[1:])],
+                names=list(b.schema.names) + list(LOCAL))
 
     return kernel
 
 
+# Partition, and the two floats of the sums before and through a row.
+LOCAL = ("_part", "_bh", "_bl", "_th", "_tl")
+
+
 # Slices of u that ``u_slices`` counts (at most so many rows reach the driver).
 SLICES = 1024
 
@@ -132,28 +158,49 @@ def ordered_layout(df: DataFrame, u: str, keys: Sequence[str], buckets: int,
 
 
 def _partition_total_kernel(weight: str):
-    """``mapInArrow`` function: ``(partition id, total of weight)``, one row."""
+    """``mapInArrow`` function: ``(partition id, total of weight)`` as two floats, one row."""
 
     def kernel(batches):
-        import pyarrow.compute as pc
         from pyspark import TaskContext
         ctx = TaskContext.get()
         part = ctx.partitionId() if ctx is not None else 0
-        carry, seen = 0.0, False
+        high = low = 0.0
+        seen = False
         for b in batches:
-            if b.num_rows == 0:
-                continue
-            w = pc.fill_null(b.column(weight).cast(pa.float64()), 0.0).to_numpy(zero_copy_only=False)
-            carry = float(np.cumsum(np.concatenate(([carry], w)))[-1])
-            seen = True
+            if b.num_rows:
+                s, e = two_float_sums(_weights(b, weight), high, low)
+                high, low, seen = float(s[-1]), float(e[-1]), True
         if seen:
-            yield pa.RecordBatch.from_pylist([{"_part": part, "_ptotal": carry}],
-                                             schema=pa.schema([("_part", pa.int32()),
-                                                               ("_ptotal", pa.float64())]))
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([high]), pa.array([low])],
+                                             names=list(OFFSETS))
 
     return kernel
 
 
+OFFSETS = ("_part", "_oh", "_ol")
+
+
+def _offsets_kernel(batches):
+    """``mapInArrow`` function: exclusive running sums of the partition totals, which lie in order."""
+    high = low = 0.0
+    for b in batches:
+        if b.num_rows:
+            part, h, l = b.columns
+            s, e = two_float_sums(h.to_numpy(zero_copy_only=False), high, low)
+            e = e + np.concatenate(([0.0], np.cumsum(l.to_numpy(zero_copy_only=False))))
+            high, low = float(s[-1]), float(e[-1])
+            yield pa.RecordBatch.from_arrays([part, pa.array(s[:-1]), pa.array(e[:-1])], names=list(OFFSETS))
+
+
+def _added(high: str, low: str) -> Column:
+    """Offset plus local sum, four floats, rounded once (the error of adding the high parts is exact)."""
+    a, b = F.col(OFFSETS[1]), F.col(high)
+    s = a + b
+    part = s - a
+    exact = s + (((a - (s - part)) + (b - part)) + (F.col(OFFSETS[2]) + F.col(low)))
+    return F.when(F.abs(s) == float("inf"), s).otherwise(exact)
+
+
 def running_total(df: DataFrame, weight: str, u: str, keys: Sequence[str],
                   buckets: int | None = None, tie: str | None = None, even: bool = False) -> DataFrame:
     """Adds ``cum_before`` (exclusive) and ``cum_through`` (inclusive) of ``weight``
@@ -163,24 +210,19 @@ def running_total(df: DataFrame, weight: str, u: str, keys: Sequence[str],
     if buckets is None:
         buckets = bucket_count(df.sparkSession, df.count())
     lay = ordered_layout(df, u, keys, buckets, tie, even)
-    out_schema = T.StructType(list(lay.schema.fields) + [
-        T.StructField("_part", T.IntegerType(), True),
-        T.StructField("_lb", T.DoubleType(), True),
-        T.StructField("_lt", T.DoubleType(), True)])
+    out_schema = T.StructType([*lay.schema.fields, T.StructField(LOCAL[0], T.IntegerType()),
+                               *[T.StructField(c, T.DoubleType()) for c in LOCAL[1:]]])
     local = lay.mapInArrow(_local_sums_kernel(weight), out_schema)
     # Both branches consume whole rows of ``lay``, so no column is pruned
     # below the range exchange and the second branch reuses the first's shuffle.
-    totals = lay.mapInArrow(_partition_total_kernel(weight), "_part int, _ptotal double")
-    offsets = totals.select(
-        "_part",
-        F.coalesce(F.sum("_ptotal").over(
-            Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)
-        ).cast("double").alias("_offset"))
+    schema = "_part int, _oh double, _ol double"
+    totals = lay.mapInArrow(_partition_total_kernel(weight), schema)
+    # B rows of three numbers, in one task
+    offsets = totals.repartition(1).sortWithinPartitions("_part").mapInArrow(_offsets_kernel, schema)
     return (
         local.join(F.broadcast(offsets) if buckets <= BROADCAST_MAX_BUCKETS else offsets, "_part")
         .select(*[c for c in df.columns if c != tie],
-                (F.col("_offset") + F.col("_lb")).alias("cum_before"),
-                (F.col("_offset") + F.col("_lt")).alias("cum_through"))
+                _added("_bh", "_bl").alias("cum_before"), _added("_th", "_tl").alias("cum_through"))
     )
 
 

@@ -25,7 +25,7 @@ from orbitfit.operators.seeding import kmeanspp_init, min_sq_distance
 from orbitfit.session import spread
 from orbitfit.plans.sqlgen import (
     centres_long, ccol, converged_ctes, d2_sql, dbl, kmeanspp_ctes, literal_centres_cte,
-    list_centres_long, list_lloyd_ctes, lloyd_ctes, nearest_sql, random_init_ctes, wide_to_long, with_,
+    list_centres_long, list_lloyd_ctes, lloyd_ctes, nearest_sql, random_init_ctes, significant, wide_to_long, with_,
 )
 from orbitfit.sources.tables import LINEITEM_KEYS, lineitem_points, table
 
@@ -171,12 +171,6 @@ def kmeanspp_min_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select(*KEYS, *NAMES, _r(md).alias("min_d2"))
 
 
-def _lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
-    return li.select(*KEYS, F.col("l_quantity").alias("x"),
-                     F.round(F.col("l_discount") * F.lit(100.0)).alias("y"))
-
-
 def _cumulative(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """``(running totals, weights)``: the second is the plain weight column of the scan.
 
@@ -185,7 +179,7 @@ def _cumulative(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     (twice with crowded slices, for the range bounds) and shuffled once.
     """
     u = hash_uniform(KEYS, SEED, 1)
-    raw = _lattice(spark, sf_dir).withColumn("_rid", F.monotonically_increasing_id())
+    raw = spread(_points(spark, sf_dir).withColumn("_rid", F.monotonically_increasing_id()))
     seen = raw.groupBy(u_slices(u)).agg(
         F.count(F.lit(1)).alias("n"),
         F.min(F.struct(hash_uniform(KEYS, SEED, 0).alias("u"), *NAMES)).alias("first")).collect()
@@ -203,7 +197,9 @@ def _cumulative(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
 
 
 def kmeanspp_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _cumulative(spark, sf_dir)[0]
+    cum = _cumulative(spark, sf_dir)[0]
+    return cum.select(*KEYS, *NAMES, "u", _r(F.col("w")).alias("w"),
+                      *[F.expr(significant(c)).alias(c) for c in ("cum_before", "cum_through")])
 
 
 THRESHOLD_R = scalar_uniform(SEED, "threshold")
@@ -213,7 +209,7 @@ def kmeanspp_threshold_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
     cum, weights = _cumulative(spark, sf_dir)
     total = weights.agg(F.sum("w")).collect()[0][0] or 0.0
     d = threshold_draw(cum, "w", "u", [*KEYS, *NAMES], THRESHOLD_R, total=total)
-    return d.select(*KEYS, *NAMES, "cum_through")
+    return d.select(*KEYS, *NAMES, F.expr(significant("cum_through")).alias("cum_through"))
 
 
 def kmeanspp_init_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -359,21 +355,21 @@ SQL["sample_assignments"] = with_(
 _MD = "least(" + ", ".join(d2_sql("p", NAMES, [dbl(v) for v in c]) for c in START) + ")"
 SQL["kmeanspp_min_distance"] = with_([PTS], f"SELECT {KEYCOLS}, x, y, round({_MD}, 6) AS min_d2 FROM pts p")
 
-_LAT = ("lat AS MATERIALIZED (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity AS x, "
-        "round(l_discount * CAST('100.0' AS DOUBLE)) AS y FROM lineitem)")
 _CUM = [
-    _LAT,
+    PTS,
     f"k0 AS MATERIALIZED (SELECT x AS {ccol('x', 0)}, y AS {ccol('y', 0)} FROM "
-    f"(SELECT *, {hash_uniform_sql(KEYS, SEED, 0)} AS u FROM lat) ORDER BY u, x, y LIMIT 1)",
+    f"(SELECT *, {hash_uniform_sql(KEYS, SEED, 0)} AS u FROM pts) ORDER BY u, x, y LIMIT 1)",
     f"wt AS MATERIALIZED (SELECT p.*, {d2_sql('p', NAMES, ['k.' + ccol('x', 0), 'k.' + ccol('y', 0)])} AS w, "
-    f"{hash_uniform_sql(['p.' + k for k in KEYS], SEED, 1)} AS u FROM lat p, k0 k)",
+    f"{hash_uniform_sql(['p.' + k for k in KEYS], SEED, 1)} AS u FROM pts p, k0 k)",
     f"cum AS MATERIALIZED (SELECT *, coalesce(sum(w) OVER (ORDER BY u, {KEYCOLS}, x, y ROWS BETWEEN "
     f"UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS cum_before, sum(w) OVER (ORDER BY u, {KEYCOLS}, x, y "
     f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_through FROM wt)",
 ]
-SQL["kmeanspp_cumulative"] = with_(_CUM, "SELECT * FROM cum")
+SQL["kmeanspp_cumulative"] = with_(
+    _CUM, f"SELECT {KEYCOLS}, x, y, u, round(w, 6) AS w, {significant('cum_before')} AS cum_before, "
+          f"{significant('cum_through')} AS cum_through FROM cum")
 SQL["kmeanspp_threshold_draw"] = with_(
-    _CUM, f"SELECT {KEYCOLS}, x, y, cum_through FROM cum WHERE cum_through >= {dbl(THRESHOLD_R)} * "
+    _CUM, f"SELECT {KEYCOLS}, x, y, {significant('cum_through')} AS cum_through FROM cum WHERE cum_through >= {dbl(THRESHOLD_R)} * "
           f"(SELECT sum(w) FROM wt) ORDER BY u, {KEYCOLS}, x, y LIMIT 1")
 
 SQL["kmeanspp_init"] = with_(

@@ -122,3 +122,26 @@ def test_kmeanspp_reads_a_kept_copy(spark, monkeypatch):
     seeding.kmeanspp_init(lineitem_points(spark, SF_SMALL), LINEITEM_KEYS, ["x", "y"], 4)
     assert len(plans) == 3 and all("InMemoryRelation" in p for p in plans)
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_running_total_does_not_depend_on_the_partitions(spark):
+    """Unrounded weights of very different sizes: 1, 7 and 64 partitions give the same bits, those of exact sums."""
+    import math
+    data = spark.range(3000).select(F.col("id").alias("k"), (F.exp((F.col("id") * 37) % 50 - 25) / 3).alias("w"))
+    data = data.withColumn("u", hash_uniform(["k"], 9))
+    got = [{r["k"]: (r["cum_before"], r["cum_through"]) for r in running_total(data, "w", "u", ["k"], buckets=b, even=e).collect()}
+           for b, e in ((1, False), (7, False), (64, True))]
+    assert got[0] == got[1] == got[2]
+    rows = sorted((r["u"], r["k"], r["w"]) for r in data.collect())
+    w = [r[2] for r in rows]
+    for i in range(0, 3000, 61):
+        assert got[0][rows[i][1]] == (math.fsum(w[:i]), math.fsum(w[:i + 1]))
+
+
+def test_running_total_of_infinite_and_null_weights(spark):
+    df = spark.createDataFrame([(1, 0.1, 1.0), (2, 0.2, None), (3, 0.3, float("inf")), (4, 0.4, 2.0)],
+                               "k long, u double, w double")
+    for b in (1, 3):
+        got = {r["k"]: (r["cum_before"], r["cum_through"]) for r in running_total(df, "w", "u", ["k"], buckets=b).collect()}
+        inf = float("inf")
+        assert got == {1: (0.0, 1.0), 2: (1.0, 1.0), 3: (1.0, inf), 4: (inf, inf)}
