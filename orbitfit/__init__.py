@@ -6,7 +6,7 @@ Iterative fits run one distributed aggregate per iteration over a persisted,
 column-pruned projection of the input.
 """
 
-from orbitfit.session import get_session, shared_dir
+from orbitfit.session import Scope, get_session, release, shared_dir
 from orbitfit.functions.vector import sq_distance, dot, nearest_centre
 from orbitfit.functions.random import hash_uniform
 from orbitfit.operators.kmeans import kmeans_fit, KMeansModel
@@ -29,6 +29,8 @@ from orbitfit.operators.momentum import (
 __all__ = [
     "get_session",
     "shared_dir",
+    "Scope",
+    "release",
     "sq_distance",
     "dot",
     "nearest_centre",

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orbitfit.operators.blocks import PARTIAL_SCHEMA, added_up, block_rows, partial_rows, rows_of
-from orbitfit.session import materialize
+from orbitfit.session import dematerialize, materialize
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -133,7 +133,8 @@ class BoundedSteps:
     the number of distances computed in every step."""
 
     def __init__(self, feats: DataFrame, names: Sequence[str]):
-        self.names, self.state, self.kept = list(names), feats.select(*names), None
+        self.names, self.state = list(names), feats.select(*names)
+        self.kept: tuple[DataFrame, str] | None = None
         self.distances: list[int] = []
         self.moved: list[float] | None = None
         self.schema = T.StructType([*self.state.schema.fields, T.StructField(CARRIED[0], T.IntegerType()),
@@ -142,18 +143,18 @@ class BoundedSteps:
 
     def __call__(self, centres: Sequence[Sequence[float]]) -> tuple[list[tuple[float, ...]], list[int]]:
         new = self.state.mapInArrow(make_bound_kernel(self.names, centres, self.moved), self.schema)
-        cut = (len(self.distances) + 1) % CUT_EVERY == 0
-        kept = materialize(new, "checkpoint" if cut else "persist")
+        how = "persist" if (len(self.distances) + 1) % CUT_EVERY else "checkpoint"
+        kept = materialize(new, how)
         partial = kept.mapInArrow(make_sum_kernel(self.names, len(centres)), PARTIAL_SCHEMA)
         rows = partial.groupBy("cluster", "dim").agg(F.sum("s").alias("s")).collect()
         found, sizes = added_up([r for r in rows if r["cluster"] >= 0], centres)
         self.distances.append(int(sum(r["s"] for r in rows if r["cluster"] < 0)))
         self.moved = [float(np.sqrt(sum((a - b) ** 2 for a, b in zip(p, q)))) for p, q in zip(centres, found)]
         self.release()
-        self.state, self.kept = kept, kept
+        self.state, self.kept = kept, (kept, how)
         return found, sizes
 
     def release(self) -> None:
         if self.kept is not None:
-            self.kept.unpersist()
+            dematerialize(*self.kept)
             self.kept = None

@@ -37,7 +37,7 @@ from orbitfit.operators.bounds import BoundedSteps
 from orbitfit.operators.points import Features, project_array, project_points
 from orbitfit.operators.sampling import sample_by_hash
 from orbitfit.operators.seeding import kmeanspp_init, random_init
-from orbitfit.session import materialize, spread
+from orbitfit.session import dematerialize, materialize, spread
 
 # Metric names of the timing summary, in the reference's order.
 TIMING_METRICS = (
@@ -301,11 +301,14 @@ def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] =
     # Keyed copies are released after the first iteration.
     base = None
 
+    released = False
+
     def release() -> None:
-        if cache == "persist":
-            for keyed in (base, spread_copy):
-                if keyed is not None:
-                    keyed.unpersist()
+        nonlocal released
+        for keyed in (base, spread_copy):
+            if keyed is not None and not released and not (keyed is base and base is spread_copy):
+                dematerialize(keyed, cache)
+        released = True
 
     t0 = time.perf_counter()
     if seeded:
@@ -361,8 +364,8 @@ def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] =
     finally:
         if bounded:
             bounded.release()
-        elif cache == "persist":
-            feats.unpersist()
+        else:
+            dematerialize(feats, cache)
         release()
     model = KMeansModel(names=list(names), centres=centres, init_centres=list(start),
                         iterations=len(log), converged=converged, log=log)

@@ -36,7 +36,7 @@ from orbitfit.functions.random import hash_uniform
 from orbitfit.operators.layout import as_layout, ordered_cuts, sorted_layout
 from orbitfit.operators.linear import normal_stats, step_size
 from orbitfit.operators.scan import advance, epochs_per_pass, layout_partitions, mean_maps
-from orbitfit.session import materialize
+from orbitfit.session import dematerialize, materialize
 
 # Rows of the largest shard that a task permutes itself, and the doubles of its sort keys.
 PERMUTED_ROWS = 1_000_000
@@ -124,8 +124,8 @@ def _ordered(method: str, df: DataFrame, y: str, phi: Sequence[str], shard: str,
     try:
         return _run(method, y, phi, epochs, s0, decay, momentum, w0, stats, passes())
     finally:
-        if epochs > group and cache == "persist":
-            layout.unpersist()
+        if epochs > group:
+            dematerialize(layout, cache)
 
 
 def _chained(combine: str) -> bool:
@@ -189,10 +189,9 @@ def local_sgd(df: DataFrame, y: str, phi: Sequence[str], shard: str, order: Sequ
             passes = _dealt_passes(base, y, phi, shard, order, epochs, s0, decay, seed, stats.n, parts, chain)
         return _run("sgd", y, phi, epochs, s0, decay, 0.0, w0, stats, passes)
     finally:
-        if cache == "persist":
-            for kept in (base, layout):
-                if kept is not None:
-                    kept.unpersist()
+        for kept in (base, layout):
+            if kept is not None:
+                dematerialize(kept, cache)
 
 
 def _permuted_passes(layout: DataFrame, d: int, n_order: int, epochs: int, group: int, s0: float, decay: float,

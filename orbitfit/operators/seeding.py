@@ -35,7 +35,7 @@ from orbitfit.functions.random import hash_uniform
 from orbitfit.functions.vector import sq_distance
 from orbitfit.operators.blocks import with_min_d2
 from orbitfit.operators.sampling import sample_by_hash
-from orbitfit.session import materialize
+from orbitfit.session import dematerialize, materialize
 
 INCREMENTAL_ABOVE = 16
 REBUILD_EVERY = 32
@@ -121,7 +121,7 @@ def kmeanspp_init(points: DataFrame, keys: Sequence[str], names: Sequence[str],
                 new = materialize(src.select(*keys, *names, md))
                 nxt = weighted_draw(new, F.col("_md"), keys, names, seed, r)
                 if cur is not None:
-                    cur.unpersist()
+                    dematerialize(cur)
                 cur = new
             if nxt is None:
                 raise ValueError(
@@ -129,7 +129,7 @@ def kmeanspp_init(points: DataFrame, keys: Sequence[str], names: Sequence[str],
             centres.append(nxt)
     finally:
         if cur is not None:
-            cur.unpersist()
-        if cache == "persist" and k > 1:
-            pts.unpersist()
+            dematerialize(cur)
+        if k > 1:
+            dematerialize(pts, cache)
     return centres
