@@ -21,7 +21,7 @@ from orbitfit.operators.linear import (
 )
 from orbitfit.operators.momentum import FitResult, heavy_ball, local_sgd, nesterov
 from orbitfit.plans.sqlgen import dbl, significant, with_
-from orbitfit.sources.tables import LINEITEM_KEYS, lineitem_regression, part_regression, table
+from orbitfit.sources.tables import LINEITEM_KEYS, LINEITEM_ORDER, lineitem_regression, part_regression, table
 
 # Fixed parameters of the registered linear-model queries.
 MOMENT_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -121,7 +121,7 @@ def _sharded_rows(res: FitResult) -> list[tuple]:
 def _sharded(method: str, epochs: int, lineitem: bool = False):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         r = lineitem_regression(spark, sf_dir) if lineitem else _rr(spark, sf_dir)
-        order, s0 = (LINEITEM_KEYS, LI_S0) if lineitem else (["seq"], SH_S0)
+        order, s0 = (LINEITEM_ORDER, LI_S0) if lineitem else (["seq"], SH_S0)
         args = (r, "y", PHI, "shard", order, epochs, s0, SH_DECAY)
         if method == "heavy_ball":
             res = heavy_ball(*args, SH_MOMENTUM)
@@ -156,6 +156,7 @@ def _history_view(view: str, columns: list[str]):
 _R = ("r AS MATERIALIZED (SELECT p_partkey AS seq, p_partkey // 100 AS shard, p_retailprice AS y, "
       "(p_partkey % 1000) / CAST('10.0' AS DOUBLE) AS x, CAST('1.0' AS DOUBLE) AS bias FROM part)")
 _R_LINEITEM = ("r AS MATERIALIZED (SELECT " + ", ".join(LINEITEM_KEYS) + ", ascii(l_returnflag) AS shard, "
+               "CAST(round(l_extendedprice * 100) AS BIGINT) AS cents, CAST(l_quantity AS BIGINT) AS units, "
                "l_extendedprice / CAST('1000.0' AS DOUBLE) AS y, l_quantity / CAST('10.0' AS DOUBLE) AS x, "
                "CAST('1.0' AS DOUBLE) AS bias FROM lineitem)")
 W0, W1 = dbl(W_FIXED[0]), dbl(W_FIXED[1])
@@ -232,7 +233,7 @@ SQL["nesterov_full_history"] = _full_batch_sql("nesterov")
 
 def _sharded_sql(method: str, epochs: int, lineitem: bool = False) -> str:
     gam = dbl(SH_MOMENTUM)
-    keys, s0 = (LINEITEM_KEYS, LI_S0) if lineitem else (["seq"], SH_S0)
+    keys, s0 = (LINEITEM_ORDER, LI_S0) if lineitem else (["seq"], SH_S0)
     seq = ", ".join(keys)
     ctes = [_R_LINEITEM if lineitem else _R, "st0 AS MATERIALIZED (SELECT CAST(0.0 AS DOUBLE) AS w0, CAST(0.0 AS DOUBLE) AS w1, "
                 "CAST(0.0 AS DOUBLE) AS v0, CAST(0.0 AS DOUBLE) AS v1)"]

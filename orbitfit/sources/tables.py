@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 # Row identity of a lineitem point: unique at sf0.01 and sf0.1.
 LINEITEM_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+# With the price in cents and the quantity, rows that are still equal are interchangeable in a fit.
+LINEITEM_ORDER = [*LINEITEM_KEYS, "cents", "units"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +49,8 @@ def lineitem_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     return li.select(
         *LINEITEM_KEYS,
+        F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("cents"),
+        F.col("l_quantity").cast("bigint").alias("units"),
         F.ascii("l_returnflag").cast("long").alias("shard"),
         (F.col("l_extendedprice") / F.lit(1000.0)).alias("y"),
         (F.col("l_quantity") / F.lit(10.0)).alias("x"),
