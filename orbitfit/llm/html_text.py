@@ -16,7 +16,9 @@ adverts, forms and reader comments around and inside the article, whose labels
 are known. Training is seeded, so reruns agree.
 
 Cases: null and empty html give the empty text; a tag cut off at the end of a
-page is dropped, elements left open end with the page; a page without any
+page is dropped with all behind it, a stray or unclosed quote in a tag is an
+ordinary character, elements left open end with the page; a page of any length
+takes linear time, its blocks are read in windows; a page without any
 element is one block; repeated rows get equal results; an empty table gives an
 empty result; other columns are not looked at.
 """
@@ -37,19 +39,22 @@ from orbitfit.llm.base import bounded_sample
 
 MAX_TRAIN = 240        # pages the labeller learns from
 HIDDEN = 16
-PATH, WORDS = 160, 32
+PATH, WORDS = 512, 32
 INPUT = PATH + WORDS + 4
 ROUNDS = 12            # passes over the training pages
 WINDOW = 96            # blocks of a training page
+LAYOUTS = 4            # layouts composed from each
 SCORED = 64            # pages labelled together
-
-MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|template|noscript|iframe|svg|textarea|head|select)\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>"
-    r".*?(?:</(?P=raw)\s*>|(?=<body\b)|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
-    r"|<[!?][^>]*(?:>|\Z)"
-    r"|</?[a-zA-Z][^<>]*\Z", re.S | re.I)
+DEPTH = 200            # open elements that are kept apart; what is nested deeper counts as this deep
+READ = 4096            # blocks read at a time; longer pages are read in overlapping windows
+LAP = 256              # blocks that a window shares with each neighbour
+
+# A tag up to its end. A quote opens a value only behind "=" and only if it is closed somewhere; any other
+# quote is an ordinary character. The possessive repetitions never go back, so a match takes linear time.
+TAG = re.compile(r"""<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+|["'])*+)>""")
+# Elements whose content is no text; an unclosed one ends where the body begins, or with the page.
+RAW = {t: re.compile(rf"</{t}\s*+>|(?=<body\b)", re.I)
+       for t in "script style template noscript iframe svg textarea head select".split()}
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small "
                    "span strike strong sub sup time tt u var wbr img input".split())
@@ -64,12 +69,51 @@ for _t in ("div section article aside nav header footer main ul ol dl table form
 BOILER_TAGS = frozenset("nav header footer aside form button menu dialog title".split())
 BOILER_NAMES = frozenset(
     "nav navbar navigation menu header masthead footer sidebar aside ad ads adv advert advertisement sponsor sponsored "
-    "promo banner cookie cookies consent notice alert popup modal comment comments reply replies discussion disqus share "
+    "promo banner cookie cookies consent notice alert popup modal comment comments commentary reply replies response "
+    "responses feedback remarks opinions reactions discussion disqus share "
     "sharing social related recommended breadcrumb breadcrumbs newsletter subscribe signup login search widget toolbar "
     "copyright legal complementary contentinfo form".split())
 MAIN_NAMES = frozenset("article main content post entry story body text".split())
 
 
+def tags(html: str) -> Iterator[tuple[str, str, str, str]]:
+    """(text before, "/" of an end tag, name, attributes) of every tag, and the text behind the last one.
+
+    One pass: every step goes on behind what it has read. Comments, declarations and the
+    content of raw elements are passed over; behind the last ">" a tag cannot end and is dropped.
+    """
+    text: list[str] = []
+    at, last = 0, html.rfind(">")
+    while True:
+        lt = html.find("<", at)
+        if lt < 0:
+            break
+        text.append(html[at:lt])
+        after = html[lt + 1:lt + 3]
+        if after[:1] in ("!", "?"):
+            close = "-->" if html.startswith("<!--", lt) else ">"
+            end = html.find(close, lt + 2)
+            at = len(html) if end < 0 else end + len(close)
+        elif not re.match(r"/?[a-zA-Z]", after):
+            text.append("<")
+            at = lt + 1
+        else:
+            m = TAG.match(html, lt) if lt < last else None
+            if m is None:
+                at = len(html)
+                break
+            at, name = m.end(), m[2].lower()
+            raw = RAW.get(name)
+            if raw and not m[1]:
+                end = raw.search(html, at)
+                at = end.end() if end else len(html)
+                continue
+            yield "".join(text), m[1], name, m[3]
+            text.clear()
+    text.append(html[at:])
+    yield "".join(text), "", "", ""
+
+
 def blocks(html: str) -> list[tuple[tuple, str, float]]:
     """(path, text, linked share) of the leaf blocks; a path is a tuple of element names and marks."""
     stack: list[tuple[str, tuple]] = []
@@ -89,25 +133,19 @@ def blocks(html: str) -> list[tuple[tuple, str, float]]:
         if any(t == "a" for t, _ in stack):
             linked += len(part)
 
-    at = 0
-    for m in MARKUP.finditer(html):
-        if m.start() > at:
-            add(html[at:m.start()])
-        at = m.end()
-        tag = m["tag"]
-        if not tag:
-            continue
-        tag = tag.lower()
+    for before, end, tag, rest in tags(html):
+        if before:
+            add(before)
         if tag == "br":
             text.append(" ")
-        elif m["end"]:
+        elif end:
             names = [t for t, _ in stack]
             if tag in names:
                 k = len(names) - 1 - names[::-1].index(tag)
                 if any(t not in INLINE for t in names[k:]):
                     close()
                 del stack[k:]
-        else:
+        elif tag:
             if tag not in INLINE:
                 close()
                 enders = ENDS.get(tag, ())
@@ -117,10 +155,9 @@ def blocks(html: str) -> list[tuple[tuple, str, float]]:
                         break
                     if stack[k][0] not in INLINE and stack[k][0] != "p":
                         break
-            if tag not in VOID and not m["rest"].rstrip().endswith("/"):
-                stack.append((tag, marks(tag, m["rest"])))
-    if at < len(html):
-        add(html[at:])
+            if tag not in VOID and not rest.rstrip().endswith("/"):
+                stack.append((tag, marks(tag, rest)))
+                del stack[DEPTH:]
     close()
     return out
 
@@ -183,16 +220,22 @@ def composed(page: list[tuple[tuple, str, float]], rng: np.random.Generator) ->
             box = pick([("<nav",), ("<div", "menu"), ("<header", "<nav"), ("<ul", "nav"), ("<div", "breadcrumb"), ("<menu",)])
             return [((*around, *box, "<ul", "<li", "<a"), some(int(rng.integers(1, 3))), 1.0) for _ in range(int(rng.integers(2, 8)))]
         if kind == 1:   # reader comments, whole sentences
-            box = pick([("<div", "comments"), ("<section", "comments"), ("<ol", "comment", "list"), ("<div", "comment"), ("<section", "discussion")])
+            box = pick([("<div", "comments"), ("<section", "comments"), ("<ol", "comment", "list"), ("<div", "comment"),
+                        ("<section", "discussion"), ("<div", "responses"), ("<section", "responses"), ("<ul", "replies"),
+                        ("<div", "feedback"), ("<div", "reader", "feedback"), ("<div", "reactions"), ("<ol", "remarks")])
             return [((*around, *box, pick(["<p", "<div", "<li"])), some(int(rng.integers(3, 30))) + ".", 0.0) for _ in range(int(rng.integers(1, 5)))]
         if kind == 2:
             box = pick([("<aside",), ("<footer",), ("<header",), ("<form",), ("<dialog",), ("<button",), ("<form", "<label")])
         else:
             box = (pick(["<div", "<section", "<ul", "<p", "<span"]), pick(boiler))
-        leaf = pick([(), ("<p",), ("<div",), ("<a",), ("<h2",), ("<p", "<a")])
+        leaf = pick([(), ("<p",), ("<div",), ("<a",), ("<h1",), ("<h2",), ("<p", "<a")])
         return [((*around, *box, *leaf), some(int(rng.integers(1, 25))), float("<a" in leaf)) for _ in range(int(rng.integers(1, 4)))]
 
-    home = pick([("<article",), ("<main",), ("<main", "<article"), ("<div", "content"), ("<div", "post", "content"),
+    def unnamed() -> str:     # a class that tells nothing
+        return "".join(pick("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(int(rng.integers(1, 8))))
+
+    home = pick([("<div", unnamed()), ("<div", unnamed(), unnamed()), ("<div", unnamed(), "<div", unnamed()),
+                 ("<section", unnamed()), ("<div",), ("<article",), ("<main",), ("<main", "<article"), ("<div", "content"), ("<div", "post", "content"),
                  (), ("<div", "main"), ("<section", "article", "body"), ("<div", "entry"), ("<div", "story")])
     outer = pick([("<html", "<body"), ("<html", "<body", "<div", "wrapper"), ("<html", "<body", "<div", "page"),
                   ("<html", "<body", "<div", "container"), ("<body",), ()])
@@ -302,7 +345,7 @@ def train(htmls: list[str]) -> Labeller:
         page = blocks(html)
         if not page:
             continue
-        variants = [(page, teacher(page))] + [composed(page, rng) for _ in range(3)]
+        variants = [(page, teacher(page))] + [composed(page, rng) for _ in range(LAYOUTS)]
         variants.append(([((), page[int(rng.integers(len(page)))][1], 0.0)], np.ones(1)))   # a page without elements
         data += [(features(b, memo)[:WINDOW].astype(np.float64), y[:WINDOW]) for b, y in filter(None, variants)]
     if not data:
@@ -340,17 +383,32 @@ def extract(htmls: list[str | None], model: Labeller, memo: dict) -> list[str]:
     while start < len(order):
         # Pages of like length are read together, while the padded block stays small.
         stop = start + 1
-        while stop < len(order) and stop - start < SCORED and len(pages[order[stop]]) * (stop - start) < 20_000:
+        while (stop < len(order) and stop - start < SCORED and len(pages[order[stop]]) * (stop - start) < 20_000
+               and len(pages[order[stop]]) <= READ):
             stop += 1
         part = order[start:stop]
-        x, live = padded([features(pages[i], memo) for i in part])
-        z = model.logits(x, live)
-        for k, i in enumerate(part):
-            texts[i] = " ".join(t for (_, t, _), s in zip(pages[i], z[:len(pages[i]), k]) if s > 0)
+        if len(pages[part[0]]) > READ:
+            scores = [windowed(features(pages[i], memo), model) for i in part]
+        else:
+            x, live = padded([features(pages[i], memo) for i in part])
+            z = model.logits(x, live)
+            scores = [z[:len(pages[i]), k] for k, i in enumerate(part)]
+        for i, z in zip(part, scores):
+            texts[i] = " ".join(t for (_, t, _), s in zip(pages[i], z) if s > 0)
         start = stop
     return texts
 
 
+def windowed(x: np.ndarray, model: Labeller) -> np.ndarray:
+    """Scores of a long page: windows of ``READ`` blocks, each read with ``LAP`` more on either side."""
+    out = np.empty(len(x), np.float32)
+    for a in range(0, len(x), READ):
+        lo = max(0, a - LAP)
+        part, live = padded([x[lo:a + READ + LAP]])
+        out[a:a + READ] = model.logits(part, live)[a - lo:a - lo + len(out[a:a + READ]), 0]
+    return out
+
+
 def fit(pages: DataFrame, id_col: str, html_col: str) -> Labeller:
     known = pages.select(F.col(id_col).alias("k"), F.col(html_col).alias("html")).filter(F.length("html") > 0)
     holds = F.udf(lambda html: bool(blocks(html)), "boolean")

@@ -219,6 +219,45 @@ def test_html_other_layouts(spark):
     assert html_text.main_text(df.limit(0)).count() == 0
 
 
+    river = "The river rose again last night after days of rain in the hills."
+    plain = f"<html><body><header><a href=/>Home</a></header><div class=col-8><h1>The river</h1><p>{river}</p></div></body></html>"
+    inside = (f"<html><body><article><h1>The river</h1><p>{river}</p><div id=responses><p>Great article, thanks for "
+              "sharing it.</p><p>I do not agree.</p></div></article></body></html>")
+    between = f"<html><body><article><h1>The river</h1><div class=feedback><p>Nice one.</p></div><p>{river}</p></article></body></html>"
+    assert html_text.extract([plain, inside, between], model, {}) == [f"The river {river}"] * 3
+
+
+@pytest.mark.parametrize("html,want", [
+    ("<main><p class=don't>We saw it.</p><p>It's old.</p></main>", ["We saw it.", "It's old."]),
+    ('<a title="say "hi">two</a> x', ["two x"]), ("a < b and c <3 <b>x</b>", ["a < b and c <3 x"]),
+    ("<p>one<!-- x --> two<!doctype x><br>three</p><script>var a='</p>'</script>z", ["one two three", "z"]),
+    ('<div title="a > b">t</div>', ["t"]), ('x <div class="unclosed>text</div> more', ["x", "text", "more"]),
+    ("<head><title>T</title><body>B", ["B"]), ('<svg><path d="M0"/></svg>ok', ["ok"]), ("end <div class=", ["end"])])
+def test_html_blocks(html, want):
+    assert [t for _, t, _ in html_text.blocks(html)] == want
+
+
+@pytest.mark.parametrize("part", ["<div", '<a "x ', '<a ="x ', "<a ='", "<!--", "<script>", "</script ", "<div>", "<", '<a b="',
+                                  "<p>x", "<b>", "<svg", "&", "<div "])
+def test_broken_html_takes_linear_time(part):
+    """A megabyte each, and again with a closing bracket at the very end."""
+    import time
+    for page in (part * (1_000_000 // len(part)), part * (1_000_000 // len(part)) + ">"):
+        t = time.process_time()
+        html_text.blocks(page)
+        assert time.process_time() - t < 8      # seconds of a slow machine; a quadratic scan takes hours
+
+
+def test_long_pages_are_read_in_windows(monkeypatch):
+    """Windows with an overlap label the blocks like one reading of the page."""
+    model = html_text.Labeller(3)
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(700, html_text.INPUT)).astype(np.float32)
+    whole = model.logits(*html_text.padded([x]))[:, 0]
+    monkeypatch.setattr(html_text, "READ", 100)
+    assert np.abs(html_text.windowed(x, model) - whole).max() < 1e-3
+
+
 def test_small_shares_and_long_pages_still_teach(spark):
     assert 0 < bounded_sample(spark.range(3_000_000), F.col("id"), 2).count() < 20
     pages = spark.read.parquet(f"{SF}/pages.parquet").filter("html <> ''").orderBy("page_id").limit(24).select(
