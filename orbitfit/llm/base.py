@@ -8,13 +8,13 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orbitfit.session import shared_dir
+from orbitfit.session import own_path, release, shared_dir
 
 # White space of every contract: space, tab, line feed, vertical tab, form
 # feed, carriage return.
 SPACE = r"[\x20\x09-\x0D]+"
 
-_WRITTEN: list[str] = []
+__all__ = ["SPACE", "bounded_sample", "drawn", "fold", "fresh", "release", "slices", "table", "written"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,24 +26,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
     Cuts the lineage with replicated storage that every executor sees, so a
     lost executor repeats at most the tasks that follow, and an intermediate
-    used twice is computed once. ``release`` removes the tables.
+    used twice is computed once. The scope that is open, ``release`` or the end
+    of the driver removes the tables.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    _WRITTEN.append(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def release(spark: SparkSession) -> int:
-    """Remove the work tables this driver wrote (results that read them end with them)."""
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    n = 0
-    while _WRITTEN:
-        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop()).getParent()
-        n += bool(path.getFileSystem(conf).delete(path, True))
-    return n
+    folder = own_path(spark, f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}")
+    df.write.parquet(f"{folder}/{name}")
+    return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like ``names`` that no column of ``df`` has, so that a helper column replaces none."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def fold(key: Column, parts: int) -> Column:

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orbitfit.llm.base import SPACE, written
+from orbitfit.llm.base import SPACE, fresh, written
 
 
 def normalised(text: Column) -> Column:
@@ -76,11 +76,13 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Of rows with the same identifier and text that differ in other columns,
     any one stays.
     """
+    (name,) = fresh(docs, "__key")
+
     def key(digest: Column) -> Column:
         return F.concat(digest, F.coalesce(F.col(id_col).cast("string"), F.lit("null")).cast("binary"))
 
-    kept = exact_dedup(docs, id_col, text_col).filter("kept").select(key(F.col("digest")).alias("__key"))
-    marked = docs.withColumn("__key", key(F.unhex(F.sha2(normalised(F.col(text_col)), 256))))
+    kept = exact_dedup(docs, id_col, text_col).filter("kept").select(key(F.col("digest")).alias(name))
+    marked = docs.withColumn(name, key(F.unhex(F.sha2(normalised(F.col(text_col)), 256))))
     # The semi join's exchange on the key also serves the removal of repeated rows.
-    return (marked.join(kept, "__key", "left_semi").dropDuplicates(["__key"])
+    return (marked.join(kept, name, "left_semi").dropDuplicates([name])
             .select(*[F.col(f"`{c}`") for c in docs.columns]))

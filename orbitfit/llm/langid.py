@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orbitfit.llm.base import bounded_sample
+from orbitfit.llm.base import bounded_sample, fresh
 
 MAX_TRAIN = 4000
 BUCKETS = 4096
@@ -162,6 +162,7 @@ def keep_identified(docs: DataFrame, train_on: DataFrame, id_col: str = "doc_id"
     Rejected are texts without a letter (or null) and ambiguous ones.
     """
     model = fit(train_on, F.col(id_col), text_col, lang_col)
-    marked = docs.withColumn("__lang", identify(docs, model, text_col))
-    return (marked.filter((F.col("__lang.lang_pred") != UNKNOWN) & ~F.col("__lang.ambiguous"))
+    (found,) = fresh(docs, "__lang")
+    marked = docs.withColumn(found, identify(docs, model, text_col))
+    return (marked.filter((F.col(found)["lang_pred"] != UNKNOWN) & ~F.col(found)["ambiguous"])
             .select(*[F.col(f"`{c}`") for c in docs.columns]))

@@ -17,9 +17,10 @@ per source then gets one copy more or less if that brings the source's taken
 words nearer to its target.
 
 Cases: null text has size 0 (its copies take nothing); a null source is a
-source of its own, ordered last; a null identifier draws like any other
-value; repeated rows are mixed one by one but draw alike; an empty table
-gives an empty result; other columns are not looked at.
+source of its own, ordered last; rows without an identifier draw by their
+row number, all others by identifier and text alone; repeated rows are mixed one
+by one, those with an identifier draw alike; an empty table gives an empty
+result; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orbitfit.llm.base import written
+from orbitfit.llm.base import fresh, written
 
 WEIGHTS = (5, 2, 1)   # by source in code point order, repeating
 CAP = 3               # most copies of a document, most words of a source over its size
@@ -135,11 +136,20 @@ def solve_dual(sizes: DataFrame, sources: DataFrame, cap: int = CAP) -> DataFram
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """Per row: id, size, source_size, target, rate, copies, taken, and ``draw_key`` (a hash of id and text)."""
+    return planned(docs, id_col, text_col, source_col, weights, cap, F.monotonically_increasing_id()).drop("row")
+
+
+def planned(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[int, ...], cap: int,
+            row: Column) -> DataFrame:
+    """The columns of ``mix`` and ``row``, a number of each row.
+
+    Rows without an identifier draw by their number as well, so equal texts among them do not share a draw.
+    """
     rows = written(docs.select(
         F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
-        words(F.col(text_col)).alias("size"),
-        F.xxhash64(F.col(id_col), F.col(text_col)).alias("draw_key"),
-        F.monotonically_increasing_id().alias("row")), "sizes")
+        words(F.col(text_col)).alias("size"), F.col(text_col).alias("t"), row.alias("row")).select(
+        "id", "source", "size", F.when(F.col("id").isNotNull(), F.xxhash64("id", "t"))
+        .otherwise(F.xxhash64("row", "t")).alias("draw_key"), "row"), "sizes")
     sizes = written(rows.groupBy("source", "size").agg(F.count("*").alias("n")), "histogram")
     sources = sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"),
                                           F.sum("n").alias("rows"))
@@ -203,7 +213,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
             .select(F.col("best.row").alias("row"), F.col("best.step").alias("step")))
     copies = F.col("copies") + F.coalesce("step", F.lit(0))
     return counted.join(best, "row", "left").select(
-        F.col("id").alias(id_col), "draw_key", F.col("source").alias(source_col), "size", "source_size", "target",
+        "row", F.col("id").alias(id_col), "draw_key", F.col("source").alias(source_col), "size", "source_size", "target",
         "rate", copies.alias("copies"), (F.col("size") * copies).cast("long").alias("taken"))
 
 
@@ -213,10 +223,11 @@ def repeat_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Documents without words take no part in the word targets and stay once.
     """
-    plan = (mix(docs, id_col, text_col, source_col)
-            .groupBy(F.col("draw_key").alias("__key"))
-            .agg(F.max(F.when(F.col("size") == 0, 1).otherwise(F.col("copies"))).alias("__copies")))
-    keyed = docs.withColumn("__key", F.xxhash64(F.col(id_col), F.col(text_col)))
-    return (keyed.join(plan, "__key").filter(F.col("__copies") > 0)
-            .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+    row, times, copy = fresh(docs, "__row", "__copies", "__copy")
+    # The numbers are written with the rows, so that both readings of them agree.
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    plan = planned(numbered, id_col, text_col, source_col, WEIGHTS, CAP, F.col(row)).select(
+        F.col("row").alias(row), F.when(F.col("size") == 0, 1).otherwise(F.col("copies")).alias(times))
+    return (numbered.join(plan.filter(F.col(times) > 0), row)
+            .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times))))
             .select(*[F.col(f"`{c}`") for c in docs.columns]))

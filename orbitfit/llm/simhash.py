@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orbitfit.llm.base import written
+from orbitfit.llm.base import fresh, written
 from orbitfit.llm.components import components
 
 SHINGLE = 4
@@ -265,8 +265,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     """
     rows, classes = classed(docs, id_col, text_col, shingle, distance, CELL_LIMIT, hashes=True)
     heads = classes.filter(F.col("component.fp") == F.col("fp")).select("fp", "first")
+    text, own, hashed = fresh(docs, "__text", "__id", "__hash")
     kept = (rows.join(heads, "fp").filter(F.col("id").eqNullSafe(F.col("first")))
-            .groupBy("fp", F.col("id").alias("__id")).agg(F.min("text_hash").alias("__hash")))
-    marked = docs.withColumn("__text", F.xxhash64(F.col(text_col)))
-    joined = marked.join(kept, (F.col("__text") == F.col("__hash")) & F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
-    return joined.dropDuplicates([id_col, "__text"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+            .groupBy("fp", F.col("id").alias(own)).agg(F.min("text_hash").alias(hashed)).drop("fp"))
+    marked = docs.withColumn(text, F.xxhash64(F.col(text_col)))
+    joined = marked.join(kept, (F.col(text) == F.col(hashed)) & F.col(id_col).eqNullSafe(F.col(own)), "left_semi")
+    return joined.dropDuplicates([id_col, text]).select(*[F.col(f"`{c}`") for c in docs.columns])

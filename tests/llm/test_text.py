@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from orbitfit.llm import html_text, langid, licenses, mixing, pieces, queries, secrets, toxicity
+from orbitfit.llm import exact_dedup, html_text, langid, licenses, mixing, pieces, queries, secrets, simhash, toxicity
 from orbitfit.llm.base import bounded_sample, written
 from tests_llm_common import SF
 
@@ -356,6 +356,47 @@ def test_field_decodes_like_a_full_search():
             assert value(tuple(own)) == pytest.approx(best, abs=1e-4)
 
 
+NAMES = ("__key", "__text", "__lang", "__copies", "__copy", "__id", "__hash", "__row", "__KEY_")
+
+
+def test_columns_with_helper_names_stay(spark):
+    """Columns that are called like the helpers' own come back with their values."""
+    texts = [f"the {w} cat sat on the mat and looked at the {w} dog for a long while" for w in ("red", "old", "red", "big")]
+    rows = [(i, t, "en", "a", *[f"{n} {i}" for n in NAMES]) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "lang", "source", *NAMES])
+    kept = {"exact": exact_dedup.keep_first(docs), "near": simhash.keep_one(docs, distance=0),
+            "mixed": mixing.repeat_documents(docs), "identified": langid.keep_identified(docs, docs)}
+    for name, found in kept.items():
+        assert found.columns == docs.columns, name
+        got = {tuple(r) for r in found.collect()}
+        assert got <= set(rows) and (got or name == "identified"), name
+    assert kept["exact"].count() == kept["near"].count() == 3
+
+
+def test_mix_counts_every_repeated_row(spark):
+    """Copies taken of repeated rows, of rows without an identifier too, add up to the plan's words."""
+    rows = [(None, "one two three four five", "a")] * 300 + [(7, "six seven", "a")] * 40
+    rows += [(i, "word " * (i % 9 + 1), s) for i in range(100, 400) for s in ("b" if i % 3 else "c",)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = {r["source"]: r for r in mixing.mix(docs).groupBy("source", "target").agg(F.sum("taken").alias("taken")).collect()}
+    got = mixing.repeat_documents(docs).groupBy("source").agg(F.sum(F.size(F.split(F.trim("text"), " "))).alias("n")).collect()
+    for r in got:
+        assert r["n"] == plan[r["source"]]["taken"]
+        assert abs(r["n"] - plan[r["source"]]["target"]) <= 5
+    draws = mixing.mix(docs).filter("doc_id IS NULL").select("draw_key").distinct().count()
+    assert draws == 300
+
+
+def test_work_tables_end_with_their_scope(spark):
+    from orbitfit.session import Scope, shared_dir
+    top = shared_dir(spark).removeprefix("file:")
+    before = {f for _, _, names in os.walk(top) for f in names}
+    with Scope(spark):
+        queries.op3_mixing(spark, SF).collect()
+        assert {f for _, _, names in os.walk(top) for f in names} > before
+    assert {f for _, _, names in os.walk(top) for f in names} == before
+
+
 @needs_model
 def test_pipeline_takes_effect(spark):
     import corpus_pipeline as pipeline
