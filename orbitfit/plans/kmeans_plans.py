@@ -395,14 +395,14 @@ SQL["kmeans_embeddings_step"] = with_(
 _LIST_HIST = " UNION ALL ".join(f"SELECT * FROM m{i}" for i in range(1, EMB_MAX_ITER + 1))
 _LIST_ALL = " UNION ALL ".join(f"SELECT {i} AS it, * FROM c{i}" for i in range(1, EMB_MAX_ITER + 1))
 SQL["kmeans_embeddings_fit"] = with_(
-    ["epts AS MATERIALIZED (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)",
+    ["epts AS MATERIALIZED (SELECT vec_id, row_number() OVER () AS rid, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)",
      *list_lloyd_ctes("epts", ["vec_id"], EMB_K, SEED, EMB_MAX_ITER),
      f"fin AS MATERIALIZED (SELECT min(iteration) AS it FROM ({_LIST_HIST}) WHERE movement <= {dbl(EMB_TOL)})",
      f"cf AS MATERIALIZED (SELECT c.*, CAST(c.it AS INTEGER) AS iterations FROM ({_LIST_ALL}) c, fin "
      "WHERE c.it = fin.it)"],
     list_centres_long("cf", ", iterations"))
 SQL["kmeans_many_centres"] = with_(
-    [f"mpts AS MATERIALIZED (SELECT {KEYCOLS}, [l_extendedprice / {dbl(MANY_UNIT)}, l_quantity] AS e FROM lineitem)",
+    [f"mpts AS MATERIALIZED (SELECT {KEYCOLS}, row_number() OVER () AS rid, [l_extendedprice / {dbl(MANY_UNIT)}, l_quantity] AS e FROM lineitem)",
      *list_lloyd_ctes("mpts", KEYS, MANY_K, SEED, MANY_ITERS)],
     list_centres_long(f"c{MANY_ITERS}"))
 

@@ -159,14 +159,14 @@ def significant(v: str, digits: int = 9) -> str:
 
 
 def list_lloyd_ctes(pts: str, keys: Sequence[str], k: int, seed: int, n_iter: int) -> list[str]:
-    """``n_iter`` Lloyd iterations over points ``e`` (lists) from a seeded K-point sample: centre tables
+    """``n_iter`` Lloyd iterations over points ``e`` (lists, numbered ``rid``) from a seeded K-point sample: centre tables
     ``c{i}(cluster, e)`` in long form and ``m{i}``, the total squared movement."""
     order = ", ".join(["u", *keys, "e"])
     ctes = [f"c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY {order}) - 1 AS INTEGER) AS cluster, e FROM "
             f"(SELECT *, {hash_uniform_sql(keys, seed)} AS u FROM {pts} ORDER BY {order} LIMIT {k}))"]
     for i in range(1, n_iter + 1):
         ctes.append(f"a{i} AS MATERIALIZED (SELECT (min({{'d': list_distance(p.e, c.e), 'c': c.cluster}})).c AS cluster, "
-                    f"any_value(p.e) AS e FROM {pts} p, c{i - 1} c GROUP BY {', '.join('p.' + x for x in keys)})")
+                    f"any_value(p.e) AS e FROM {pts} p, c{i - 1} c GROUP BY p.rid)")
         ctes.append(f"s{i} AS MATERIALIZED (SELECT cluster, list(v ORDER BY j) AS e FROM (SELECT cluster, j, avg(v) AS v "
                     f"FROM (SELECT cluster, unnest(e) AS v, generate_subscripts(e, 1) AS j FROM a{i}) "
                     "GROUP BY cluster, j) GROUP BY cluster)")
