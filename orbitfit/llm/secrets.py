@@ -11,10 +11,14 @@ over "outside" can outweigh the best transitions is outside as a whole, which
 a bound shows exactly; only the others are decoded step by step.
 
 The field is trained here on bounded samples (``MAX_TRAIN`` each) of the documents
-that hold a fixed match, searched for in the whole table, and of all documents:
-the values that the fixed patterns find are the secrets, everything else
-is outside, so the field learns what such values look like in place and also
-tags values that no pattern covers. Fixed matches always stay; a tagged span is
+that hold a fixed match, searched for in the whole table, and of all documents.
+The values that the fixed patterns find are the secrets. So that the field does
+not merely repeat the patterns, each match also teaches in changed surroundings
+(``changed``): another cue and link before the value, another random value, a long
+random value without any cue; and as what is no secret, a cue with a plain
+word and random-looking things that are none (dates, addresses, numbers, names).
+A part of the chains without a secret is held out: "outside" is raised until at
+most ``MAX_FALSE`` of them get a span. Fixed matches always stay; a tagged span is
 added (kind ``crf``) where it overlaps none of them.
 
 Cases: null text counts as empty; empty texts have no spans; texts of any
@@ -26,7 +30,9 @@ other columns are not inputs. Positions are code points, end exclusive.
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orbitfit.llm.base import bounded_sample, drawn, slices
+from orbitfit.llm.base import drawn, slices, written
 
 KINDS = ("assign", "access", "hex", "crf")
 # Fixed patterns (values given by the contract).
@@ -48,13 +54,24 @@ KNOWN = ("password", "passwd", "pwd", "pass", "secret", "token", "key", "apikey"
          ":", "=", "\"", "'", ".", ",", "@", "(", ")", "|")
 
 MAX_TRAIN = 20_000     # documents of either kind looked at for training chains
-MAX_CHAINS = 1_500     # of either kind: chains with and without a secret
-WINDOW = 48            # tokens of a training chain
+MAX_CHAINS = 1_500     # of each kind of training chain
+VARIED = 4             # matches of a document that also teach in changed surroundings
+ROUNDS = 100           # most changes of one match; fewer where matches are many
+MAX_FALSE = 0.001      # share of the held-out chains without a secret that may get a span
+WINDOW = 32            # tokens of a training chain
 LEAST = 8              # characters of an added span
+STRONG = 16            # characters of a value that is a secret without a cue
+CONTEXT = 120          # characters kept on either side of a changed match
+# What may stand before a secret value: cues, and what links them to the value.
+CUES = ("password", "passwd", "pwd", "pass", "secret", "token", "api_key", "api-key", "auth", "bearer", "access_key",
+        "secret_key", "private key", "credential", "client_secret", "login")
+LINKS = (" = ", "=", ": ", ":", " ", " is ", " uses ", ' = "', " was ", " | ")
+ALNUM = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
 STEPS = 60
 BITS = 16
 SLICE = 1_000_000
 O, B, I = 0, 1, 2
+PLAIN, MATCH, CHANGED, NONE = range(4)   # kinds of training chains
 SPACE_CLASS, LOWER, UPPER, DIGIT, JOIN, OTHER = range(6)
 
 
@@ -144,7 +161,10 @@ def hashed(shape: np.ndarray, text: np.ndarray, file: np.ndarray) -> np.ndarray:
         return out
 
     one, two, after = shifted(1), shifted(2), shifted(-1)
-    parts = (shape, one, two, after, one << 16 | shape, two << 16 | one, shape << 2 | file)
+    coarse = shape & 7 | (shape >> 5 & 7) << 3 | (shape >> 9 & 3) << 6   # kind, length, changes
+    near, far, then = (s & 7 | (s >> 11) << 3 for s in (one, two, after))   # kind, identity
+    parts = (shape, near, far << 8 | near, then << 8 | coarse, near << 8 | coarse, (far << 8 | near) << 8 | coarse,
+             coarse << 2 | file)
     with np.errstate(over="ignore"):
         return np.stack([((p.astype(np.uint64) + np.uint64(k << 40)) * np.uint64(0x9E3779B97F4A7C15)
                           >> np.uint64(64 - BITS)).astype(np.int64) for k, p in enumerate(parts)])
@@ -171,16 +191,81 @@ def values(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]
     return [(ASSIGN.match(text, a).start(2) if k == 0 else a, b) for a, k, b in spans]
 
 
+def strong(value: str) -> bool:
+    """Long and mixed enough to be a secret without a cue."""
+    return len(value) >= STRONG and sum(c.isdigit() for c in value) >= 3 and sum(c.isalpha() for c in value) >= 3
+
+
+def random_value(rng: random.Random, least: int, most: int, mixed: int) -> str:
+    """A value with ``mixed`` letters and digits each at least, at times with a short prefix or a padding sign."""
+    alphabet = rng.choice((ALNUM, ALNUM, ALNUM[:26] + ALNUM[52:], ALNUM + "_-"))
+    n = rng.randint(least, most)
+    at = rng.sample(range(n), 2 * mixed)
+    value = [rng.choice(alphabet) for _ in range(n)]
+    for k, i in enumerate(at):   # both letters and digits
+        value[i] = rng.choice(ALNUM[52:] if k % 2 else ALNUM[:26])
+    head = rng.choice(("", "", "".join(rng.choice(ALNUM[:26]) for _ in range(rng.randint(2, 4))) + rng.choice("_-")))
+    return head + "".join(value) + rng.choice(("", "", "", "=="))
+
+
+def lookalike(rng: random.Random) -> str:
+    """Something with digits that is no secret where no cue stands before it."""
+    def some(alphabet: str, n: int) -> str:
+        return "".join(rng.choice(alphabet) for _ in range(n))
+
+    low, digits = ALNUM[:26], ALNUM[52:]
+    return rng.choice((
+        lambda: f"{some('12', 1)}{some(digits, 3)}-{some(digits, 2)}-{some(digits, 2)}T{some(digits, 2)}:{some(digits, 2)}",
+        lambda: "-".join(some("0123456789abcdef", n) for n in (8, 4, 4, 4, 12)),
+        lambda: f"{some(low, 7)}{some(digits, 2)}@{some(low, 5)}{some(digits, 1)}.example.com",
+        lambda: f"v{some(digits, 1)}.{some(digits, 2)}.{some(digits, 1)}-{some(low, 4)}{some(digits, 1)}",
+        lambda: some(digits, 16),
+        lambda: f"{some(digits, 3)}-{some(digits, 3)}-{some(digits, 4)}",
+        lambda: some(low, rng.randint(3, 6)) + some(low, rng.randint(4, 8)).capitalize() + some(digits, 1),
+        lambda: f"{some(low, 6)}_{some(low, 7)}_{some(low, 5)}{some(digits, 1)}",
+        lambda: f"/{some(low, 5)}/{some(low, 6)}{some(digits, 2)}/{some(low, 8)}",
+        lambda: some(low, rng.randint(12, 24)),
+        lambda: some(ALNUM[26:52], 3) + "-" + some(digits, 5),
+    ))()
+
+
+def changed(before: str, value: str, after: str, seed: int) -> Iterator[tuple[int, str, int, int]]:
+    """(kind, text, start, end of the value) of the surroundings that one match also teaches in.
+
+    ``before`` and ``after`` are cut at a word, or left out, so that the value has changing neighbours.
+    """
+    rng = random.Random(seed)
+    lead, rest = before.split(" "), after.split(" ")
+    word = rng.choice([w for w in lead if w.isalpha()] or ["word"])
+    before = " ".join(lead[:rng.randint(0, len(lead))])
+    after = rng.choice(("", " ", " ", " ", '"', ", ", " | ")) + " ".join(rest[rng.randint(0, len(rest)):])
+    before += " " if before and rng.random() < 0.9 else ""
+
+    def cue() -> str:
+        name = rng.choice(CUES)
+        return rng.choice((name, name, name.capitalize(), name.upper()))
+
+    cased = cue() + rng.choice(LINKS)
+    for kind, lead, body in ((CHANGED, cased, value),
+                             (CHANGED, cue() + rng.choice(LINKS), random_value(rng, 8, 40, 1)),
+                             (CHANGED, rng.choice(("", word + " ")), value if strong(value) and rng.random() < 0.3
+                              else random_value(rng, 20, 44, 3)),
+                             (NONE, cue() + rng.choice(LINKS), word),
+                             (NONE, rng.choice(("", word + " ")), lookalike(rng))):
+        yield kind, before + lead + body + after, len(before) + len(lead), len(before) + len(lead) + len(body)
+
+
 class Field:
-    """Weights (2**BITS, 3) and transitions (3, 3); tag order O, B, I."""
+    """Weights (2**BITS, 3), transitions (3, 3) and what "outside" is raised by; tag order O, B, I."""
 
-    def __init__(self, weights: np.ndarray, moves: np.ndarray):
-        self.weights, self.moves = weights, moves
+    def __init__(self, weights: np.ndarray, moves: np.ndarray, bias: float = 0.0):
+        self.weights, self.moves, self.bias = weights, moves, bias
 
     def emissions(self, features: np.ndarray) -> np.ndarray:
         out = np.zeros((features.shape[1], 3), np.float32)
         for f in features:
             out += self.weights[f]
+        out[:, O] += self.bias
         return out
 
     def tags(self, e: np.ndarray, chain: np.ndarray) -> np.ndarray:
@@ -259,64 +344,139 @@ def train(feats: np.ndarray, labels: np.ndarray) -> Field:
     return Field(weights.astype(np.float32), np.where(shut, -np.inf, moves))
 
 
+def calibrate(field: Field, feats: np.ndarray, labels: np.ndarray) -> Field:
+    """Raise "outside" until at most MAX_FALSE of these chains without a secret get a span."""
+    chain = np.nonzero(labels >= 0)[0]
+    flat = feats[:, labels >= 0]
+    while len(chain) and field.bias < 16:
+        false = len(np.unique(chain[field.tags(field.emissions(flat), chain) != O]))
+        if false <= MAX_FALSE * len(labels):
+            break
+        field.bias += 0.5
+    return field
+
+
+def chains(texts: list[str], plain: list[bool], classes: np.ndarray, rounds: int) -> list[tuple[int, bytes, bytes]]:
+    """(kind, feature numbers, tags) of the training chains of some texts."""
+    tok = Tokens(texts, classes)
+    if not len(tok.start):
+        return []
+    rows, more, origin = [], [], []
+    label, feats = np.zeros(len(tok.start), np.int8), tok.features()
+
+    def mark(tokens: Tokens, tags: np.ndarray, i: int, s: int, e: int) -> None:
+        a, b = np.searchsorted(tokens.end, tokens.base[i] + s, "right"), np.searchsorted(tokens.start, tokens.base[i] + e)
+        tags[a:b] = I
+        tags[a:a + (b > a)] = B
+
+    def add(kind: int, x: np.ndarray, y: np.ndarray) -> None:
+        at = int(np.argmax(y == B))   # the window holds the first secret of the chain
+        part = slice(max(0, at - WINDOW // 2), max(0, at - WINDOW // 2) + WINDOW)
+        rows.append((kind, x[:, part].astype(np.uint16).tobytes(), y[part].tobytes()))
+
+    for i, text in enumerate(texts):
+        spans = base_spans(text)
+        for k, (s, e) in enumerate(values(text, spans)):
+            mark(tok, label, i, s, e)
+            if k < VARIED:
+                before, after = (re.sub(r"[\n.!?]", " ", x) for x in
+                                 (text[max(0, spans[k][0] - CONTEXT):spans[k][0]], text[e:e + CONTEXT]))
+                seed = zlib.crc32(f"{k} {text[s:e]} {before}".encode("utf-8", "replace"))
+                found = [x for r in range(rounds) for x in changed(before, text[s:e], after, seed + r)]
+                more += found
+                origin += [i] * len(found)
+    heads = np.flatnonzero(np.concatenate(([True], tok.chain[1:] != tok.chain[:-1])))
+    stops = np.append(heads[1:], len(label))
+    secret = np.unique(np.searchsorted(heads, np.flatnonzero(label == B), side="right") - 1)
+    outside = np.setdiff1d(np.arange(len(heads)), secret)[::37]
+    for c in secret.tolist():
+        add(MATCH, feats[:, heads[c]:stops[c]], label[heads[c]:stops[c]])
+    for c in outside[np.array(plain, bool)[tok.text[heads[outside]]]].tolist():
+        add(PLAIN, feats[:, heads[c]:stops[c]], label[heads[c]:stops[c]])
+    if more:
+        files = np.zeros(len(texts), np.int64)
+        files[tok.text] = tok.file
+        tok = Tokens([m[1] for m in more], classes)
+        tok.file = np.maximum(files[np.array(origin)], 1)[tok.text]   # as in the whole text, with a mixed token
+        label, feats = np.zeros(len(tok.start), np.int8), tok.features()
+        bounds = np.searchsorted(tok.text, np.arange(len(more) + 1))
+        for i, (kind, _, s, e) in enumerate(more):
+            a, b = bounds[i], bounds[i + 1]
+            if a == b:
+                continue
+            mark(tok, label, i, s, e)
+            if kind == CHANGED:
+                add(kind, feats[:, a:b], label[a:b])
+            else:   # the window of a secret at that place, and outside throughout
+                at = a + max(0, int(np.argmax(label[a:b] == B)) - WINDOW // 2)
+                add(kind, feats[:, at:b], np.zeros(b - at, np.int8))
+    return rows
+
+
 def fit(docs: DataFrame, id_col: str, text_col: str) -> Field | None:
-    """Field from windows around fixed matches and from windows without one, of bounded samples."""
+    """Field from chains with a fixed match, changed ones and chains without one, of bounded samples.
+
+    Two reads of the table: one counts the documents with a match, so that rare
+    matches are found wherever they are, the other one cuts the chains.
+    """
     classes = character_classes()
 
-    def holding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = held = 0
         for batch in batches:
             texts = batch.column(0).to_pylist()
-            yield batch.filter(pa.array([bool(t and values(t, base_spans(t))) for t in texts], pa.bool_()))
+            rows += len(texts)
+            held += sum(bool(t and base_spans(t)) for t in texts)
+        yield pa.RecordBatch.from_arrays([pa.array([rows]), pa.array([held])], ["n", "held"])
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            texts, plain, teach = ([x or empty for x in c.to_pylist()] for c, empty in zip(batch.columns, ("", False, False)))
+            used = [i for i, t in enumerate(texts) if plain[i] or teach[i] and base_spans(t)]
+            texts, plain = [texts[i] for i in used], [plain[i] for i in used]
             rows = []
-            texts = [t or "" for t in batch.column(0).to_pylist()]
             for a, b in slices(texts, SLICE):
-                tok = Tokens(texts[a:b], classes)
-                if not len(tok.start):
-                    continue
-                label, feats = np.zeros(len(tok.start), np.int8), tok.features()
-                for i, text in enumerate(texts[a:b]):
-                    for s, e in values(text, base_spans(text)):
-                        inside = np.flatnonzero((tok.end > tok.base[i] + s) & (tok.start < tok.base[i] + e))
-                        label[inside], label[inside[:1]] = I, B
-                heads = np.flatnonzero(np.concatenate(([True], tok.chain[1:] != tok.chain[:-1])))
-                secret = np.unique(np.searchsorted(heads, np.flatnonzero(label == B), side="right") - 1)
-                plain = np.setdiff1d(np.arange(len(heads)), secret)
-                for c, kind in [*((c, 1) for c in secret), *((c, 0) for c in plain[::37])]:
-                    a0, b0 = heads[c], heads[c + 1] if c + 1 < len(heads) else len(label)
-                    if kind:   # the window holds the first secret of the chain
-                        at = a0 + int(np.argmax(label[a0:b0] == B))
-                        a0 = max(a0, at - WINDOW // 2)
-                    b0 = min(b0, a0 + WINDOW)
-                    rows.append((int(kind), feats[:, a0:b0].astype(np.uint16).tobytes(), label[a0:b0].tobytes()))
+                rows += chains(texts[a:b], plain[a:b], classes, rounds)
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()),
                                               pa.array([r[1] for r in rows], pa.binary()),
                                               pa.array([r[2] for r in rows], pa.binary())], ["kind", "x", "y"])
 
-    rows = docs.select(F.col(id_col).alias("k"), F.col(text_col).cast("string").alias("text"))
-    # Rare matches are searched for in every document, and only then is a share of their documents drawn.
-    matched = rows.select("text").mapInArrow(holding, "text string").count()
-    if not matched:
+    rows = docs.select(F.col(id_col).cast("string").alias("k"), F.col(text_col).cast("string").alias("text"))
+    size, held = rows.select("text").mapInArrow(counted, "n long, held long").agg(F.sum("n"), F.sum("held")).first()
+    if not held:
         return None
-    # The documents are drawn before the patterns run again, on the drawn ones alone.
-    secret = rows.filter(drawn(F.col("k"), MAX_TRAIN, matched)).select("text").mapInArrow(holding, "text string")
-    if matched > MAX_TRAIN and secret.isEmpty():   # shared or null identifiers
-        secret = rows.select("text").mapInArrow(holding, "text string").orderBy(F.xxhash64("text"), "text").limit(MAX_TRAIN)
+    rounds = min(ROUNDS, max(1, MAX_CHAINS // held))
+    # Drawn by identifier and text, so rows that share an identifier are told apart.
+    key = F.concat_ws(" ", "k", F.xxhash64("text").cast("string"))
+
+    def sampled(share: bool) -> DataFrame:
+        plain = drawn(key, MAX_TRAIN, size) if share else F.lit(True)
+        teach = drawn(key, MAX_TRAIN, held) if share else F.lit(True)
+        picked = rows.select("text", plain.alias("plain"), teach.alias("teach")).filter("plain or teach")
+        # Equal chains are one, so copies of a text add nothing; few partitions, so that few candidates reach the driver.
+        return written(picked.mapInArrow(windows, "kind int, x binary, y binary").distinct(), "chains")
+
+    found = sampled(True)
+    if found.filter(F.col("kind") == MATCH).isEmpty():   # few distinct rows, none of them drawn
+        found = sampled(False)
     got = []
-    for kind, sample in ((0, bounded_sample(rows, F.col("k"), MAX_TRAIN).select("text")), (1, secret)):
-        found = sample.mapInArrow(windows, "kind int, x binary, y binary")
-        got += found.filter(F.col("kind") == kind).orderBy(F.xxhash64("x", "y"), "x", "y").limit(MAX_CHAINS).collect()
-    if not any(r["kind"] for r in got):
+    for kind in (PLAIN, MATCH, CHANGED, NONE):
+        few = found.filter(F.col("kind") == kind).withColumn("h", F.xxhash64("x", "y"))
+        n = few.count()
+        # Twice the share by hash, then exactly the smallest ones.
+        few = few.filter(F.col("h") < F.lit(MAX_CHAINS * 2**65 // n - 2**63)) if n > 4 * MAX_CHAINS else few
+        got += few.coalesce(8).orderBy("h", "x", "y").limit(MAX_CHAINS).collect()
+    if not any(r["kind"] == MATCH for r in got):
         return None
+    kinds = np.array([r["kind"] for r in got])
     labels = np.full((len(got), WINDOW), -1, np.int8)
     feats = np.zeros((7, len(got), WINDOW), np.int64)
     for i, r in enumerate(got):
         y = np.frombuffer(r["y"], np.int8)
         labels[i, :len(y)] = y
         feats[:, i, :len(y)] = np.frombuffer(r["x"], np.uint16).reshape(7, len(y))
-    return train(feats, labels)
+    held_out = (kinds == PLAIN) & (np.arange(len(got)) % 4 == 0)
+    return calibrate(train(feats[:, ~held_out], labels[~held_out]), feats[:, held_out], labels[held_out])
 
 
 def find(texts: list[str], field: Field | None, classes: np.ndarray) -> list[list[tuple[int, int, int]]]:

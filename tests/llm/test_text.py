@@ -334,6 +334,38 @@ def test_secrets_rare_matches_teach_the_field(spark, monkeypatch):
     assert got[20_000]["n_added"] == 1 and got[0]["n_assign"] == 1 and got[1]["spans"] == ""
 
 
+def test_field_finds_secrets_that_no_pattern_covers(spark):
+    """The field of the given table, on values drawn here: recall by kind, and nothing in clean sentences."""
+    field = secrets.fit(spark.read.parquet(f"{MED}/documents.parquet"), "doc_id", "text")
+    classes, rng = secrets.character_classes(), random.Random(9)
+    value = lambda n: "".join(rng.choice(secrets.ALNUM[:26]) + rng.choice("0123456789ABCDEFGH") for _ in range(n // 2)) + "7x"
+    kinds = {
+        "pwd": lambda: f"We met. pwd: {value(14)}",
+        "bearer": lambda: f"Authorization: Bearer {value(32)}",
+        "prefix": lambda: f"for the build we used ghp_{value(36)} and then went on",
+        "live": lambda: f"the key sk_live_{value(24)} is in use",
+        "prose": lambda: f"My password is {value(14)} and please keep it",
+        "uses": lambda: f"the client_secret uses {value(24)} since May"}
+    for name, text in kinds.items():
+        texts = [text() for _ in range(40)]
+        assert not any(secrets.base_spans(t) for t in texts)
+        found = [[t[a:b] for a, k, b in s] for t, s in zip(texts, secrets.find(texts, field, classes))]
+        hit = sum(any(len(x) >= 14 for x in f) for f in found)
+        assert hit >= 30, (name, hit)
+    clean = ["A clean text about passwords and tokens.", "The password is required for login.", "The secret of success is patience.",
+             "Call 555-123-4567 on 2024-05-01T12:30 or write to name19@mail2.example.com.", "The token ring was a network.",
+             "see getUserById2 in user_account_table1 v1.2.3", "Pass the salt, and login tomorrow.", ""]
+    assert not any(secrets.find(clean, field, classes))
+
+
+def test_secret_training_is_bounded_and_repeats(spark):
+    """Rows that share an identifier, equal rows and null identifiers teach as well; two fits are equal."""
+    rows = [(None, f"token = {'a1B2' * 5}{i % 3}") for i in range(30)] + [(7, None), (7, ""), (7, "Nothing is here. And that is all.")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    one, two = (secrets.fit(d, "doc_id", "text") for d in (docs, docs.repartition(5)))
+    assert np.array_equal(one.weights, two.weights) and np.array_equal(one.moves, two.moves)
+
+
 def test_field_decodes_like_a_full_search():
     rng = np.random.default_rng(8)
     moves = rng.normal(size=(3, 3))
