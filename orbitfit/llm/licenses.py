@@ -5,10 +5,12 @@ comment marks; overlapping windows of ``WINDOW`` words of them are scored, and s
 single line. A sparse logistic regression over the distinct word 1-, 2-
 and 3-grams that occur in the licence templates gives each paragraph a
 probability per licence family and for "unknown". It is trained on the
-templates (whole, and with single words left out), on sentences that speak of
-licences without granting one, and on a bounded sample of the table's own
-paragraphs (``MAX_PLAIN``) as unknown. The cut above which a family is believed is
-calibrated on a part of the unknown paragraphs that training does not see. A
+templates (whole, and with single words left out). Unknown are sentences that speak of
+licences without granting one, the templates denied ("not licensed under ...") or with
+another licence's name (``denied_or_foreign``), and, of a bounded sample of the
+table (``MAX_PLAIN``), the lines without an anchor and those with one that hold under
+``CONTAINED`` of every template. The cut above which a family is believed is
+calibrated on a part of the unknown sentences and lines that training does not see. A
 prediction counts only if the paragraph also holds at least ``CONTAINED`` of the
 word pairs of one of that family's templates.
 
@@ -20,8 +22,8 @@ and sums per paragraph, in DataFrame functions only; fitting uses Spark's own
 logistic regression.
 
 Cases: null and empty texts have no licence; texts of any length are scanned
-whole; repeated rows get equal results, and rows that share an identifier share
-their licences; a null identifier never has one; an empty table gives an empty
+whole; repeated rows get equal results; rows that share an identifier, or have
+none, keep each their own licences; an empty table gives an empty
 result; other columns are not looked at.
 """
 
@@ -87,6 +89,31 @@ PLAIN = (
     "You may not use this entrance.", "The software licensing market grew by ten percent.",
     "Under the terms of the agreement the work is finished.", "The city may license street vendors under the new law.",
 )
+# Names in the templates, and names of other licences that take their place in unknown sentences.
+NAMES = ("GNU Lesser General Public", "GNU General Public", "Apache", "MIT", "BSD 3-Clause", "Mozilla Public",
+         "Creative Commons Attribution-ShareAlike", "Creative Commons Attribution-NonCommercial",
+         "Creative Commons Attribution", "CC BY-SA", "CC BY-NC", "CC BY")
+FOREIGN = ("Artistic", "Eclipse Public", "Boost Software", "Microsoft Public", "Academic Free", "Open Software", "PostgreSQL",
+           "SIL Open Font", "European Union Public", "Common Development", "zlib", "Example Corporation Commercial")
+DENIALS = ("not", "never", "no longer")
+
+
+def denied_or_foreign() -> list[str]:
+    """Templates that are denied, or speak of another licence: sentences of the unknown class."""
+    out = []
+    for _, text in TEMPLATES:
+        low = text.lower()
+        for verb in ("licensed under", "released under", "subject to"):
+            if verb in low:
+                out += [low.replace(verb, f"{d} {verb}", 1) for d in DENIALS]
+                rest = low.split(verb, 1)[1]
+                out += [f"we {d} {verb.replace('d ', ' ', 1)} it{rest}" for d in ("did not", "never", "will not")]
+                out += [f"we {d} {act} it under{rest}" for d in ("did not", "do not") for act in ("release", "license", "publish")]
+                out += [f"it is {d} {act} under{rest}" for d in DENIALS for act in ("released", "licensed", "available")]
+        name = next((n.lower() for n in NAMES if n.lower() in low), None)
+        if name and "spdx" not in low:
+            out += [low.replace(name, f.lower(), 1) for f in FOREIGN]
+    return sorted(set(out))
 
 
 def lowered(text: Column) -> Column:
@@ -115,14 +142,18 @@ def features(w: Column) -> Column:
     return F.array_distinct(F.concat(w, grams(w, 2), grams(w, 3)))
 
 
-def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, low, row) of the texts with a word of an anchor, written, so that row numbers are the same at every read."""
+    return written(docs.select(F.col(id_col).alias("id"), lowered(F.col(text_col)).alias("low"))
+                   .filter(anchored(F.col("low"), ANCHOR_WORDS)).withColumn("row", F.monotonically_increasing_id()), "anchored")
+
+
+def paragraphs(rows: DataFrame) -> DataFrame:
     """(row, id, part, place, alone, w): words of single lines and of windows of paragraphs that hold an anchor.
 
-    ``place`` is the line, or the first line of the paragraph; ``part`` is the paragraph's number in the row.
+    ``rows`` are those of ``numbered``. ``place`` is the line, or the first line of the paragraph; ``part`` is
+    the paragraph's number in the row.
     """
-    # The row number must not change between the reads of this table.
-    rows = written(docs.select(F.col(id_col).alias("id"), lowered(F.col(text_col)).alias("low"))
-                   .filter(anchored(F.col("low"), ANCHOR_WORDS)).withColumn("row", F.monotonically_increasing_id()), "anchored")
     # Each line ends with a mark that holds its number; a line without a word ends a paragraph.
     lines = F.split(F.replace(F.col("low"), F.lit("\x01"), F.lit(" ")), "\n")
     marked = F.transform(lines, lambda t, i: F.when(F.regexp_replace(t, COMMENT, "").rlike("[a-z0-9]"), F.concat(t, F.lit("\x01"), i.cast("string"))).otherwise(""))
@@ -168,12 +199,27 @@ def scored(found: DataFrame, model: Model) -> DataFrame:
     return sums.select("key", best["family"].alias("family"), (1 / total).alias("probability"))
 
 
+def containment(lines: DataFrame) -> DataFrame:
+    """(key, family, contained): the largest share of the word pairs of a template of the family that a row (key, w) holds."""
+    pairs = F.array_distinct(grams(words(F.col("low")), 2))
+    templates = (lines.sparkSession.createDataFrame([(k, f, t.lower()) for k, (f, t) in enumerate(TEMPLATES)],
+                                                    "template int, family string, low string")
+                 .select("template", "family", pairs.alias("pairs")).select(
+                     "template", "family", F.size("pairs").alias("of"), F.explode("pairs").alias("pair")))
+    # Distinct pairs of a row against the bounded template table.
+    return (lines.select("key", F.explode(F.array_distinct(grams(F.col("w"), 2))).alias("pair"))
+            .join(F.broadcast(templates), "pair").groupBy("key", "family", "template", "of").count()
+            .groupBy("key", "family").agg(F.max(F.col("count") / F.col("of")).alias("contained")))
+
+
 def fit(docs: DataFrame, id_col: str, text_col: str) -> Model:
     spark = docs.sparkSession
-    templates = spark.createDataFrame([(f, t.lower(), 0) for f, t in TEMPLATES]
-                                      + [(UNKNOWN, t.lower(), 0) for t in PLAIN], "family string, low string, part int")
+    part = F.pmod(F.xxhash64("low", F.lit("part")), F.lit(4)).cast("int")
+    templates = spark.createDataFrame([(f, t.lower(), 0) for f, t in TEMPLATES] + [(UNKNOWN, t.lower(), 0) for t in PLAIN]
+                                      + [(UNKNOWN, t, 1) for t in denied_or_foreign()], "family string, low string, made int")
     w = words(F.col("low"))
-    shaped = templates.select("family", "part", w.alias("w"))
+    shaped = written(templates.select("family", "made", F.when(F.col("made") == 1, part).otherwise(0).alias("part"), w.alias("w")), "shaped")
+    made, shaped = shaped.filter("made = 1").drop("made"), shaped.filter("made = 0").drop("made")
     # Each template also with one word left out, in turn.
     left_out = shaped.filter(F.size("w") > 3).select("family", "part", F.explode(F.transform(
         F.sequence(F.lit(0), F.size("w") - 1),
@@ -181,19 +227,25 @@ def fit(docs: DataFrame, id_col: str, text_col: str) -> Model:
     sample = bounded_sample(docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("text")).filter("text is not null"),
                             F.col("k"), MAX_PLAIN)
     # Written, so that no later filter repeats the cutting into words per gram.
-    plain = written(sample.select(F.explode(F.split(lowered(F.col("text")), "\n")).alias("low"))
-             .filter(~anchored(F.col("low"))).distinct()
-             .select(F.lit(UNKNOWN).alias("family"),
-                     F.pmod(F.xxhash64("low", F.lit("part")), F.lit(4)).cast("int").alias("part"), words(F.col("low")).alias("w")), "plain")
+    lines = written(sample.select(F.explode(F.split(lowered(F.col("text")), "\n")).alias("low")).distinct().select(
+        F.lit(UNKNOWN).alias("family"), part.alias("part"), words(F.col("low")).alias("w"), anchored(F.col("low")).alias("named"),
+        F.xxhash64("low").alias("key")), "plain")
+    granting = containment(lines.filter("named")).filter(F.col("contained") >= CONTAINED).select("key").distinct()
+    plain = lines.filter("not named").drop("key", "named").unionByName(
+        lines.filter("named").join(granting, "key", "left_anti").drop("key", "named"))
+    # Grams of the templates, and those that tell denied and foreign sentences from them.
     known = {r[0] for r in shaped.filter(F.col("family") != UNKNOWN).select(F.explode(features(F.col("w")))).distinct().collect()}
+    known |= {r[0] for r in made.filter("part <> 3").select(F.explode(features(F.col("w")))).distinct().collect()}
+    known -= {"not", "no", "did", "it"}   # only together with a neighbour: long notices hold them as well
     vocabulary = F.array(*[F.lit(g) for g in sorted(known)])
     # Of the table's paragraphs only their grams that templates have matter; equal sets are one row.
     plain = (plain.select("family", "part", F.array_sort(F.array_intersect(features(F.col("w")), vocabulary)).alias("x"))
              .distinct())
-    rows = written(shaped.unionByName(left_out).select("family", "part", features(F.col("w")).alias("x"))
+    rows = written(shaped.unionByName(left_out).unionByName(made)
+                   .select("family", "part", F.array_intersect(features(F.col("w")), vocabulary).alias("x"))
                    .unionByName(plain), "training")
     vectors = CountVectorizer(inputCol="x", outputCol="v", binary=True, vocabSize=1 << 16)
-    vectors = vectors.fit(rows.filter(F.col("family") != UNKNOWN))
+    vectors = vectors.fit(rows.filter("part <> 3"))
     order = sorted({f for f, _ in TEMPLATES}) + [UNKNOWN]
     label = F.create_map(*[x for k, f in enumerate(order) for x in (F.lit(f), F.lit(float(k)))])
     weight = F.when(F.col("family") == UNKNOWN, 0.25).otherwise(1.0)
@@ -210,38 +262,38 @@ def fit(docs: DataFrame, id_col: str, text_col: str) -> Model:
     return model
 
 
-def scan_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    model: Model | None = None) -> DataFrame:
-    """(id, place, family, probability, contained) of the notices with a confirmed licence; place counts lines from 0."""
-    spark = docs.sparkSession
-    model = model or fit(docs, id_col, text_col)
-    lines = written(paragraphs(docs, id_col, text_col).withColumn("key", F.monotonically_increasing_id()), "paragraphs")
+def notices(rows: DataFrame, model: Model) -> DataFrame:
+    """(row, id, place, family, probability, contained) of the confirmed notices of ``numbered`` rows."""
+    lines = written(paragraphs(rows).withColumn("key", F.monotonically_increasing_id()), "paragraphs")
     best = scored(lines.select("key", features(F.col("w")).alias("x")), model).filter((F.col("family") != UNKNOWN) & (F.col("probability") >= model.cut))
-    pairs = F.array_distinct(grams(words(F.col("low")), 2))
-    templates = (spark.createDataFrame([(k, f, t.lower()) for k, (f, t) in enumerate(TEMPLATES)],
-                                       "template int, family string, low string")
-                 .select("template", "family", pairs.alias("pairs")).select(
-                     "template", "family", F.size("pairs").alias("of"), F.explode("pairs").alias("pair")))
-    # Distinct pairs of a line against the bounded template table.
-    held = (lines.select("key", F.explode(F.array_distinct(grams(F.col("w"), 2))).alias("pair"))
-            .join(F.broadcast(templates), "pair").groupBy("key", "family", "template", "of").count()
-            .groupBy("key", "family").agg(F.max(F.col("count") / F.col("of")).alias("contained")))
-    confirmed = best.join(held, ["key", "family"]).filter(F.col("contained") >= CONTAINED)
+    confirmed = best.join(containment(lines), ["key", "family"]).filter(F.col("contained") >= CONTAINED)
     confirmed = written(confirmed.join(lines.select("key", "row", "id", "part", "place", "alone"), "key"), "confirmed")
     alone = confirmed.filter("alone")
     # The windows of a paragraph overlap: one row for those of a family that no line alone confirms.
     wrapped = (confirmed.filter("not alone").join(alone.select("row", "part", "family"), ["row", "part", "family"], "left_anti")
                .groupBy("row", "part", "family", "id", "place")
                .agg(F.max("probability").alias("probability"), F.max("contained").alias("contained")))
-    columns = [F.col("id").alias(id_col), "place", "family", "probability", "contained"]
+    columns = ["row", "id", "place", "family", "probability", "contained"]
     return alone.select(*columns).unionByName(wrapped.select(*columns))
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    model: Model | None = None) -> DataFrame:
+    """(id, place, family, probability, contained) of the notices with a confirmed licence; place counts lines from 0."""
+    found = notices(numbered(docs, id_col, text_col), model or fit(docs, id_col, text_col))
+    return found.select(F.col("id").alias(id_col), "place", "family", "probability", "contained")
+
+
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: Model | None = None) -> DataFrame:
     """Per row: id, families (distinct, sorted, comma-joined; empty if none), n_lines, probability (largest)."""
-    found = scan_paragraphs(docs, id_col, text_col).groupBy(F.col(id_col).alias("__id")).agg(
+    rows = numbered(docs, id_col, text_col)
+    found = notices(rows, model or fit(docs, id_col, text_col)).groupBy("row").agg(
         F.concat_ws(",", F.array_sort(F.collect_set("family"))).alias("families"),   # at most one per family
         F.count("*").alias("n_lines"), F.max("probability").alias("probability"))
-    return docs.select(id_col).join(found, F.col(id_col) == F.col("__id"), "left").select(
+    named = rows.select("row", F.col("id").alias(id_col)).join(found, "row", "left").select(
         id_col, F.coalesce("families", F.lit("")).alias("families"),
         F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"), "probability")
+    # The other texts hold no anchor: no row of theirs is joined.
+    other = docs.filter(~anchored(lowered(F.col(text_col)), ANCHOR_WORDS)).select(
+        id_col, F.lit("").alias("families"), F.lit(0).cast("long").alias("n_lines"), F.lit(None).cast("double").alias("probability"))
+    return named.unionByName(other)

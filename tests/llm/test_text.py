@@ -162,6 +162,24 @@ def test_licences(spark, nothing, edges):
     assert {(3, 0, "MIT"), (3, 1, "Apache-2.0")} <= found and not any(i == 1 for i, _, _ in found)
 
 
+def test_licences_denied_foreign_and_by_row(spark):
+    model = licenses.fit(spark.read.parquet(f"{SF}/documents.parquet"), "doc_id", "text")
+    unknown = ["This work is licensed under the Artistic License version 2.",
+               "This work is not licensed under the terms of the Apache License, Version 2.0.",
+               "We did not release it under the MIT License.", "It was never released under the BSD 3-Clause License.",
+               "This work is licensed under the Eclipse Public License, version 2.",
+               "This project is no longer licensed under the terms of the MIT license."]
+    known = {"This work is licensed under the GNU General Public License, version 2.": "GPL-2.0",
+             "Licensed under the Apache License, Version 2.0.": "Apache-2.0", "Released under the MIT License.": "MIT",
+             "Released under the BSD 3-Clause License.": "BSD", "Licensed under CC BY-SA 4.0.": "CC-BY-SA"}
+    docs = spark.createDataFrame([(None, t) for t in [*unknown, *known, "No word of it.", None, ""]] + [(1, unknown[0]), (1, [*known][0])],
+                                 "doc_id long, text string")
+    got = licenses.scan(docs.repartition(3), model=model).collect()
+    assert len(got) == docs.count()
+    assert sorted(r["families"] for r in got if r["doc_id"] is None) == sorted([*known.values()] + [""] * (len(unknown) + 3))
+    assert sorted(r["families"] for r in got if r["doc_id"] == 1) == ["", "GPL-2.0"]
+
+
 def test_licences_of_wrapped_texts(spark):
     """Standard texts at about 80 columns, bare and in comments."""
     mit = """Permission is hereby granted, free of charge, to any person obtaining a copy
