@@ -2,10 +2,10 @@
 
 A text gets a leading space, spaces become the piece mark, and is cut into
 words before each mark (no piece has a mark behind another character). Each
-distinct word of a batch is encoded once. Words of equal length advance
-together, one end position at a time: the hashes of all substrings that end
-there probe the sorted piece keys, the pieces found compete, and the maximum
-is stored as back pointer.
+distinct word of a batch is encoded once. Words advance together, the longest
+first so that those still going on are a prefix, one end position at a time: the
+hashes of all substrings that end there probe the sorted piece keys at once, the
+pieces found compete, and the maximum is stored as back pointer.
 
 The models at hand are byte-pair models: their encoding is what greedy merging
 by score gives, which a best sum of scores would not reproduce. It has an
@@ -17,7 +17,7 @@ pieces stay apart follows from the merges at their facing edges (an edge
 symbol lives from the rank that formed it to the rank that consumed it, and a
 merge across is possible if its rank lies before both ends). This rule
 needs pieces whose merges run in rank order; words with any other piece, or
-over ``LONG`` characters or of a length that few words of the batch share
+over ``LONG`` characters or of a length that few words of the batch reach
 (``FEW``), are merged greedily with a heap instead. Results are
 those of the public library on the same model file.
 
@@ -36,9 +36,11 @@ import sys
 import types
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,9 +49,10 @@ from orbitfit.llm.base import slices
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 LONG = 200            # longer words are merged with a heap
-FEW = 24              # so are words of a length that fewer new words share
-MEMO = 400_000        # distinct words a worker remembers
-SLICE = 2_000_000     # characters encoded at once
+FEW = 24              # so are words of a length that fewer new words reach
+TOGETHER = 8192       # words that advance together
+MEMO = 250_000        # distinct words a worker remembers
+SLICE = 1_000_000     # characters encoded at once
 BASE = 0x9E3779B97F4A7C15
 NEVER = 1 << 30
 PAIRS = 20            # log2 slots of the pair memo
@@ -252,31 +255,35 @@ class Encoder:
         return out
 
     def viterbi(self, words: list[str]) -> list:
-        """Piece ids of words of one length, advancing together; None where the rule does not apply."""
-        n, size = len(words), len(words[0])
-        points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, size)
-        h = np.zeros((size + 1, n), np.uint64)
+        """Piece ids of words, the longest first, advancing together; None where the rule does not apply."""
+        n, top = len(words), len(words[0])
+        sizes = np.fromiter(map(len, words), np.int64, n)
+        reach = np.searchsorted(-sizes, -np.arange(top + 1), side="right")   # words of at least so many characters
+        points = np.zeros((n, top), np.uint32)
+        points[np.arange(top) < sizes[:, None]] = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        h = np.zeros((top + 1, n), np.uint64)
         with np.errstate(over="ignore"):
-            for e in range(size):
-                h[e + 1] = h[e] * np.uint64(BASE) + points[:, e] + np.uint64(1)
-            last, back = np.full((size + 1, n), -1, np.int32), np.zeros((size + 1, n), np.int16)
+            for e in range(top):
+                m = reach[e + 1]
+                h[e + 1, :m] = h[e, :m] * np.uint64(BASE) + points[:m, e] + np.uint64(1)
+            last, back = np.full((top + 1, n), -1, np.int32), np.zeros((top + 1, n), np.int16)
             failed = np.zeros(n, bool)
-            for e in range(1, size + 1):
-                score = np.zeros(n, np.int16)
-                for k in range(1, min(e, self.p.longest) + 1):
-                    ids = self.p.find(h[e] - h[e - k] * POWERS[k])
-                    rows = np.arange(n) if k == 1 else np.flatnonzero(ids >= 0)
-                    if k > 1:
-                        rows = rows[self.p.made[ids[rows]]]
-                    if e > k:
-                        rows = rows[self.stay(last[e - k][rows], ids[rows])]
-                    # 1 for a piece that stays apart; the maximum and where it came from.
-                    won = rows[score[rows] < 1]
-                    score[won] = 1
-                    last[e, won], back[e, won] = ids[won], k
-                failed |= score == 0
-                back[e, score == 0] = 1
-        pos = np.full(n, size)
+            for e in range(1, top + 1):
+                m = reach[e]
+                ks = np.arange(min(e, self.p.longest), 0, -1)
+                ids = self.p.find((h[e, :m] - h[e - ks, :m] * POWERS[ks][:, None]).ravel())
+                fits = (ids >= 0) & self.p.made[ids]
+                fits[-m:] = True                             # one character, with a piece or without
+                at = np.flatnonzero(fits)
+                k, row = ks[at // m], at % m
+                # 1 for a piece that stays apart, else 0; the shortest that scores comes last and is kept.
+                won = self.stay(last[e - k, row], ids[at])
+                row = row[won]
+                last[e, row], back[e, row] = ids[at[won]], k[won]
+                none = np.flatnonzero(back[e, :m] == 0)
+                failed[none] = True
+                back[e, none] = 1
+        pos = sizes.copy()
         path = []
         while True:
             on = np.flatnonzero(pos > 0)
@@ -312,19 +319,19 @@ class Encoder:
         """Encode new words (without their mark) and remember them."""
         if len(self.code) + len(words) > MEMO:
             self.forget()
-        groups: dict[int, list[str]] = {}
-        for w in words:
-            groups.setdefault(len(w), []).append(w)
-        done, ids = [], []
-        for size, group in sorted(groups.items()):
-            for i in range(0, len(group), 8192):
-                part = group[i:i + 8192]
-                marked = [MARK + w for w in part]
-                got = self.viterbi(marked) if size < LONG and len(part) >= FEW else [None] * len(part)
-                done += part
-                ids += [g if g is not None else self.greedy(m) for g, m in zip(got, marked)]
+        done = sorted(words, key=len, reverse=True)
+        heaped = next((i for i, w in enumerate(done) if len(w) < LONG), len(done))
+        if len(done) - heaped < FEW:
+            heaped = len(done)
+        else:                                                # lengths that few words reach
+            usual = len(done[heaped + FEW - 1])
+            heaped = next(i for i in range(heaped, len(done)) if len(done[i]) <= usual)
+        ids = [self.greedy(MARK + w) for w in done[:heaped]]
+        for i in range(heaped, len(done), TOGETHER):
+            part = [MARK + w for w in done[i:i + TOGETHER]]
+            ids += [g if g is not None else self.greedy(w) for g, w in zip(self.viterbi(part), part)]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((x for g in ids for x in g), np.int32, int(sizes.sum()))
+        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))
         starts = len(self.pool) + np.concatenate(([0], np.cumsum(sizes)[:-1])) if len(ids) else np.empty(0, np.int64)
         first = len(self.sizes)
         self.code.update(zip(done, range(first, first + len(done))))
@@ -410,15 +417,16 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(pieces, model)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in slices(texts, SLICE):
-                ids, offsets = encoder.encode(texts[a:b])
+            sizes = pc.utf8_length(batch.column(1)).fill_null(0).to_pylist()
+            for a, b in slices([range(n) for n in sizes], SLICE):
+                texts = batch.column(1).slice(a, b - a).to_pylist()
+                ids, offsets = encoder.encode(texts)
                 columns = [batch.column(0).slice(a, b - a), pa.array(np.diff(offsets).astype(np.int32)),
                            pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))]
                 names = [id_col, "n_pieces", "ids"]
                 if check:
                     back = encoder.decode(ids, offsets)
-                    columns.append(pa.array([(t or "").replace(MARK, " ") == d for t, d in zip(texts[a:b], back)]))
+                    columns.append(pa.array([(t or "").replace(MARK, " ") == d for t, d in zip(texts, back)]))
                     names.append("round_trip")
                 yield pa.RecordBatch.from_arrays(columns, names)
 
