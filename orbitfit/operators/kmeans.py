@@ -17,7 +17,7 @@ own cached blocks from the scan.
 Stopping rule: after each iteration the total squared movement of all
 centres is compared with ``tol``; the loop stops once it is ``<= tol`` (at
 least one iteration, centres replaced on the last pass too) or after
-``max_iter`` iterations. An empty cluster keeps its previous centre.
+``max_iter`` iterations, if that is given. An empty cluster keeps its previous centre.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from itertools import zip_longest
+from itertools import count, zip_longest
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -266,7 +266,7 @@ class KMeansModel:
 
 def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] = (),
                init: str | Sequence[Sequence[float]] = "random", tol: float = 0.1,
-               max_iter: int = 100, seed: int = 42, invalid: str = "error",
+               max_iter: int | None = 100, seed: int = 42, invalid: str = "error",
                cache: str = "persist", method: str = "auto",
                spread_input: bool = False) -> KMeansModel:
     """Fit K centres by Lloyd iterations.
@@ -274,7 +274,8 @@ def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] =
     ``init``: ``"random"`` (seeded K-point sample; needs ``keys``),
     ``"k-means++"`` (distance-squared seeding; needs ``keys``) or an explicit
     list of K centres. ``keys`` must identify rows (the seeded uniforms are
-    hashed from them). ``method``: ``"expr"`` (literal-centre column
+    hashed from them). ``max_iter``: None iterates until the fit has converged.
+    ``method``: ``"expr"`` (literal-centre column
     expressions, whole-stage codegen), ``"blocks"`` (NumPy distance blocks in
     ``mapInArrow``), ``"bounds"`` (blocks that carry distance bounds, see
     :mod:`orbitfit.operators.bounds`) or ``"auto"`` (bounds from ``BOUNDS_FROM``
@@ -346,7 +347,7 @@ def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] =
     converged = False
     total_ms = 0
     try:
-        for it in range(1, max_iter + 1):
+        for it in count(1) if max_iter is None else range(1, max_iter + 1):
             t0 = time.perf_counter()
             new, sizes = bounded(centres) if bounded else plain(feats, cols, centres)
             if it == 1:
