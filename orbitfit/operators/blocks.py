@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 PARTIAL_SCHEMA = "cluster int, dim int, s double"
-BLOCK_CELLS = 1 << 18   # row-centre pairs of a block: its size in memory whatever K and d
+BLOCK_CELLS = 1 << 15   # row-centre pairs of a block, small enough for a core's cache whatever K and d
 
 
 def block_rows(k: int) -> int:
@@ -54,6 +54,13 @@ def rows_of(b: pa.RecordBatch, names: Sequence[str]) -> np.ndarray:
     return np.column_stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.float64) for c in names])
 
 
+def add_up(counts: np.ndarray, sums: np.ndarray, cluster: np.ndarray, X: np.ndarray) -> None:
+    """Adds the rows of ``X`` to the sizes and sums of their clusters."""
+    counts += np.bincount(cluster, minlength=len(counts))
+    for j in range(X.shape[1]):
+        sums[:, j] += np.bincount(cluster, weights=X[:, j], minlength=len(counts))
+
+
 def partial_rows(counts: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
     """``(cluster, dim, s)`` of the clusters that hold points; dimension -1 is the count."""
     used, d = np.flatnonzero(counts), sums.shape[1]
@@ -77,11 +84,8 @@ def make_partial_kernel(names: Sequence[str], centres: Sequence[Sequence[float]]
             if n == 0:
                 continue
             X = rows_of(b, names)
-            for lo in range(0, n, block_rows(k)):
-                blk = X[lo:lo + block_rows(k)]
-                idx, _ = nearest_block(blk, C)
-                counts += np.bincount(idx, minlength=k)
-                np.add.at(sums, idx, blk)
+            idx = np.concatenate([nearest_block(X[lo:lo + block_rows(k)], C)[0] for lo in range(0, n, block_rows(k))])
+            add_up(counts, sums, idx, X)
         if counts.any():
             yield partial_rows(counts, sums)
 

@@ -9,9 +9,11 @@ centre (triangle inequality), no other distance is computed. Rounding is allowed
 for by a margin, and a row within it is compared with all centres, so clusters
 and ties (lowest index) are those of the plain step.
 
-The carried columns are written next to the features into a new persisted copy
-each iteration, by the same job that sums up the clusters; the old copy is
-released. Every ``CUT_EVERY`` iterations the copy is a reliable checkpoint in the
+Points travel in blocks, one row for each Arrow batch of the first step: its
+coordinates, clusters and bounds as bytes, so that an iteration moves a few large
+rows instead of every point. Each iteration writes the blocks, and the partial
+sums of its tasks as rows beside them, into a new persisted copy by one Python
+stage; the old copy is released. Every ``CUT_EVERY`` iterations the copy is a reliable checkpoint in the
 shared folder, so that a lost executor repeats few iterations.
 """
 
@@ -25,16 +27,18 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from orbitfit.operators.blocks import PARTIAL_SCHEMA, added_up, block_rows, partial_rows, rows_of
+from orbitfit.operators.blocks import PARTIAL_SCHEMA, add_up, added_up, block_rows, partial_rows, rows_of
 from orbitfit.session import dematerialize, materialize
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CUT_EVERY = 10
 MARGIN = 1e-9     # of the distances compared, far above their rounding
-CARRIED = ("_cluster", "_lower", "_tried")
+CARRIED = ("_points", "_cluster", "_lower")
+STATE_SCHEMA = "_points binary, _cluster binary, _lower binary, " + PARTIAL_SCHEMA
+STATE_ARROW = pa.schema([*((c, pa.binary()) for c in CARRIED),
+                         ("cluster", pa.int32()), ("dim", pa.int32()), ("s", pa.float64())])
 
 
 def squared(X: np.ndarray, C: np.ndarray) -> np.ndarray:
@@ -42,7 +46,8 @@ def squared(X: np.ndarray, C: np.ndarray) -> np.ndarray:
     d2 = np.zeros((len(X), len(C)))
     for j in range(C.shape[1]):
         diff = X[:, j, None] - C[None, :, j]
-        d2 += diff * diff
+        diff *= diff
+        d2 += diff
     return d2
 
 
@@ -88,46 +93,49 @@ def reassign(X: np.ndarray, C: np.ndarray, cluster: np.ndarray | None, lower: np
 
 
 def make_bound_kernel(names: Sequence[str], centres: Sequence[Sequence[float]], moved: Sequence[float] | None):
-    """``mapInArrow`` function: the features with new carried columns."""
+    """``mapInArrow`` function: a row per block of points with its new bounds, then the task's partial sums.
+
+    The first step (``moved`` is None) reads the features, later ones the blocks. The distances
+    computed are summed up as cluster -1.
+    """
     C = np.asarray(centres, np.float64)
     names = list(names)
     moved = None if moved is None else np.asarray(moved, np.float64)
 
-    def kernel(batches):
-        for b in batches:
+    def blocks(b):
+        if moved is None:
             if b.num_rows:
-                carried = [None, None]
-                if moved is not None:
-                    carried = [b.column(c).to_numpy(zero_copy_only=False) for c in CARRIED[:2]]
-                cluster, lower, tried = reassign(rows_of(b, names), C, *carried, moved)
-                yield pa.RecordBatch.from_arrays(
-                    [*(b.column(c) for c in names), pa.array(cluster), pa.array(lower), pa.array(tried)],
-                    names=[*names, *CARRIED])
-
-    return kernel
-
-
-def make_sum_kernel(names: Sequence[str], k: int):
-    """``mapInArrow`` function: partial sums of the clusters, and as cluster -1 the distances computed."""
-    names = list(names)
+                yield rows_of(b, names), None, None
+            return
+        for x, cluster, lower in zip(*(b.column(c) for c in CARRIED)):
+            if x.is_valid:
+                yield (np.frombuffer(x.as_buffer(), np.float64).reshape(-1, C.shape[1]),
+                       np.frombuffer(cluster.as_buffer(), np.int32), np.frombuffer(lower.as_buffer(), np.float64))
 
     def kernel(batches):
-        counts, sums, tried = np.zeros(k), None, 0
+        counts, sums, distances = np.zeros(len(C)), np.zeros(C.shape), 0
         for b in batches:
-            if b.num_rows:
-                X, cluster = rows_of(b, names), b.column(CARRIED[0]).to_numpy(zero_copy_only=False)
-                sums = np.zeros((k, X.shape[1])) if sums is None else sums
-                counts += np.bincount(cluster, minlength=k)
-                np.add.at(sums, cluster, X)
-                tried += int(b.column(CARRIED[2]).to_numpy(zero_copy_only=False).sum())
-        if sums is not None:
-            yield partial_rows(counts, sums)
-            yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([0], pa.int32()),
-                                              pa.array([float(tried)])], names=["cluster", "dim", "s"])
+            for X, cluster, lower in blocks(b):
+                cluster, lower, tried = reassign(X, C, cluster, lower, moved)
+                add_up(counts, sums, cluster, X)
+                distances += int(tried.sum())
+                yield state_rows([[np.ascontiguousarray(c).tobytes()] for c in (X, cluster, lower)], [None] * 3)
+        if counts.any():
+            part = partial_rows(counts, sums)
+            yield state_rows([None] * 3, part.columns)
+            yield state_rows([None] * 3, [[-1], [0], [float(distances)]])
 
     return kernel
 
 
+def state_rows(block: Sequence, partial: Sequence) -> pa.RecordBatch:
+    """Rows of the state: either blocks or partial sums, the other columns null."""
+    n = max(len(c) for c in (*block, *partial) if c is not None)
+    return pa.RecordBatch.from_arrays(
+        [pa.nulls(n, f.type) if c is None else pa.array(c, f.type) if isinstance(c, list) else c
+         for c, f in zip([*block, *partial], STATE_ARROW)], schema=STATE_ARROW)
+
+
 class BoundedSteps:
     """Lloyd steps over ``feats``; each returns new centres and cluster sizes. ``distances`` holds
     the number of distances computed in every step."""
@@ -137,15 +145,12 @@ class BoundedSteps:
         self.kept: tuple[DataFrame, str] | None = None
         self.distances: list[int] = []
         self.moved: list[float] | None = None
-        self.schema = T.StructType([*self.state.schema.fields, T.StructField(CARRIED[0], T.IntegerType()),
-                                    T.StructField(CARRIED[1], T.DoubleType()),
-                                    T.StructField(CARRIED[2], T.LongType())])
 
     def __call__(self, centres: Sequence[Sequence[float]]) -> tuple[list[tuple[float, ...]], list[int]]:
-        new = self.state.mapInArrow(make_bound_kernel(self.names, centres, self.moved), self.schema)
+        new = self.state.mapInArrow(make_bound_kernel(self.names, centres, self.moved), STATE_SCHEMA)
         how = "persist" if (len(self.distances) + 1) % CUT_EVERY else "checkpoint"
         kept = materialize(new, how)
-        partial = kept.mapInArrow(make_sum_kernel(self.names, len(centres)), PARTIAL_SCHEMA)
+        partial = kept.filter("cluster is not null")
         rows = partial.groupBy("cluster", "dim").agg(F.sum("s").alias("s")).collect()
         found, sizes = added_up([r for r in rows if r["cluster"] >= 0], centres)
         self.distances.append(int(sum(r["s"] for r in rows if r["cluster"] < 0)))
