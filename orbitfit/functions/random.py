@@ -12,7 +12,7 @@ an integer N, and return ``(N + 0.5) / 2^52``, a value strictly inside (0, 1).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,12 +21,23 @@ TWO_52 = float(2 ** 52)
 
 
 def hash_uniform(keys: Sequence[str | Column], *salt: int | str | Column) -> Column:
-    parts = [(F.col(k) if isinstance(k, str) else k).cast("string") for k in keys]
-    parts = [F.coalesce(F.replace(F.replace(p, F.lit("\\"), F.lit("\\\\")), F.lit(":"), F.lit("\\c")), F.lit("\\n"))
-             for p in parts]
+    return text_uniform(key_text(keys, *salt))
+
+
+def key_text(keys: Sequence[str | Column], *salt: int | str | Column, numbers: Collection[str] = ()) -> Column:
+    """The text that is hashed; more salt may follow after a colon. ``numbers``: names of keys of number types, whose text has neither a backslash nor a colon to replace."""
+    parts = []
+    for k in keys:
+        p = (F.col(k) if isinstance(k, str) else k).cast("string")
+        if not (isinstance(k, str) and k in numbers):
+            p = F.replace(F.replace(p, F.lit("\\"), F.lit("\\\\")), F.lit(":"), F.lit("\\c"))
+        parts.append(F.coalesce(p, F.lit("\\n")))
     parts += [s.cast("string") if isinstance(s, Column) else F.lit(str(s)) for s in salt]
-    digest = F.md5(F.concat_ws(":", *parts))
-    n = F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint")
+    return F.concat_ws(":", *parts)
+
+
+def text_uniform(text: Column) -> Column:
+    n = F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("bigint")
     return (n.cast("double") + F.lit(0.5)) / F.lit(TWO_52)
 
 

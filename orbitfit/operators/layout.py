@@ -79,6 +79,9 @@ class Cuts:
 
     def __init__(self, keys: Sequence[str]):
         self.keys, self.partitions = list(keys), 1
+        # SQL that never falls along the order and differs for most rows: sorted by first, it settles most
+        # comparisons by Spark's eight-byte prefix, where a key with few values would need the whole rows.
+        self.lead: str | None = None
         self.levels: list[list[Cut]] = []
 
     def placed(self, df: DataFrame) -> DataFrame:
@@ -105,7 +108,7 @@ class Cuts:
 
     def deal(self, df: DataFrame) -> DataFrame:
         """The rows in their partitions, sorted inside."""
-        order = [F.col(f"`{k}`") for k in self.keys]
+        order = [*([F.expr(self.lead)] if self.lead else []), *(F.col(f"`{k}`") for k in self.keys)]
         if not self.levels:
             return df.repartition(1).sortWithinPartitions(*order)
         return (self.placed(df).repartitionById(self.partitions, F.col("_part")).sortWithinPartitions(*order)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orbitfit.functions.random import hash_uniform
+from orbitfit.functions.random import hash_uniform, key_text, text_uniform
 from orbitfit.operators.layout import as_layout, ordered_cuts, sorted_layout
 from orbitfit.operators.linear import normal_stats, step_size
 from orbitfit.operators.scan import advance, epochs_per_pass, layout_partitions, mean_maps
@@ -175,12 +175,15 @@ def local_sgd(df: DataFrame, y: str, phi: Sequence[str], shard: str, order: Sequ
     d, chain = len(phi), _chained(combine)
     # The used columns are projected and persisted once, with the row id that keeps equal keys apart.
     cols = list(dict.fromkeys([shard, *order, y, *phi]))
-    base = materialize(df.select(*cols).withColumn("_tie", F.monotonically_increasing_id()), cache)
+    largest = df.groupBy(shard).count().agg(F.max("count")).first()[0] or 0
+    base = df.select(*cols).withColumn("_tie", F.monotonically_increasing_id())
+    if largest > PERMUTED_ROWS:
+        base = _with_key_text(base, [shard, *order[:1], y, *phi, "_tie"], order, seed)
+    base = materialize(base, cache)
     layout = None
     try:
         stats = normal_stats(base, y, phi)
         parts = layout_partitions(df.sparkSession, stats.n)
-        largest = base.groupBy(shard).count().agg(F.max("count")).first()[0] or 0
         if largest <= PERMUTED_ROWS:
             group = min(epochs_per_pass("sgd", d, parts), max(1, PERMUTED_DOUBLES // max(1, largest)))
             layout = materialize(sorted_layout(base, shard, order, y, phi, stats.n, parts, "_tie", order, True), cache)
@@ -206,15 +209,27 @@ def _permuted_passes(layout: DataFrame, d: int, n_order: int, epochs: int, group
         yield from mean_maps(drawn, "sgd", d, steps, 0.0, parts, chain, permuted=True)
 
 
+def _with_key_text(df: DataFrame, cols: Sequence[str], order: Sequence[str], seed: int) -> DataFrame:
+    """``cols``, and as ``_keys`` the text of the keys and the seed that every epoch hashes with its number."""
+    numbers = [c for c in order if isinstance(df.schema[c].dataType, T.NumericType)]
+    return df.select(*dict.fromkeys(cols), key_text(order, seed, numbers=numbers).alias("_keys"))
+
+
 def _dealt_passes(base: DataFrame, y: str, phi: Sequence[str], shard: str, order: Sequence[str], epochs: int,
                   s0: float, decay: float, seed: int, rows: int, parts: int, chain: bool) -> Iterator[np.ndarray]:
     """Shards too large for a task: every epoch deals the rows anew. Permutations are equally spread, so the
-    cuts counted for the first epoch serve them all."""
+    cuts counted for the first epoch serve them all.
+
+    Only what the pass reads is shuffled. Rows of one place in the permutation have equal keys, or their
+    52-bit hashes collide: the first key tells those apart, the row id the others."""
     cuts = None
     for e in range(1, epochs + 1):
-        keyed = base.withColumn("_perm", permutation_key(order, seed, e))
+        keyed = base.withColumn("_perm", text_uniform(F.concat_ws(":", "_keys", F.lit(str(e))))).drop("_keys")
         if cuts is None:
             cuts = ordered_cuts(keyed, [shard, "_perm"], rows, parts)
-            cuts.keys = [shard, "_perm", *order, "_tie"]
+            cuts.keys = list(dict.fromkeys([shard, "_perm", *order[:1], "_tie"]))
+            if isinstance(base.schema[shard].dataType, T.IntegralType):
+                cuts.lead = (f"if(`{shard}` BETWEEN -1000000000000 AND 1000000000000, "
+                             f"`{shard}` + _perm, cast(`{shard}` AS double))")
         layout = as_layout(cuts.deal(keyed), shard, y, phi)
         yield from mean_maps(layout, "sgd", len(phi), [step_size(s0, decay, e)], 0.0, cuts.partitions, chain)

@@ -54,8 +54,8 @@ METHODS = ("sgd", "heavy_ball", "nesterov")
 # Most partition summaries the driver receives per pass; beyond that they
 # are merged on executors first, this many consecutive ones per group.
 STITCH_FANIN = 1024
-# Rows per partition of a sharded layout (about 0.6 GB of narrow rows).
-ROWS_PER_PARTITION = 8_000_000
+# Rows per partition of a sharded layout (about 0.2 GB of narrow rows, sorted in memory).
+ROWS_PER_PARTITION = 2_000_000
 # Doubles in the maps a task holds at once (32 MB); wide states take their rows
 # in smaller pieces. Beyond MAX_STATE a summary row gets too large.
 BLOCK_DOUBLES = 4_000_000
@@ -64,6 +64,8 @@ MAX_STATE = 256
 DRIVER_DOUBLES = 8_000_000
 # Rows that are advanced one after the other; chunks advance side by side.
 CHUNK = 64
+# Rows that a step takes at once if the bound allows: Arrow batches are smaller.
+GATHERED = 100_000
 
 
 def state_dim(method: str, d: int) -> int:
@@ -133,7 +135,9 @@ def chunk_maps(method: str, y: np.ndarray, P: np.ndarray, starts: np.ndarray, ro
         on = int(np.count_nonzero(length > t))
         at = rows[:, begin[:on] + t].T                       # (chunks, 1 or epochs)
         p = P[at]
-        r = (p[:, :, None, :] @ w[:on])[:, :, 0, :]          # p.w as a row over the starting state
+        r = p[..., :1] * w[:on, :, 0]                        # p.w as a row over the starting state
+        for j in range(1, d):
+            r += p[..., j:j + 1] * w[:on, :, j]
         r[..., -1] -= y[at]
         up = p[..., None] * (double_step * r)[:, :, None, :]
         if v is None:
@@ -162,11 +166,24 @@ def run_maps(method: str, y: np.ndarray, P: np.ndarray, starts: np.ndarray, step
 def pieces(batches, doubles: int):
     """Non-empty slices of the batches whose maps (``doubles`` per row) stay within ``BLOCK_DOUBLES``."""
     rows = max(1, BLOCK_DOUBLES // doubles)
-    for b in batches:
+    for b in gathered(batches, min(rows, GATHERED)):
         for i in range(0, b.num_rows, rows):
             yield b.slice(i, rows)
 
 
+def gathered(batches, rows: int):
+    """Consecutive batches joined until they hold ``rows`` rows."""
+    kept, n = [], 0
+    for b in batches:
+        kept.append(b)
+        n += b.num_rows
+        if n >= rows:
+            yield pa.concat_batches(kept)
+            kept, n = [], 0
+    if n:
+        yield pa.concat_batches(kept)
+
+
 class Summary:
     """Maps of consecutive rows: of the first run, of the last one (if there are two), and the
     sum and number of the runs between."""
