@@ -37,6 +37,7 @@ from orbitfit.operators.bounds import BoundedSteps
 from orbitfit.operators.points import Features, project_array, project_points
 from orbitfit.operators.sampling import sample_by_hash
 from orbitfit.operators.seeding import kmeanspp_init, random_init
+from orbitfit.operators.settled import SettledSteps
 from orbitfit.session import dematerialize, materialize, spread
 
 # Metric names of the timing summary, in the reference's order.
@@ -121,6 +122,7 @@ class KMeansModel:
     log: list[tuple[int, float, int, list[int]]] = field(default_factory=list)
     timings: dict[str, int] = field(default_factory=dict)
     distances: list[int] = field(default_factory=list)   # computed in each iteration, if they were counted
+    passes: int = 0    # iterations that read all points
 
     @property
     def k(self) -> int:
@@ -278,11 +280,13 @@ def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] =
     ``method``: ``"expr"`` (literal-centre column
     expressions, whole-stage codegen), ``"blocks"`` (NumPy distance blocks in
     ``mapInArrow``), ``"bounds"`` (blocks that carry distance bounds, see
-    :mod:`orbitfit.operators.bounds`) or ``"auto"`` (bounds from ``BOUNDS_FROM``
-    centres on, else blocks once ``K * d`` exceeds ``BLOCKS_ABOVE``). ``spread_input``: round-robin a file scan with fewer
+    :mod:`orbitfit.operators.bounds`), ``"settled"`` (blocks, and iterations over the
+    points that can change only, see :mod:`orbitfit.operators.settled`) or ``"auto"`` (bounds from ``BOUNDS_FROM``
+    centres on, else blocks once ``K * d`` exceeds ``BLOCKS_ABOVE``, which are settled ones if
+    ``max_iter`` is None). ``spread_input``: round-robin a file scan with fewer
     splits than cores over all cores before caching (see ``session.spread``).
     """
-    if method not in ("auto", "expr", "blocks", "bounds"):
+    if method not in ("auto", "expr", "blocks", "bounds", "settled"):
         raise ValueError(f"unknown method {method!r}")
     pts, names, cols = points_for(df, features, keys, invalid, k, method)
     seeded = isinstance(init, str)
@@ -336,10 +340,12 @@ def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] =
     init_ms = _ms(t0)
 
     if method == "auto":
-        method = "bounds" if k >= BOUNDS_FROM else "blocks" if k * len(names) > BLOCKS_ABOVE else "expr"
+        wide = "blocks" if max_iter is not None else "settled"
+        method = "bounds" if k >= BOUNDS_FROM else wide if k * len(names) > BLOCKS_ABOVE else "expr"
     feats = (base if base is not None else src).select(*cols)
-    bounded = BoundedSteps(feats, cols) if method == "bounds" else None
-    if bounded is None:
+    steps = (BoundedSteps(feats, cols) if method == "bounds" else
+             SettledSteps(feats, cols, cache) if method == "settled" else None)
+    if steps is None:
         feats = materialize(feats, cache)
     plain = lloyd_step_blocks if method == "blocks" else lloyd_step
     centres = list(start)
@@ -349,7 +355,7 @@ def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] =
     try:
         for it in count(1) if max_iter is None else range(1, max_iter + 1):
             t0 = time.perf_counter()
-            new, sizes = bounded(centres) if bounded else plain(feats, cols, centres)
+            new, sizes = steps(centres) if steps else plain(feats, cols, centres)
             if it == 1:
                 if sum(sizes) < k:
                     raise ValueError(f"K={k} is larger than the number of points ({sum(sizes)})")
@@ -363,8 +369,8 @@ def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] =
                 converged = True
                 break
     finally:
-        if bounded:
-            bounded.release()
+        if steps:
+            steps.release()
         else:
             dematerialize(feats, cache)
         release()
@@ -372,5 +378,6 @@ def kmeans_fit(df: DataFrame, features: Features, k: int, keys: Sequence[str] =
                         iterations=len(log), converged=converged, log=log)
     model.timings[TIMING_METRICS[0]] = total_ms
     model.timings["Initialisation Time"] = init_ms
-    model.distances = bounded.distances if bounded else []
+    model.distances = steps.distances if method == "bounds" else []
+    model.passes = steps.passes if method == "settled" else len(log)
     return model
