@@ -43,9 +43,9 @@ GAPS, TASKS = -1, -2        # as clusters: counts of gaps by their octave eighth
 
 PACKED_VALUES = 1 << 19     # coordinates in a row of packed points
 CHUNK_VALUES = 1 << 17      # coordinates that are compared at once, small enough for a core's cache
-OPEN_VALUES = 1 << 22       # coordinates of open points on the driver (32 MB), twice as many at worst
+OPEN_VALUES = 1 << 23       # coordinates of open points on the driver (64 MB), twice as many at worst
 OPEN_SHARE = 4              # at most one in so many points is open
-WORTH = 2.0                 # open points are fetched if the centres may move so many times as far as they last did
+WORTH = 1.0                 # open points are fetched if the centres may move so many times as far as they last did
 TASK_VALUES = 1 << 23       # coordinates that a task of a pass reads, at least, once all cores have one
 DIRECT_TASKS = 256          # above, the partial sums of the tasks are added up before they reach the driver
 MARGIN = 1e-9               # of the distances compared, far above their rounding
@@ -209,6 +209,7 @@ class SettledSteps:
         self.tasks: int | None = None
         self.bins: np.ndarray | None = None
         self.base: np.ndarray | None = None    # centres of the pass that the open points come from
+        self.X: np.ndarray | None = None       # those points
         self.reach = 0.0
         self.last = math.inf               # how far two centres went in the last step
 
@@ -223,6 +224,7 @@ class SettledSteps:
     def _pass(self, C: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         k, d = C.shape
         reach = share = 0.0
+        self.base = self.X = None
         if self.bins is not None:
             n = self.bins.sum()
             most = min(OPEN_VALUES / d, n / OPEN_SHARE)
@@ -242,7 +244,6 @@ class SettledSteps:
             self.read = self.points.coalesce(self.tasks) if self.tasks < tasks else self.points
         self.counts, self.sums = long[:, 0], long[:, 1:]
         if not reach > 0:
-            self.base = None
             return self.counts, self.sums
         self._open(C, blocks)
         return self._among_open(C, 0.0)
@@ -268,7 +269,7 @@ class SettledSteps:
         gap = np.concatenate([np.frombuffer(g.as_buffer(), np.float64) for g in column["_gap"]])
         cluster = np.concatenate([np.frombuffer(c.as_buffer(), np.int32) for c in column["_cluster"]])
         order = np.argsort(gap, kind="stable")
-        self.X, self.gap, self.cluster = np.concatenate(points).astype(np.float64)[order], gap[order], cluster[order]
+        self.X, self.gap, self.cluster = np.concatenate(points)[order].astype(np.float64), gap[order], cluster[order]
         self.base, self.step = C, max(1, CHUNK_VALUES // C.shape[1])
         # what the chunks from each one on add while their points stay in their clusters
         self.rest = [(np.zeros_like(self.counts), np.zeros_like(self.sums))]
@@ -288,4 +289,4 @@ class SettledSteps:
 
     def release(self) -> None:
         dematerialize(self.points, self.cache)
-        self.base = None
+        self.base = self.X = None

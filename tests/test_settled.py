@@ -74,7 +74,7 @@ def test_points_in_one_block_are_handed_over_up_to_its_part(spark, monkeypatch):
             centres, sizes = steps(centres)
             want, expected = plain(X, want)
             assert sizes == expected and np.allclose(centres, want, rtol=0, atol=1e-12)
-        assert len(steps.X) <= 2 * len(X) / settled.OPEN_SHARE + 20
+        assert 0 < len(steps.X) <= 2 * len(X) / settled.OPEN_SHARE + 20
     finally:
         steps.release()
 
