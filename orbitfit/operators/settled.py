@@ -129,7 +129,7 @@ def gap_bins(gap: np.ndarray) -> np.ndarray:
 def make_pass_kernel(centres: Sequence[Sequence[float]], reach: float, share: float):
     """``mapInArrow`` function over packed points: for each block its points with a gap under ``reach``,
     at most twice its ``share``, with their clusters and gaps, and in ``s`` the gap under which none is
-    missing; then the sums of the others, the counts of all gaps and one row for the task."""
+    missing (no row if there are none up to ``reach``); then the sums of the others, the counts of all gaps and one row for the task."""
     C = np.asarray(centres, np.float64)
     k, d = C.shape
 
@@ -167,7 +167,7 @@ def make_pass_kernel(centres: Sequence[Sequence[float]], reach: float, share: fl
                     part = slice(at, at + step)
                     sum_up(counts, sums, cluster[part], x[part], gap[part] >= cut)
                 bins += np.bincount(gap_bins(gap), minlength=len(bins))
-                if reach > 0:
+                if (gap < cut).any() or cut < reach:
                     yield open_rows(X, single.as_py(), cluster, gap, cut)
         if counts.any():
             yield long(partial_rows(counts, sums))
@@ -245,7 +245,7 @@ class SettledSteps:
         self.counts, self.sums = long[:, 0], long[:, 1:]
         if not reach > 0:
             return self.counts, self.sums
-        self._open(C, blocks)
+        self._open(C, blocks, reach)
         return self._among_open(C, 0.0)
 
     def _run(self, C: np.ndarray, reach: float, share: float):
@@ -261,13 +261,14 @@ class SettledSteps:
         finally:
             dematerialize(kept, "persist")
 
-    def _open(self, C: np.ndarray, blocks: pa.Table) -> None:
+    def _open(self, C: np.ndarray, blocks: pa.Table, reach: float) -> None:
         """Keeps the open points of a pass, those with the smallest gaps first."""
         column = {c: blocks.column(c) for c in blocks.column_names}
-        self.reach = min(column["s"].to_pylist())
-        points = [unpacked(p, single, C.shape[1]) for p, single in zip(column["_points"], column["_single"])]
-        gap = np.concatenate([np.frombuffer(g.as_buffer(), np.float64) for g in column["_gap"]])
-        cluster = np.concatenate([np.frombuffer(c.as_buffer(), np.int32) for c in column["_cluster"]])
+        self.reach = min([reach, *column["s"].to_pylist()])
+        points = [np.zeros((0, C.shape[1]), np.float32),
+                  *(unpacked(p, single, C.shape[1]) for p, single in zip(column["_points"], column["_single"]))]
+        gap = np.frombuffer(b"".join(column["_gap"].to_pylist()), np.float64)
+        cluster = np.frombuffer(b"".join(column["_cluster"].to_pylist()), np.int32)
         order = np.argsort(gap, kind="stable")
         self.X, self.gap, self.cluster = np.concatenate(points)[order].astype(np.float64), gap[order], cluster[order]
         self.base, self.step = C, max(1, CHUNK_VALUES // C.shape[1])

@@ -79,6 +79,19 @@ def test_points_in_one_block_are_handed_over_up_to_its_part(spark, monkeypatch):
         steps.release()
 
 
+def test_no_point_is_open_if_there_is_one_centre(spark):
+    X = points(200, 2)
+    steps = SettledSteps(frame(spark, X).select("embedding"), ["embedding"])
+    centres = [(5.0, 5.0)]
+    try:
+        for _ in range(4):
+            centres, sizes = steps(centres)
+            assert sizes == [200] and np.allclose(centres, X.mean(axis=0), rtol=0, atol=1e-12)
+        assert steps.passes == 2 and len(steps.X) == 0
+    finally:
+        steps.release()
+
+
 def test_single_and_double_precision_values_are_kept(spark):
     single, double = np.float32([[0.1, 0.2]]).astype(float), np.array([[0.1, 1e300]])
     for X, exact in ((single, True), (double, False)):
